@@ -315,3 +315,185 @@ SELECT record_count_match, business_match, dates_match, critical_issues, missing
             ELSE 'FAILED' END AS status_strict,
        relational_total, document_total, success_rate_pct, fk_issues, rule_violations
 FROM ds_status""")
+
+# ------------------------------------------------------------------ profiling
+from salesq.plans.oracle import raw as _raw  # noqa: E402
+
+_RAW_COLS = ["transaction_id", "customer_id", "category", "item", "price_per_unit", "quantity",
+             "total_spent", "payment_method", "location", "transaction_date", "discount_applied"]
+_RAW_TYPES = {c: ("double" if c in ("price_per_unit", "quantity", "total_spent") else "string") for c in _RAW_COLS}
+
+ORACLE["raw_scan"] = _raw("SELECT * FROM raw_sales")
+ORACLE["profile_shape"] = _raw("SELECT count(*) AS rows, 11 AS columns FROM raw_sales")
+ORACLE["profile_non_null"] = _raw("\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{_RAW_TYPES[c]}' AS dtype, count({c}) AS non_null FROM raw_sales"
+    for c in _RAW_COLS))
+ORACLE["profile_missing"] = _raw("\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS missing_count FROM raw_sales"
+    for c in _RAW_COLS))
+ORACLE["profile_duplicates"] = _raw(
+    "SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_sales)) AS BIGINT) AS duplicate_rows "
+    "FROM raw_sales")
+ORACLE["profile_values"] = _raw("\nUNION ".join(
+    f"SELECT DISTINCT '{c}' AS column_name, coalesce(CAST({c} AS VARCHAR), 'nan') AS value FROM raw_sales"
+    for c in ["payment_method", "location", "discount_applied"]))
+
+
+def _r6(e: str) -> str:
+    return f"round_even(({e}) * 1000000, 0) / 1000000"
+
+
+ORACLE["profile_numeric"] = _raw("\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) AS count, {_r6(f'avg({c})')} AS mean, "
+    f"{_r6(f'stddev_samp({c})')} AS std, {_r6(f'min({c})')} AS min, "
+    f"{_r6(f'quantile_cont({c}, 0.25)')} AS p25, {_r6(f'quantile_cont({c}, 0.5)')} AS p50, "
+    f"{_r6(f'quantile_cont({c}, 0.75)')} AS p75, {_r6(f'max({c})')} AS max FROM raw_sales"
+    for c in ["price_per_unit", "quantity", "total_spent"]))
+
+# ------------------------------------------------------------------ load
+_TS1, _TS2 = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-01-02 00:00:00'"
+_B1 = "transaction_date < DATE '1997-01-01'"
+
+_UPSERT_DIM = f"""
+t1 AS (
+  SELECT CAST(row_number() OVER (ORDER BY payment_method_name) AS INTEGER) AS payment_method_id, payment_method_name,
+         {_TS1} AS created_at, {_TS1} AS updated_at
+  FROM (SELECT DISTINCT payment_method AS payment_method_name FROM sales_clean WHERE {_B1} AND payment_method IS NOT NULL)
+),
+src AS (SELECT DISTINCT payment_method AS payment_method_name FROM sales_clean WHERE payment_method IS NOT NULL)"""
+ORACLE["upsert_dimension"] = _w(RAW_SALES, CLEAN, _UPSERT_DIM, body=f"""
+SELECT t.payment_method_id, t.payment_method_name, t.created_at,
+       CASE WHEN s.payment_method_name IS NOT NULL THEN {_TS2} ELSE t.updated_at END AS updated_at
+FROM t1 t LEFT JOIN src s ON t.payment_method_name = s.payment_method_name
+UNION ALL
+SELECT CAST((SELECT coalesce(max(payment_method_id), 0) FROM t1) + row_number() OVER (ORDER BY payment_method_name)
+            AS INTEGER), payment_method_name, {_TS2}, {_TS2}
+FROM src WHERE payment_method_name NOT IN (SELECT payment_method_name FROM t1)""")
+
+_UPSERT_CUST = f"""
+t1 AS (SELECT DISTINCT customer_id, {_TS1} AS created_at, {_TS1} AS updated_at FROM sales_clean
+       WHERE {_B1} AND customer_id IS NOT NULL),
+src AS (SELECT DISTINCT customer_id FROM sales_clean WHERE customer_id IS NOT NULL)"""
+ORACLE["upsert_customers"] = _w(RAW_SALES, CLEAN, _UPSERT_CUST, body=f"""
+SELECT coalesce(t.customer_id, s.customer_id) AS customer_id, coalesce(t.created_at, {_TS2}) AS created_at,
+       CASE WHEN s.customer_id IS NOT NULL THEN {_TS2} ELSE t.updated_at END AS updated_at
+FROM t1 t FULL JOIN src s ON t.customer_id = s.customer_id""")
+
+_UPSERT_ITEMS = f"""
+items1 AS (
+  SELECT row_number() OVER (ORDER BY d.item_name, d.category_name NULLS FIRST, d.price_per_unit NULLS FIRST) AS item_id,
+         d.item_name, d.price_per_unit, c.category_id
+  FROM (SELECT DISTINCT item AS item_name, category AS category_name, price_per_unit FROM sales_clean
+        WHERE item IS NOT NULL AND {_B1}) d
+  LEFT JOIN n_cat c ON d.category_name = c.category_name
+),
+src1 AS (SELECT item_name, category_id, CAST(arg_max(price_per_unit, item_id) AS DECIMAL(10,2)) AS price
+         FROM items1 GROUP BY item_name, category_id),
+t1 AS (SELECT CAST(row_number() OVER (ORDER BY item_name, category_id NULLS FIRST) AS INTEGER) AS item_id,
+              item_name, category_id, price AS price_per_unit, {_TS1} AS created_at, {_TS1} AS updated_at FROM src1),
+src2 AS (SELECT item_name, category_id, CAST(arg_max(price_per_unit, item_id) AS DECIMAL(10,2)) AS price
+         FROM n_items GROUP BY item_name, category_id)"""
+ORACLE["upsert_items"] = _w(RAW_SALES, CLEAN, STAR, _UPSERT_ITEMS, body=f"""
+SELECT t.item_id, t.item_name, CAST(coalesce(s.price, t.price_per_unit) AS DECIMAL(10,2)) AS price_per_unit,
+       t.category_id, t.created_at, CASE WHEN s.price IS NOT NULL THEN {_TS2} ELSE t.updated_at END AS updated_at
+FROM t1 t LEFT JOIN src2 s ON t.item_name = s.item_name AND t.category_id = s.category_id
+UNION ALL
+SELECT CAST((SELECT coalesce(max(item_id), 0) FROM t1)
+            + row_number() OVER (ORDER BY s.item_name, s.category_id NULLS FIRST) AS INTEGER),
+       s.item_name, s.price, s.category_id, {_TS2}, {_TS2}
+FROM src2 s WHERE NOT EXISTS (SELECT 1 FROM t1 WHERE t1.item_name = s.item_name AND t1.category_id = s.category_id)""")
+
+_FV = ["customer_id", "item_id", "payment_method_id", "location_id", "quantity", "total_price",
+       "transaction_date", "discount_applied"]
+_DEDUP = ("QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY "
+          + ", ".join(f"{c} DESC NULLS LAST" for c in _FV) + ") = 1")
+_UPSERT_T = f"""
+t1 AS (SELECT *, {_TS1} AS created_at, {_TS1} AS updated_at FROM n_fact
+       WHERE {_B1} AND transaction_id IS NOT NULL {_DEDUP}),
+src AS (SELECT * FROM n_fact WHERE transaction_id IS NOT NULL {_DEDUP})"""
+_CHANGED = " OR ".join(f"t.{c} IS DISTINCT FROM s.{c}" for c in _FV)
+ORACLE["upsert_transactions"] = _w(RAW_SALES, CLEAN, STAR, _UPSERT_T, body=f"""
+SELECT coalesce(t.transaction_id, s.transaction_id) AS transaction_id,
+       {", ".join(f"CASE WHEN s.transaction_id IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in _FV)},
+       coalesce(t.created_at, {_TS2}) AS created_at,
+       CASE WHEN s.transaction_id IS NOT NULL AND (t.created_at IS NULL OR {_CHANGED}) THEN {_TS2}
+            ELSE t.updated_at END AS updated_at
+FROM t1 t FULL JOIN src s ON t.transaction_id = s.transaction_id""")
+
+ORACLE["load_fill_defaults"] = _raw("""
+SELECT transaction_id, coalesce(quantity, CAST(0.0 AS DOUBLE)) AS quantity,
+       coalesce(total_spent, CAST(0.0 AS DOUBLE)) AS total_price,
+       coalesce(CASE WHEN discount_applied IS NULL THEN NULL ELSE discount_applied = 'True' END, FALSE) AS discount_applied
+FROM raw_sales""")
+
+_REASONS = """
+ds_reasons AS (
+  SELECT f.*, array_to_string(list_filter([
+      CASE WHEN total_price IS NOT NULL AND TRY_CAST(total_price AS DECIMAL(10,2)) IS NULL THEN 'bad_type:total_price' END,
+      CASE WHEN quantity IS NOT NULL AND TRY_CAST(round_even(quantity, 0) AS INTEGER) IS NULL THEN 'bad_type:quantity' END,
+      CASE WHEN transaction_id IS NULL THEN 'null:transaction_id' END,
+      CASE WHEN customer_id IS NULL THEN 'null:customer_id' END,
+      CASE WHEN item_id IS NULL THEN 'null:item_id' END,
+      CASE WHEN payment_method_id IS NULL THEN 'null:payment_method_id' END,
+      CASE WHEN location_id IS NULL THEN 'null:location_id' END,
+      CASE WHEN quantity IS NULL THEN 'null:quantity' END,
+      CASE WHEN total_price IS NULL THEN 'null:total_price' END,
+      CASE WHEN transaction_date IS NULL THEN 'null:transaction_date' END,
+      CASE WHEN octet_length(encode(transaction_id)) > 32 THEN 'too_long:transaction_id' END,
+      CASE WHEN octet_length(encode(customer_id)) > 32 THEN 'too_long:customer_id' END,
+      CASE WHEN customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM ds_customers) THEN 'missing_parent:customer_id' END,
+      CASE WHEN item_id IS NOT NULL AND item_id NOT IN (SELECT item_id FROM ds_items) THEN 'missing_parent:item_id' END,
+      CASE WHEN payment_method_id IS NOT NULL AND payment_method_id NOT IN (SELECT payment_method_id FROM ds_pm) THEN 'missing_parent:payment_method_id' END,
+      CASE WHEN location_id IS NOT NULL AND location_id NOT IN (SELECT location_id FROM ds_loc) THEN 'missing_parent:location_id' END
+    ], lambda x: x IS NOT NULL), ',') AS reasons
+  FROM ds_fact f)"""
+ORACLE["load_rejects"] = _w(DAMAGED, _REASONS, body="SELECT * FROM ds_reasons WHERE reasons <> ''")
+ORACLE["conform_transactions"] = _w(DAMAGED, _REASONS, body="""
+SELECT transaction_id, customer_id, item_id, payment_method_id, location_id,
+       TRY_CAST(round_even(quantity, 0) AS INTEGER) AS quantity, TRY_CAST(total_price AS DECIMAL(10,2)) AS total_price,
+       transaction_date, discount_applied
+FROM ds_reasons WHERE reasons = ''""")
+
+ORACLE["reconcile_counts"] = starred("""
+SELECT e.table_name, e.row_count AS expected, a.row_count AS actual, a.row_count >= e.row_count AS passed
+FROM (SELECT 'categories' AS table_name, count(*) AS row_count FROM n_cat
+      UNION ALL SELECT 'locations', count(*) FROM n_loc
+      UNION ALL SELECT 'payment_methods', count(*) FROM n_pm
+      UNION ALL SELECT 'customers', count(*) FROM n_cust
+      UNION ALL SELECT 'items', count(*) FROM n_items
+      UNION ALL SELECT 'transactions', count(*) FROM n_fact) e
+JOIN (SELECT 'categories' AS table_name, count(*) AS row_count FROM n_cat
+      UNION ALL SELECT 'locations', count(*) FROM n_loc
+      UNION ALL SELECT 'payment_methods', count(*) FROM n_pm
+      UNION ALL SELECT 'customers', count(*) FROM n_cust WHERE octet_length(encode(customer_id)) <= 32
+      UNION ALL SELECT 'items', count(*) FROM n_items WHERE item_name IS NOT NULL AND price_per_unit IS NOT NULL
+                 AND category_id IS NOT NULL AND octet_length(encode(item_name)) <= 64
+                 AND TRY_CAST(price_per_unit AS DECIMAL(10,2)) IS NOT NULL
+      UNION ALL SELECT 'transactions', count(*) FROM n_fact WHERE transaction_id IS NOT NULL AND customer_id IS NOT NULL
+                 AND item_id IS NOT NULL AND payment_method_id IS NOT NULL AND location_id IS NOT NULL
+                 AND quantity IS NOT NULL AND total_price IS NOT NULL AND transaction_date IS NOT NULL
+                 AND octet_length(encode(transaction_id)) <= 32 AND octet_length(encode(customer_id)) <= 32
+                 AND TRY_CAST(total_price AS DECIMAL(10,2)) IS NOT NULL
+                 AND customer_id IN (SELECT customer_id FROM n_cust) AND item_id IN (SELECT item_id FROM n_items)
+                 AND payment_method_id IN (SELECT payment_method_id FROM n_pm)
+                 AND location_id IN (SELECT location_id FROM n_loc)) a
+ON e.table_name = a.table_name""")
+
+ORACLE["migration_summary"] = _w(DAMAGED, _DS_COUNTS, """
+j AS (SELECT r.table_name, r.row_count AS rows_read, d.row_count AS rows_written,
+             r.row_count - d.row_count AS rows_lost, CAST(0 AS BIGINT) AS errors
+      FROM ds_rel_counts r JOIN ds_doc_counts d ON r.table_name = d.table_name)""", body="""
+SELECT * FROM j UNION ALL
+SELECT '__total__', CAST(sum(rows_read) AS BIGINT), CAST(sum(rows_written) AS BIGINT),
+       CAST(sum(rows_lost) AS BIGINT), CAST(0 AS BIGINT) FROM j""")
+
+ORACLE["source_counts"] = starred("""
+SELECT * FROM (SELECT 'categories' AS table_name, count(*) AS row_count FROM n_cat
+UNION ALL SELECT 'locations', count(*) FROM n_loc
+UNION ALL SELECT 'payment_methods', count(*) FROM n_pm
+UNION ALL SELECT 'customers', count(*) FROM n_cust
+UNION ALL SELECT 'items', count(*) FROM n_items
+UNION ALL SELECT 'transactions', count(*) FROM n_fact)
+UNION ALL SELECT '__total__', (SELECT count(*) FROM n_cat) + (SELECT count(*) FROM n_loc) + (SELECT count(*) FROM n_pm)
+   + (SELECT count(*) FROM n_cust) + (SELECT count(*) FROM n_items) + (SELECT count(*) FROM n_fact)""")
+ORACLE["star_scan_counts"] = ORACLE["stats_row_counts"]

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from salesq.functions.expr import count_if, money
 from salesq.operators import clean as C
-from salesq.sources.fixture import raw_sales
+from salesq.session import materialize
+from salesq.sources.fixture import RAW_COLUMNS, raw_sales
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -23,7 +24,11 @@ def query(name: str):
 
 
 def _clean(spark, sf_dir) -> C.CleanResult:
-    return C.clean(raw_sales(spark, sf_dir))
+    """The clean/recover plan, written once per session (clean once, persist)."""
+    r = C.clean(raw_sales(spark, sf_dir))
+    flagged = materialize(spark, f"clean.flagged:{sf_dir}", lambda: r.flagged)
+    return C.CleanResult(flagged=flagged, clean=flagged.filter(F.col("_drop").isNull()).select(*RAW_COLUMNS),
+                         catalog=r.catalog)
 
 
 def _step_counts(before: DataFrame, after_pred) -> DataFrame:
@@ -154,7 +159,17 @@ from salesq.sources.fixture import damaged_documents, damaged_star  # noqa: E402
 
 
 def _star(spark, sf_dir):
-    return N.normalize(_clean(spark, sf_dir).clean)
+    """The six star tables, each written once per session."""
+    built = {}
+
+    def get(name):
+        def build():
+            if not built:
+                built.update(N.normalize(_clean(spark, sf_dir).clean))
+            return built[name]
+        return materialize(spark, f"star.{name}:{sf_dir}", build)
+
+    return {n: get(n) for n in ("categories", "customers", "payment_methods", "locations", "items", "transactions")}
 
 
 @query("dim_categories")
@@ -397,3 +412,153 @@ def q_validation_report(spark, sf_dir):
     rest = V.validation_report({"summary": V.summarize_checks(checks), "metrics": metrics,
                                 "dates": dates, "rows": spot, "status": status})
     return long_checks.unionByName(long_counts).unionByName(rest)
+
+
+# ------------------------------------------------------------------ profiling (P1–P6) and S1
+
+from salesq.operators import profile as P  # noqa: E402
+from salesq.sources import io as IO  # noqa: E402
+from salesq.sources.fixture import raw_sales_text  # noqa: E402
+
+
+@query("raw_scan")
+def q_raw_scan(spark, sf_dir):
+    return IO.parse_raw(raw_sales_text(spark, sf_dir))
+
+
+@query("profile_shape")
+def q_profile_shape(spark, sf_dir):
+    return P.profile_shape(raw_sales(spark, sf_dir))
+
+
+@query("profile_non_null")
+def q_profile_non_null(spark, sf_dir):
+    return P.profile_columns(raw_sales(spark, sf_dir))
+
+
+@query("profile_missing")
+def q_profile_missing(spark, sf_dir):
+    return P.profile_missing(raw_sales(spark, sf_dir))
+
+
+@query("profile_duplicates")
+def q_profile_duplicates(spark, sf_dir):
+    return P.profile_duplicates(raw_sales(spark, sf_dir))
+
+
+@query("profile_values")
+def q_profile_values(spark, sf_dir):
+    return P.profile_values(raw_sales(spark, sf_dir), ["payment_method", "location", "discount_applied"])
+
+
+@query("profile_numeric")
+def q_profile_numeric(spark, sf_dir):
+    return P.profile_numeric(raw_sales(spark, sf_dir), ["price_per_unit", "quantity", "total_spent"])
+
+
+# ------------------------------------------------------------------ load
+
+from salesq.operators import load as L  # noqa: E402
+from salesq.schema import TABLES  # noqa: E402
+
+TS1, TS2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
+BATCH1_END = "1997-01-01"
+
+
+def _batch1(df):
+    return df.filter(F.col("transaction_date") < F.lit(BATCH1_END).cast("date"))
+
+
+@query("upsert_dimension")
+def q_upsert_dimension(spark, sf_dir):
+    clean = _clean(spark, sf_dir).clean
+    names = lambda d: d.select(F.col("payment_method").alias("payment_method_name"))
+    t1 = L.upsert_dimension(L.empty_table(spark, "payment_methods"), names(_batch1(clean)),
+                            "payment_method_id", "payment_method_name", TS1)
+    return L.upsert_dimension(t1, names(clean), "payment_method_id", "payment_method_name", TS2)
+
+
+@query("upsert_customers")
+def q_upsert_customers(spark, sf_dir):
+    clean = _clean(spark, sf_dir).clean
+    t1 = L.upsert_customers(L.empty_table(spark, "customers"), _batch1(clean), TS1)
+    return L.upsert_customers(t1, clean, TS2)
+
+
+@query("upsert_items")
+def q_upsert_items(spark, sf_dir):
+    clean = _clean(spark, sf_dir).clean
+    star = N.normalize(clean)
+    items1 = N.item_dim(_batch1(clean), star["categories"])
+    t1 = L.upsert_items(L.empty_table(spark, "items"), items1, TS1)
+    return L.upsert_items(t1, star["items"], TS2)
+
+
+def _empty_fact(spark):
+    return spark.createDataFrame([], "transaction_id string, customer_id string, item_id int, "
+                                     "payment_method_id int, location_id int, quantity double, total_price double, "
+                                     "transaction_date date, discount_applied boolean, created_at timestamp_ntz, "
+                                     "updated_at timestamp_ntz")
+
+
+@query("upsert_transactions")
+def q_upsert_transactions(spark, sf_dir):
+    fact = _star(spark, sf_dir)["transactions"]
+    t1 = L.upsert_transactions(_empty_fact(spark), _batch1(fact), TS1)
+    return L.upsert_transactions(t1, fact, TS2)
+
+
+@query("load_fill_defaults")
+def q_load_fill_defaults(spark, sf_dir):
+    raw = raw_sales(spark, sf_dir)
+    pre = raw.select("transaction_id", "quantity", F.col("total_spent").alias("total_price"),
+                     F.when(F.col("discount_applied").isNull(), F.lit(None).cast("boolean"))
+                      .otherwise(F.col("discount_applied") == "True").alias("discount_applied"))
+    return L.fill_defaults(pre)
+
+
+def _damaged_split(spark, sf_dir):
+    s = damaged_star(spark, sf_dir)
+    return L.split_valid(s["transactions"], TABLES["transactions"], parents=s)
+
+
+@query("load_rejects")
+def q_load_rejects(spark, sf_dir):
+    _, rejects = _damaged_split(spark, sf_dir)
+    return rejects.withColumn("reasons", F.array_join("reasons", ","))
+
+
+@query("conform_transactions")
+def q_conform_transactions(spark, sf_dir):
+    valid, _ = _damaged_split(spark, sf_dir)
+    return valid
+
+
+@query("reconcile_counts")
+def q_reconcile_counts(spark, sf_dir):
+    star = _star(spark, sf_dir)
+    loaded = {}
+    for name in star:
+        valid, _ = L.split_valid(star[name], TABLES[name], parents=star)
+        loaded[name] = valid
+    return L.reconcile_counts(V.row_counts(star), V.row_counts(loaded), mode="at_least")
+
+
+@query("migration_summary")
+def q_migration_summary(spark, sf_dir):
+    s, docs = _damaged_docs(spark, sf_dir)
+    return L.migration_summary(V.row_counts(s), V.row_counts(docs))
+
+
+@query("source_counts")
+def q_source_counts(spark, sf_dir):
+    return L.source_counts(_star(spark, sf_dir))
+
+
+@query("star_scan_counts")
+def q_star_scan_counts(spark, sf_dir):
+    import uuid
+    from salesq.session import ensure_checkpoint_dir
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/salesq-star-csv/{uuid.uuid4().hex[:12]}"
+    IO.write_star(_star(spark, sf_dir), out, fmt="csv")
+    return V.row_counts(IO.read_star(spark, out, fmt="csv"))
