@@ -89,3 +89,23 @@ def materialize(spark: SparkSession, key: str, build) -> DataFrame:
         build().write.mode("overwrite").parquet(path)
         _MATERIALIZED[k] = path
     return spark.read.parquet(_MATERIALIZED[k])
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem (works for HDFS/S3/local)."""
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Child directory names through the Hadoop FileSystem ([] if missing)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
