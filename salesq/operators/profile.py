@@ -58,56 +58,67 @@ def profile_values(df: DataFrame, cols: list[str], missing: str = "nan") -> Data
     return out
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], num_partitions: int | None = None) -> DataFrame:
-    """Linear-interpolated quantiles (pandas/numpy default) of one column, exact.
-
-    Returns one row per probability: (p, value)."""
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                    num_partitions: int | None = None) -> DataFrame:
+    """Linear-interpolated quantiles (numpy/pandas default) of several columns, exact.
+
+    One pass for all columns: values are stacked as (column_name, v), counted
+    per distinct value (partial aggregate), range-partitioned on
+    (column_name, v); running counts come from in-partition windows plus
+    per-partition offsets (one row per partition and column). Returns rows
+    (column_name, p, value)."""
     spark = df.sparkSession
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    vc = vals.groupBy("v").agg(F.count(F.lit(1)).alias("cnt"))
-    ranged = vc.repartitionByRange(n_parts, "v").sortWithinPartitions("v")
-    ranged = ranged.withColumn("_pid", F.spark_partition_id())
-    within = Window.partitionBy("_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    vals = df.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, v)").filter(F.col("v").isNotNull())
+    vc = vals.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("cnt"))
+    ranged = (vc.repartitionByRange(n_parts, "column_name", "v").sortWithinPartitions("column_name", "v")
+              .withColumn("_pid", F.spark_partition_id()))
+    within = Window.partitionBy("_pid", "column_name").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local", F.coalesce(F.sum("cnt").over(within), F.lit(0)))
-    tot = local.groupBy("_pid").agg(F.sum("cnt").alias("_pc"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.withColumn("_off", F.coalesce(F.sum("_pc").over(before), F.lit(0))).select("_pid", "_off")
-    cum = (local.join(F.broadcast(offs), "_pid")
+    per_part = local.groupBy("column_name", "_pid").agg(F.sum("cnt").alias("_pc"))
+    before = Window.partitionBy("column_name").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = per_part.withColumn("_off", F.coalesce(F.sum("_pc").over(before), F.lit(0))) \
+        .select("column_name", "_pid", "_off")
+    cum = (local.join(F.broadcast(offs), ["column_name", "_pid"])
            .withColumn("_lo", F.col("_off") + F.col("_local"))          # first 0-based rank of v
            .withColumn("_hi", F.col("_lo") + F.col("cnt") - 1))         # last rank of v
-    n = vals.agg(F.count(F.lit(1)).alias("_n"))
+    n = per_part.groupBy("column_name").agg(F.sum("_pc").alias("_n"))
     ps = spark.createDataFrame([(float(p),) for p in probs], "p double")
-    pos = ps.withColumn("_k", F.lit(1)).join(F.broadcast(n.withColumn("_k", F.lit(1))), "_k").drop("_k")
-    pos = pos.withColumn("_pos", F.col("p") * (F.col("_n") - 1).cast("double")) \
-             .withColumn("_r0", F.floor("_pos")).withColumn("_r1", F.ceil("_pos")) \
-             .withColumn("_frac", F.col("_pos") - F.col("_r0"))
-    # order statistics at ranks r0 and r1: a range condition against the few requested ranks
-    lo = cum.join(F.broadcast(pos.select("p", "_r0")), (F.col("_r0") >= F.col("_lo")) & (F.col("_r0") <= F.col("_hi"))) \
-        .select("p", F.col("v").alias("_v0"))
-    hi = cum.join(F.broadcast(pos.select("p", "_r1")), (F.col("_r1") >= F.col("_lo")) & (F.col("_r1") <= F.col("_hi"))) \
-        .select("p", F.col("v").alias("_v1"))
-    return (pos.join(lo, "p", "left").join(hi, "p", "left")
-            .select("p", (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_frac")).alias("value")))
+    pos = n.withColumn("_k", F.lit(1)).join(F.broadcast(ps.withColumn("_k", F.lit(1))), "_k")
+    pos = (pos.drop("_k").withColumn("_pos", F.col("p") * (F.col("_n") - 1).cast("double"))
+           .withColumn("_r0", F.floor("_pos")).withColumn("_r1", F.ceil("_pos"))
+           .withColumn("_frac", F.col("_pos") - F.col("_r0")))
+    # the order statistics at ranks r0 and r1: equi-join on the column, range test on the rank
+    lo = cum.join(F.broadcast(pos.select("column_name", "p", "_r0")), "column_name") \
+        .filter((F.col("_r0") >= F.col("_lo")) & (F.col("_r0") <= F.col("_hi"))).select("column_name", "p", F.col("v").alias("_v0"))
+    hi = cum.join(F.broadcast(pos.select("column_name", "p", "_r1")), "column_name") \
+        .filter((F.col("_r1") >= F.col("_lo")) & (F.col("_r1") <= F.col("_hi"))).select("column_name", "p", F.col("v").alias("_v1"))
+    return (pos.join(lo, ["column_name", "p"], "left").join(hi, ["column_name", "p"], "left")
+            .select("column_name", "p", (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.col("_frac")).alias("value")))
 
 
 def profile_numeric(df: DataFrame, cols: list[str], approx: bool = False, digits: int = 6) -> DataFrame:
-    """Count, mean, sample std, min, 25/50/75 %, max per numeric column.
+    """Count, mean, sample std, min, 25/50/75 %, max per numeric column, from
+    one aggregate pass plus one quantile plan for all columns.
     ``approx=True`` uses ``percentile_approx`` instead of exact quantiles."""
     from salesq.functions.expr import np_round
     probs = [0.25, 0.5, 0.75]
-    out = None
+    stats = ["count", "mean", "std", "min", "max"]
+    aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        base = df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                      F.min(x).alias("min"), F.max(x).alias("max")).withColumn("_k", F.lit(1))
+        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
         if approx:
-            q = df.agg(*[F.percentile_approx(x, p, 10000).alias(f"p{int(p * 100)}") for p in probs])
-        else:
-            qs = exact_quantiles(df, c, probs)
-            q = qs.agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"p{int(p * 100)}") for p in probs])
-        row = base.join(q.withColumn("_k", F.lit(1)), "_k").select(
-            F.lit(c).alias("column_name"), "count",
-            *[np_round(F.col(m), digits).alias(m) for m in ("mean", "std", "min", "p25", "p50", "p75", "max")])
-        out = row if out is None else out.unionByName(row)
-    return out
+            aggs += [F.percentile_approx(x, p, 10000).alias(f"{c}__p{int(p * 100)}") for p in probs]
+    one = df.agg(*aggs)
+    names = stats + ([f"p{int(p * 100)}" for p in probs] if approx else [])
+    parts = ", ".join(f"'{c}', " + ", ".join(f"CAST(`{c}__{m}` AS DOUBLE)" for m in names) for c in cols)
+    base = one.selectExpr(f"stack({len(cols)}, {parts}) as (column_name, {', '.join(names)})")
+    if not approx:
+        q = (exact_quantiles(df, cols, probs).groupBy("column_name")
+             .agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"p{int(p * 100)}") for p in probs]))
+        base = base.join(q, "column_name", "left")
+    return base.select("column_name", F.col("count").cast("bigint").alias("count"),
+                       *[np_round(F.col(m), digits).alias(m) for m in ("mean", "std", "min", "p25", "p50", "p75", "max")])

@@ -1,4 +1,4 @@
-"""End-to-end batch run: clean -> star -> load snapshots -> documents -> validation.
+"""End-to-end batch run (the reference's four scripts as one Spark application): clean -> star -> load snapshots -> documents -> validation.
 
 Every stage boundary is a written table (parquet/JSON) under ``out_dir``;
 later stages read those tables back, so lineage stays short and a lost
@@ -31,8 +31,15 @@ class RunResult:
     reports: dict[str, DataFrame] = field(default_factory=dict)
 
 
-def _audit(spark, out_dir, event, message, extra=None):
-    IO.write_table(L.audit_event(spark, event, message, extra), os.path.join(out_dir, "audit"), mode="append")
+def _write_audit(spark, out_dir, events: list[tuple[str, str]]):
+    """Append the stage's audit events in one write."""
+    if not events:
+        return
+    df = None
+    for event, message in events:
+        e = L.audit_event(spark, event, message)
+        df = e if df is None else df.unionByName(e)
+    IO.write_table(df.coalesce(1), os.path.join(out_dir, "audit"), mode="append")
 
 
 def clean_stage(spark: SparkSession, raw: DataFrame, out_dir: str, skip_cleaning: bool = False,
@@ -80,7 +87,7 @@ def load_stage(spark: SparkSession, star: dict[str, DataFrame], out_dir: str, lo
     write a new snapshot directory, reconcile counts."""
     rel_dir = os.path.join(out_dir, "relational")
     prev = _latest_snapshot(spark, rel_dir, before=snapshot)
-    _audit(spark, out_dir, "MIGRATION_START", f"snapshot {snapshot}")
+    events = [("MIGRATION_START", f"snapshot {snapshot}")]
     loaded: dict[str, DataFrame] = {}
     for name in LOAD_ORDER:
         src = star[name]
@@ -107,7 +114,11 @@ def load_stage(spark: SparkSession, star: dict[str, DataFrame], out_dir: str, lo
         p = os.path.join(rel_dir, f"snapshot={snapshot}", name)
         IO.write_table(new, p)
         loaded[name] = spark.read.parquet(p)
-        _audit(spark, out_dir, "TABLE_LOADED", name)
+        events.append(("TABLE_LOADED", name))
+    recon = L.reconcile_counts(V.row_counts(star, LOAD_ORDER), V.row_counts(loaded, LOAD_ORDER))
+    IO.write_table(recon, os.path.join(out_dir, "reconcile", snapshot))
+    events.append(("MIGRATION_COMPLETE", f"snapshot {snapshot}"))
+    _write_audit(spark, out_dir, events)
     return loaded
 
 

@@ -159,17 +159,25 @@ from salesq.sources.fixture import damaged_documents, damaged_star  # noqa: E402
 
 
 def _star(spark, sf_dir):
-    """The six star tables, each written once per session."""
-    built = {}
-
-    def get(name):
-        def build():
-            if not built:
-                built.update(N.normalize(_clean(spark, sf_dir).clean))
-            return built[name]
-        return materialize(spark, f"star.{name}:{sf_dir}", build)
-
-    return {n: get(n) for n in ("categories", "customers", "payment_methods", "locations", "items", "transactions")}
+    """The six star tables, each written once per session (S7). Dimensions are
+    written first and the items and the fact are built from the written ones,
+    so no surrogate-key plan is evaluated twice."""
+    key = f"star:{sf_dir}"
+
+    def clean():
+        return _clean(spark, sf_dir).clean
+
+    cats = materialize(spark, f"{key}.categories",
+                       lambda: N.surrogate_dim(clean(), "category", "category_id", "category_name"))
+    pms = materialize(spark, f"{key}.payment_methods",
+                      lambda: N.surrogate_dim(clean(), "payment_method", "payment_method_id", "payment_method_name"))
+    locs = materialize(spark, f"{key}.locations",
+                       lambda: N.surrogate_dim(clean(), "location", "location_id", "location_name"))
+    custs = materialize(spark, f"{key}.customers", lambda: N.customer_dim(clean()))
+    items = materialize(spark, f"{key}.items", lambda: N.item_dim(clean(), cats))
+    dims = {"categories": cats, "customers": custs, "payment_methods": pms, "locations": locs, "items": items}
+    fact = materialize(spark, f"{key}.transactions", lambda: N.build_fact(clean(), dims))
+    return {**dims, "transactions": fact}
 
 
 @query("dim_categories")

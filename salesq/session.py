@@ -31,6 +31,9 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None,
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # small inputs on few cores: aim for many small partitions (cluster keeps its default)
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
+        .config("spark.sql.files.maxPartitionBytes", "8MB")
     )
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
@@ -86,7 +89,9 @@ def materialize(spark: SparkSession, key: str, build) -> DataFrame:
         base = ensure_checkpoint_dir(spark).rstrip("/")
         safe = re.sub(r"[^A-Za-z0-9_.-]+", "_", key)[-120:]
         path = f"{base}/salesq-tables/{safe}-{uuid.uuid4().hex[:12]}"
-        build().write.mode("overwrite").parquet(path)
+        # REBALANCE lets AQE size the output files (advisory partition size)
+        # and split skewed partitions, whatever partitioning the plan ends with.
+        build().hint("rebalance").write.mode("overwrite").parquet(path)
         _MATERIALIZED[k] = path
     return spark.read.parquet(_MATERIALIZED[k])
 

@@ -126,10 +126,13 @@ def _j():
 
 
 def _category_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(p_type, cid): dense rank of the category name — a distinct-values table."""
+    """(category_name, category_id): rank of the category name (written once)."""
     from salesq.operators.keys import assign_ids
-    types = read_table(spark, sf_dir, "part").select(F.col("p_type").alias("category_name")).distinct()
-    return assign_ids(types, ["category_name"], "category_id")
+
+    def build():
+        types = read_table(spark, sf_dir, "part").select(F.col("p_type").alias("category_name")).distinct()
+        return assign_ids(types, ["category_name"], "category_id")
+    return materialize(spark, f"category_rank:{sf_dir}", build)
 
 
 def damaged_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -144,9 +147,10 @@ def damaged_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
             return built[name]
         return materialize(spark, f"damaged_star.{name}:{sf_dir}", build)
 
-    return {name: get(name) for name in
-            ("transactions", "items", "customers", "categories", "payment_methods", "locations",
-             "_fact_with_j")}
+    out = {name: get(name) for name in
+           ("items", "customers", "categories", "payment_methods", "locations", "_fact_with_j")}
+    out["transactions"] = out["_fact_with_j"].drop("_j")
+    return out
 
 
 def build_damaged_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -51,7 +51,7 @@ def test_streaming_upsert_matches_batch(spark, tmp_out):
 
 
 def test_pipeline_end_to_end_and_rerun(spark, tmp_out):
-    from salesq.plans.pipeline import run
+    from salesq.plans.batch_run import run
     from salesq.sources.fixture import raw_sales
     res = run(spark, raw_sales(spark, SF001), tmp_out, load_ts="2024-01-01 00:00:00", as_of="2002-01-01")
     rows = res.reports["rows"].first()
