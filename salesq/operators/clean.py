@@ -18,6 +18,7 @@ from pyspark.sql.types import BooleanType
 
 from salesq.functions.expr import count_if, np_round, safe_div, to_flag
 from salesq.operators.nearest import nearest_match
+from salesq.session import cut_lineage
 from salesq.sources.fixture import RAW_COLUMNS
 
 # Drop reasons (our codes).
@@ -109,21 +110,29 @@ def price_catalog(df: DataFrame, group: str = "category", label: str = "item",
 
 def infer_nearest(df: DataFrame, catalog: DataFrame, group: str = "category", label: str = "item",
                   value: str = "price_per_unit", tolerance: float = 0.15,
-                  bucket_width: float = 1.0) -> DataFrame:
+                  bucket_width: float = 1.0, broadcast_rows: int = 1_000_000) -> DataFrame:
     """Fill a missing item with the catalogue item of the same category whose
     mean price is nearest, within ``price * tolerance`` (inclusive).
 
-    Only the rows that need an item are joined (the rest bypass the join), so
-    the common case never shuffles; the match table holds one row per distinct
-    (category, price) probe and AQE broadcasts it once its size is measured.
+    The match table has one row per distinct (category, price) probe and is
+    checkpointed. If its row count is within ``broadcast_rows`` it is
+    broadcast and every row passes one hash join (no shuffle of the big
+    side); beyond that only the rows that need an item are shuffled to it and
+    the rest bypass the join.
     """
     df = _ensure_drop(df)
     need = _alive() & F.col(label).isNull() & F.col(group).isNotNull() & F.col(value).isNotNull()
     df = df.withColumn("_need", need)
     probes = df.filter(F.col("_need")).select(group, value)
     matches = nearest_match(probes, catalog, key=group, value=value, label=label, mean="mean_price",
-                            tolerance=tolerance, bucket_width=bucket_width)
-    matches = matches.withColumnRenamed(label, "_matched")
+                            tolerance=tolerance, bucket_width=bucket_width, checkpoint=True)
+    matches = cut_lineage(matches.withColumnRenamed(label, "_matched"))
+    if matches.count() <= broadcast_rows:
+        out = df.join(F.broadcast(matches), [group, value], "left")
+        hit = F.col("_need") & F.col("_matched").isNotNull()
+        return (out.withColumn("_f_inferred_" + label, hit)
+                .withColumn(label, F.when(F.col("_need"), F.col("_matched")).otherwise(F.col(label)))
+                .drop("_matched", "_need").select(*df.drop("_need").columns, "_f_inferred_" + label))
     needy = (df.filter(F.col("_need")).join(matches, [group, value], "left")
              .withColumn("_f_inferred_" + label, F.col("_matched").isNotNull())
              .withColumn(label, F.col("_matched")).drop("_matched"))
@@ -219,7 +228,8 @@ def flag_raw(raw: DataFrame) -> DataFrame:
 
 
 def clean(raw: DataFrame, tolerance: float = 0.15, consistency_tolerance: float = 0.01,
-          include_unmatched: bool = False, bucket_width: float = 1.0) -> CleanResult:
+          include_unmatched: bool = False, bucket_width: float = 1.0,
+          broadcast_rows: int = 1_000_000) -> CleanResult:
     """C1–C12 composed into one lazy plan."""
     df = flag_raw(raw).withColumn("_drop", F.lit(None).cast("string"))
     df = drop_missing_keys(df)                                               # C1
@@ -229,7 +239,8 @@ def clean(raw: DataFrame, tolerance: float = 0.15, consistency_tolerance: float
     df = recover_ratio(df, "quantity", "total_spent", "price_per_unit", 1)   # C6
     df = recover_product(df, "total_spent", "price_per_unit", "quantity", 2) # C7
     catalog = price_catalog(df)                                              # C8
-    df = infer_nearest(df, catalog, tolerance=tolerance, bucket_width=bucket_width)  # C9
+    df = infer_nearest(df, catalog, tolerance=tolerance, bucket_width=bucket_width,
+                       broadcast_rows=broadcast_rows)                        # C9
     df = drop_unmatched(df)                                                  # C10
     df = standardize_date(df)                                                # C11
     df = enforce_product(df, tolerance=consistency_tolerance)                # C12

@@ -20,10 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesq.session import cut_lineage
+
 
 def nearest_match(probes: DataFrame, catalog: DataFrame, *, key: str, value: str,
                   label: str, mean: str, tolerance: float = 0.15,
-                  bucket_width: float = 1.0) -> DataFrame:
+                  bucket_width: float = 1.0, checkpoint: bool = False) -> DataFrame:
     """For each distinct ``(key, value)`` probe, the label of the nearest catalogue
     mean inside ``value * tolerance``. Returns ``(key, value, label)`` for matches."""
     cat = (catalog.filter(F.col(key).isNotNull() & F.col(mean).isNotNull())
@@ -39,19 +41,26 @@ def nearest_match(probes: DataFrame, catalog: DataFrame, *, key: str, value: str
                                     F.lit(0).alias("_is_cat")))
             .withColumn("_b", F.floor(F.col("_v") / F.lit(float(bucket_width))))
             .withColumn("_e", F.when(F.col("_is_cat") == 1, entry)))
+    if checkpoint:
+        # distinct catalogue means + distinct probe values: small next to the
+        # input, read twice below -> one reliable checkpoint instead of two scans
+        both = cut_lineage(both)
 
     # catalogue entry sorts before a probe of equal value -> "last at or before" is <=
     w = Window.partitionBy(key, "_b").orderBy(F.col("_v"), F.col("_is_cat").desc())
-    in_bucket = (both
-                 .withColumn("_pred", F.last("_e", ignorenulls=True).over(
-                     w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-                 .withColumn("_succ", F.first("_e", ignorenulls=True).over(
-                     w.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
-                 .filter(F.col("_is_cat") == 0))
+    whole = Window.partitionBy(key, "_b")
+    windowed = (both
+                .withColumn("_pred", F.last("_e", ignorenulls=True).over(
+                    w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+                .withColumn("_succ", F.first("_e", ignorenulls=True).over(
+                    w.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+                # bucket extremes from the same partitioning: no second pass over the inputs
+                .withColumn("_hi", F.max("_e").over(whole))
+                .withColumn("_lo", F.min("_e").over(whole)))
+    in_bucket = windowed.filter(F.col("_is_cat") == 0)
 
-    # one row per (key, bucket): extremes of catalogue entries, carried to neighbours
-    summary = (both.groupBy(key, "_b")
-               .agg(F.max("_e").alias("_hi"), F.min("_e").alias("_lo")))
+    # one row per (key, bucket); neighbours carried across buckets with a window
+    summary = windowed.groupBy(key, "_b").agg(F.first("_hi").alias("_hi"), F.first("_lo").alias("_lo"))
     wb = Window.partitionBy(key).orderBy("_b")
     carried = (summary
                .withColumn("_prev_hi", F.last("_hi", ignorenulls=True).over(
