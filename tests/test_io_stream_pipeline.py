@@ -70,3 +70,25 @@ def test_entry_contract(spark):
     df = E.entry(spark)
     assert df.count() == 1
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+def test_resume_dry_run_profile_and_audit(spark, tmp_out):
+    from salesq.operators import profile as P
+    from salesq.plans import batch_run as PL
+    from salesq.sources.fixture import raw_sales
+    raw = raw_sales(spark, SF001)
+    first = PL.clean_stage(spark, raw, tmp_out)
+    resumed = PL.clean_stage(spark, raw, tmp_out, skip_cleaning=True)          # S2
+    assert resumed.paths["clean"] == first.paths["clean"] and "quarantine" not in resumed.paths
+    star = PL.star_stage(spark, first.paths["clean"], tmp_out)
+    loaded = PL.load_stage(spark, star, tmp_out, load_ts="2024-01-01 00:00:00")
+    audit = spark.read.parquet(os.path.join(tmp_out, "audit"))
+    assert audit.filter(F.col("event") == "TABLE_LOADED").count() == 6         # S11
+    summary = PL.document_stage(spark, loaded, os.path.join(tmp_out, "dry"), dry_run=True)   # L10
+    assert not os.path.exists(os.path.join(tmp_out, "dry", "documents"))
+    tot = summary.filter(F.col("table_name") == "__total__").first()
+    assert tot["rows_read"] == tot["rows_written"]
+    paths = IO.write_profile({"missing": P.profile_missing(raw)}, os.path.join(tmp_out, "profile"))   # S10
+    assert spark.read.option("header", True).csv(paths["missing"]).count() == 11
+    quarantine = spark.read.parquet(first.paths["quarantine"])                  # S6
+    assert quarantine.count() == 33 + 298
