@@ -176,6 +176,33 @@ def split_valid(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] |
     return valid, rejects
 
 
+def check_rows(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None) -> DataFrame:
+    """L6 in one pass: every input row with its conformed values, the original
+    values, the reasons and ``_ok`` — written once (partitioned by ``_ok``)
+    and split by partition pruning instead of evaluating the checks twice."""
+    valid, rejects = split_valid(df, spec, parents)
+    names = valid.columns
+    v = valid.select(*names, *[F.lit(None).cast(t).alias(f"_orig_{c}") for c, t in df.dtypes],
+                     F.lit(None).cast("array<string>").alias("reasons"), F.lit(True).alias("_ok"))
+    r = rejects.select(*[F.lit(None).cast(dict(valid.dtypes)[c]).alias(c) for c in names],
+                       *[F.col(c).alias(f"_orig_{c}") for c in df.columns], "reasons", F.lit(False).alias("_ok"))
+    return v.unionByName(r)
+
+
+def _ok() -> Column:
+    # a partition column read back from paths is text ('true'/'false')
+    return F.lower(F.col("_ok").cast("string")) == F.lit("true")
+
+
+def valid_part(checked: DataFrame, spec: TableSpec) -> DataFrame:
+    return checked.filter(_ok()).select(*[f.name for f in spec.schema.fields if f.name in checked.columns])
+
+
+def reject_part(checked: DataFrame) -> DataFrame:
+    orig = [c for c in checked.columns if c.startswith("_orig_")]
+    return checked.filter(~_ok()).select(*[F.col(c).alias(c[len("_orig_"):]) for c in orig], "reasons")
+
+
 def non_integral_count(df: DataFrame, col: str = "quantity") -> DataFrame:
     return df.agg(count_if(F.col(col).isNotNull() & (F.col(col) != F.rint(col))).alias("non_integral"))
 
@@ -214,6 +241,11 @@ def migration_summary(read: DataFrame, written: DataFrame) -> DataFrame:
 
 def audit_event(spark, event: str, message: str, extra: str | None = None, ts=None) -> DataFrame:
     """One structured audit row (append it with ``write_table(mode='append')``)."""
-    return spark.createDataFrame(
-        [(ts or _dt.datetime.now(), event, message, extra)],
-        "ts timestamp_ntz, event string, message string, extra string")
+    return audit_events(spark, [(event, message, extra)], ts)
+
+
+def audit_events(spark, events: list[tuple], ts=None) -> DataFrame:
+    """Several audit rows (event, message[, extra]) in one small frame."""
+    now = ts or _dt.datetime.now()
+    rows = [(now, e[0], e[1], e[2] if len(e) > 2 else None) for e in events]
+    return spark.createDataFrame(rows, "ts timestamp_ntz, event string, message string, extra string")

@@ -35,11 +35,7 @@ def _write_audit(spark, out_dir, events: list[tuple[str, str]]):
     """Append the stage's audit events in one write."""
     if not events:
         return
-    df = None
-    for event, message in events:
-        e = L.audit_event(spark, event, message)
-        df = e if df is None else df.unionByName(e)
-    IO.write_table(df.coalesce(1), os.path.join(out_dir, "audit"), mode="append")
+    IO.write_table(L.audit_events(spark, events).coalesce(1), os.path.join(out_dir, "audit"), mode="append")
 
 
 def clean_stage(spark: SparkSession, raw: DataFrame, out_dir: str, skip_cleaning: bool = False,
@@ -93,8 +89,10 @@ def load_stage(spark: SparkSession, star: dict[str, DataFrame], out_dir: str, lo
         src = star[name]
         if name == "transactions":
             src = L.fill_defaults(src)
-        valid, rejects = L.split_valid(src, TABLES[name], parents=loaded)
-        IO.write_table(rejects, os.path.join(out_dir, "rejects", snapshot, name))
+        checked_p = os.path.join(out_dir, "checked", snapshot, name)
+        IO.write_table(L.check_rows(src, TABLES[name], parents=loaded), checked_p, partition_by=["_ok"])
+        checked = spark.read.parquet(checked_p)
+        valid = L.valid_part(checked, TABLES[name])
         target = prev.get(name) if prev else None
         if target is None:
             target = L.empty_table(spark, name) if name != "transactions" else None
