@@ -77,7 +77,9 @@ def write_star(tables: dict[str, DataFrame], directory: str, fmt: str = "parquet
     for name, df in tables.items():
         p = os.path.join(directory, name)
         if name == "transactions" and fmt == "parquet" and "transaction_date" in df.columns:
-            df = df.withColumn("year_month", F.date_format("transaction_date", "yyyy-MM"))
+            # REBALANCE by the partition column: few files per month, hot months split by AQE
+            df = (df.withColumn("year_month", F.date_format("transaction_date", "yyyy-MM"))
+                  .hint("rebalance", "year_month"))
             write_table(df, p, partition_by=["year_month"])
         else:
             write_table(df, p, fmt=fmt)
