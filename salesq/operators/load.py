@@ -133,24 +133,18 @@ def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
                        for c in df.columns])
 
 
-def split_valid(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None):
-    """Conform rows to the table contract; return (valid, rejects).
-
-    Reasons: NOT NULL, text longer than the byte limit, value not castable or
-    out of range for the declared type, missing parent key. Quantities are
-    rounded half-even before the INT cast (non-integral ones are counted by
-    ``non_integral_count``)."""
+def _with_reasons(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None):
+    """Add ``reasons`` (array of violated rules) and return (frame, conformed exprs)."""
     parents = parents or {}
     reasons = []
     conv = {}
+    types = dict(df.dtypes)
     for f in spec.schema.fields:
         if f.name not in df.columns:
             continue
         c = F.col(f.name)
-        if isinstance(f.dataType, T.IntegerType) and dict(df.dtypes)[f.name] in ("double", "float"):
+        if isinstance(f.dataType, T.IntegerType) and types[f.name] in ("double", "float"):
             conv[f.name] = F.expr(f"try_cast(rint(`{f.name}`) AS int)")
-        elif isinstance(f.dataType, T.DecimalType):
-            conv[f.name] = F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")
         else:
             conv[f.name] = F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})")
         reasons.append(F.when(c.isNotNull() & conv[f.name].isNull(), F.lit(f"bad_type:{f.name}")))
@@ -169,6 +163,17 @@ def split_valid(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] |
             reasons.append(F.when(F.col(col).isNotNull() & F.col(f"_fk_{col}").isNull(),
                                   F.lit(f"missing_parent:{col}")))
     j = j.withColumn("reasons", F.array_compact(F.array(*reasons)))
+    return j, conv
+
+
+def split_valid(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None):
+    """Conform rows to the table contract; return (valid, rejects).
+
+    Reasons: NOT NULL, text longer than the byte limit, value not castable or
+    out of range for the declared type, missing parent key (left join to the
+    parent's distinct keys). Quantities are rounded half-even before the INT
+    cast (non-integral ones are counted by ``non_integral_count``)."""
+    j, conv = _with_reasons(df, spec, parents)
     names = [f.name for f in spec.schema.fields if f.name in df.columns]
     valid = (j.filter(F.size("reasons") == 0)
              .select(*[conv[n].alias(n) if n in conv else F.col(n) for n in names]))
@@ -177,16 +182,18 @@ def split_valid(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] |
 
 
 def check_rows(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None) -> DataFrame:
-    """L6 in one pass: every input row with its conformed values, the original
-    values, the reasons and ``_ok`` — written once (partitioned by ``_ok``)
-    and split by partition pruning instead of evaluating the checks twice."""
-    valid, rejects = split_valid(df, spec, parents)
-    names = valid.columns
-    v = valid.select(*names, *[F.lit(None).cast(t).alias(f"_orig_{c}") for c, t in df.dtypes],
-                     F.lit(None).cast("array<string>").alias("reasons"), F.lit(True).alias("_ok"))
-    r = rejects.select(*[F.lit(None).cast(dict(valid.dtypes)[c]).alias(c) for c in names],
-                       *[F.col(c).alias(f"_orig_{c}") for c in df.columns], "reasons", F.lit(False).alias("_ok"))
-    return v.unionByName(r)
+    """L6 in one pass: each row once, with the conformed values (valid rows),
+    the original values (rejected rows), the reasons and ``_ok``. Written
+    partitioned by ``_ok``, it is split by partition pruning instead of
+    evaluating the checks twice."""
+    j, conv = _with_reasons(df, spec, parents)
+    ok = F.size("reasons") == 0
+    names = [f.name for f in spec.schema.fields if f.name in df.columns]
+    return j.select(
+        *[F.when(ok, conv[n] if n in conv else F.col(n)).alias(n) for n in names],
+        *[F.when(~ok, F.col(c)).alias(f"_orig_{c}") for c in df.columns],
+        F.when(~ok, F.col("reasons")).alias("reasons"),
+        ok.alias("_ok"))
 
 
 def _ok() -> Column:
