@@ -317,7 +317,14 @@ def validation_report(sections: dict[str, DataFrame]) -> DataFrame:
     out = None
     for section, df in sections.items():
         cols = df.columns
-        stack = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
+        types = dict(df.dtypes)
+
+        def text(c):
+            # doubles through a fixed-scale decimal: no engine-specific float printing
+            if types[c] in ("double", "float"):
+                return f"CAST(CAST(`{c}` AS DECIMAL(38,6)) AS STRING)"
+            return f"CAST(`{c}` AS STRING)"
+        stack = ", ".join(f"'{c}', {text(c)}" for c in cols)
         part = df.selectExpr(f"stack({len(cols)}, {stack}) as (metric, value)").select(
             F.lit(section).alias("section"), "metric", "value")
         out = part if out is None else out.unionByName(part)

@@ -304,7 +304,7 @@ ds_status AS (
                CAST(coalesce(sum(issues) FILTER (WHERE check_id IN (11, 12)), 0) AS BIGINT) AS rv
         FROM ds_checks) k)"""
 
-ORACLE["validation_status"] = _w(DAMAGED, _DS_COUNTS, _STATUS, body="""
+_STATUS_FINAL = """
 SELECT record_count_match, business_match, dates_match, critical_issues, missing_count, mismatch_count,
        CASE WHEN critical_issues = 0 AND missing_count = 0 AND mismatch_count = 0 THEN 'PASSED - EXCELLENT'
             WHEN critical_issues = 0 AND missing_count = 0 AND mismatch_count > 0 THEN 'PASSED - minor differences'
@@ -314,7 +314,42 @@ SELECT record_count_match, business_match, dates_match, critical_issues, missing
             WHEN critical_issues = 0 AND missing_count = 0 AND non_date_mismatches = 0 THEN 'PASSED - minor differences'
             ELSE 'FAILED' END AS status_strict,
        relational_total, document_total, success_rate_pct, fk_issues, rule_violations
-FROM ds_status""")
+FROM ds_status"""
+ORACLE["validation_status"] = _w(DAMAGED, _DS_COUNTS, _STATUS, body=_STATUS_FINAL)
+
+
+def _stack(section: str, cte: str, cols: list[str], doubles=()) -> str:
+    def text(c):
+        if c in doubles:
+            return f"CAST(CAST({c} AS DECIMAL(38,6)) AS VARCHAR)"
+        return f"CAST({c} AS VARCHAR)"
+    return "\nUNION ALL ".join(f"SELECT '{section}' AS section, '{c}' AS metric, {text(c)} AS value FROM {cte}"
+                               for c in cols)
+
+
+_REPORT_PARTS = [
+    "SELECT 'checks' AS section, check_name AS metric, CAST(issues AS VARCHAR) AS value FROM ds_checks",
+    "SELECT 'counts', table_name, concat_ws('/', CAST(relational_count AS VARCHAR), "
+    "CAST(document_count AS VARCHAR)) FROM ds_cmp_counts",
+    _stack("summary", "ds_summary", ["checks", "total_issues", "failed_checks", "passed"]),
+    _stack("metrics", "ds_cmp_metrics", ["relational_revenue", "relational_quantity", "document_revenue",
+                                          "document_quantity", "revenue_match", "quantity_match"],
+           doubles=("relational_quantity", "document_quantity")),
+    _stack("dates", "ds_cmp_dates", ["relational_min", "relational_max", "document_min", "document_max",
+                                     "min_match", "max_match"]),
+    _stack("rows", "ds_spot", ["checked", "missing_count", "mismatch_count", "quantity_mismatches",
+                               "total_mismatches", "date_mismatches", "non_date_mismatches"]),
+    _stack("status", "ds_status_final", ["record_count_match", "business_match", "dates_match", "critical_issues",
+                                         "missing_count", "mismatch_count", "status_compat", "status_strict",
+                                         "relational_total", "document_total", "success_rate_pct", "fk_issues",
+                                         "rule_violations"], doubles=("success_rate_pct",)),
+]
+ORACLE["validation_report"] = _w(
+    DAMAGED, _DS_COUNTS, _STATUS,
+    "ds_summary AS (SELECT count(*) AS checks, CAST(sum(issues) AS BIGINT) AS total_issues, "
+    "CAST(count_if(issues > 0) AS BIGINT) AS failed_checks, sum(issues) = 0 AS passed FROM ds_checks)",
+    "ds_status_final AS (" + _STATUS_FINAL + ")",
+    body="\nUNION ALL ".join(_REPORT_PARTS))
 
 # ------------------------------------------------------------------ profiling
 from salesq.plans.oracle import raw as _raw  # noqa: E402
