@@ -271,7 +271,12 @@ FROM (
          d._id IS NOT NULL AND coalesce(abs(r.total_price - d.total_price) > CAST(0.01 AS DOUBLE),
                                         (r.total_price IS NULL) <> (d.total_price IS NULL)) AS td,
          d._id IS NOT NULL AND r.transaction_date IS DISTINCT FROM CAST(d.transaction_date AS DATE) AS dd
-  FROM ({rel}) r LEFT JOIN ds_docs d ON r.transaction_id = d._id
+  FROM ({rel}) r LEFT JOIN (
+    SELECT _id, quantity, total_price, CAST(transaction_date AS DATE) AS transaction_date FROM ds_docs
+    WHERE _id IS NOT NULL
+    QUALIFY row_number() OVER (PARTITION BY _id ORDER BY quantity DESC NULLS LAST, total_price DESC NULLS LAST,
+                                                     CAST(transaction_date AS DATE) DESC NULLS LAST) = 1
+  ) d ON r.transaction_id = d._id
 )"""
 
 
