@@ -256,3 +256,36 @@ def audit_events(spark, events: list[tuple], ts=None) -> DataFrame:
     now = ts or _dt.datetime.now()
     rows = [(now, e[0], e[1], e[2] if len(e) > 2 else None) for e in events]
     return spark.createDataFrame(rows, "ts timestamp_ntz, event string, message string, extra string")
+
+
+def remap_keys(df: DataFrame, star: dict[str, DataFrame], loaded: dict[str, DataFrame]) -> DataFrame:
+    """Translate surrogate keys of the normalised star into the loaded tables'
+    keys through the natural keys (names; item name + category). Ids can
+    drift between the two (one item id per price in the star, one per
+    (name, category) once loaded), so they are never copied. Unknown keys
+    stay NULL and are rejected by the contract. Every lookup side is a
+    dimension (AQE broadcasts it after measuring it)."""
+    out = df
+    cols = df.columns
+    if "category_id" in cols and "categories" in loaded:
+        m = (star["categories"].select("category_id", "category_name")
+             .join(loaded["categories"].select(F.col("category_id").alias("_new"), "category_name"), "category_name")
+             .select("category_id", "_new"))
+        out = out.join(m, "category_id", "left").withColumn("category_id", F.col("_new")).drop("_new")
+    if "item_id" in cols and "items" in loaded:
+        s_items = star["items"].select("item_id", "item_name", F.col("category_id").alias("_scat"))
+        s_cats = star["categories"].select(F.col("category_id").alias("_scat"), "category_name")
+        l_cats = loaded["categories"].select(F.col("category_id").alias("_lcat"), "category_name")
+        l_items = loaded["items"].select(F.col("item_id").alias("_new"), "item_name",
+                                         F.col("category_id").alias("_lcat"))
+        m = (s_items.join(s_cats, "_scat", "left").join(l_cats, "category_name", "left")
+             .join(l_items, ["item_name", "_lcat"], "left").select("item_id", "_new"))
+        out = out.join(m, "item_id", "left").withColumn("item_id", F.col("_new")).drop("_new")
+    for table, id_col, name_col in (("payment_methods", "payment_method_id", "payment_method_name"),
+                                    ("locations", "location_id", "location_name")):
+        if id_col in cols and table in loaded:
+            m = (star[table].select(id_col, name_col)
+                 .join(loaded[table].select(F.col(id_col).alias("_new"), name_col), name_col)
+                 .select(id_col, "_new"))
+            out = out.join(m, id_col, "left").withColumn(id_col, F.col("_new")).drop("_new")
+    return out.select(*cols)

@@ -86,7 +86,7 @@ def load_stage(spark: SparkSession, star: dict[str, DataFrame], out_dir: str, lo
     events = [("MIGRATION_START", f"snapshot {snapshot}")]
     loaded: dict[str, DataFrame] = {}
     for name in LOAD_ORDER:
-        src = star[name]
+        src = L.remap_keys(star[name], star, loaded)     # ids by natural key, never copied
         if name == "transactions":
             src = L.fill_defaults(src)
         checked_p = os.path.join(out_dir, "checked", snapshot, name)
