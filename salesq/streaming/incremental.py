@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from salesq.operators.load import upsert_transactions
+from salesq.operators.load import upsert_partitioned, upsert_transactions
 from salesq.session import list_dirs, path_exists
 
 
@@ -31,12 +31,21 @@ def upsert_batch(batch_df: DataFrame, batch_id: int, target_dir: str, empty_targ
     out.write.mode("overwrite").parquet(os.path.join(target_dir, f"batch={batch_id}"))
 
 
-def load_stream(stream_df: DataFrame, target_dir: str, checkpoint: str, empty_target: DataFrame,
-                load_ts=None, trigger_once: bool = True) -> StreamingQuery:
-    """Start the streaming upsert; ``latest(spark, target_dir)`` reads the result."""
-    w = (stream_df.writeStream
-         .foreachBatch(lambda df, bid: upsert_batch(df, bid, target_dir, empty_target, load_ts))
-         .option("checkpointLocation", checkpoint))
+def load_stream(stream_df: DataFrame, target_dir: str, checkpoint: str, empty_target: DataFrame | None = None,
+                load_ts=None, trigger_once: bool = True, mode: str = "snapshot") -> StreamingQuery:
+    """Start the streaming upsert.
+
+    ``mode='snapshot'``: each batch writes ``batch=<id>`` (read with ``latest``).
+    ``mode='partitioned'``: each batch rewrites only the months it touches in
+    one month-partitioned table at ``target_dir`` (``upsert_partitioned``);
+    a replayed batch changes nothing, since unchanged rows keep UpdatedAt."""
+    if mode == "partitioned":
+        def fn(df, bid):
+            upsert_partitioned(df.sparkSession, target_dir, df, load_ts)
+    else:
+        def fn(df, bid):
+            upsert_batch(df, bid, target_dir, empty_target, load_ts)
+    w = stream_df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w
     return w.start()
 

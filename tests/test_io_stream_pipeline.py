@@ -48,6 +48,13 @@ def test_streaming_upsert_matches_batch(spark, tmp_out):
     batch = upsert_transactions(empty, fact, "2024-01-01 00:00:00")
     assert got.count() == batch.count()
     assert got.exceptAll(batch).count() == 0
+    # month-partitioned form: same rows in one table
+    stream2 = spark.readStream.schema(fact.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
+    q2 = load_stream(stream2, os.path.join(tmp_out, "target_pm"), os.path.join(tmp_out, "ckpt_pm"),
+                     load_ts="2024-01-01 00:00:00", mode="partitioned")
+    q2.awaitTermination(300)
+    pm = spark.read.parquet(os.path.join(tmp_out, "target_pm")).drop("year_month")
+    assert pm.exceptAll(batch.filter(F.col("transaction_date").isNotNull()).select(*pm.columns)).count() == 0
 
 
 def test_pipeline_end_to_end_and_rerun(spark, tmp_out):

@@ -61,3 +61,33 @@ def test_split_valid_reasons(spark):
     assert set(r["T" * 40]) == {"bad_type:total_price", "null:customer_id", "too_long:transaction_id"}
     assert r["T2"] == ["missing_parent:item_id"]
     assert valid.count() == 0
+
+
+def test_partitioned_upsert_touches_only_changed_months(spark, tmp_out):
+    import os
+    schema = ("transaction_id string, customer_id string, item_id int, payment_method_id int, location_id int, "
+              "quantity double, total_price double, transaction_date date, discount_applied boolean")
+    b1 = spark.createDataFrame([("A", "C", 1, 1, 1, 1.0, 5.0, dt.date(2020, 1, 5), True),
+                                ("B", "C", 1, 1, 1, 2.0, 10.0, dt.date(2020, 2, 5), False),
+                                ("D", "C", 1, 1, 1, 3.0, 15.0, dt.date(2020, 3, 5), False)], schema)
+    target = os.path.join(tmp_out, "fact")
+    assert L.upsert_partitioned(spark, target, b1, "2024-01-01 00:00:00") == ["2020-01", "2020-02", "2020-03"]
+    march = os.path.join(target, "year_month=2020-03")
+    before = sorted(os.listdir(march))
+    # B changes quantity; D moves from March to January; E is new in April
+    b2 = spark.createDataFrame([("B", "C", 1, 1, 1, 9.0, 10.0, dt.date(2020, 2, 5), False),
+                                ("D", "C", 1, 1, 1, 3.0, 15.0, dt.date(2020, 1, 9), False),
+                                ("E", "C", 1, 1, 1, 1.0, 5.0, dt.date(2020, 4, 1), True)], schema)
+    touched = L.upsert_partitioned(spark, target, b2, "2024-01-02 00:00:00")
+    assert touched == ["2020-01", "2020-02", "2020-03", "2020-04"]
+    assert not os.path.exists(march) or sorted(os.listdir(march)) != before
+    got = {r["transaction_id"]: r for r in spark.read.parquet(target).collect()}
+    assert set(got) == {"A", "B", "D", "E"}
+    assert got["B"]["quantity"] == 9.0 and got["B"]["updated_at"] == dt.datetime(2024, 1, 2)
+    assert got["A"]["updated_at"] == dt.datetime(2024, 1, 1)
+    assert got["D"]["year_month"] == "2020-01" and got["D"]["created_at"] == dt.datetime(2024, 1, 1)
+    # an untouched month keeps its files
+    b3 = spark.createDataFrame([("E", "C", 1, 1, 1, 2.0, 5.0, dt.date(2020, 4, 1), True)], schema)
+    jan = sorted(os.listdir(os.path.join(target, "year_month=2020-01")))
+    assert L.upsert_partitioned(spark, target, b3, "2024-01-03 00:00:00") == ["2020-04"]
+    assert sorted(os.listdir(os.path.join(target, "year_month=2020-01"))) == jan
