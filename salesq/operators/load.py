@@ -42,16 +42,27 @@ def _next_ids(new_rows: DataFrame, target: DataFrame, id_col: str, order_cols: l
 
 
 def upsert_dimension(target: DataFrame, names: DataFrame, id_col: str, name_col: str,
-                     load_ts=None) -> DataFrame:
+                     load_ts=None, collation: str | None = None) -> DataFrame:
     """L1: upsert a lookup dimension by its unique name. Existing names keep
     their id and CreatedAt and get UpdatedAt = load time; new names get the
-    next ids in name order."""
+    next ids in name order. ``collation`` (e.g. ``UNICODE_CI_AI_RTRIM``) makes
+    the name match case/accent/trailing-space insensitive, like a
+    case-insensitive unique key; by default names compare binary."""
     ts = _ts(load_ts)
-    src = names.select(F.col(name_col)).filter(F.col(name_col).isNotNull()).distinct()
-    existing = (target.join(src.withColumn("_touch", F.lit(True)), name_col, "left")
+
+    def k(c):
+        return F.collate(F.col(c), collation) if collation else F.col(c)
+    src = names.select(F.col(name_col)).filter(F.col(name_col).isNotNull())
+    if collation:   # one source spelling per collated key (the smallest)
+        src = src.groupBy(k(name_col).alias("_key")).agg(F.min(name_col).alias(name_col)).drop("_key")
+    else:
+        src = src.distinct()
+    hits = src.select(k(name_col).alias("_key")).distinct().withColumn("_touch", F.lit(True))
+    existing = (target.withColumn("_key", k(name_col)).join(hits, "_key", "left")
                 .withColumn("updated_at", F.when(F.col("_touch"), ts).otherwise(F.col("updated_at")))
-                .drop("_touch"))
-    new = src.join(target.select(name_col), name_col, "left_anti")
+                .drop("_touch", "_key"))
+    new = (src.withColumn("_key", k(name_col))
+           .join(target.select(k(name_col).alias("_key")), "_key", "left_anti").drop("_key"))
     new = (_next_ids(new, target, id_col, [name_col])
            .withColumn("created_at", ts).withColumn("updated_at", ts))
     return existing.select(id_col, name_col, "created_at", "updated_at").unionByName(

@@ -91,3 +91,16 @@ def test_partitioned_upsert_touches_only_changed_months(spark, tmp_out):
     jan = sorted(os.listdir(os.path.join(target, "year_month=2020-01")))
     assert L.upsert_partitioned(spark, target, b3, "2024-01-03 00:00:00") == ["2020-04"]
     assert sorted(os.listdir(os.path.join(target, "year_month=2020-01"))) == jan
+
+
+def test_dimension_upsert_with_collation(spark):
+    t1 = L.upsert_dimension(L.empty_table(spark, "categories"),
+                            spark.createDataFrame([("cafe",)], "category_name string"),
+                            "category_id", "category_name", "2024-01-01 00:00:00")
+    src = spark.createDataFrame([("Café ",), ("Tea",)], "category_name string")
+    binary = L.upsert_dimension(t1, src, "category_id", "category_name", "2024-01-02 00:00:00")
+    assert binary.count() == 3
+    ci = L.upsert_dimension(t1, src, "category_id", "category_name", "2024-01-02 00:00:00",
+                            collation="UNICODE_CI_AI_RTRIM")
+    got = {r["category_name"]: (r["category_id"], r["updated_at"]) for r in ci.collect()}
+    assert got == {"cafe": (1, dt.datetime(2024, 1, 2)), "Tea": (2, dt.datetime(2024, 1, 2))}
