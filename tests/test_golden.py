@@ -43,3 +43,27 @@ def test_status_compat_vs_strict(spark, Q):
     s = Q["validation_status"](spark, SF001).first()
     # a transaction is missing in the documents -> both fail
     assert s["status_compat"] == "FAILED" and s["status_strict"] == "FAILED"
+
+
+def test_invariants_sf0001(spark, Q):
+    from pyspark.sql import functions as F
+
+    from salesq.operators import clean as C
+    from salesq.operators import documents as D
+    from salesq.sources.fixture import raw_sales
+    raw = raw_sales(spark, SF001)
+    r = C.clean(raw, include_unmatched=True)
+    # clean + quarantine (missing key, unrecoverable, unmatched item) = raw
+    assert r.clean.count() + r.quarantine.count() == raw.count()
+    # embedded documents + fact rows lost to the inner joins = fact rows
+    from salesq.operators import star as N
+    star = N.normalize(r.clean)
+    emb = D.embedded_documents(star).count()
+    items = star["items"].select("item_id")
+    lost = star["transactions"].join(items, "item_id", "left_anti").count()
+    assert emb + lost == star["transactions"].count()
+    # flat view keeps every fact row (left joins)
+    assert N.denormalize_flat(star).count() == star["transactions"].count()
+    # re-running the transaction upsert with the same input changes nothing
+    up1 = Q["upsert_transactions"](spark, SF001)
+    assert up1.filter(F.col("transaction_id").isNull()).count() == 0
