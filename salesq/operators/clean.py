@@ -57,7 +57,10 @@ def drop_unrecoverable(df: DataFrame, a: str = "quantity", b: str = "total_spent
 
 def quarantine(flagged: DataFrame, include_unmatched: bool = False) -> DataFrame:
     """The dropped rows with their original values and a reason; the
-    has_* flags are set for the unrecoverable rows only."""
+    has_* flags are set for the unrecoverable rows only. (Steps never change
+    a dropped row's values; the two columns whose type changes keep their
+    raw text in ``_raw_*``. Unmatched-item rows, optional, show the values
+    after recovery.)"""
     reasons = [MISSING_KEY, UNRECOVERABLE] + ([UNMATCHED_ITEM] if include_unmatched else [])
     raw = [F.col(f"_raw_{c}").alias(c) if f"_raw_{c}" in flagged.columns else F.col(c) for c in RAW_COLUMNS]
     unrec = F.col("_drop") == F.lit(UNRECOVERABLE)
@@ -86,15 +89,15 @@ def standardize_flag(df: DataFrame, col: str = "discount_applied", default: bool
 def recover_ratio(df: DataFrame, out: str, num: str, den: str, digits: int) -> DataFrame:
     """``out = round(num / den, digits)`` where out is missing, both inputs
     are present and ``den > 0``."""
-    mask = F.col(out).isNull() & F.col(num).isNotNull() & F.col(den).isNotNull() & (F.col(den) > 0)
-    return (df.withColumn("_f_recovered_" + out, _alive() & mask)
+    mask = _alive() & F.col(out).isNull() & F.col(num).isNotNull() & F.col(den).isNotNull() & (F.col(den) > 0)
+    return (df.withColumn("_f_recovered_" + out, mask)
               .withColumn(out, F.when(mask, np_round(safe_div(num, den), digits)).otherwise(F.col(out))))
 
 
 def recover_product(df: DataFrame, out: str, a: str, b: str, digits: int = 2) -> DataFrame:
     """``out = round(a * b, digits)`` where out is missing and both inputs present."""
-    mask = F.col(out).isNull() & F.col(a).isNotNull() & F.col(b).isNotNull()
-    return (df.withColumn("_f_recovered_" + out, _alive() & mask)
+    mask = _alive() & F.col(out).isNull() & F.col(a).isNotNull() & F.col(b).isNotNull()
+    return (df.withColumn("_f_recovered_" + out, mask)
               .withColumn(out, F.when(mask, np_round(F.col(a) * F.col(b), digits)).otherwise(F.col(out))))
 
 
@@ -161,9 +164,9 @@ def enforce_product(df: DataFrame, out: str = "total_spent", a: str = "price_per
     """Rewrite ``out`` to round(a*b, 2) where it is missing or differs by more than
     ``tolerance`` (strict)."""
     calc = np_round(F.col(a) * F.col(b), 2)
-    mask = F.col(a).isNotNull() & F.col(b).isNotNull() & (
+    mask = _alive() & F.col(a).isNotNull() & F.col(b).isNotNull() & (
         F.col(out).isNull() | (F.abs(F.col(out) - calc) > F.lit(float(tolerance))))
-    return (df.withColumn("_f_rewritten_" + out, _alive() & mask)
+    return (df.withColumn("_f_rewritten_" + out, mask)
               .withColumn(out, F.when(mask, calc).otherwise(F.col(out))))
 
 
@@ -198,7 +201,6 @@ class CleanResult:
 
 def cleaning_report(flagged: DataFrame) -> DataFrame:
     """C14: one-row report from one aggregate over the flagged frame."""
-    raw_nulls = sum((F.col(f"_raw_{c}").isNull().cast("int") for c in RAW_COLUMNS), F.lit(0))
     after_nulls = sum((F.col(c).isNull().cast("int") for c in RAW_COLUMNS), F.lit(0))
     alive = _alive()
     r = flagged.agg(
@@ -214,17 +216,23 @@ def cleaning_report(flagged: DataFrame) -> DataFrame:
         count_if(F.col("_f_inferred_item")).alias("items_recovered"),
         count_if(F.col("_f_imputed_discount_applied")).alias("discounts_imputed"),
         count_if(F.col("_f_rewritten_total_spent")).alias("totals_rewritten"),
-        F.coalesce(F.sum(raw_nulls), F.lit(0)).cast("bigint").alias("nulls_before"),
+        F.coalesce(F.sum("_nulls_before"), F.lit(0)).cast("bigint").alias("nulls_before"),
         F.coalesce(F.sum(F.when(alive, after_nulls).otherwise(0)), F.lit(0)).cast("bigint").alias("nulls_after"),
     )
     return r.withColumn("retention_pct",
                         np_round(safe_div(F.col("final_rows") * F.lit(100.0), F.col("initial_rows")), 1))
 
 
+TYPE_CHANGING = ("discount_applied", "transaction_date")
+
+
 def flag_raw(raw: DataFrame) -> DataFrame:
-    """Keep a copy of the raw values (for the quarantine and null counts)."""
-    return raw.select(*[F.col(c) for c in RAW_COLUMNS],
-                      *[F.col(c).alias(f"_raw_{c}") for c in RAW_COLUMNS])
+    """Raw columns plus what the report and quarantine need from before the
+    steps: the null count of the raw row, and the raw text of the columns
+    whose type a step changes."""
+    nulls = sum((F.col(c).isNull().cast("int") for c in RAW_COLUMNS), F.lit(0))
+    return raw.select(*[F.col(c) for c in RAW_COLUMNS], nulls.alias("_nulls_before"),
+                      *[F.col(c).alias(f"_raw_{c}") for c in TYPE_CHANGING])
 
 
 def clean(raw: DataFrame, tolerance: float = 0.15, consistency_tolerance: float = 0.01,
