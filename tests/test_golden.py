@@ -67,3 +67,20 @@ def test_invariants_sf0001(spark, Q):
     # re-running the transaction upsert with the same input changes nothing
     up1 = Q["upsert_transactions"](spark, SF001)
     assert up1.filter(F.col("transaction_id").isNull()).count() == 0
+
+
+def test_profile_numeric_exact_and_approx(spark):
+    from salesq.operators import profile as P
+    from salesq.sources.fixture import raw_sales
+    raw = raw_sales(spark, SF001)
+    cols = ["price_per_unit", "quantity", "total_spent"]
+    exact = {r["column_name"]: r for r in P.profile_numeric(raw, cols).collect()}
+    approx = {r["column_name"]: r for r in P.profile_numeric(raw, cols, approx=True).collect()}
+    pdf = raw.select(*cols).toPandas()
+    for c in cols:
+        s = pdf[c].dropna()
+        assert exact[c]["count"] == len(s)
+        for name, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+            assert abs(exact[c][name] - round(float(s.quantile(q)), 6)) < 1e-9
+            assert abs(approx[c][name] - exact[c][name]) <= (s.max() - s.min()) * 0.05
+        assert abs(exact[c]["std"] - round(float(s.std()), 6)) < 1e-6
