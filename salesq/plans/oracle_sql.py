@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from salesq.plans.oracle import cleaned, raw, with_ctes, RAW_SALES, CLEAN
+from salesq.plans.oracle import cleaned, with_ctes, RAW_SALES, CLEAN
 
 ORACLE: dict[str, str] = {}
 
