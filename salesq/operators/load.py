@@ -22,9 +22,10 @@ from salesq.schema import LOAD_ORDER, TABLES, TableSpec
 def _ts(load_ts) -> Column:
     if load_ts is None:
         return F.localtimestamp()
-    if isinstance(load_ts, str):
-        load_ts = _dt.datetime.fromisoformat(load_ts)
-    return F.lit(load_ts).cast("timestamp_ntz")
+    if isinstance(load_ts, _dt.datetime):
+        load_ts = load_ts.isoformat(sep=" ")
+    # text -> TIMESTAMP_NTZ: independent of the session and process time zones
+    return F.lit(str(load_ts)).cast("timestamp_ntz")
 
 
 def empty_table(spark, name: str) -> DataFrame:
