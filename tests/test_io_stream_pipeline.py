@@ -102,6 +102,11 @@ def test_resume_dry_run_profile_and_audit(spark, tmp_out):
     assert not os.path.exists(os.path.join(tmp_out, "dry", "documents"))
     tot = summary.filter(F.col("table_name") == "__total__").first()
     assert tot["rows_read"] == tot["rows_written"]
+    emb = {r["table_name"]: r for r in PL.document_stage(spark, loaded, os.path.join(tmp_out, "emb"),
+                                                          embedded=True).collect()}
+    assert emb["transactions_with_details"]["rows_lost"] == 0
+    assert spark.read.json(os.path.join(tmp_out, "emb", "documents", "transactions_with_details")) \
+        .select("item.item_id").count() == emb["transactions_with_details"]["rows_written"]
     paths = IO.write_profile({"missing": P.profile_missing(raw)}, os.path.join(tmp_out, "profile"))   # S10
     assert spark.read.option("header", True).csv(paths["missing"]).count() == 11
     quarantine = spark.read.parquet(first.paths["quarantine"])                  # S6
