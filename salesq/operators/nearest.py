@@ -10,7 +10,8 @@ pairing every probe with every catalogue entry:
   ``(group, value bucket)`` ordered by value, so a hot group is split into
   many value ranges and no task holds a whole group;
 * probes whose neighbour lies in another bucket take it from a per-bucket
-  summary (one row per bucket) carried across buckets with a window;
+  summary (one row per bucket) carried across buckets with windows in two
+  levels (buckets within a group of ``fanout``, then groups);
 * the closer of the two wins, ties to the smaller label; the band test
   ``abs(mean - value) <= value * tolerance`` is applied last.
 """
@@ -25,7 +26,7 @@ from salesq.session import cut_lineage
 
 def nearest_match(probes: DataFrame, catalog: DataFrame, *, key: str, value: str,
                   label: str, mean: str, tolerance: float = 0.15,
-                  bucket_width: float = 1.0, checkpoint: bool = False) -> DataFrame:
+                  bucket_width: float = 1.0, checkpoint: bool = False, fanout: int = 1024) -> DataFrame:
     """For each distinct ``(key, value)`` probe, the label of the nearest catalogue
     mean inside ``value * tolerance``. Returns ``(key, value, label)`` for matches."""
     cat = (catalog.filter(F.col(key).isNotNull() & F.col(mean).isNotNull())
@@ -59,15 +60,23 @@ def nearest_match(probes: DataFrame, catalog: DataFrame, *, key: str, value: str
                 .withColumn("_lo", F.min("_e").over(whole)))
     in_bucket = windowed.filter(F.col("_is_cat") == 0)
 
-    # one row per (key, bucket); neighbours carried across buckets with a window
-    summary = windowed.groupBy(key, "_b").agg(F.first("_hi").alias("_hi"), F.first("_lo").alias("_lo"))
-    wb = Window.partitionBy(key).orderBy("_b")
-    carried = (summary
-               .withColumn("_prev_hi", F.last("_hi", ignorenulls=True).over(
-                   wb.rowsBetween(Window.unboundedPreceding, -1)))
-               .withColumn("_next_lo", F.first("_lo", ignorenulls=True).over(
-                   wb.rowsBetween(1, Window.unboundedFollowing)))
-               .select(key, "_b", "_prev_hi", "_next_lo"))
+    # one row per (key, bucket); neighbours carried across buckets in two
+    # levels (within a group of ``fanout`` buckets, then across groups), so no
+    # window partition holds all buckets of a category
+    summary = (windowed.groupBy(key, "_b").agg(F.first("_hi").alias("_hi"), F.first("_lo").alias("_lo"))
+               .withColumn("_sb", F.floor(F.col("_b") / F.lit(int(fanout)))))
+    wl = Window.partitionBy(key, "_sb").orderBy("_b")
+    local = (summary
+             .withColumn("_lp", F.last("_hi", ignorenulls=True).over(wl.rowsBetween(Window.unboundedPreceding, -1)))
+             .withColumn("_ln", F.first("_lo", ignorenulls=True).over(wl.rowsBetween(1, Window.unboundedFollowing))))
+    ws = Window.partitionBy(key).orderBy("_sb")
+    groups = (summary.groupBy(key, "_sb").agg(F.max("_hi").alias("_ghi"), F.min("_lo").alias("_glo"))
+              .withColumn("_sp", F.last("_ghi", ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, -1)))
+              .withColumn("_sn", F.first("_glo", ignorenulls=True).over(ws.rowsBetween(1, Window.unboundedFollowing)))
+              .select(key, "_sb", "_sp", "_sn"))
+    carried = (local.join(groups, [key, "_sb"])
+               .select(key, "_b", F.coalesce("_lp", "_sp").alias("_prev_hi"),
+                       F.coalesce("_ln", "_sn").alias("_next_lo")))
 
     cand = (in_bucket.join(carried, [key, "_b"], "left")
             .withColumn("_p", F.coalesce("_pred", "_prev_hi"))

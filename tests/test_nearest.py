@@ -14,11 +14,11 @@ def _brute(probes, catalog, tol):
     return out
 
 
-def _run(spark, probes, catalog, tol=0.15, width=1.0):
+def _run(spark, probes, catalog, tol=0.15, width=1.0, fanout=1024):
     p = spark.createDataFrame(probes, "category string, price double")
     c = spark.createDataFrame(catalog, "category string, item string, mean_price double")
     m = nearest_match(p, c, key="category", value="price", label="item", mean="mean_price",
-                      tolerance=tol, bucket_width=width)
+                      tolerance=tol, bucket_width=width, fanout=fanout)
     return {(r["category"], r["price"]): r["item"] for r in m.collect()}
 
 
@@ -36,5 +36,6 @@ def test_matches_brute_force_across_buckets(spark):
     rnd = random.Random(7)
     catalog = [(rnd.choice("AB"), f"i{n:03d}", round(rnd.uniform(1, 60), 2)) for n in range(60)]
     probes = list({(rnd.choice("AB"), round(rnd.uniform(0.5, 70), 2)) for _ in range(300)})
-    for width in (0.37, 1.0, 5.0, 1000.0):
-        assert _run(spark, probes, catalog, width=width) == _brute(probes, catalog, 0.15)
+    expected = _brute(probes, catalog, 0.15)
+    for width, fanout in ((0.37, 1024), (1.0, 1024), (5.0, 1024), (1000.0, 1024), (0.37, 3), (0.1, 2)):
+        assert _run(spark, probes, catalog, width=width, fanout=fanout) == expected
