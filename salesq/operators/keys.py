@@ -15,9 +15,10 @@ def assign_ids(df: DataFrame, order_cols: list[str], id_col: str, start: int = 1
     a bound fixed by the partition count) are broadcast; no single task sees
     all rows. ``id_col`` is placed first.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # without an explicit number AQE may coalesce neighbouring ranges (order is
+    # kept), so a tiny dimension becomes one task and a large one stays spread
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols)).sortWithinPartitions(*order_cols)
     tagged = (ranged.withColumn("_pid", F.spark_partition_id())
                     .withColumn("_mid", F.monotonically_increasing_id()))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))

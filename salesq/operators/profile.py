@@ -68,11 +68,11 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
     per-partition offsets (one row per partition and column). Returns rows
     (column_name, p, value)."""
     spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     vals = df.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, v)").filter(F.col("v").isNotNull())
     vc = vals.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    ranged = (vc.repartitionByRange(n_parts, "column_name", "v").sortWithinPartitions("column_name", "v")
+    ranged = ((vc.repartitionByRange(num_partitions, "column_name", "v") if num_partitions
+               else vc.repartitionByRange("column_name", "v")).sortWithinPartitions("column_name", "v")
               .withColumn("_pid", F.spark_partition_id()))
     within = Window.partitionBy("_pid", "column_name").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local", F.coalesce(F.sum("cnt").over(within), F.lit(0)))

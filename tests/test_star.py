@@ -7,9 +7,10 @@ from salesq.operators.keys import assign_ids
 
 def test_assign_ids_dense_and_ordered(spark):
     df = spark.range(0, 1000).select(F.format_string("k%04d", (F.col("id") * 7919) % 1000).alias("k"))
-    rows = assign_ids(df, ["k"], "kid").collect()
-    ids = sorted((r["k"], r["kid"]) for r in rows)
-    assert [i for _, i in ids] == list(range(1, 1001))
+    for n in (None, 7):            # AQE-sized ranges, and a fixed 7 ranges (offsets across partitions)
+        rows = assign_ids(df, ["k"], "kid", num_partitions=n).collect()
+        ids = sorted((r["k"], r["kid"]) for r in rows)
+        assert [i for _, i in ids] == list(range(1, 1001))
 
 
 def test_customer_name_and_multi_price_items(spark):
