@@ -37,8 +37,11 @@ def _between(c, lo: int, hi: int):
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem ⋈ orders ⋈ part with only the columns the fixtures use."""
+    # hash-partition the line items by order key: the partitioning the order
+    # join needs when orders is too big to broadcast, and parallelism when a
+    # source file is a single row group
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount")
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount").repartition("l_orderkey")
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     p = read_table(spark, sf_dir, "part").select("p_partkey", "p_type")
