@@ -104,3 +104,28 @@ def test_dimension_upsert_with_collation(spark):
                             collation="UNICODE_CI_AI_RTRIM")
     got = {r["category_name"]: (r["category_id"], r["updated_at"]) for r in ci.collect()}
     assert got == {"cafe": (1, dt.datetime(2024, 1, 2)), "Tea": (2, dt.datetime(2024, 1, 2))}
+
+
+def test_check_rows_split_and_non_integral(spark, tmp_out):
+    import os
+    df = spark.createDataFrame([("T1", "C", 1, 1, 1, 2.4, 5.0, dt.date(2020, 1, 1), True),
+                                ("T2", None, 1, 1, 1, 2.0, 5.0, dt.date(2020, 1, 1), True)],
+                               "transaction_id string, customer_id string, item_id int, payment_method_id int, "
+                               "location_id int, quantity double, total_price double, transaction_date date, "
+                               "discount_applied boolean")
+    p = os.path.join(tmp_out, "checked")
+    L.check_rows(df, TABLES["transactions"]).write.partitionBy("_ok").parquet(p)
+    checked = spark.read.parquet(p)
+    valid = L.valid_part(checked, TABLES["transactions"]).collect()
+    rejects = L.reject_part(checked).collect()
+    assert [(r["transaction_id"], r["quantity"]) for r in valid] == [("T1", 2)]      # rounded to INT
+    assert [(r["transaction_id"], r["reasons"]) for r in rejects] == [("T2", ["null:customer_id"])]
+    assert L.non_integral_count(df).first()["non_integral"] == 1
+
+
+def test_null_dimension_names_reported(spark):
+    from salesq.operators import star as N
+    df = spark.createDataFrame([("A",), (None,), ("B",), (None,)], "category string")
+    assert N.null_names(df, "category").first()["null_names"] == 2
+    assert sorted(r["category_name"] for r in N.surrogate_dim(df, "category", "category_id", "category_name")
+                  .collect()) == ["A", "B"]
