@@ -52,12 +52,15 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only when unset (tests) make one under /tmp."""
+    """The session's checkpoint folder. Where none is set, a single-machine
+    session (``local[...]``, as in tests) gets one of its own; a cluster, whose
+    executors could not see it, gets an error."""
     d = checkpoint_dir(spark)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="salesq-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
     return d
 
 
