@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesq.llm import mixing, simhash, token_counts
+from salesq.llm import (html_text, language_id, mixing, perplexity, pivot_index, sentencepieces, simhash, token_counts,
+                        toxicity, url_filter)
 from salesq.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,11 +22,21 @@ def query(fn):
     return fn
 
 
+@query
+def op1_perplexity_quality(spark, sf_dir):
+    return perplexity.quality(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_simhash_near_dup(spark, sf_dir):
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_pivot_near_dup(spark, sf_dir):
+    return pivot_index.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_token_counts(spark, sf_dir):
     import public_tokenizers
@@ -38,3 +49,34 @@ def op4_token_counts(spark, sf_dir):
 def op5_mixing(spark, sf_dir):
     return mixing.mix(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), "copies")
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_sentencepiece(spark, sf_dir):
+    import public_tokenizers
+    return sentencepieces.encode(read_table(spark, sf_dir, "documents"), public_tokenizers.path(token_counts.MODEL))
+
+
+@query
+def op8_html_text(spark, sf_dir):
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_url_filter(spark, sf_dir):
+    # a page's path ends in the number of the document it was made from, whose quality label marks the page
+    pages = read_table(spark, sf_dir, "pages")
+    number = F.regexp_extract(url_filter.url_parts(F.col("url"))[1], r"/([0-9]{1,18})[^0-9]*$", 1).try_cast("long")
+    labels = read_table(spark, sf_dir, "labels").filter("quality is not null").select("doc_id", (F.col("quality") == 0).alias("reject"))
+    marks = pages.select("page_id", number.alias("doc_id")).join(labels, "doc_id").select("page_id", "reject")
+    return url_filter.judge(pages, marks)
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
