@@ -173,13 +173,15 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: f
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **how) -> DataFrame:
     """The mix itself: each document as many times as ``mix`` gives it copies;
     documents without words stay once. Columns are as given."""
+    size, key = word_count(F.col(text)), ["doc_id", "source", "size"]
+    chosen = (mix(docs, doc_id=doc_id, text=text, source=source, **how).withColumn("key", F.xxhash64(*key))
+              .groupBy("key", *key).agg(F.array_sort(F.collect_list(F.struct("dup", "copies"))).alias("copies")))
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.col(doc_id).alias("doc_id"),
-                       F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
-    repeats = Window.partitionBy("doc_id", "source", "size").orderBy("size")
-    rows = rows.withColumn("dup", F.row_number().over(repeats))
-    copies = mix(docs, doc_id=doc_id, text=text, source=source, **how).select("doc_id", "source", "dup", "size", "copies")
-    both = rows.alias("d1").join(copies.alias("m"), F.expr(
-        "d1.doc_id <=> m.doc_id and d1.source <=> m.source and d1.size = m.size and d1.dup = m.dup"))
-    times = F.when(F.col("d1.size") == 0, F.lit(1)).otherwise(F.col("m.copies"))
-    return (both.select("d1.d", F.explode(F.array_repeat(F.lit(0), times)).alias("copy"))
-            .select("d.*"))
+                       F.col(source).alias("source"), size.alias("size")).withColumn("key", F.xxhash64(*key))
+    both = rows.alias("r").join(chosen.alias("m"), F.expr(
+        "r.key = m.key and r.doc_id <=> m.doc_id and r.source <=> m.source and r.size = m.size"))
+    # rows alike in id, source and size take the copies in turn; grouped by the join's own key, so not shuffled again
+    turn = F.row_number().over(Window.partitionBy("r.key", "r.doc_id", "r.source").orderBy("r.size"))
+    both = both.select("d", F.col("r.size").alias("size"), "copies", turn.alias("turn"))
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.expr("copies[turn - 1].copies"))
+    return both.select("d", F.explode(F.array_repeat(F.lit(0), times)).alias("copy")).select("d.*")

@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from salesq.llm.common import shared_path, written
 
-ORDER, BLOCK, PART, LEVEL, SPREAD = 5, 24_000_000, 2_000_000, 6, 4.0
+ORDER, BLOCK, PART, LEVEL = 5, 24_000_000, 2_000_000, 6
+SPREAD, SHORT = (8.0, 6.0), 440  # quartile distances below and above; bytes at which a band is wider by sqrt(2)
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 5, 10, 20
 NO_LANGUAGE = ""
 _CODE_BITS = 8 * ORDER
@@ -287,7 +288,7 @@ def _score(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
                 total += float(values[1 - side][np.searchsorted(keys, g | tag)].sum(dtype=np.float64))
             log[k], length[k] = total, end - start + 1
             start = int(end)
-        found.append(rows.drop(columns=["tag", "side"]).assign(log_perplexity=-log / length))
+        found.append(rows.drop(columns=["tag", "side"]).assign(positions=length.astype(np.int64), log_perplexity=-log / length))
     return pd.concat(found)
 
 
@@ -299,29 +300,31 @@ def scored(docs: DataFrame) -> DataFrame:
     answers = grams.select("block", "g").join(model(summed), "g").select("block", "g", "l0", "l1")
     out = blocks.select("block", "docs", "ends", "texts").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
         _score, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-                "n_repeat_words long, log_perplexity double")
+                "n_repeat_words long, positions long, log_perplexity double")
     return written(out, "scored")
 
 
-def quality(docs: DataFrame, spread: float = SPREAD, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+def quality(docs: DataFrame, spread: tuple = SPREAD, short: int = SHORT, doc_id: str = "doc_id", text: str = "text",
+            lang: str = "lang") -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, lang, perplexity, lower, upper`` of every row.
 
     A document is kept if it passes the base rules and its log-perplexity lies
     within its language's band: the quartiles of the language's documents that pass
-    the base rules, widened by ``spread`` times their distance on either side.
-    NULL, empty and blank texts have no words and fail; NULL languages form one
-    language of their own; repeated rows and NULL ids keep their rows; an empty
-    table gives an empty result; other columns are not read."""
+    the base rules, widened below and above by ``spread`` times their distance; for
+    a text of n bytes by ``sqrt(1 + short / n)`` times that, as the mean over few
+    bytes scatters more. NULL, empty and blank texts have no words and fail; NULL
+    languages form one language of their own; repeated rows and NULL ids keep their
+    rows; an empty table gives an empty result; other columns are not read."""
     rows = scored(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
-    quartiles = F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000)
-    bands = rows.filter(~failed).groupBy("lang").agg(quartiles.alias("q")).select(
-        "lang", *(F.exp(F.col("q")[at] + sign * spread * (F.col("q")[1] - F.col("q")[0])).alias(name)
-                  for name, at, sign in (("lower", 0, -1), ("upper", 1, 1))))
-    inside = F.col("perplexity").between(F.col("lower"), F.col("upper"))
-    return (rows.withColumn("perplexity", F.exp("log_perplexity")).join(bands, "lang", "left")
-            .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-                    (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"),
-                    F.nullif("lang", F.lit(NO_LANGUAGE)).alias("lang"), "perplexity", "lower", "upper"))
+    bands = rows.filter(~failed).groupBy("lang").agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q"))
+    width = (F.col("q")[1] - F.col("q")[0]) * F.sqrt(1 + short / F.col("positions"))
+    judged = rows.join(bands, "lang", "left").withColumns({
+        "perplexity": F.exp("log_perplexity"), "lower": F.exp(F.col("q")[0] - spread[0] * width),
+        "upper": F.exp(F.col("q")[1] + spread[1] * width)})
+    inside = F.coalesce(F.col("perplexity").between(F.col("lower"), F.col("upper")), F.lit(False))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         (~F.col("base_failed") & inside).alias("kept"), F.nullif("lang", F.lit(NO_LANGUAGE)).alias("lang"),
+                         "perplexity", "lower", "upper")

@@ -112,8 +112,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingl
     who = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("t").alias("t"))
     winners = (groups(docs, doc_id, text, shingle, distance).groupBy("root").agg(F.min(who).alias("w"))
                .select("root", F.col("w.id").alias("id"), F.col("w.t").alias("t")))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"),
-                       F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"))
-    kept = rows.join(winners, rows.doc_id.eqNullSafe(winners.id) & (rows.text_hash == winners.t))
-    one = Window.partitionBy("root").orderBy("text_hash")  # equal rows of one id only
-    return kept.withColumn("n", F.row_number().over(one)).filter("n = 1").select("d.*")
+    winners = winners.withColumn("key", F.xxhash64("id", "t"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("d"), F.col(doc_id).alias("doc_id"),
+                       F.xxhash64(text).alias("text_hash")).withColumn("key", F.xxhash64("doc_id", "text_hash"))
+    kept = rows.alias("r").join(winners.alias("w"), F.expr("r.key = w.key and r.doc_id <=> w.id and r.text_hash = w.t"))
+    one = Window.partitionBy("r.key", "root").orderBy("text_hash")  # equal rows of one id; the join's own key
+    return kept.select("d", F.row_number().over(one).alias("n")).filter("n = 1").select("d.*")

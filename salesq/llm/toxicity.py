@@ -10,8 +10,8 @@ match, so even a short word's saving shows); partial matches count, so variants
 a marked word save bytes too. Zstandard's own dictionary trainer was measured and
 finds common syllables instead of rare marks (README).
 
-A document's numbers of windows beyond each threshold go through a logistic
-calibration, fitted on labelled documents that made no dictionary. Both samples are
+A document's numbers of windows beyond each threshold, in bytes saved and in the
+share of the window saved, go through a logistic calibration, fitted on labelled documents that made no dictionary. Both samples are
 bounded (``SAMPLE`` rows a class and half, by a hash of the id); the counting of
 words and windows runs in Spark.
 """
@@ -70,15 +70,19 @@ class Compressor:
             if len(self.memory) >= MEMORY:
                 self.memory.clear()
             data = _LEAD + b" " + window + b" "
-            got = len(self.ordinary(data)) - len(self.toxic(data))
-            got = self.memory[window] = min(max(got, 0), THRESHOLDS)
+            bytes_saved = min(max(len(self.ordinary(data)) - len(self.toxic(data)), 0), THRESHOLDS)
+            share = min(THRESHOLDS * bytes_saved // (len(window) + 1), THRESHOLDS)
+            got = self.memory[window] = bytes_saved * (THRESHOLDS + 1) + share
         return got
 
     def counts(self, text: bytes | None) -> np.ndarray:
-        """Windows in all, and those that save at least 1, 2, ... bytes."""
+        """Windows in all, those that save at least 1, 2, ... bytes, and those that
+        save at least 1, 2, ... parts of ``THRESHOLDS`` of themselves."""
         words = windows(text)
-        n = np.bincount(np.fromiter(map(self.saved, words), np.int64, len(words)), minlength=THRESHOLDS + 1)
-        return n[::-1].cumsum()[::-1]
+        both = np.bincount(np.fromiter(map(self.saved, words), np.int64, len(words)), minlength=(THRESHOLDS + 1) ** 2)
+        both = both.reshape(THRESHOLDS + 1, THRESHOLDS + 1)
+        by_bytes, by_share = (both.sum(axis)[::-1].cumsum()[::-1] for axis in (1, 0))
+        return np.concatenate([by_bytes, by_share[1:]])
 
 
 def features(counts: np.ndarray) -> np.ndarray:
