@@ -7,7 +7,8 @@ least ``LEAST``, so that a one-word paragraph still pays for its own tags. One l
 finds the contiguous stretch of the largest sum; blocks that overlap it are the
 text. Elements that never hold content (scripts, menus, adverts, reader comments
 and so on, by element or by a word of their class, id or role) are cut out before:
-they score as one tag and give no words, inside the content region too.
+they give no words, and cost no more than a plain tag, as content may go on after
+them.
 
 Tag counts over all labelled pages are one Spark aggregate of at most a row an
 HTML element, so the weights sent to the tasks are bounded.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-LEAST, MOST, OTHER = 0.05, 20.0, "#other"
+LEAST, MOST, OTHER, CUT, CUT_INLINE = 0.05, 20.0, "#other", "#cut", "#cut inline"
 # Element names of the HTML standard, by their part on a page.
 RAW = frozenset("script style noscript template textarea title iframe svg math object canvas select xmp noembed noframes".split())
 ASIDE = frozenset("head nav footer aside form dialog menu button header".split())
@@ -97,10 +98,9 @@ def events(page: str) -> list[tuple[str, str]]:
         if kind == "text":
             out.append(("text", html.unescape(name)))
         else:
-            out.append(("tag", name))
             if kind == "open" and k in end_of and _aside(name, attributes):
-                k = end_of[k]
-                out.append(("tag", name))
+                k, name = end_of[k], CUT if name in BLOCK else CUT_INLINE
+            out.append(("tag", name))
         k += 1
     return out
 
@@ -114,7 +114,7 @@ def content_counts(page: str | None) -> list[tuple[str, int, int]]:
         return []
     counts: dict[str, list[int]] = {}
     for k, (kind, name) in enumerate(seq):
-        if kind == "tag" and name not in ("article", "main"):
+        if kind == "tag" and name not in ("article", "main", CUT, CUT_INLINE):
             known = name in BLOCK or name in INLINE or name in VOID or name in RAW or name in ASIDE
             inside = marks[0] < k < marks[-1]
             counts.setdefault(name if known else OTHER, [0, 0])[not inside] += 1
@@ -138,10 +138,10 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     for kind, value in events(page or ""):
         if kind == "text":
             blocks[-1][1].append(value)
-        elif value in BLOCK:
-            blocks.append([0.0 if value in ("article", "main") else weights.get(value, LEAST), []])
+        elif value in BLOCK or value == CUT:
+            blocks.append([0.0 if value in ("article", "main") else LEAST if value == CUT else weights.get(value, LEAST), []])
         else:
-            blocks[-1][0] += weights.get(value, LEAST)
+            blocks[-1][0] += LEAST if value == CUT_INLINE else weights.get(value, LEAST)
             if value == "br":
                 blocks[-1][1].append(" ")
     # Kadane's scan over blocks: a block adds its words, entering it costs its tags
