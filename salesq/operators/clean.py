@@ -105,37 +105,32 @@ def recover_product(df: DataFrame, out: str, a: str, b: str, digits: int = 2) ->
 
 def price_catalog(df: DataFrame, group: str = "category", label: str = "item",
                   value: str = "price_per_unit") -> DataFrame:
-    """Mean price per (category, item) over live rows with all three present."""
+    """Mean price per (category, item) over live rows with all three present.
+    Cents are summed as integers, so the mean does not depend on the order rows
+    are added in, and ties and band edges are the same in every run."""
     live = _alive() if "_drop" in df.columns else F.lit(True)
+    cents = F.sum(F.rint(F.col(value) * 100).cast("bigint"))
     return (df.filter(live & F.col(group).isNotNull() & F.col(label).isNotNull() & F.col(value).isNotNull())
-              .groupBy(group, label).agg(F.avg(value).alias("mean_price")))
+              .groupBy(group, label).agg(((cents / F.lit(100.0)) / F.count(value)).alias("mean_price")))
 
 
 def infer_nearest(df: DataFrame, catalog: DataFrame, group: str = "category", label: str = "item",
-                  value: str = "price_per_unit", tolerance: float = 0.15,
-                  bucket_width: float = 1.0, broadcast_rows: int = 1_000_000) -> DataFrame:
+                  value: str = "price_per_unit", tolerance: float = 0.15, buckets: int = 64) -> DataFrame:
     """Fill a missing item with the catalogue item of the same category whose
     mean price is nearest, within ``price * tolerance`` (inclusive).
 
     The match table has one row per distinct (category, price) probe and is
-    checkpointed. If its row count is within ``broadcast_rows`` it is
-    broadcast and every row passes one hash join (no shuffle of the big
-    side); beyond that only the rows that need an item are shuffled to it and
-    the rest bypass the join.
+    written. Only the rows that need an item meet it (a plain join of a written
+    side: AQE broadcasts it if its measured bytes are few, else splits a hot
+    price); the rest bypass the join.
     """
     df = _ensure_drop(df)
     need = _alive() & F.col(label).isNull() & F.col(group).isNotNull() & F.col(value).isNotNull()
     df = df.withColumn("_need", need)
     probes = df.filter(F.col("_need")).select(group, value)
     matches = nearest_match(probes, catalog, key=group, value=value, label=label, mean="mean_price",
-                            tolerance=tolerance, bucket_width=bucket_width, checkpoint=True)
+                            tolerance=tolerance, buckets=buckets, checkpoint=True)
     matches = cut_lineage(matches.withColumnRenamed(label, "_matched"))
-    if matches.count() <= broadcast_rows:
-        out = df.join(F.broadcast(matches), [group, value], "left")
-        hit = F.col("_need") & F.col("_matched").isNotNull()
-        return (out.withColumn("_f_inferred_" + label, hit)
-                .withColumn(label, F.when(F.col("_need"), F.col("_matched")).otherwise(F.col(label)))
-                .drop("_matched", "_need").select(*df.drop("_need").columns, "_f_inferred_" + label))
     needy = (df.filter(F.col("_need")).join(matches, [group, value], "left")
              .withColumn("_f_inferred_" + label, F.col("_matched").isNotNull())
              .withColumn(label, F.col("_matched")).drop("_matched"))
@@ -183,7 +178,6 @@ def completeness(clean_df: DataFrame, cols=CRITICAL_COLUMNS) -> DataFrame:
 class CleanResult:
     flagged: DataFrame      # every raw row with _drop and _f_* flags
     clean: DataFrame        # the clean table (raw columns, date typed)
-    catalog: DataFrame      # C8
     include_unmatched: bool = False
 
     @property
@@ -236,9 +230,10 @@ def flag_raw(raw: DataFrame) -> DataFrame:
 
 
 def clean(raw: DataFrame, tolerance: float = 0.15, consistency_tolerance: float = 0.01,
-          include_unmatched: bool = False, bucket_width: float = 1.0,
-          broadcast_rows: int = 1_000_000) -> CleanResult:
-    """C1–C12 composed into one lazy plan."""
+          include_unmatched: bool = False, buckets: int = 64) -> CleanResult:
+    """C1–C12 composed. Eager in one place: the nearest-match table of C9 is
+    built and written while this plans (two small writes); the returned frames
+    are lazy, and callers write ``flagged`` once."""
     df = flag_raw(raw).withColumn("_drop", F.lit(None).cast("string"))
     df = drop_missing_keys(df)                                               # C1
     df = drop_unrecoverable(df)                                              # C2
@@ -247,10 +242,9 @@ def clean(raw: DataFrame, tolerance: float = 0.15, consistency_tolerance: float
     df = recover_ratio(df, "quantity", "total_spent", "price_per_unit", 1)   # C6
     df = recover_product(df, "total_spent", "price_per_unit", "quantity", 2) # C7
     catalog = price_catalog(df)                                              # C8
-    df = infer_nearest(df, catalog, tolerance=tolerance, bucket_width=bucket_width,
-                       broadcast_rows=broadcast_rows)                        # C9
+    df = infer_nearest(df, catalog, tolerance=tolerance, buckets=buckets)    # C9
     df = drop_unmatched(df)                                                  # C10
     df = standardize_date(df)                                                # C11
     df = enforce_product(df, tolerance=consistency_tolerance)                # C12
     clean_df = df.filter(_alive()).select(*RAW_COLUMNS)
-    return CleanResult(flagged=df, clean=clean_df, catalog=catalog, include_unmatched=include_unmatched)
+    return CleanResult(flagged=df, clean=clean_df, include_unmatched=include_unmatched)

@@ -5,25 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesq.session import cut_lineage
+
+
+def numbered_ranges(df: DataFrame, order_cols: list[str], num_partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``order_cols``, with the range
+    (``_pid``) and the place in it (``_mid``) of every row, **written once**.
+
+    Range bounds are sampled and may differ whenever the exchange is planned
+    anew (another column set, another job), so everything that depends on the
+    numbering must read this one written frame. Without an explicit number AQE
+    coalesces neighbouring ranges: a tiny frame is one task, a large one stays
+    spread."""
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols)).sortWithinPartitions(*order_cols)
+    return cut_lineage(ranged.withColumn("_pid", F.spark_partition_id())
+                             .withColumn("_mid", F.monotonically_increasing_id()))
+
 
 def assign_ids(df: DataFrame, order_cols: list[str], id_col: str, start: int = 1,
                num_partitions: int | None = None) -> DataFrame:
     """Dense ids ``start..start+n-1`` following the order of ``order_cols``.
 
-    Range-partition + sort inside partitions, then add each partition's
-    running offset. Only the per-partition row counts (one row per partition,
-    a bound fixed by the partition count) are broadcast; no single task sees
-    all rows. ``id_col`` is placed first.
-    """
-    # without an explicit number AQE may coalesce neighbouring ranges (order is
-    # kept), so a tiny dimension becomes one task and a large one stays spread
-    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
-              else df.repartitionByRange(*order_cols)).sortWithinPartitions(*order_cols)
-    tagged = (ranged.withColumn("_pid", F.spark_partition_id())
-                    .withColumn("_mid", F.monotonically_increasing_id()))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    Runs one job that writes the numbered ranges; the per-range row counts
+    (one row per range, bounded by the partition count) and the ids are both
+    computed from the written frame, so they always fit each other. No single
+    task sees all rows. ``id_col`` is placed first."""
+    numbered = numbered_ranges(df, order_cols, num_partitions)
+    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    out = (tagged.join(F.broadcast(offsets.select("_pid", "_off", "_m0")), "_pid")
-                 .withColumn(id_col, (F.col("_off") + (F.col("_mid") - F.col("_m0")) + F.lit(start)).cast("int")))
+    out = (numbered.join(F.broadcast(offsets.select("_pid", "_off", "_m0")), "_pid")
+                   .withColumn(id_col, (F.col("_off") + (F.col("_mid") - F.col("_m0")) + F.lit(start)).cast("int")))
     return out.select(id_col, *[c for c in df.columns if c != id_col])

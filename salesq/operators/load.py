@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from salesq.functions.expr import count_if
 from salesq.operators.keys import assign_ids
 from salesq.schema import LOAD_ORDER, TABLES, TableSpec
+from salesq.session import cut_lineage
 
 
 def _ts(load_ts) -> Column:
@@ -35,6 +36,9 @@ def empty_table(spark, name: str) -> DataFrame:
 def _next_ids(new_rows: DataFrame, target: DataFrame, id_col: str, order_cols: list[str]) -> DataFrame:
     """ids max(target)+1.. for new rows in ``order_cols`` order (no collect: the
     max is a one-row aggregate joined on a constant)."""
+    new_rows = cut_lineage(new_rows)
+    if new_rows.isEmpty():          # a reload without new keys numbers nothing
+        return new_rows.withColumn(id_col, F.lit(None).cast("int"))
     base = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_base")).withColumn("_k", F.lit(1))
     ided = assign_ids(new_rows, order_cols, "_seq")
     return (ided.withColumn("_k", F.lit(1)).join(F.broadcast(base), "_k")
@@ -91,12 +95,14 @@ def upsert_items(target: DataFrame, source: DataFrame, load_ts=None, order_col:
     src = (source.filter(F.col("item_name").isNotNull())
            .groupBy(*key).agg(F.max_by("price_per_unit", order_col).alias("_price"))
            .withColumn("_price", F.col("_price").cast("decimal(10,2)")))
-    old = target.join(src, key, "left").select(
-        "item_id", *key,
+    # NULL categories are equal as keys: such an item is updated, not added again
+    same = (F.col("t.item_name") == F.col("s.item_name")) & F.col("t.category_id").eqNullSafe(F.col("s.category_id"))
+    old = target.alias("t").join(src.alias("s"), same, "left").select(
+        "t.item_id", *(f"t.{k}" for k in key),
         F.coalesce("_price", "price_per_unit").cast("decimal(10,2)").alias("price_per_unit"),
-        "created_at",
-        F.when(F.col("_price").isNotNull(), ts).otherwise(F.col("updated_at")).alias("updated_at"))
-    new = src.join(target.select(*key), key, "left_anti")
+        "t.created_at",
+        F.when(F.col("_price").isNotNull(), ts).otherwise(F.col("t.updated_at")).alias("updated_at"))
+    new = src.alias("s").join(target.alias("t"), same, "left_anti")
     new = (_next_ids(new, target, "item_id", key)
            .select("item_id", *key, F.col("_price").alias("price_per_unit"),
                    ts.alias("created_at"), ts.alias("updated_at")))
@@ -109,8 +115,9 @@ FACT_VALUE_COLS = ["customer_id", "item_id", "payment_method_id", "location_id",
 
 
 def dedupe_latest(source: DataFrame, key: str, order_by: list[str] | None = None) -> DataFrame:
-    """One row per key: the greatest by ``order_by`` (default: all value columns),
-    via ``max_by`` on a struct — a partial aggregate, no per-key sort of rows."""
+    """One row per key: the greatest by ``order_by`` (pass the source's ordinal for
+    "the last row wins"; default: all value columns). Rows without a key are
+    left out; callers report them (``null_key_rejects``)."""
     cols = [c for c in source.columns if c != key]
     order = F.struct(*(order_by or cols))
     return (source.filter(F.col(key).isNotNull()).groupBy(key)
@@ -118,12 +125,18 @@ def dedupe_latest(source: DataFrame, key: str, order_by: list[str] | None = None
             .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
+def null_key_rejects(source: DataFrame, key: str = "transaction_id") -> DataFrame:
+    """L6 for an upsert: the rows that cannot be placed because their key is NULL."""
+    return source.filter(F.col(key).isNull()).withColumn("reasons", F.array(F.lit(f"null:{key}")))
+
+
 def upsert_transactions(target: DataFrame, source: DataFrame, load_ts=None,
                         order_by: list[str] | None = None) -> DataFrame:
     """L4: upsert facts by TransactionID; all value columns replaced by the
     source; CreatedAt kept; UpdatedAt moves only when a value changed."""
     ts = _ts(load_ts)
-    src = dedupe_latest(source.select("transaction_id", *FACT_VALUE_COLS), "transaction_id", order_by)
+    carried = [c for c in order_by or [] if c not in FACT_VALUE_COLS and c != "transaction_id"]
+    src = dedupe_latest(source.select("transaction_id", *FACT_VALUE_COLS, *carried), "transaction_id", order_by)
     s = src.select("transaction_id", *[F.col(c).alias(f"_s_{c}") for c in FACT_VALUE_COLS],
                    F.lit(True).alias("_in"))
     j = target.join(s, "transaction_id", "full")
@@ -169,9 +182,10 @@ def _with_reasons(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame]
     j = df
     for col, (ptable, pcol) in spec.fks.items():
         if ptable in parents and col in df.columns:
-            keys = parents[ptable].select(F.col(pcol).alias(col)).filter(F.col(col).isNotNull()).distinct() \
-                .withColumn(f"_fk_{col}", F.lit(True))
-            j = j.join(keys, col, "left")
+            # the parent's keys are written: a plain join side, so AQE can broadcast
+            # it by its measured size or split the partition of a hot child key
+            keys = cut_lineage(parents[ptable].select(F.col(pcol).alias(col)).filter(F.col(col).isNotNull()).distinct())
+            j = j.join(keys.withColumn(f"_fk_{col}", F.lit(True)), col, "left")
             reasons.append(F.when(F.col(col).isNotNull() & F.col(f"_fk_{col}").isNull(),
                                   F.lit(f"missing_parent:{col}")))
     j = j.withColumn("reasons", F.array_compact(F.array(*reasons)))
@@ -245,14 +259,47 @@ def source_counts(tables: dict[str, DataFrame], names=LOAD_ORDER) -> DataFrame:
     return rc.unionByName(total)
 
 
-def migration_summary(read: DataFrame, written: DataFrame) -> DataFrame:
+def key_errors(tables: dict[str, DataFrame], key: str = "_id") -> DataFrame:
+    """Rows of each table a keyed store would refuse: without a key, or with one
+    that an earlier row has. (table_name, errors)"""
+    out = None
+    for name, df in tables.items():
+        part = df.agg((F.count(F.lit(1)) - F.count_distinct(key)).alias("errors")).select(
+            F.lit(name).alias("table_name"), "errors")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def contract_duplicates(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = TABLES) -> DataFrame:
+    """For every declared primary and unique key (table_name, key_columns),
+    the rows beyond the first of their key and the rows with a NULL in it."""
+    out = None
+    for name, df in tables.items():
+        for cols in (specs[name].pk, *specs[name].unique):
+            whole = F.lit(True)
+            for c in cols:
+                whole = whole & F.col(c).isNotNull()
+            counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+            part = counted.agg(
+                F.coalesce(F.sum(F.when(whole, F.col("_n") - 1)), F.lit(0)).cast("bigint").alias("duplicates"),
+                F.coalesce(F.sum(F.when(~whole, F.col("_n"))), F.lit(0)).cast("bigint").alias("null_keys"),
+            ).select(F.lit(name).alias("table_name"), F.lit(",".join(cols)).alias("key_columns"), "duplicates", "null_keys")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
+def migration_summary(read: DataFrame, written: DataFrame, errors: DataFrame | None = None) -> DataFrame:
     """Per target rows read, rows written, rows lost (e.g. to an inner
-    join), and totals."""
+    join), rows refused (``errors(table_name, errors)``; none given: 0), and totals."""
     r = read.select("table_name", F.col("row_count").alias("rows_read"))
     w = written.select("table_name", F.col("row_count").alias("rows_written"))
     j = (r.join(w, "table_name", "full").fillna(0, ["rows_read", "rows_written"])
          .withColumn("rows_lost", F.col("rows_read") - F.col("rows_written"))
-         .withColumn("errors", F.lit(0).cast("bigint")))
+         )
+    if errors is None:
+        j = j.withColumn("errors", F.lit(0).cast("bigint"))
+    else:
+        j = j.join(errors, "table_name", "left").withColumn("errors", F.coalesce("errors", F.lit(0)).cast("bigint"))
     tot = j.agg(F.lit("__total__").alias("table_name"),
                 *[F.sum(c).cast("bigint").alias(c) for c in ("rows_read", "rows_written", "rows_lost", "errors")])
     return j.unionByName(tot)
@@ -305,54 +352,59 @@ def remap_keys(df: DataFrame, star: dict[str, DataFrame], loaded: dict[str, Data
 
 def upsert_partitioned(spark, target_path: str, source: DataFrame, load_ts=None, key: str = "transaction_id",
                        date_col: str = "transaction_date", part: str = "year_month",
-                       order_by: list[str] | None = None) -> list[str]:
+                       order_by: list[str] | None = None) -> list[str | None]:
     """L4 for a month-partitioned fact: only the partitions a batch touches are
     read and rewritten (dynamic partition overwrite), not the whole table.
 
     Touched months = months of the (deduplicated) source rows plus the current
     months of target rows whose key reappears in the source (a row can move
-    to another month). The target is read through a semi join on those
-    months (partition pruning), merged with ``upsert_transactions``, staged
-    under the checkpoint folder (a path cannot be read and overwritten in one
-    job) and written back with ``partitionOverwriteMode=dynamic``. A touched
-    month left without rows is removed. Returns the touched months (a list
-    bounded by the number of months)."""
+    to another month). Rows without a date live in the NULL partition. The
+    target is read through a filter on those months (partition pruning), merged
+    with ``upsert_transactions``, staged under the checkpoint folder (a path
+    cannot be read and overwritten in one job) and written back. A touched month
+    left without rows is removed, the staged copy as well. A batch without rows
+    is a no-op. Returns the touched months, NULL as None last (a list bounded by
+    the number of months). If the job dies while it writes back, the batch can be
+    run again: what it had replaced is the same rows."""
     import uuid
 
-    from salesq.session import ensure_checkpoint_dir, path_exists, _fs
+    from salesq.session import delete_path, ensure_checkpoint_dir, path_exists
 
     month = F.date_format(F.col(date_col), "yyyy-MM")
-    # the date is NOT NULL in the contract (split_valid rejects such rows); a
-    # date-partitioned table cannot place them, so they are not loaded here
-    src = (dedupe_latest(source.select(key, *FACT_VALUE_COLS), key, order_by)
-           .filter(F.col(date_col).isNotNull()).withColumn(part, month))
+    carried = [c for c in order_by or [] if c not in FACT_VALUE_COLS and c != key]
+    src = cut_lineage(dedupe_latest(source.select(key, *FACT_VALUE_COLS, *carried), key, order_by)
+                      .drop(*carried).withColumn(part, month))
+
+    def months_of(df):
+        found = [r[0] for r in df.select(part).distinct().collect()]      # one row per month
+        return sorted(found, key=lambda m: (m is None, m))
+
+    def store(df, path):
+        # few files a month: AQE gathers each month's rows and splits a large one
+        (df.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(part).parquet(path))
+
+    months = months_of(src)
+    if not months:
+        return []
     if not path_exists(spark, target_path):
         empty = spark.createDataFrame([], src.drop(part).schema.add("created_at", "timestamp_ntz")
                                       .add("updated_at", "timestamp_ntz"))
-        first = upsert_transactions(empty, src.drop(part), load_ts).withColumn(part, month)
-        first.write.mode("overwrite").partitionBy(part).parquet(target_path)
-        return sorted(r[0] for r in src.select(part).distinct().collect())
-    target = spark.read.parquet(target_path)
-    moved = target.select(key, part).join(src.select(key), key, "left_semi").select(part)
-    touched = src.select(part).union(moved).distinct()
-    months = sorted(r[0] for r in touched.collect())          # one row per month
-    tgt_sub = target.filter(F.col(part).isin(months)).drop(part)
-    merged = upsert_transactions(tgt_sub, src.drop(part), load_ts).withColumn(part, month)
+        store(upsert_transactions(empty, src.drop(part), load_ts).withColumn(part, month), target_path)
+        return months
+    target = spark.read.option("basePath", target_path).parquet(target_path).withColumn(part, F.col(part).cast("string"))
+    months = months_of(src.select(part).unionByName(
+        target.select(key, part).join(src.select(key), key, "left_semi").select(part)))
+    dated = [m for m in months if m is not None]
+    touched = (F.col(part).isin(dated) if dated else F.lit(False)) | (F.col(part).isNull() & F.lit(None in months))
+    merged = upsert_transactions(target.filter(touched).drop(part), src.drop(part), load_ts).withColumn(part, month)
     stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/salesq-upsert/{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").partitionBy(part).parquet(stage)
-    staged = spark.read.parquet(stage)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        staged.write.mode("overwrite").partitionBy(part).parquet(target_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    kept = {r[0] for r in staged.select(part).distinct().collect()}
-    fs, _ = _fs(spark, target_path)
-    jvm = spark.sparkContext._jvm
+    merged.write.parquet(stage)
+    staged = spark.read.schema(merged.schema).parquet(stage)
+    store(staged, target_path)
+    kept = months_of(staged)
     for m in months:
         if m not in kept:
-            p = jvm.org.apache.hadoop.fs.Path(f"{target_path.rstrip('/')}/{part}={m}")
-            if fs.exists(p):
-                fs.delete(p, True)
+            delete_path(spark, f"{target_path.rstrip('/')}/{part}={m or '__HIVE_DEFAULT_PARTITION__'}")
+    delete_path(spark, stage)
     return months

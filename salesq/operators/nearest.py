@@ -26,9 +26,12 @@ from salesq.session import cut_lineage
 
 def nearest_match(probes: DataFrame, catalog: DataFrame, *, key: str, value: str,
                   label: str, mean: str, tolerance: float = 0.15,
-                  bucket_width: float = 1.0, checkpoint: bool = False, fanout: int = 1024) -> DataFrame:
+                  buckets: int = 64, checkpoint: bool = False, fanout: int = 1024) -> DataFrame:
     """For each distinct ``(key, value)`` probe, the label of the nearest catalogue
-    mean inside ``value * tolerance``. Returns ``(key, value, label)`` for matches."""
+    mean inside ``value * tolerance``. Returns ``(key, value, label)`` for matches.
+
+    Bucket edges are ``buckets`` approximate quantiles of each key's probes and
+    means, so a key whose values crowd in a narrow range is spread as well."""
     cat = (catalog.filter(F.col(key).isNotNull() & F.col(mean).isNotNull())
            .groupBy(key, mean).agg(F.min(label).alias(label)))
     pts = (probes.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
@@ -40,12 +43,17 @@ def nearest_match(probes: DataFrame, catalog: DataFrame, *, key: str, value: str
             .unionByName(pts.select(F.col(key), F.col(value).alias("_v"),
                                     F.lit(None).cast("string").alias("_label"),
                                     F.lit(0).alias("_is_cat")))
-            .withColumn("_b", F.floor(F.col("_v") / F.lit(float(bucket_width))))
             .withColumn("_e", F.when(F.col("_is_cat") == 1, entry)))
     if checkpoint:
         # distinct catalogue means + distinct probe values: small next to the
-        # input, read twice below -> one reliable checkpoint instead of two scans
+        # input, read several times below -> one written table instead of scans
         both = cut_lineage(both)
+    steps = [k / buckets for k in range(1, buckets)]
+    edges = both.groupBy(key).agg((F.percentile_approx("_v", steps, 1000) if steps else F.array().cast("array<double>")).alias("_edges"))
+    if checkpoint:
+        edges = cut_lineage(edges)   # a plain side: AQE can split a hot key's points
+    both = (both.join(edges, key)
+            .withColumn("_b", F.size(F.filter("_edges", lambda x: x <= F.col("_v"))).cast("bigint")).drop("_edges"))
 
     # catalogue entry sorts before a probe of equal value -> "last at or before" is <=
     w = Window.partitionBy(key, "_b").orderBy(F.col("_v"), F.col("_is_cat").desc())

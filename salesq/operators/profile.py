@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesq.functions.expr import count_if
+from salesq.operators.keys import numbered_ranges
 
 
 def profile_shape(df: DataFrame) -> DataFrame:
@@ -64,16 +65,14 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
 
     One pass for all columns: values are stacked as (column_name, v), counted
     per distinct value (partial aggregate), range-partitioned on
-    (column_name, v); running counts come from in-partition windows plus
-    per-partition offsets (one row per partition and column). Returns rows
-    (column_name, p, value)."""
+    (column_name, v) and written once; running counts come from in-partition
+    windows plus per-partition offsets (one row per partition and column).
+    Returns rows (column_name, p, value)."""
     spark = df.sparkSession
     stack = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     vals = df.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, v)").filter(F.col("v").isNotNull())
     vc = vals.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    ranged = ((vc.repartitionByRange(num_partitions, "column_name", "v") if num_partitions
-               else vc.repartitionByRange("column_name", "v")).sortWithinPartitions("column_name", "v")
-              .withColumn("_pid", F.spark_partition_id()))
+    ranged = numbered_ranges(vc, ["column_name", "v"], num_partitions).drop("_mid")
     within = Window.partitionBy("_pid", "column_name").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_local", F.coalesce(F.sum("cnt").over(within), F.lit(0)))
     per_part = local.groupBy("column_name", "_pid").agg(F.sum("cnt").alias("_pc"))

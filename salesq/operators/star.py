@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesq.operators.keys import assign_ids
+from salesq.session import cut_lineage
 
 
 def surrogate_dim(df: DataFrame, col: str, id_name: str, name_name: str) -> DataFrame:
@@ -26,15 +27,20 @@ def customer_dim(df: DataFrame, col: str = "customer_id") -> DataFrame:
     return ids.withColumn("customer_name", F.concat(F.lit("Customer_"), token))
 
 
-def item_dim(df: DataFrame, categories: DataFrame, order_by: list[str] | None = None,
+def item_dim(df: DataFrame, categories: DataFrame, ordinal: str | None = None,
              item: str = "item", category: str = "category", price: str = "price_per_unit") -> DataFrame:
-    """One row per distinct (item, category, price); ids follow ``order_by``
-    (default item, category, price); CategoryID looked up by name."""
-    distinct = (df.select(F.col(item).alias("item_name"), F.col(category).alias("category_name"),
-                          F.col(price).alias("price_per_unit"))
-                .filter(F.col("item_name").isNotNull()).distinct())
-    order = order_by or ["item_name", "category_name", "price_per_unit"]
-    ided = assign_ids(distinct, order, "item_id")
+    """One row per distinct (item, category, price); CategoryID looked up by
+    name. Ids follow the first appearance by ``ordinal``, a column with the
+    source's row order; without one a frame has no order, and ids follow item,
+    category and price."""
+    key = ["item_name", "category_name", "price_per_unit"]
+    named = df.filter(F.col(item).isNotNull()).select(
+        F.col(item).alias(key[0]), F.col(category).alias(key[1]), F.col(price).alias(key[2]),
+        *([F.col(ordinal).alias("_first")] if ordinal else []))
+    if ordinal:
+        ided = assign_ids(named.groupBy(*key).agg(F.min("_first").alias("_first")), ["_first", *key], "item_id")
+    else:
+        ided = assign_ids(named.distinct(), key, "item_id")
     return (ided.join(categories.select("category_id", "category_name"), "category_name", "left")
             .select("item_id", "item_name", "price_per_unit", "category_id"))
 
@@ -43,8 +49,10 @@ def build_fact(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Look keys up by name; item by (item name, category id) where the
     highest ItemID wins for multi-price items; missing lookups stay NULL."""
     cats = dims["categories"].select(F.col("category_name").alias("_cat_name"), F.col("category_id").alias("_cat_id"))
-    items = (dims["items"].groupBy("item_name", "category_id").agg(F.max("item_id").alias("item_id"))
-             .select(F.col("item_name").alias("_item_name"), F.col("category_id").alias("_item_cat"), "item_id"))
+    # written: a join side that is an aggregate in the same plan keeps AQE from
+    # splitting the fact's partition of a hot item
+    items = cut_lineage(dims["items"].groupBy("item_name", "category_id").agg(F.max("item_id").alias("item_id"))
+                        .select(F.col("item_name").alias("_item_name"), F.col("category_id").alias("_item_cat"), "item_id"))
     pms = dims["payment_methods"].select(F.col("payment_method_name").alias("_pm_name"), "payment_method_id")
     locs = dims["locations"].select(F.col("location_name").alias("_loc_name"), "location_id")
     f = (df.join(cats, F.col("category") == F.col("_cat_name"), "left")

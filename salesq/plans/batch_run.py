@@ -9,6 +9,7 @@ one-row reports returned to the caller.
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,20 +41,24 @@ def _write_audit(spark, out_dir, events: list[tuple[str, str]]):
 
 def clean_stage(spark: SparkSession, raw: DataFrame, out_dir: str, skip_cleaning: bool = False,
                 include_unmatched: bool = False) -> RunResult:
-    """C1–C15 + S2/S5/S6: flagged table written once, clean/quarantine/report read from it."""
+    """C1–C15 + S2/S5/S6: the feed is written once, partitioned by whether a row
+    stays; the clean table is the partition of the rows that do."""
     res = RunResult()
     flagged_p = os.path.join(out_dir, "clean_flagged")
-    clean_p = os.path.join(out_dir, "clean")
+    clean_p = os.path.join(flagged_p, "_live=true")
     if skip_cleaning and IO.read_clean(spark, clean_p) is not None:
         res.paths["clean"] = clean_p
         return res
     r = C.clean(raw, include_unmatched=include_unmatched)
-    IO.write_table(r.flagged, flagged_p)
+    IO.write_table(r.flagged.withColumn("_live", F.col("_drop").isNull()), flagged_p, partition_by=["_live"])
+    if not path_exists(spark, clean_p):       # no row stays: an empty clean table
+        IO.write_table(r.flagged.limit(0), clean_p)
     flagged = spark.read.parquet(flagged_p)
-    cr = C.CleanResult(flagged=flagged, clean=flagged.filter(F.col("_drop").isNull()).select(*RAW_COLUMNS),
-                       catalog=r.catalog, include_unmatched=include_unmatched)
-    res.paths["clean"] = IO.write_table(cr.clean, clean_p)
-    res.paths["quarantine"] = IO.write_table(cr.quarantine, os.path.join(out_dir, "quarantine"))
+    live = F.lower(F.col("_live").cast("string")) == "true"
+    cr = C.CleanResult(flagged=flagged, clean=flagged.filter(live).select(*RAW_COLUMNS), include_unmatched=include_unmatched)
+    res.paths["clean"] = clean_p
+    gone = C.CleanResult(flagged=flagged.filter(~live), clean=cr.clean, include_unmatched=include_unmatched)
+    res.paths["quarantine"] = IO.write_table(gone.quarantine, os.path.join(out_dir, "quarantine"))
     res.reports["cleaning_report"] = cr.report
     res.reports["completeness"] = cr.completeness
     return res
@@ -61,14 +66,18 @@ def clean_stage(spark: SparkSession, raw: DataFrame, out_dir: str, skip_cleaning
 
 def star_stage(spark: SparkSession, clean_path: str, out_dir: str) -> dict[str, DataFrame]:
     """N1–N6 + S7/S8: star written (fact partitioned by month) and read back."""
-    clean = spark.read.parquet(clean_path)
-    star = N.normalize(clean)
+    clean = spark.read.parquet(clean_path).select(*RAW_COLUMNS)
     star_dir = os.path.join(out_dir, "star")
-    # dimensions first; the fact joins the *written* dimensions
-    for name in ("categories", "customers", "payment_methods", "locations", "items"):
-        IO.write_table(star[name], os.path.join(star_dir, name))
-    dims = {n: spark.read.parquet(os.path.join(star_dir, n))
-            for n in ("categories", "customers", "payment_methods", "locations", "items")}
+    dims = {}
+
+    def keep(name, df):        # dimensions first; items and fact join the *written* ones
+        IO.write_table(df, os.path.join(star_dir, name))
+        dims[name] = spark.read.parquet(os.path.join(star_dir, name))
+    keep("categories", N.surrogate_dim(clean, "category", "category_id", "category_name"))
+    keep("customers", N.customer_dim(clean))
+    keep("payment_methods", N.surrogate_dim(clean, "payment_method", "payment_method_id", "payment_method_name"))
+    keep("locations", N.surrogate_dim(clean, "location", "location_id", "location_name"))
+    keep("items", N.item_dim(clean, dims["categories"]))
     fact = N.build_fact(clean, dims)
     IO.write_star({"transactions": fact}, star_dir)
     written = IO.read_star(spark, star_dir, fmt="parquet")
@@ -78,9 +87,10 @@ def star_stage(spark: SparkSession, clean_path: str, out_dir: str) -> dict[str,
 
 
 def load_stage(spark: SparkSession, star: dict[str, DataFrame], out_dir: str, load_ts=None,
-               snapshot: str = "v1") -> dict[str, DataFrame]:
+               snapshot: str = "v1", order_by: list[str] | None = None) -> dict[str, DataFrame]:
     """L1–L8 + S11/S12: conform, split rejects, upsert into the previous snapshot,
-    write a new snapshot directory, reconcile counts."""
+    write a new snapshot directory, reconcile counts. ``order_by`` names the fact
+    columns (an ordinal) whose greatest row of a repeated key wins."""
     rel_dir = os.path.join(out_dir, "relational")
     prev = _latest_snapshot(spark, rel_dir, before=snapshot)
     events = [("MIGRATION_START", f"snapshot {snapshot}")]
@@ -108,22 +118,33 @@ def load_stage(spark: SparkSession, star: dict[str, DataFrame], out_dir: str, lo
             if target is None:
                 target = spark.createDataFrame([], valid.schema.add("created_at", "timestamp_ntz")
                                                .add("updated_at", "timestamp_ntz"))
-            new = L.upsert_transactions(target, valid, load_ts)
+            new = L.upsert_transactions(target, valid, load_ts, order_by)
+            odd = L.non_integral_count(src).first()[0]
+            if odd:
+                events.append(("WARNING", f"{odd} non-integral quantities were rounded"))
         p = os.path.join(rel_dir, f"snapshot={snapshot}", name)
         IO.write_table(new, p)
         loaded[name] = spark.read.parquet(p)
         events.append(("TABLE_LOADED", name))
-    recon = L.reconcile_counts(V.row_counts(star, LOAD_ORDER), V.row_counts(loaded, LOAD_ORDER))
-    IO.write_table(recon, os.path.join(out_dir, "reconcile", snapshot))
-    events.append(("MIGRATION_COMPLETE", f"snapshot {snapshot}"))
+    recon_p = os.path.join(out_dir, "reconcile", snapshot)
+    IO.write_table(L.reconcile_counts(V.row_counts(star, LOAD_ORDER), V.row_counts(loaded, LOAD_ORDER)).coalesce(1), recon_p)
+    failed = 0
+    for r in spark.read.parquet(recon_p).orderBy("table_name").collect():       # one row a table
+        failed += not r.passed
+        events.append(("RECONCILIATION_SUCCESS" if r.passed else "RECONCILIATION_FAILURE",
+                       f"{r.table_name}: expected {r.expected}, actual {r.actual}"))
+    events.append(("MIGRATION_COMPLETE", f"snapshot {snapshot}") if not failed else
+                  ("MIGRATION_INCOMPLETE", f"snapshot {snapshot}: {failed} tables hold fewer rows than their source"))
     _write_audit(spark, out_dir, events)
     return loaded
 
 
 def _latest_snapshot(spark, rel_dir, before: str | None = None) -> dict[str, DataFrame] | None:
-    snaps = sorted(d for d in list_dirs(spark, rel_dir) if d.startswith("snapshot="))
+    def order(name):        # v9 before v10: runs of digits compare as numbers
+        return [(1, int(x), "") if x.isdigit() else (0, 0, x) for x in re.split(r"([0-9]+)", name) if x]
+    snaps = sorted((d for d in list_dirs(spark, rel_dir) if d.startswith("snapshot=")), key=order)
     if before is not None:
-        snaps = [d for d in snaps if d < f"snapshot={before}"]
+        snaps = [d for d in snaps if order(d) < order(f"snapshot={before}")]
     if not snaps:
         return None
     base = os.path.join(rel_dir, snaps[-1])
@@ -154,29 +175,99 @@ def document_stage(spark: SparkSession, loaded: dict[str, DataFrame], out_dir: s
     read_counts = V.row_counts(loaded, list(loaded)) if not embedded else V.row_counts(
         {"customers": loaded["customers"], "transactions_with_details": loaded["transactions"]},
         ["customers", "transactions_with_details"])
-    return L.migration_summary(read_counts, V.row_counts(written, list(written)))
+    return L.migration_summary(read_counts, V.row_counts(written, list(written)), L.key_errors(written))
+
+
+def documents_read(spark: SparkSession, loaded: dict[str, DataFrame], out_dir: str, embedded: bool = False) -> dict[str, DataFrame]:
+    """The written collections read back with their known schemas (no JSON
+    schema-inference pass over the data), under their tables' names."""
+    if embedded:
+        frames = {"customers": ("customers", D.customer_documents(loaded["customers"])),
+                  "transactions": ("transactions_with_details", D.embedded_documents(loaded))}
+    else:
+        frames = {"categories": ("categories", D.lookup_documents(loaded["categories"], "categories")),
+                  "locations": ("locations", D.lookup_documents(loaded["locations"], "locations")),
+                  "payment_methods": ("payment_methods", D.lookup_documents(loaded["payment_methods"], "payment_methods")),
+                  "customers": ("customers", D.customer_documents(loaded["customers"])),
+                  "items": ("items", D.item_documents(loaded["items"], loaded["categories"])),
+                  "transactions": ("transactions", D.transaction_documents(loaded["transactions"]))}
+    return {n: IO.read_documents(spark, os.path.join(out_dir, "documents", path), df.schema) for n, (path, df) in frames.items()}
 
 
 def transaction_documents_read(spark: SparkSession, loaded: dict[str, DataFrame], out_dir: str) -> DataFrame:
-    """Read the written transaction documents back with their known schema
-    (no JSON schema-inference pass over the data)."""
-    schema = D.transaction_documents(loaded["transactions"]).schema
-    return IO.read_documents(spark, os.path.join(out_dir, "documents", "transactions"), schema)
+    return documents_read(spark, loaded, out_dir)["transactions"]
+
+
+def validation_tables(star: dict[str, DataFrame], documents: dict[str, DataFrame], as_of=None, embedded: bool = False,
+                      scale: int = 2) -> dict[str, DataFrame]:
+    """V1–V31 as small frames by section, for a relational star and its documents
+    (six collections, or customers and embedded transactions)."""
+    tables = V.EMBEDDED_TABLES if embedded else V.STAR_TABLES
+    doc_stats = V.document_statistics(documents["transactions"], scale=scale)
+    rel_stats, dates = V.business_stats(star["transactions"], scale=scale), V.date_range(star["transactions"])
+    rel_counts, doc_counts = V.row_counts(star), V.row_counts(documents, tables)
+    return {
+        "relational_counts": rel_counts, "document_counts": doc_counts,
+        "relational_dates": dates, "relational_distinct": V.distinct_stats(star),
+        "relational_business": rel_stats, "document_statistics": doc_stats,
+        "orphan_item_categories": V.orphan_item_categories(star).select("issues"),
+        "checks": V.run_checks(star, as_of=as_of),
+        # the embedded mode compares the transactions, the other all six tables
+        "counts": V.compare_counts(rel_counts, doc_counts, ["transactions"] if embedded else None),
+        "metrics": V.compare_metrics(rel_stats, doc_stats),
+        "dates": V.compare_dates(dates, doc_stats),
+        "rows": V.compare_rows(V.relational_rows(star), documents["transactions"]),
+    }
+
+
+LONG_SECTIONS = {"relational_counts": ("table_name", ["row_count"]), "document_counts": ("table_name", ["row_count"]),
+                 "checks": ("check_name", ["issues"]), "counts": ("table_name", ["relational_count", "document_count"])}
+
+
+def report_of(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """V32–V35 from written section tables: (status, report)."""
+    status = V.validation_status(tables["counts"], tables["metrics"], tables["dates"], tables["rows"], tables["checks"])
+    report = None
+    for section, (name, values) in LONG_SECTIONS.items():
+        part = tables[section].select(F.lit(section).alias("section"), F.col(name).alias("metric"),
+                                      F.concat_ws("/", *[F.col(v).cast("string") for v in values]).alias("value"))
+        report = part if report is None else report.unionByName(part)
+    rest = {n: df for n, df in tables.items() if n not in LONG_SECTIONS}
+    rest |= {"summary": V.summarize_checks(tables["checks"]), "status": status}
+    return status, report.unionByName(V.validation_report(rest))
+
+
+def validate_stage(spark: SparkSession, loaded: dict[str, DataFrame], out_dir: str, as_of=None,
+                   embedded: bool = False) -> dict[str, DataFrame]:
+    """V1–V35 over the loaded tables and the written documents. Every section is
+    computed once and written; status and report are built from the written ones."""
+    documents = documents_read(spark, loaded, out_dir, embedded)
+    base = os.path.join(out_dir, "validation_embedded" if embedded else "validation")
+    tables = {}
+    for name, df in validation_tables(loaded, documents, as_of, embedded).items():
+        p = IO.write_table(df.coalesce(1), os.path.join(base, name))       # a few rows each
+        tables[name] = spark.read.schema(df.schema).parquet(p)
+    status, report = report_of(tables)
+    for name, df in (("status", status), ("report", report)):
+        p = IO.write_table(df.coalesce(1), os.path.join(base, name))
+        tables[name] = spark.read.schema(df.schema).parquet(p)
+    return tables
 
 
 def run(spark: SparkSession, raw: DataFrame, out_dir: str, load_ts=None, as_of=None,
-        skip_cleaning: bool = False, snapshot: str = "v1") -> RunResult:
-    """The whole batch pipeline; returns written paths and small report frames."""
+        skip_cleaning: bool = False, snapshot: str = "v1", embedded: bool = False) -> RunResult:
+    """The whole batch pipeline (documents in six collections, or ``embedded``);
+    returns written paths and small report frames."""
     res = clean_stage(spark, raw, out_dir, skip_cleaning=skip_cleaning)
     star = star_stage(spark, res.paths["clean"], out_dir)
     loaded = load_stage(spark, star, out_dir, load_ts=load_ts, snapshot=snapshot)
-    res.reports["migration_summary"] = document_stage(spark, loaded, out_dir)
-    docs_t = transaction_documents_read(spark, loaded, out_dir)
-    checks = V.run_checks(loaded, as_of=as_of)
-    res.reports["checks"] = checks
-    res.reports["summary"] = V.summarize_checks(checks)
-    res.reports["reconcile"] = L.reconcile_counts(V.row_counts(star), V.row_counts(loaded))
-    rel = V.relational_rows(loaded)
-    res.reports["rows"] = V.compare_rows(rel, docs_t)
+    nulls = {c: N.null_names(spark.read.parquet(res.paths["clean"]), c).first()[0] or 0
+             for c in ("category", "payment_method", "location")}
+    _write_audit(spark, out_dir, [("WARNING", f"{n} rows without a {c}") for c, n in nulls.items() if n])
+    res.reports["migration_summary"] = document_stage(spark, loaded, out_dir, embedded=embedded)
+    checked = validate_stage(spark, loaded, out_dir, as_of=as_of, embedded=embedded)
+    res.reports |= checked
+    res.reports["summary"] = V.summarize_checks(checked["checks"])
+    res.reports["reconcile"] = spark.read.parquet(os.path.join(out_dir, "reconcile", snapshot))
     res.paths["out"] = out_dir
     return res

@@ -218,6 +218,7 @@ ds_items AS (
          CAST(5.0 AS DOUBLE) + CAST(1.5 AS DOUBLE) * CAST(g AS DOUBLE) AS price_per_unit,
          CAST(c.category_id AS INTEGER) AS category_id
   FROM (SELECT DISTINCT p_type, p_partkey % 25 AS g FROM part) q JOIN ds_cat c ON q.p_type = c.category_name
+  UNION ALL SELECT 1000000, 'Item_lost', CAST(9.5 AS DOUBLE), 9999
 ),
 ds_customers AS (
   SELECT 'CUST_' || CAST(c_custkey AS VARCHAR) AS customer_id FROM customer

@@ -258,21 +258,23 @@ ds_sample AS (
   ORDER BY md5(transaction_id), transaction_id LIMIT 5)"""
 
 
-def _row_cmp(rel: str) -> str:
+def _row_cmp(rel: str, docs: str = "ds_docs") -> str:
     return f"""
-SELECT count(*) AS checked, CAST(count_if(missing) AS BIGINT) AS missing_count,
+SELECT CAST(count_if(transaction_id IS NOT NULL) AS BIGINT) AS checked,
+       CAST(count_if(transaction_id IS NULL) AS BIGINT) AS null_ids,
+       CAST(count_if(missing) AS BIGINT) AS missing_count,
        CAST(count_if(qd OR td OR dd) AS BIGINT) AS mismatch_count,
        CAST(count_if(qd) AS BIGINT) AS quantity_mismatches, CAST(count_if(td) AS BIGINT) AS total_mismatches,
        CAST(count_if(dd) AS BIGINT) AS date_mismatches,
        CAST(count_if((qd OR td OR dd) AND NOT dd) AS BIGINT) AS non_date_mismatches
 FROM (
-  SELECT d._id IS NULL AS missing,
+  SELECT r.transaction_id, d._id IS NULL AND r.transaction_id IS NOT NULL AS missing,
          d._id IS NOT NULL AND r.quantity IS DISTINCT FROM d.quantity AS qd,
          d._id IS NOT NULL AND coalesce(abs(r.total_price - d.total_price) > CAST(0.01 AS DOUBLE),
                                         (r.total_price IS NULL) <> (d.total_price IS NULL)) AS td,
          d._id IS NOT NULL AND r.transaction_date IS DISTINCT FROM CAST(d.transaction_date AS DATE) AS dd
   FROM ({rel}) r LEFT JOIN (
-    SELECT _id, quantity, total_price, CAST(transaction_date AS DATE) AS transaction_date FROM ds_docs
+    SELECT _id, quantity, total_price, CAST(transaction_date AS DATE) AS transaction_date FROM {docs}
     WHERE _id IS NOT NULL
     QUALIFY row_number() OVER (PARTITION BY _id ORDER BY quantity DESC NULLS LAST, total_price DESC NULLS LAST,
                                                      CAST(transaction_date AS DATE) DESC NULLS LAST) = 1
@@ -280,7 +282,7 @@ FROM (
 )"""
 
 
-_FULL_ROWS = "SELECT * FROM ds_rel_rows WHERE transaction_id IS NOT NULL"
+_FULL_ROWS = "SELECT * FROM ds_rel_rows"
 _SAMPLE_ROWS = "SELECT * FROM ds_rel_rows WHERE transaction_id IN (SELECT transaction_id FROM ds_sample)"
 
 ORACLE["compare_counts"] = _w(DAMAGED, _DS_COUNTS, body="SELECT * FROM ds_cmp_counts")
@@ -332,17 +334,26 @@ def _stack(section: str, cte: str, cols: list[str], doubles=()) -> str:
                                for c in cols)
 
 
+_BIZ_COLS = ["total_revenue", "avg_order_value", "total_quantity"]
 _REPORT_PARTS = [
+    "SELECT 'relational_counts' AS section, table_name AS metric, CAST(row_count AS VARCHAR) AS value FROM ds_rel_counts",
+    "SELECT 'document_counts', table_name, CAST(row_count AS VARCHAR) FROM ds_doc_counts",
     "SELECT 'checks' AS section, check_name AS metric, CAST(issues AS VARCHAR) AS value FROM ds_checks",
     "SELECT 'counts', table_name, concat_ws('/', CAST(relational_count AS VARCHAR), "
     "CAST(document_count AS VARCHAR)) FROM ds_cmp_counts",
+    _stack("relational_dates", "ds_rel_dates", ["min_date", "max_date"]),
+    _stack("relational_distinct", "ds_rel_distinct", ["distinct_customers", "distinct_items", "distinct_categories"]),
+    _stack("relational_business", "ds_rel_stats", _BIZ_COLS, doubles=_BIZ_COLS[1:]),
+    _stack("document_statistics", "ds_doc_dates", ["min_date", "max_date"]),
+    _stack("document_statistics", "ds_doc_stats", _BIZ_COLS, doubles=_BIZ_COLS[1:]),
+    _stack("orphan_item_categories", "ds_orphan_items", ["issues"]),
     _stack("summary", "ds_summary", ["checks", "total_issues", "failed_checks", "passed"]),
     _stack("metrics", "ds_cmp_metrics", ["relational_revenue", "relational_quantity", "document_revenue",
                                           "document_quantity", "revenue_match", "quantity_match"],
            doubles=("relational_quantity", "document_quantity")),
     _stack("dates", "ds_cmp_dates", ["relational_min", "relational_max", "document_min", "document_max",
                                      "min_match", "max_match"]),
-    _stack("rows", "ds_spot", ["checked", "missing_count", "mismatch_count", "quantity_mismatches",
+    _stack("rows", "ds_spot", ["checked", "null_ids", "missing_count", "mismatch_count", "quantity_mismatches",
                                "total_mismatches", "date_mismatches", "non_date_mismatches"]),
     _stack("status", "ds_status_final", ["record_count_match", "business_match", "dates_match", "critical_issues",
                                          "missing_count", "mismatch_count", "status_compat", "status_strict",
@@ -353,9 +364,56 @@ ORACLE["validation_report"] = _w(
     DAMAGED, _DS_COUNTS, _STATUS,
     "ds_summary AS (SELECT count(*) AS checks, CAST(sum(issues) AS BIGINT) AS total_issues, "
     "CAST(count_if(issues > 0) AS BIGINT) AS failed_checks, sum(issues) = 0 AS passed FROM ds_checks)",
+    "ds_rel_dates AS (SELECT min(transaction_date) AS min_date, max(transaction_date) AS max_date FROM ds_fact)",
+    "ds_doc_dates AS (SELECT CAST(min(transaction_date) AS DATE) AS min_date, "
+    "CAST(max(transaction_date) AS DATE) AS max_date FROM ds_docs)",
+    "ds_rel_distinct AS (SELECT (SELECT count(DISTINCT customer_id) FROM ds_fact) AS distinct_customers, "
+    "(SELECT count(DISTINCT item_id) FROM ds_fact) AS distinct_items, "
+    "(SELECT count(DISTINCT category_id) FROM ds_items) AS distinct_categories)",
+    "ds_orphan_items AS (SELECT count(*) AS issues FROM ds_items i LEFT JOIN ds_cat c "
+    "ON i.category_id = c.category_id WHERE c.category_id IS NULL)",
     "ds_status_final AS (" + _STATUS_FINAL + ")",
     body="\nUNION ALL ".join(_REPORT_PARTS))
 
+
+def _undamaged(text: str) -> str:
+    """The comparison CTEs over the undamaged star and its own documents."""
+    import re
+    for a, b in (("ds_fact", "n_fact"), ("ds_items", "n_items"), ("ds_cat", "n_cat"), ("ds_pm", "n_pm"),
+                 ("ds_loc", "n_loc"), ("ds_customers", "n_cust")):
+        text = re.sub(rf"\b{a}\b", b, text)
+    return text
+
+
+ORACLE["validation_status_undamaged"] = _w(
+    RAW_SALES, CLEAN, STAR, "ds_docs AS (" + _DOC_T + ")", _undamaged(_DS_COUNTS), _undamaged(_STATUS), body=_STATUS_FINAL)
+
+# ------------------------------------------------------------------ the embedded document mode
+ORACLE["doc_counts_embedded"] = starred(f"""
+SELECT 'customers' AS table_name, count(*) AS row_count FROM n_cust
+UNION ALL SELECT 'transactions', count(*) FROM ({_EMB}) e""")
+ORACLE["compare_counts_embedded"] = starred(f"""
+SELECT 'transactions' AS table_name, r.n AS relational_count, d.n AS document_count, r.n = d.n AS match
+FROM (SELECT count(*) AS n FROM n_fact) r, (SELECT count(*) AS n FROM ({_EMB}) e) d""")
+ORACLE["reconcile_rows_embedded"] = _w(RAW_SALES, CLEAN, STAR, "e_docs AS (" + _EMB + ")", body=_row_cmp("""
+  SELECT t.transaction_id, t.quantity, t.total_price, t.transaction_date
+  FROM n_fact t JOIN n_items i ON t.item_id = i.item_id JOIN n_cat c ON i.category_id = c.category_id
+  JOIN n_pm p ON t.payment_method_id = p.payment_method_id JOIN n_loc l ON t.location_id = l.location_id""", "e_docs"))
+
+ORACLE["dim_items_ordinal"] = starred("""
+SELECT CAST(row_number() OVER (ORDER BY d.first, d.item_name, d.category_name NULLS FIRST, d.price_per_unit NULLS FIRST)
+            AS INTEGER) AS item_id, d.item_name, d.price_per_unit, c.category_id
+FROM (SELECT item AS item_name, category AS category_name, price_per_unit,
+             min(CAST(split_part(transaction_id, '_', 2) AS BIGINT) * 8
+                 + CAST(split_part(transaction_id, '_', 3) AS BIGINT)) AS first
+      FROM sales_clean WHERE item IS NOT NULL GROUP BY ALL) d
+LEFT JOIN n_cat c ON d.category_name = c.category_name""")
+ORACLE["dim_id_ranges"] = starred("\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, count(DISTINCT {k}) AS distinct_ids, min({k}) AS least_id, "
+    f"max({k}) AS largest_id FROM {n}"
+    for t, k, n in (("categories", "category_id", "n_cat"), ("payment_methods", "payment_method_id", "n_pm"),
+                    ("locations", "location_id", "n_loc"), ("items", "item_id", "n_items"))))
+
 # ------------------------------------------------------------------ profiling
 from salesq.plans.oracle import raw as _raw  # noqa: E402
 
@@ -520,12 +578,19 @@ JOIN (SELECT 'categories' AS table_name, count(*) AS row_count FROM n_cat
 ON e.table_name = a.table_name""")
 
 ORACLE["migration_summary"] = _w(DAMAGED, _DS_COUNTS, """
+refused AS (
+  SELECT 'categories' AS table_name, count(*) - count(DISTINCT category_id) AS errors FROM ds_cat
+  UNION ALL SELECT 'locations', count(*) - count(DISTINCT location_id) FROM ds_loc
+  UNION ALL SELECT 'payment_methods', count(*) - count(DISTINCT payment_method_id) FROM ds_pm
+  UNION ALL SELECT 'customers', count(*) - count(DISTINCT customer_id) FROM ds_customers
+  UNION ALL SELECT 'items', count(*) - count(DISTINCT i.item_id) FROM ds_items i JOIN ds_cat c ON i.category_id = c.category_id
+  UNION ALL SELECT 'transactions', count(*) - count(DISTINCT _id) FROM ds_docs),
 j AS (SELECT r.table_name, r.row_count AS rows_read, d.row_count AS rows_written,
-             r.row_count - d.row_count AS rows_lost, CAST(0 AS BIGINT) AS errors
-      FROM ds_rel_counts r JOIN ds_doc_counts d ON r.table_name = d.table_name)""", body="""
+             r.row_count - d.row_count AS rows_lost, e.errors
+      FROM ds_rel_counts r JOIN ds_doc_counts d ON r.table_name = d.table_name JOIN refused e ON r.table_name = e.table_name)""", body="""
 SELECT * FROM j UNION ALL
 SELECT '__total__', CAST(sum(rows_read) AS BIGINT), CAST(sum(rows_written) AS BIGINT),
-       CAST(sum(rows_lost) AS BIGINT), CAST(0 AS BIGINT) FROM j""")
+       CAST(sum(rows_lost) AS BIGINT), CAST(sum(errors) AS BIGINT) FROM j""")
 
 ORACLE["source_counts"] = starred("""
 SELECT * FROM (SELECT 'categories' AS table_name, count(*) AS row_count FROM n_cat
@@ -536,4 +601,33 @@ UNION ALL SELECT 'items', count(*) FROM n_items
 UNION ALL SELECT 'transactions', count(*) FROM n_fact)
 UNION ALL SELECT '__total__', (SELECT count(*) FROM n_cat) + (SELECT count(*) FROM n_loc) + (SELECT count(*) FROM n_pm)
    + (SELECT count(*) FROM n_cust) + (SELECT count(*) FROM n_items) + (SELECT count(*) FROM n_fact)""")
-ORACLE["star_scan_counts"] = ORACLE["stats_row_counts"]
+_SCAN_COLS = {
+    ("categories", "n_cat"): {"category_id": "category_id", "category_name": None},
+    ("locations", "n_loc"): {"location_id": "location_id", "location_name": None},
+    ("payment_methods", "n_pm"): {"payment_method_id": "payment_method_id", "payment_method_name": None},
+    ("customers", "n_cust"): {"customer_id": None, "customer_name": None},
+    ("items", "n_items"): {"item_id": "item_id", "item_name": None, "price_per_unit": "price_per_unit",
+                           "category_id": "category_id"},
+    ("transactions", "n_fact"): {"transaction_id": None, "customer_id": None, "item_id": "item_id",
+                                 "payment_method_id": "payment_method_id", "location_id": "location_id",
+                                 "quantity": "round_even(quantity, 0)", "total_price": "total_price",
+                                 "transaction_date": None, "discount_applied": None},
+}
+ORACLE["star_scan_counts"] = starred("\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, CAST(count_if({c} IS NULL) AS BIGINT) AS nulls, "
+    + (f"CAST(sum(CAST({e} AS DECIMAL(18,2))) AS DECIMAL(18,2))" if e else "CAST(NULL AS DECIMAL(18,2))") + f" AS total FROM {n}"
+    for (t, n), cols in _SCAN_COLS.items() for c, e in cols.items()))
+
+_CONTRACT_KEYS = (("categories", "ds_cat", "category_id"), ("categories", "ds_cat", "category_name"),
+                  ("locations", "ds_loc", "location_id"), ("locations", "ds_loc", "location_name"),
+                  ("payment_methods", "ds_pm", "payment_method_id"), ("payment_methods", "ds_pm", "payment_method_name"),
+                  ("customers", "ds_customers", "customer_id"), ("items", "ds_items", "item_id"),
+                  ("items", "ds_items", "item_name,category_id"), ("transactions", "ds_fact", "transaction_id"))
+ORACLE["contract_duplicates"] = damaged("\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{k}' AS key_columns, "
+    f"CAST(coalesce(sum(n - 1) FILTER (WHERE {' AND '.join(c + ' IS NOT NULL' for c in k.split(','))}), 0) AS BIGINT) AS duplicates, "
+    f"CAST(coalesce(sum(n) FILTER (WHERE {' OR '.join(c + ' IS NULL' for c in k.split(','))}), 0) AS BIGINT) AS null_keys "
+    f"FROM (SELECT {k}, count(*) AS n FROM {n} GROUP BY {k})" for t, n, k in _CONTRACT_KEYS))
+ORACLE["upsert_partitioned_fact"] = ORACLE["upsert_transactions"].replace(
+    "ELSE t.updated_at END AS updated_at", "ELSE t.updated_at END AS updated_at,\n       strftime(CASE WHEN s.transaction_id "
+    "IS NOT NULL THEN s.transaction_date ELSE t.transaction_date END, '%Y-%m') AS year_month")

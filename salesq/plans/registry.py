@@ -3,6 +3,7 @@ driver tables through the library operators. SQL twins live in ``oracle_sql``.""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from salesq.functions.expr import count_if, money
 from salesq.operators import clean as C
-from salesq.session import materialize
+from salesq.session import ensure_checkpoint_dir, materialize
 from salesq.sources.fixture import RAW_COLUMNS, raw_sales
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,10 +26,8 @@ def query(name: str):
 
 def _clean(spark, sf_dir) -> C.CleanResult:
     """The clean/recover plan, written once per session (clean once, persist)."""
-    r = C.clean(raw_sales(spark, sf_dir))
-    flagged = materialize(spark, f"clean.flagged:{sf_dir}", lambda: r.flagged)
-    return C.CleanResult(flagged=flagged, clean=flagged.filter(F.col("_drop").isNull()).select(*RAW_COLUMNS),
-                         catalog=r.catalog)
+    flagged = materialize(spark, f"clean.flagged:{sf_dir}", lambda: C.clean(raw_sales(spark, sf_dir)).flagged)
+    return C.CleanResult(flagged=flagged, clean=flagged.filter(F.col("_drop").isNull()).select(*RAW_COLUMNS))
 
 
 def _step_counts(before: DataFrame, after_pred) -> DataFrame:
@@ -155,6 +154,7 @@ def q_stats_clean_business(spark, sf_dir):
 from salesq.operators import star as N  # noqa: E402
 from salesq.operators import documents as D  # noqa: E402
 from salesq.operators import validate as V  # noqa: E402
+from salesq.plans import batch_run as PL  # noqa: E402
 from salesq.sources.fixture import damaged_documents, damaged_star  # noqa: E402
 
 
@@ -205,6 +205,28 @@ def q_dim_items(spark, sf_dir):
     return _star(spark, sf_dir)["items"]
 
 
+@query("dim_items_ordinal")
+def q_dim_items_ordinal(spark, sf_dir):
+    # the order lines' own order, which the transaction ids carry, stands for the row order
+    parts = F.split("transaction_id", "_")
+    clean = _clean(spark, sf_dir).clean.withColumn("ordinal", parts[1].cast("bigint") * 8 + parts[2].cast("bigint"))
+    return N.item_dim(clean, _star(spark, sf_dir)["categories"], ordinal="ordinal")
+
+
+@query("dim_id_ranges")
+def q_dim_id_ranges(spark, sf_dir):
+    """Ids of every dimension are dense: rows, distinct ids and the largest agree."""
+    s = _star(spark, sf_dir)
+    out = None
+    for table, key in (("categories", "category_id"), ("payment_methods", "payment_method_id"),
+                       ("locations", "location_id"), ("items", "item_id")):
+        part = s[table].agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("distinct_ids"),
+                            F.min(key).alias("least_id"), F.max(key).alias("largest_id")).select(
+            F.lit(table).alias("table_name"), "row_count", "distinct_ids", "least_id", "largest_id")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("fact_transactions")
 def q_fact_transactions(spark, sf_dir):
     return _star(spark, sf_dir)["transactions"]
@@ -280,8 +302,8 @@ def q_stats_business(spark, sf_dir):
 AS_OF = "2002-01-01"
 
 
-def _checks(spark, sf_dir):
-    return V.run_checks(damaged_star(spark, sf_dir), as_of=AS_OF)
+def _checks(spark, sf_dir, only=None):
+    return V.run_checks(damaged_star(spark, sf_dir), as_of=AS_OF, only=only)
 
 
 @query("check_orphan_item_category")
@@ -291,27 +313,27 @@ def q_check_orphan_item_category(spark, sf_dir):
 
 @query("check_orphans")
 def q_check_orphans(spark, sf_dir):
-    return _checks(spark, sf_dir).filter(F.col("check_id").between(6, 9))
+    return _checks(spark, sf_dir, list(range(6, 10)))
 
 
 @query("check_price_calc")
 def q_check_price_calc(spark, sf_dir):
-    return _checks(spark, sf_dir).filter(F.col("check_id") == 10)
+    return _checks(spark, sf_dir, [10])
 
 
 @query("check_business_rules")
 def q_check_business_rules(spark, sf_dir):
-    return _checks(spark, sf_dir).filter(F.col("check_id").between(11, 15))
+    return _checks(spark, sf_dir, list(range(11, 16)))
 
 
 @query("check_types_ranges")
 def q_check_types_ranges(spark, sf_dir):
-    return _checks(spark, sf_dir).filter(F.col("check_id").between(16, 20))
+    return _checks(spark, sf_dir, list(range(16, 21)))
 
 
 @query("check_duplicates")
 def q_check_duplicates(spark, sf_dir):
-    return _checks(spark, sf_dir).filter(F.col("check_id").between(21, 22))
+    return _checks(spark, sf_dir, list(range(21, 23)))
 
 
 @query("validation_summary")
@@ -399,27 +421,65 @@ def q_reconcile_rows_full(spark, sf_dir):
     return V.compare_rows(rel, docs["transactions"], sample=None)
 
 
+def _sections(spark, sf_dir, kind, star, documents, **how):
+    """The validation sections of a pair, each computed once a session and written."""
+    built = None
+
+    def get(name):
+        def build():
+            nonlocal built
+            built = built or PL.validation_tables(star(), documents(), as_of=AS_OF, **how)
+            return built[name]
+        return materialize(spark, f"validation.{kind}.{name}:{sf_dir}", build)
+    return {n: get(n) for n in ("relational_counts", "document_counts", "relational_dates", "relational_distinct",
+                                "relational_business", "document_statistics", "orphan_item_categories", "checks",
+                                "counts", "metrics", "dates", "rows")}
+
+
+def _damaged_sections(spark, sf_dir):
+    return _sections(spark, sf_dir, "damaged", lambda: damaged_star(spark, sf_dir),
+                     lambda: _damaged_docs(spark, sf_dir)[1], scale=3)
+
+
 @query("validation_status")
 def q_validation_status(spark, sf_dir):
-    s, docs, counts, metrics, dates, rel = _compare_parts(spark, sf_dir)
-    spot = V.compare_rows(rel, docs["transactions"], sample=None)
-    return V.validation_status(counts, metrics, dates, spot, V.run_checks(s, as_of=AS_OF))
+    return PL.report_of(_damaged_sections(spark, sf_dir))[0]
 
 
 @query("validation_report")
 def q_validation_report(spark, sf_dir):
-    s, docs, counts, metrics, dates, rel = _compare_parts(spark, sf_dir)
-    checks = V.run_checks(s, as_of=AS_OF)
-    spot = V.compare_rows(rel, docs["transactions"], sample=None)
-    status = V.validation_status(counts, metrics, dates, spot, checks)
-    long_checks = checks.select(F.lit("checks").alias("section"), F.col("check_name").alias("metric"),
-                                F.col("issues").cast("string").alias("value"))
-    long_counts = counts.select(F.lit("counts").alias("section"), F.col("table_name").alias("metric"),
-                                F.concat_ws("/", F.col("relational_count").cast("string"),
-                                            F.col("document_count").cast("string")).alias("value"))
-    rest = V.validation_report({"summary": V.summarize_checks(checks), "metrics": metrics,
-                                "dates": dates, "rows": spot, "status": status})
-    return long_checks.unionByName(long_counts).unionByName(rest)
+    return PL.report_of(_damaged_sections(spark, sf_dir))[1]
+
+
+@query("validation_status_undamaged")
+def q_validation_status_undamaged(spark, sf_dir):
+    """The status of a star and its own documents: passed."""
+    sections = _sections(spark, sf_dir, "undamaged", lambda: _star(spark, sf_dir), lambda: _doc_tables(_star(spark, sf_dir)))
+    return PL.report_of(sections)[0]
+
+
+# ------------------------------------------------------------------ the embedded document mode
+
+def _embedded_docs(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return {"customers": D.customer_documents(s["customers"]), "transactions": D.embedded_documents(s)}
+
+
+@query("doc_counts_embedded")
+def q_doc_counts_embedded(spark, sf_dir):
+    return V.row_counts(_embedded_docs(spark, sf_dir), V.EMBEDDED_TABLES)
+
+
+@query("compare_counts_embedded")
+def q_compare_counts_embedded(spark, sf_dir):
+    return V.compare_counts(V.row_counts(_star(spark, sf_dir)),
+                            V.row_counts(_embedded_docs(spark, sf_dir), V.EMBEDDED_TABLES), ["transactions"])
+
+
+@query("reconcile_rows_embedded")
+def q_reconcile_rows_embedded(spark, sf_dir):
+    s = _star(spark, sf_dir)
+    return V.compare_rows(V.relational_rows(s), _embedded_docs(spark, sf_dir)["transactions"])
 
 
 # ------------------------------------------------------------------ profiling (P1–P6) and S1
@@ -431,7 +491,9 @@ from salesq.sources.fixture import raw_sales_text  # noqa: E402
 
 @query("raw_scan")
 def q_raw_scan(spark, sf_dir):
-    return IO.parse_raw(raw_sales_text(spark, sf_dir))
+    """S1 end to end: the feed written as a real CSV and scanned by header name."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/salesq-raw-csv/{uuid.uuid4().hex[:12]}"
+    return IO.read_raw_sales(spark, IO.write_raw_csv(raw_sales_text(spark, sf_dir), path))
 
 
 @query("profile_shape")
@@ -467,7 +529,7 @@ def q_profile_numeric(spark, sf_dir):
 # ------------------------------------------------------------------ load
 
 from salesq.operators import load as L  # noqa: E402
-from salesq.schema import TABLES  # noqa: E402
+from salesq.schema import LOAD_ORDER, TABLES  # noqa: E402
 
 TS1, TS2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
 BATCH1_END = "1997-01-01"
@@ -496,7 +558,7 @@ def q_upsert_customers(spark, sf_dir):
 @query("upsert_items")
 def q_upsert_items(spark, sf_dir):
     clean = _clean(spark, sf_dir).clean
-    star = N.normalize(clean)
+    star = _star(spark, sf_dir)
     items1 = N.item_dim(_batch1(clean), star["categories"])
     t1 = L.upsert_items(L.empty_table(spark, "items"), items1, TS1)
     return L.upsert_items(t1, star["items"], TS2)
@@ -555,7 +617,22 @@ def q_reconcile_counts(spark, sf_dir):
 @query("migration_summary")
 def q_migration_summary(spark, sf_dir):
     s, docs = _damaged_docs(spark, sf_dir)
-    return L.migration_summary(V.row_counts(s), V.row_counts(docs))
+    return L.migration_summary(V.row_counts(s), V.row_counts(docs), L.key_errors(docs))
+
+
+@query("contract_duplicates")
+def q_contract_duplicates(spark, sf_dir):
+    return L.contract_duplicates({n: damaged_star(spark, sf_dir)[n] for n in LOAD_ORDER})
+
+
+@query("upsert_partitioned_fact")
+def q_upsert_partitioned_fact(spark, sf_dir):
+    """Two batches into a month-partitioned table; rows without a date included."""
+    fact = _star(spark, sf_dir)["transactions"]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/salesq-partitioned/{uuid.uuid4().hex[:12]}"
+    L.upsert_partitioned(spark, path, _batch1(fact), TS1)
+    L.upsert_partitioned(spark, path, fact, TS2)
+    return spark.read.option("basePath", path).parquet(path).withColumn("year_month", F.col("year_month").cast("string"))
 
 
 @query("source_counts")
@@ -565,8 +642,18 @@ def q_source_counts(spark, sf_dir):
 
 @query("star_scan_counts")
 def q_star_scan_counts(spark, sf_dir):
-    import uuid
-    from salesq.session import ensure_checkpoint_dir
+    """S3/S7 end to end: the star written as CSV and scanned by header name; rows,
+    NULLs and sums of every column."""
     out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/salesq-star-csv/{uuid.uuid4().hex[:12]}"
     IO.write_star(_star(spark, sf_dir), out, fmt="csv")
-    return V.row_counts(IO.read_star(spark, out, fmt="csv"))
+    result = None
+    for name, df in IO.read_star(spark, out, fmt="csv").items():
+        exprs = []
+        for c, kind in df.dtypes:
+            total = F.sum(F.col(c).cast("decimal(18,2)")) if kind in ("int", "bigint") or kind.startswith("decimal") else F.lit(None)
+            exprs.append(F.struct(F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("row_count"),
+                                  F.sum(F.col(c).isNull().cast("bigint")).alias("nulls"),
+                                  total.cast("decimal(18,2)").alias("total")))
+        part = df.agg(F.array(*exprs).alias("c")).select(F.lit(name).alias("table_name"), F.explode("c").alias("c")).select("table_name", "c.*")
+        result = part if result is None else result.unionByName(part)
+    return result

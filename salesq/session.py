@@ -75,7 +75,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/salesq-cut/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -96,7 +96,7 @@ def materialize(spark: SparkSession, key: str, build) -> DataFrame:
     import re
     import uuid
     k = (spark.sparkContext.applicationId, key)
-    if k not in _MATERIALIZED:
+    if k not in _MATERIALIZED or not path_exists(spark, _MATERIALIZED[k]):
         base = ensure_checkpoint_dir(spark).rstrip("/")
         safe = re.sub(r"[^A-Za-z0-9_.-]+", "_", key)[-120:]
         path = f"{base}/salesq-tables/{safe}-{uuid.uuid4().hex[:12]}"
@@ -119,6 +119,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the Hadoop FileSystem (nothing if missing)."""
+    fs, p = _fs(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def list_dirs(spark: SparkSession, path: str) -> list[str]:
     """Child directory names through the Hadoop FileSystem ([] if missing)."""
     fs, p = _fs(spark, path)

@@ -199,6 +199,10 @@ def build_damaged_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]
                               F.col("p_type")).alias("item_name"),
                      (F.lit(5.0) + F.lit(1.5) * F.col("_g").cast("double")).alias("price_per_unit"),
                      F.col("category_id").cast("int").alias("category_id")))
+    # one item of a category that does not exist (V5)
+    items = items.unionByName(spark.range(1).select(
+        F.lit(1000000).alias("item_id"), F.lit("Item_lost").alias("item_name"), F.lit(9.5).alias("price_per_unit"),
+        F.lit(9999).alias("category_id")))
     cust = read_table(spark, sf_dir, "customer").select("c_custkey")
     customers = (cust.select(F.concat(F.lit("CUST_"), F.col("c_custkey").cast("string")).alias("customer_id"))
                  .unionByName(cust.filter(F.col("c_custkey") < 5)

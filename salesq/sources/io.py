@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from salesq.functions.expr import MISSING_TOKENS
 from salesq.schema import TABLES
+from salesq.session import path_exists
 from salesq.sources.fixture import CSV_HEADERS, RAW_COLUMNS
 
 NUMERIC_RAW = ("price_per_unit", "quantity", "total_spent")
@@ -31,32 +33,61 @@ def parse_raw(text_df: DataFrame, tokens=MISSING_TOKENS) -> DataFrame:
     return text_df.select(*cols)
 
 
+def _read_text_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV with a header, every column as text under its header's name (no
+    inference pass); quotes inside quoted fields are doubled."""
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path)
+
+
 def read_raw_sales(spark: SparkSession, path: str) -> DataFrame:
-    """Scan the raw CSV as text (no inference pass over the data) and parse."""
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in CSV_HEADERS])
-    text = (spark.read.option("header", True).option("nullValue", None).option("emptyValue", "")
-            .schema(schema).csv(path))
-    return parse_raw(text)
+    """Scan the raw CSV as text, find the columns by header name in any order,
+    and parse. A missing column is an error."""
+    return parse_raw(_read_text_csv(spark, path).select(*[F.col(f"`{h}`") for h in CSV_HEADERS]))
+
+
+def write_raw_csv(text_df: DataFrame, path: str) -> str:
+    """The raw feed as the CSV it comes as (header, doubled quotes)."""
+    text_df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    return path
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame | None:
-    """Resume from a clean snapshot if one was written."""
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - missing snapshot means "clean again"
+    """Resume from a clean snapshot if a finished one is there (its folder or
+    the one above has ``_SUCCESS``); any other trouble in reading it rises."""
+    done = [os.path.join(p, "_SUCCESS") for p in (path, os.path.dirname(path.rstrip("/")))]
+    if not any(path_exists(spark, p) for p in done) or not path_exists(spark, path):
         return None
+    return spark.read.parquet(path)
+
+
+def _snake(header: str) -> str:
+    """``CategoryID`` and ``Category ID`` -> ``category_id``; ``category_id`` stays."""
+    return re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", header.strip()).replace(" ", "_").lower()
+
+
+def conform_text(df: DataFrame, spec) -> DataFrame:
+    """Text columns named by header -> the contract's types (L6's rules: whole
+    numbers rounded half-even, what does not fit becomes NULL); other columns stay text."""
+    types = {f.name: f.dataType for f in spec.schema.fields}
+    cols = []
+    for h in df.columns:
+        name = _snake(h)
+        kind = types.get(name, T.StringType())
+        if isinstance(kind, T.IntegerType):
+            c = F.expr(f"try_cast(rint(try_cast(`{h}` AS double)) AS int)")
+        else:
+            c = F.expr(f"try_cast(`{h}` AS {kind.simpleString()})")
+        cols.append(c.alias(name))
+    return df.select(*cols)
 
 
 def read_star(spark: SparkSession, directory: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """The six star tables with their fixed contract schemas (no inference)."""
+    """The six star tables. CSV columns are found by header name and
+    conformed to the contract's types; no inference pass."""
     out = {}
     for name, spec in TABLES.items():
         p = os.path.join(directory, name)
-        if fmt == "csv":
-            fields = [f for f in spec.schema.fields]
-            out[name] = spark.read.option("header", True).schema(T.StructType(fields)).csv(p)
-        else:
-            out[name] = spark.read.parquet(p)
+        out[name] = conform_text(_read_text_csv(spark, p), spec) if fmt == "csv" else spark.read.parquet(p)
     return out
 
 
@@ -66,7 +97,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    getattr(w, fmt)(path) if fmt != "csv" else w.option("header", True).csv(path)
+    getattr(w, fmt)(path) if fmt != "csv" else w.option("header", True).option("escape", '"').csv(path)
     return path
 
 
@@ -98,10 +129,11 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def write_profile(results: dict[str, DataFrame], directory: str) -> dict[str, str]:
-    """Each profile result as a small CSV (single file: they are a few rows)."""
+    """Each profile result as CSV. AQE sizes the files: a summary of a few rows
+    is one, distinct values of a wide column are as many as they need."""
     out = {}
     for name, df in results.items():
         p = os.path.join(directory, name)
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(p)
+        df.hint("rebalance").write.mode("overwrite").option("header", True).csv(p)
         out[name] = p
     return out

@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from salesq.operators.load import upsert_partitioned, upsert_transactions
+from salesq.operators.load import null_key_rejects, upsert_partitioned, upsert_transactions
 from salesq.session import list_dirs, path_exists
 
 
@@ -22,29 +22,48 @@ def _current(spark: SparkSession, target_dir: str, before_batch: int | None = No
     return spark.read.parquet(os.path.join(target_dir, f"batch={ids[-1]}")) if ids else None
 
 
-def upsert_batch(batch_df: DataFrame, batch_id: int, target_dir: str, empty_target: DataFrame, load_ts=None):
+def upsert_batch(batch_df: DataFrame, batch_id: int, target_dir: str, empty_target: DataFrame, load_ts=None,
+                 order_by: list[str] | None = None):
     spark = batch_df.sparkSession
     target = _current(spark, target_dir, before_batch=batch_id)
     if target is None:
         target = empty_target
-    out = upsert_transactions(target, batch_df, load_ts)
+    out = upsert_transactions(target, batch_df, load_ts, order_by)
     out.write.mode("overwrite").parquet(os.path.join(target_dir, f"batch={batch_id}"))
 
 
+def _write_rejects(batch_df: DataFrame, batch_id: int, rejects_dir: str) -> None:
+    """Rows a keyed upsert cannot place, with the reason; a replayed batch
+    rewrites its own folder."""
+    rejects = null_key_rejects(batch_df)
+    if not rejects.isEmpty():
+        rejects.write.mode("overwrite").parquet(os.path.join(rejects_dir, f"batch={batch_id}"))
+
+
 def load_stream(stream_df: DataFrame, target_dir: str, checkpoint: str, empty_target: DataFrame | None = None,
-                load_ts=None, trigger_once: bool = True, mode: str = "snapshot") -> StreamingQuery:
+                load_ts=None, trigger_once: bool = True, mode: str = "partitioned",
+                rejects_dir: str | None = None, order_by: list[str] | None = None) -> StreamingQuery:
     """Start the streaming upsert.
 
-    ``mode='snapshot'``: each batch writes ``batch=<id>`` (read with ``latest``).
     ``mode='partitioned'``: each batch rewrites only the months it touches in
     one month-partitioned table at ``target_dir`` (``upsert_partitioned``);
-    a replayed batch changes nothing, since unchanged rows keep UpdatedAt."""
-    if mode == "partitioned":
-        def fn(df, bid):
-            upsert_partitioned(df.sparkSession, target_dir, df, load_ts)
-    else:
-        def fn(df, bid):
-            upsert_batch(df, bid, target_dir, empty_target, load_ts)
+    a replayed batch changes nothing, since unchanged rows keep UpdatedAt.
+    ``mode='snapshot'``: each batch writes the whole table as ``batch=<id>``
+    (read with ``latest``), for tables small enough to be rewritten.
+    Rows without a key go to ``rejects_dir`` (default ``<target_dir>_rejects``).
+    ``order_by`` names the columns whose greatest row of a key wins in a batch."""
+    rejects_dir = rejects_dir or target_dir.rstrip("/") + "_rejects"
+
+    def fn(df, bid):
+        df = df.persist()
+        try:
+            _write_rejects(df, bid, rejects_dir)
+            if mode == "partitioned":
+                upsert_partitioned(df.sparkSession, target_dir, df, load_ts, order_by=order_by)
+            else:
+                upsert_batch(df, bid, target_dir, empty_target, load_ts, order_by)
+        finally:
+            df.unpersist()
     w = stream_df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if trigger_once else w
     return w.start()

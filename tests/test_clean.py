@@ -80,11 +80,35 @@ def test_completeness_counts(spark):
     assert comp["price_per_unit"] == 1 and comp["quantity"] == 1
 
 
-def test_both_join_paths_agree(spark):
+def test_bucket_count_does_not_matter(spark):
     from salesq.sources.fixture import raw_sales
     from tests.conftest import SF001
     raw = raw_sales(spark, SF001)
     a = C.clean(raw).clean
-    b = C.clean(raw, broadcast_rows=0).clean     # shuffle path for the needy rows only
+    b = C.clean(raw, buckets=3).clean
     assert a.count() == b.count() == 5640
     assert a.exceptAll(b).count() == 0
+
+
+def test_catalogue_means_do_not_depend_on_partitions(spark):
+    rows = [(f"T{i}", "C_1", "A", f"I{i % 7}", round(0.1 * (i % 13) + 0.07, 2), 1.0, 1.0, "x", "y", None, None) for i in range(4000)]
+    df = raw_frame(spark, rows)
+    got = [sorted(map(tuple, C.price_catalog(df.repartition(n)).collect())) for n in (1, 7, 200)]
+    assert got[0] == got[1] == got[2]
+
+
+def test_second_clean_query_writes_nothing(spark):
+    import os
+    import __spark_entry__ as E
+    from salesq.session import ensure_checkpoint_dir
+    from tests.conftest import SF001
+    q = E.queries()
+    q["sales_clean"](spark, SF001).count()
+
+    def folders():
+        base = ensure_checkpoint_dir(spark).removeprefix("file:")
+        return {os.path.join(d, x) for d, names, _ in os.walk(base) for x in names if "salesq" in d}
+    before = folders()
+    for name in ("sales_clean", "clean_dates", "clean_completeness", "cleaning_report"):
+        q[name](spark, SF001).count()
+    assert folders() == before

@@ -19,8 +19,51 @@ def test_csv_round_trip(spark, tmp_out):
     p = os.path.join(tmp_out, "raw_csv")
     raw_sales_text(spark, SF001).write.option("header", True).csv(p)
     back = IO.read_raw_sales(spark, p)
-    assert back.count() == 6000
-    assert back.filter(F.isnan("price_per_unit")).count() == 0
+    from salesq.sources.fixture import raw_sales
+    want = raw_sales(spark, SF001)
+    assert back.exceptAll(want).count() == 0 and want.exceptAll(back).count() == 0
+
+
+def test_raw_csv_by_header_name_with_quotes_and_commas(spark, tmp_out):
+    values = {"Transaction ID": "T1", "Customer ID": "C_1", "Category": 'Food, "fresh"', "Item": 'a ""b"" , c',
+              "Price Per Unit": "2.5", "Quantity": "NaN", "Total Spent": "", "Payment Method": "Cash, or card",
+              "Location": "NULL", "Transaction Date": "2020-01-01", "Discount Applied": "True"}
+    headers = list(reversed(IO.CSV_HEADERS))
+    text = spark.createDataFrame([tuple(values[h] for h in headers)], ", ".join(f"`{h}` string" for h in headers))
+    r = IO.read_raw_sales(spark, IO.write_raw_csv(text, os.path.join(tmp_out, "q"))).first()
+    assert (r["category"], r["item"], r["payment_method"]) == ('Food, "fresh"', 'a ""b"" , c', "Cash, or card")
+    assert r["price_per_unit"] == 2.5 and r["quantity"] is None and r["total_spent"] is None and r["location"] is None
+
+
+def test_star_csv_by_header_name(spark, tmp_out):
+    """Headers in another spelling and order, and numbers as the normaliser writes them."""
+    frames = {
+        "categories": [("CategoryName", "CategoryID"), ("Food", "1")],
+        "locations": [("LocationID", "LocationName"), ("1", "Shop")],
+        "payment_methods": [("PaymentMethodID", "PaymentMethodName"), ("1", "Cash")],
+        "customers": [("CustomerID", "CustomerName"), ("CUST_1", "Customer_1")],
+        "items": [("ItemID", "ItemName", "PricePerUnit", "CategoryID"), ("1", "I1", "5.0", "1")],
+        "transactions": [("TransactionID", "CustomerID", "ItemID", "PaymentMethodID", "LocationID", "Quantity", "TotalPrice",
+                          "TransactionDate", "DiscountApplied"), ("T1", "CUST_1", "1.0", "1", "1", "5.0", "25.5", "2020-02-01", "True")],
+    }
+    for name, (header, row) in frames.items():
+        spark.createDataFrame([row], ", ".join(f"`{h}` string" for h in header)).write.option("header", True).csv(os.path.join(tmp_out, name))
+    star = IO.read_star(spark, tmp_out)
+    t = star["transactions"].first()
+    assert (t["quantity"], t["item_id"], float(t["total_price"]), str(t["transaction_date"]), t["discount_applied"]) == (5, 1, 25.5, "2020-02-01", True)
+    assert star["customers"].first()["customer_name"] == "Customer_1" and star["categories"].first()["category_id"] == 1
+
+
+def test_read_clean_only_forgives_a_missing_snapshot(spark, tmp_out):
+    import pytest
+    assert IO.read_clean(spark, os.path.join(tmp_out, "none")) is None
+    broken = os.path.join(tmp_out, "broken")
+    os.makedirs(broken)
+    open(os.path.join(broken, "_SUCCESS"), "w").close()
+    with open(os.path.join(broken, "part-0.parquet"), "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        IO.read_clean(spark, broken).count()
 
 
 def test_documents_round_trip(spark, tmp_out):
@@ -28,7 +71,7 @@ def test_documents_round_trip(spark, tmp_out):
     docs = E.queries()["docs_transactions"](spark, SF001)
     p = IO.write_documents(docs, os.path.join(tmp_out, "docs"))
     back = IO.read_documents(spark, p, docs.schema)
-    assert back.count() == docs.count()
+    assert back.exceptAll(docs).count() == 0 and docs.exceptAll(back).count() == 0
 
 
 def test_streaming_upsert_matches_batch(spark, tmp_out):
@@ -42,7 +85,7 @@ def test_streaming_upsert_matches_batch(spark, tmp_out):
     empty = spark.createDataFrame([], fact.schema.add("created_at", "timestamp_ntz").add("updated_at", "timestamp_ntz"))
     stream = spark.readStream.schema(fact.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(src, "*"))
     q = load_stream(stream, os.path.join(tmp_out, "target"), os.path.join(tmp_out, "ckpt"), empty,
-                    load_ts="2024-01-01 00:00:00")
+                    load_ts="2024-01-01 00:00:00", mode="snapshot")
     q.awaitTermination(300)
     got = latest(spark, os.path.join(tmp_out, "target"))
     batch = upsert_transactions(empty, fact, "2024-01-01 00:00:00")
@@ -54,7 +97,8 @@ def test_streaming_upsert_matches_batch(spark, tmp_out):
                      load_ts="2024-01-01 00:00:00", mode="partitioned")
     q2.awaitTermination(300)
     pm = spark.read.parquet(os.path.join(tmp_out, "target_pm")).drop("year_month")
-    assert pm.exceptAll(batch.filter(F.col("transaction_date").isNotNull()).select(*pm.columns)).count() == 0
+    assert pm.exceptAll(batch.select(*pm.columns)).count() == 0
+    assert pm.count() == batch.count()      # rows without a date are there too
 
 
 def test_pipeline_end_to_end_and_rerun(spark, tmp_out):
@@ -68,6 +112,21 @@ def test_pipeline_end_to_end_and_rerun(spark, tmp_out):
     recon = {r["table_name"]: r["passed"] for r in res.reports["reconcile"].collect()}
     # multi-price items collapse to one row per (name, category): fewer than the star rows
     assert recon["categories"] is True and recon["items"] is False and recon["transactions"] is False
+    events = {r["event"]: r["message"] for r in spark.read.parquet(os.path.join(tmp_out, "audit")).collect()}
+    assert "RECONCILIATION_SUCCESS" in events and "RECONCILIATION_FAILURE" in events
+    assert "MIGRATION_INCOMPLETE" in events and "MIGRATION_COMPLETE" not in events
+    assert res.reports["status"].first()["status_compat"] == "PASSED - EXCELLENT"
+    sections = {r["section"] for r in res.reports["report"].collect()}
+    assert {"relational_counts", "document_counts", "relational_business", "document_statistics", "checks", "counts",
+            "metrics", "dates", "rows", "summary", "status"} <= sections
+    assert os.path.exists(os.path.join(tmp_out, "validation", "report", "_SUCCESS"))
+    from salesq.plans.batch_run import document_stage, validate_stage, LOAD_ORDER
+    loaded = {n: spark.read.parquet(os.path.join(tmp_out, "relational", "snapshot=v1", n)) for n in LOAD_ORDER}
+    emb = os.path.join(tmp_out, "emb")
+    document_stage(spark, loaded, emb, embedded=True)
+    tables = validate_stage(spark, loaded, emb, as_of="2002-01-01", embedded=True)
+    assert [r["table_name"] for r in tables["counts"].collect()] == ["transactions"]
+    assert tables["rows"].first()["missing_count"] == 0 and tables["status"].first()["status_compat"] == "PASSED - EXCELLENT"
     rows = res.reports["rows"].first()
     assert rows["missing_count"] == 0 and rows["mismatch_count"] == 0
     summ = {r["table_name"]: r for r in res.reports["migration_summary"].collect()}
@@ -111,3 +170,46 @@ def test_resume_dry_run_profile_and_audit(spark, tmp_out):
     assert spark.read.option("header", True).csv(paths["missing"]).count() == 11
     quarantine = spark.read.parquet(first.paths["quarantine"])                  # S6
     assert quarantine.count() == 33 + 298
+
+
+def test_snapshots_are_ordered_by_number(spark, tmp_out):
+    from salesq.plans.batch_run import _latest_snapshot
+    for v in (1, 2, 9, 10):
+        for name in ("categories",):
+            p = os.path.join(tmp_out, f"snapshot=v{v}", name)
+            spark.createDataFrame([(v, f"c{v}", None, None)], IO.TABLES[name].schema).write.parquet(p)
+
+    def newest(**how):
+        return _latest_snapshot(spark, tmp_out, **how)["categories"].first()["category_id"]
+    assert newest(before="v10") == 9 and newest(before="v9") == 2 and newest() == 10
+    assert _latest_snapshot(spark, tmp_out, before="v1") is None
+
+
+def test_stream_modes_agree_and_null_keys_are_rejected(spark, tmp_out):
+    import datetime as dt
+    from salesq.streaming.incremental import latest, load_stream
+    schema = ("transaction_id string, customer_id string, item_id int, payment_method_id int, location_id int, "
+              "quantity double, total_price double, transaction_date date, discount_applied boolean")
+
+    def row(i, q, d):
+        return (i, "C", 1, 1, 1, q, 5.0, d, True)
+    batches = [[row("A", 1.0, dt.date(2020, 1, 5)), row("B", 1.0, None), row(None, 9.0, dt.date(2020, 1, 1)), row("D", 1.0, dt.date(2020, 3, 1))],
+               [row("A", 2.0, None), row("B", 2.0, dt.date(2020, 2, 1)), row("E", 1.0, None)],
+               [row("D", 3.0, dt.date(2020, 1, 9)), row(None, 1.0, None)], [row(None, 7.0, None)]]
+    src = os.path.join(tmp_out, "in")
+    for k, b in enumerate(batches):
+        spark.createDataFrame(b, schema).coalesce(1).write.parquet(os.path.join(src, f"b{k}"))
+    empty = spark.createDataFrame([], spark.createDataFrame([], schema).schema.add("created_at", "timestamp_ntz").add("updated_at", "timestamp_ntz"))
+    for mode in ("snapshot", "partitioned"):
+        for k in range(len(batches)):     # one run a batch: the order is that of the list
+            stream = spark.readStream.schema(schema).parquet(os.path.join(src, f"[b][0-{k}]"))
+            load_stream(stream, os.path.join(tmp_out, mode), os.path.join(tmp_out, f"ck_{mode}"), empty,
+                        load_ts=f"2024-01-0{k + 1} 00:00:00", mode=mode).awaitTermination(300)
+    a = latest(spark, os.path.join(tmp_out, "snapshot"))
+    p = os.path.join(tmp_out, "partitioned")
+    b = spark.read.option("basePath", p).parquet(p)
+    assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count() == 4
+    got = {r["transaction_id"]: (r["quantity"], str(r["transaction_date"]), r["year_month"]) for r in b.collect()}
+    assert got == {"A": (2.0, "None", None), "B": (2.0, "2020-02-01", "2020-02"), "D": (3.0, "2020-01-09", "2020-01"), "E": (1.0, "None", None)}
+    rejects = spark.read.parquet(p + "_rejects")
+    assert rejects.count() == 3 and rejects.select("reasons").distinct().collect()[0][0] == ["null:transaction_id"]

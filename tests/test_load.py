@@ -129,3 +129,63 @@ def test_null_dimension_names_reported(spark):
     assert N.null_names(df, "category").first()["null_names"] == 2
     assert sorted(r["category_name"] for r in N.surrogate_dim(df, "category", "category_id", "category_name")
                   .collect()) == ["A", "B"]
+
+
+def _fact(spark, rows):
+    schema = ("transaction_id string, customer_id string, item_id int, payment_method_id int, location_id int, "
+              "quantity double, total_price double, transaction_date date, discount_applied boolean")
+    return spark.createDataFrame([(i, "C", 1, 1, 1, q, 5.0, d, True) for i, q, d in rows], schema)
+
+
+def test_partitioned_upsert_keeps_rows_without_a_date_and_empty_batches(spark, tmp_out):
+    import os
+    target = os.path.join(tmp_out, "fact")
+    assert L.upsert_partitioned(spark, target, _fact(spark, []), "2024-01-01 00:00:00") == []
+    L.upsert_partitioned(spark, target, _fact(spark, [("A", 1.0, dt.date(2020, 1, 5))]), "2024-01-01 00:00:00")
+    batch = _fact(spark, [("A", 2.0, None), ("B", 1.0, None), ("Z", 1.0, dt.date(2020, 2, 1))])
+    assert L.upsert_partitioned(spark, target, batch, "2024-01-02 00:00:00") == ["2020-01", "2020-02", None]
+    assert not os.path.exists(os.path.join(target, "year_month=2020-01"))      # A moved out, nothing is left
+    assert L.upsert_partitioned(spark, target, _fact(spark, []), "2024-01-03 00:00:00") == []
+    got = {r["transaction_id"]: (r["quantity"], r["year_month"]) for r in spark.read.parquet(target).collect()}
+    assert got == {"A": (2.0, None), "B": (1.0, None), "Z": (1.0, "2020-02")}
+    # only rows without a date remain in a batch: still loaded
+    assert L.upsert_partitioned(spark, target, _fact(spark, [("B", 5.0, None)]), "2024-01-04 00:00:00") == [None]
+    assert {r["transaction_id"]: r["quantity"] for r in spark.read.parquet(target).collect()}["B"] == 5.0
+
+
+def test_last_row_wins_by_ordinal(spark):
+    src = _fact(spark, [("A", 9.0, dt.date(2020, 1, 1)), ("A", 1.0, dt.date(2020, 1, 2))]).withColumn(
+        "line", F.when(F.col("quantity") == 9.0, 1).otherwise(2))
+    empty = spark.createDataFrame([], src.drop("line").schema.add("created_at", "timestamp_ntz").add("updated_at", "timestamp_ntz"))
+    assert L.upsert_transactions(empty, src, "2024-01-01 00:00:00").first()["quantity"] == 9.0      # greatest values
+    assert L.upsert_transactions(empty, src, "2024-01-01 00:00:00", order_by=["line"]).first()["quantity"] == 1.0
+
+
+def test_many_new_items_get_unique_dense_ids(spark):
+    n = 500_000
+    items = spark.range(n).select((F.col("id") + 1).cast("int").alias("item_id"), F.format_string("i%07d", (F.col("id") * 7919) % n).alias("item_name"),
+                                  (F.col("id") % 900 / 4).alias("price_per_unit"), (F.col("id") % 50).cast("int").alias("category_id"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
+    try:
+        t = L.upsert_items(L.empty_table(spark, "items"), items, "2024-01-01 00:00:00")
+        r = t.agg(F.count(F.lit(1)), F.count_distinct("item_id"), F.min("item_id"), F.max("item_id")).first()
+        assert tuple(r) == (n, n, 1, n)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_items_without_category_are_not_added_again(spark):
+    src = spark.createDataFrame([(1, "I", 10.0, None)], "item_id int, item_name string, price_per_unit double, category_id int")
+    one = L.upsert_items(L.empty_table(spark, "items"), src, "2024-01-01 00:00:00")
+    two = L.upsert_items(one, src.withColumn("price_per_unit", F.lit(11.0)), "2024-01-02 00:00:00").collect()
+    assert len(two) == 1 and float(two[0]["price_per_unit"]) == 11.0
+
+
+def test_contract_duplicates_and_key_errors(spark):
+    cats = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (3, None)], "category_id int, category_name string")
+    got = {(r["table_name"], r["key_columns"]): (r["duplicates"], r["null_keys"]) for r in L.contract_duplicates({"categories": cats}).collect()}
+    assert got == {("categories", "category_id"): (1, 0), ("categories", "category_name"): (1, 1)}
+    docs = spark.createDataFrame([("x",), ("x",), (None,)], "_id string")
+    summary = L.migration_summary(spark.createDataFrame([("d", 3)], "table_name string, row_count long"),
+                                  spark.createDataFrame([("d", 3)], "table_name string, row_count long"), L.key_errors({"d": docs}))
+    assert {r["table_name"]: r["errors"] for r in summary.collect()} == {"d": 2, "__total__": 2}

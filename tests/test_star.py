@@ -43,3 +43,25 @@ def test_unknown_category_kept_left_lost_inner(spark):
     assert N.denormalize_flat(star).count() == 1
     assert D.item_documents(star["items"], star["categories"]).count() == 0
     assert D.embedded_documents(star).count() == 0
+
+
+def test_ids_are_unique_with_payload_columns_and_several_ranges(spark):
+    n = 500_000
+    df = spark.range(n).select(((F.col("id") * 7919) % n).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("payload"))
+    for parts in (7, None):
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2MB")
+        try:
+            got = assign_ids(df, ["k"], "kid", num_partitions=parts)
+            r = got.agg(F.count(F.lit(1)), F.count_distinct("kid"), F.max("kid"), F.sum((F.col("kid") != F.col("k") + 1).cast("int"))).first()
+            assert tuple(r) == (n, n, n, 0)
+            assert got.columns == ["kid", "k", "payload"]
+        finally:
+            spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_item_ids_by_first_appearance(spark):
+    clean = spark.createDataFrame([("z", 9), ("a", 5), ("z", 1)], "item string, line int").select(
+        "item", F.lit("C").alias("category"), F.lit(1.0).alias("price_per_unit"), "line")
+    cats = spark.createDataFrame([(1, "C")], "category_id int, category_name string")
+    assert {r["item_name"]: r["item_id"] for r in N.item_dim(clean, cats, ordinal="line").collect()} == {"z": 1, "a": 2}
+    assert {r["item_name"]: r["item_id"] for r in N.item_dim(clean, cats).collect()} == {"a": 1, "z": 2}

@@ -72,3 +72,31 @@ def test_checks_with_hot_and_null_keys_match_pandas(spark):
     }
     for k, v in exp.items():
         assert got[k] == v, (k, got[k], v)
+
+
+def test_rows_without_an_id_are_reported(spark):
+    rel = _rel(spark, [(None, 1.0, 5.0, dt.date(2020, 1, 1)), ("A", 1.0, 5.0, dt.date(2020, 1, 1))])
+    docs = _docs(spark, [("A", 1.0, 5.0, dt.datetime(2020, 1, 1)), (None, 1.0, 5.0, dt.datetime(2020, 1, 1))])
+    r = V.compare_rows(rel, docs).first()
+    assert (r["checked"], r["null_ids"], r["missing_count"], r["mismatch_count"]) == (1, 1, 0, 0)
+
+
+def test_orphan_checks_join_counts_not_rows(spark, monkeypatch):
+    """A hot and a NULL key are counted map-side: the join reads one row a key."""
+    from pyspark.sql import functions as F
+    fact = spark.range(200_000).select(F.when(F.col("id") % 2 == 0, F.lit("HOT")).when(F.col("id") % 4 == 1, F.lit(None))
+                                       .otherwise(F.concat(F.lit("C"), F.col("id") % 100)).alias("customer_id"))
+    parents = spark.createDataFrame([("HOT",), ("C3",)], "customer_id string")
+    df = V.orphan_count(fact, "customer_id", parents)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join LeftAnti"):]
+    assert below.split("\n")[1].strip(" +-:").startswith("Aggregate")
+    assert df.first()["_issues"] == 100_000 - 2_000
+
+
+def test_only_builds_only_what_is_asked(spark):
+    from salesq.sources.fixture import damaged_star
+    from tests.conftest import SF001
+    star = damaged_star(spark, SF001)
+    plan = V.run_checks(star, as_of="2002-01-01", only=[11, 12])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Relation") == 1 and "customer_id" not in plan.split("Relation")[0]
