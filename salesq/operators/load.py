@@ -207,8 +207,9 @@ def split_valid(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] |
     return valid, rejects
 
 
-def check_rows(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None) -> DataFrame:
-    """L6 in one pass: each row once, with the conformed values (valid rows),
+def check_rows(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None,
+               carry: list[str] | None = None) -> DataFrame:
+    """L6 in one pass (columns of ``carry``, e.g. an ordinal, go along unchecked): each row once, with the conformed values (valid rows),
     the original values (rejected rows), the reasons and ``_ok``. Written
     partitioned by ``_ok``, it is split by partition pruning instead of
     evaluating the checks twice."""
@@ -217,6 +218,7 @@ def check_rows(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | N
     names = [f.name for f in spec.schema.fields if f.name in df.columns]
     return j.select(
         *[F.when(ok, conv[n] if n in conv else F.col(n)).alias(n) for n in names],
+        *[F.col(c) for c in carry or [] if c not in names],
         *[F.when(~ok, F.col(c)).alias(f"_orig_{c}") for c in df.columns],
         F.when(~ok, F.col("reasons")).alias("reasons"),
         ok.alias("_ok"))
@@ -227,8 +229,9 @@ def _ok() -> Column:
     return F.lower(F.col("_ok").cast("string")) == F.lit("true")
 
 
-def valid_part(checked: DataFrame, spec: TableSpec) -> DataFrame:
-    return checked.filter(_ok()).select(*[f.name for f in spec.schema.fields if f.name in checked.columns])
+def valid_part(checked: DataFrame, spec: TableSpec, carry: list[str] | None = None) -> DataFrame:
+    names = [f.name for f in spec.schema.fields if f.name in checked.columns]
+    return checked.filter(_ok()).select(*names, *[c for c in carry or [] if c not in names])
 
 
 def reject_part(checked: DataFrame) -> DataFrame:

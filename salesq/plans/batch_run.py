@@ -21,7 +21,7 @@ from salesq.operators import load as L
 from salesq.operators import star as N
 from salesq.operators import validate as V
 from salesq.schema import LOAD_ORDER, TABLES
-from salesq.session import list_dirs, path_exists
+from salesq.session import list_dirs, path_exists, scratch
 from salesq.sources import io as IO
 from salesq.sources.fixture import RAW_COLUMNS
 
@@ -49,10 +49,11 @@ def clean_stage(spark: SparkSession, raw: DataFrame, out_dir: str, skip_cleaning
     if skip_cleaning and IO.read_clean(spark, clean_p) is not None:
         res.paths["clean"] = clean_p
         return res
-    r = C.clean(raw, include_unmatched=include_unmatched)
-    IO.write_table(r.flagged.withColumn("_live", F.col("_drop").isNull()), flagged_p, partition_by=["_live"])
-    if not path_exists(spark, clean_p):       # no row stays: an empty clean table
-        IO.write_table(r.flagged.limit(0), clean_p)
+    with scratch(spark):
+        r = C.clean(raw, include_unmatched=include_unmatched)
+        IO.write_table(r.flagged.withColumn("_live", F.col("_drop").isNull()), flagged_p, partition_by=["_live"])
+        if not path_exists(spark, clean_p):       # no row stays: an empty clean table
+            IO.write_table(r.flagged.limit(0), clean_p)
     flagged = spark.read.parquet(flagged_p)
     live = F.lower(F.col("_live").cast("string")) == "true"
     cr = C.CleanResult(flagged=flagged, clean=flagged.filter(live).select(*RAW_COLUMNS), include_unmatched=include_unmatched)
@@ -73,13 +74,13 @@ def star_stage(spark: SparkSession, clean_path: str, out_dir: str) -> dict[str,
     def keep(name, df):        # dimensions first; items and fact join the *written* ones
         IO.write_table(df, os.path.join(star_dir, name))
         dims[name] = spark.read.parquet(os.path.join(star_dir, name))
-    keep("categories", N.surrogate_dim(clean, "category", "category_id", "category_name"))
-    keep("customers", N.customer_dim(clean))
-    keep("payment_methods", N.surrogate_dim(clean, "payment_method", "payment_method_id", "payment_method_name"))
-    keep("locations", N.surrogate_dim(clean, "location", "location_id", "location_name"))
-    keep("items", N.item_dim(clean, dims["categories"]))
-    fact = N.build_fact(clean, dims)
-    IO.write_star({"transactions": fact}, star_dir)
+    with scratch(spark):
+        keep("categories", N.surrogate_dim(clean, "category", "category_id", "category_name"))
+        keep("customers", N.customer_dim(clean))
+        keep("payment_methods", N.surrogate_dim(clean, "payment_method", "payment_method_id", "payment_method_name"))
+        keep("locations", N.surrogate_dim(clean, "location", "location_id", "location_name"))
+        keep("items", N.item_dim(clean, dims["categories"]))
+        IO.write_star({"transactions": N.build_fact(clean, dims)}, star_dir)
     written = IO.read_star(spark, star_dir, fmt="parquet")
     written["transactions"] = written["transactions"].drop("year_month")
     IO.write_table(N.denormalize_flat(written), os.path.join(out_dir, "flat"))
@@ -95,37 +96,39 @@ def load_stage(spark: SparkSession, star: dict[str, DataFrame], out_dir: str, lo
     prev = _latest_snapshot(spark, rel_dir, before=snapshot)
     events = [("MIGRATION_START", f"snapshot {snapshot}")]
     loaded: dict[str, DataFrame] = {}
-    for name in LOAD_ORDER:
-        src = L.remap_keys(star[name], star, loaded)     # ids by natural key, never copied
-        if name == "transactions":
-            src = L.fill_defaults(src)
-        checked_p = os.path.join(out_dir, "checked", snapshot, name)
-        IO.write_table(L.check_rows(src, TABLES[name], parents=loaded), checked_p, partition_by=["_ok"])
-        checked = spark.read.parquet(checked_p)
-        valid = L.valid_part(checked, TABLES[name])
-        target = prev.get(name) if prev else None
-        if target is None:
-            target = L.empty_table(spark, name) if name != "transactions" else None
-        if name in ("categories", "locations", "payment_methods"):
-            id_col = TABLES[name].pk[0]
-            name_col = TABLES[name].unique[0][0]
-            new = L.upsert_dimension(target, valid.select(name_col), id_col, name_col, load_ts)
-        elif name == "customers":
-            new = L.upsert_customers(target, valid, load_ts)
-        elif name == "items":
-            new = L.upsert_items(target, valid, load_ts)
-        else:
+    with scratch(spark):
+        for name in LOAD_ORDER:
+            src = L.remap_keys(star[name], star, loaded)     # ids by natural key, never copied
+            if name == "transactions":
+                src = L.fill_defaults(src)
+            checked_p = os.path.join(out_dir, "checked", snapshot, name)
+            carry = order_by if name == "transactions" else None
+            IO.write_table(L.check_rows(src, TABLES[name], parents=loaded, carry=carry), checked_p, partition_by=["_ok"])
+            checked = spark.read.parquet(checked_p)
+            valid = L.valid_part(checked, TABLES[name], carry)
+            target = prev.get(name) if prev else None
             if target is None:
-                target = spark.createDataFrame([], valid.schema.add("created_at", "timestamp_ntz")
-                                               .add("updated_at", "timestamp_ntz"))
-            new = L.upsert_transactions(target, valid, load_ts, order_by)
-            odd = L.non_integral_count(src).first()[0]
-            if odd:
-                events.append(("WARNING", f"{odd} non-integral quantities were rounded"))
-        p = os.path.join(rel_dir, f"snapshot={snapshot}", name)
-        IO.write_table(new, p)
-        loaded[name] = spark.read.parquet(p)
-        events.append(("TABLE_LOADED", name))
+                target = L.empty_table(spark, name) if name != "transactions" else None
+            if name in ("categories", "locations", "payment_methods"):
+                id_col = TABLES[name].pk[0]
+                name_col = TABLES[name].unique[0][0]
+                new = L.upsert_dimension(target, valid.select(name_col), id_col, name_col, load_ts)
+            elif name == "customers":
+                new = L.upsert_customers(target, valid, load_ts)
+            elif name == "items":
+                new = L.upsert_items(target, valid, load_ts)
+            else:
+                if target is None:
+                    target = spark.createDataFrame([], L.valid_part(checked, TABLES[name]).schema
+                                                   .add("created_at", "timestamp_ntz").add("updated_at", "timestamp_ntz"))
+                new = L.upsert_transactions(target, valid, load_ts, order_by)
+                odd = L.non_integral_count(src).first()[0]
+                if odd:
+                    events.append(("WARNING", f"{odd} non-integral quantities were rounded"))
+            p = os.path.join(rel_dir, f"snapshot={snapshot}", name)
+            IO.write_table(new, p)
+            loaded[name] = spark.read.parquet(p)
+            events.append(("TABLE_LOADED", name))
     recon_p = os.path.join(out_dir, "reconcile", snapshot)
     IO.write_table(L.reconcile_counts(V.row_counts(star, LOAD_ORDER), V.row_counts(loaded, LOAD_ORDER)).coalesce(1), recon_p)
     failed = 0

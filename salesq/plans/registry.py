@@ -162,21 +162,19 @@ def _star(spark, sf_dir):
     """The six star tables, each written once per session (S7). Dimensions are
     written first and the items and the fact are built from the written ones,
     so no surrogate-key plan is evaluated twice."""
-    key = f"star:{sf_dir}"
-
     def clean():
         return _clean(spark, sf_dir).clean
 
-    cats = materialize(spark, f"{key}.categories",
+    cats = materialize(spark, f"star.categories:{sf_dir}",
                        lambda: N.surrogate_dim(clean(), "category", "category_id", "category_name"))
-    pms = materialize(spark, f"{key}.payment_methods",
+    pms = materialize(spark, f"star.payment_methods:{sf_dir}",
                       lambda: N.surrogate_dim(clean(), "payment_method", "payment_method_id", "payment_method_name"))
-    locs = materialize(spark, f"{key}.locations",
+    locs = materialize(spark, f"star.locations:{sf_dir}",
                        lambda: N.surrogate_dim(clean(), "location", "location_id", "location_name"))
-    custs = materialize(spark, f"{key}.customers", lambda: N.customer_dim(clean()))
-    items = materialize(spark, f"{key}.items", lambda: N.item_dim(clean(), cats))
+    custs = materialize(spark, f"star.customers:{sf_dir}", lambda: N.customer_dim(clean()))
+    items = materialize(spark, f"star.items:{sf_dir}", lambda: N.item_dim(clean(), cats))
     dims = {"categories": cats, "customers": custs, "payment_methods": pms, "locations": locs, "items": items}
-    fact = materialize(spark, f"{key}.transactions", lambda: N.build_fact(clean(), dims))
+    fact = materialize(spark, f"star.transactions:{sf_dir}", lambda: N.build_fact(clean(), dims))
     return {**dims, "transactions": fact}
 
 

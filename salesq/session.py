@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +65,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Intermediate tables written inside are removed on leaving: for a stage that
+    has stored its own results by then, and returns nothing that reads them."""
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        for path in _SCRATCH.pop():
+            delete_path(spark, path)
+
+
+def note_scratch(path: str) -> str:
+    """Record an intermediate table for the innermost ``scratch`` (if any)."""
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
+    return path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as parquet into the shared checkpoint folder and read it back.
 
@@ -73,7 +96,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     import uuid
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/salesq-cut/{uuid.uuid4().hex}"
+    path = note_scratch(f"{base}/salesq-cut/{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -86,16 +109,26 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-_MATERIALIZED: dict[tuple[str, str], str] = {}
+_MATERIALIZED: dict[tuple, str] = {}
+
+
+def _source_version(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of a source folder's entries."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return ()
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p)))
 
 
 def materialize(spark: SparkSession, key: str, build) -> DataFrame:
     """Write ``build()`` once per session as parquet under the shared checkpoint
     folder and read it back: cuts lineage (a plain scan replaces a deep plan)
-    and survives executor loss, unlike a local checkpoint."""
+    and survives executor loss, unlike a local checkpoint. ``key`` is
+    ``<name>:<source folder>``; if a file of the source folder changes, the table
+    is built anew."""
     import re
     import uuid
-    k = (spark.sparkContext.applicationId, key)
+    k = (spark.sparkContext.applicationId, key, _source_version(spark, key.partition(":")[2]))
     if k not in _MATERIALIZED or not path_exists(spark, _MATERIALIZED[k]):
         base = ensure_checkpoint_dir(spark).rstrip("/")
         safe = re.sub(r"[^A-Za-z0-9_.-]+", "_", key)[-120:]
