@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesq.session import ensure_checkpoint_dir
+from salesq.session import ensure_checkpoint_dir, note_scratch
 
 # The contracts' word: a run of code points other than space and \x09-\x0D.
 # ``bytes.split()`` cuts UTF-8 at exactly these six bytes.
@@ -18,7 +18,7 @@ HELD_OUT_REMAINDER, FOLDS = 2, 4
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/salesq-llm/{name}-{uuid.uuid4().hex[:12]}"
+    return note_scratch(f"{base}/salesq-llm/{name}-{uuid.uuid4().hex[:12]}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
