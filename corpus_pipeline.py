@@ -17,8 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from salesq.llm import language_id, mixing, sentencepieces, simhash, token_counts, toxicity
-from salesq.llm.common import written
-from salesq.session import read_table
+from salesq.llm.common import shared_path
+from salesq.session import read_table, scratch
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,5 +59,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage; every earlier one is written as Parquet and read again."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = shared_path(spark, f"stage-{name}")
+        with scratch(spark):  # a stage's own intermediate tables go when its result is written
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
