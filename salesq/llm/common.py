@@ -15,6 +15,30 @@ WORD = r"[^\x20\x09-\x0D]+"
 HELD_OUT_REMAINDER, FOLDS = 2, 4
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors (once an application), for
+    sessions whose Python workers cannot import it from their own path."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    import salesq
+
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(salesq.__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="salesq-ship-")) / "salesq_package.zip"  # Spark copies it from here
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(path))
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

@@ -5,21 +5,27 @@ Each applies its operator, with production parameters, to its whole table."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesq.llm import (html_text, language_id, mixing, perplexity, pivot_index, sentencepieces, simhash, token_counts,
                         toxicity, url_filter)
+from salesq.llm.common import ship
+from salesq.llm.oracle import ORACLE  # noqa: F401
 from salesq.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+    QUERIES[fn.__name__] = shipped
+    return shipped
 
 
 @query
@@ -74,7 +80,7 @@ def op9_url_filter(spark, sf_dir):
     number = F.regexp_extract(url_filter.url_parts(F.col("url"))[1], r"/([0-9]{1,18})[^0-9]*$", 1).try_cast("long")
     labels = read_table(spark, sf_dir, "labels").filter("quality is not null").select("doc_id", (F.col("quality") == 0).alias("reject"))
     marks = pages.select("page_id", number.alias("doc_id")).join(labels, "doc_id").select("page_id", "reject")
-    return url_filter.judge(pages, marks)
+    return url_filter.judge(pages, marks).withColumn("purity", F.round("purity", 6))
 
 
 @query
