@@ -17,19 +17,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from salesq.llm import language_id, mixing, sentencepieces, simhash, token_counts, toxicity
-from salesq.llm.common import shared_path
+from salesq.llm.common import shared_path, ship
 from salesq.session import read_table, scratch
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return toxicity.accepted(docs, read_table(spark, sf_dir, "labels"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return language_id.accepted(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     return simhash.keep_one(docs)
 
 
@@ -39,6 +42,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
+    ship(spark)
     return sentencepieces.encode(docs, public_tokenizers.path(token_counts.MODEL))
 
 
