@@ -631,3 +631,11 @@ ORACLE["contract_duplicates"] = damaged("\nUNION ALL ".join(
 ORACLE["upsert_partitioned_fact"] = ORACLE["upsert_transactions"].replace(
     "ELSE t.updated_at END AS updated_at", "ELSE t.updated_at END AS updated_at,\n       strftime(CASE WHEN s.transaction_id "
     "IS NOT NULL THEN s.transaction_date ELSE t.transaction_date END, '%Y-%m') AS year_month")
+
+# ------------------------------------------------------------------ written stages read back
+ORACLE["clean_snapshot_resume"] = ORACLE["sales_clean"]
+ORACLE["quarantine_snapshot"] = ORACLE["clean_quarantine"]
+ORACLE["star_scan_parquet"] = ORACLE["fact_transactions"]
+ORACLE["flat_snapshot"] = ORACLE["denorm_flat"]
+ORACLE["docs_round_trip"] = ORACLE["docs_transactions"]
+ORACLE["profile_snapshot"] = ORACLE["profile_missing"]

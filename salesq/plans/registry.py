@@ -655,3 +655,52 @@ def q_star_scan_counts(spark, sf_dir):
         part = df.agg(F.array(*exprs).alias("c")).select(F.lit(name).alias("table_name"), F.explode("c").alias("c")).select("table_name", "c.*")
         result = part if result is None else result.unionByName(part)
     return result
+
+
+# ------------------------------------------------------------------ written stages read back
+
+def _folder(spark, name):
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/salesq-{name}/{uuid.uuid4().hex[:12]}"
+
+
+@query("clean_snapshot_resume")
+def q_clean_snapshot_resume(spark, sf_dir):
+    """The clean stage written, then resumed from its snapshot."""
+    out, raw = _folder(spark, "clean-run"), raw_sales(spark, sf_dir)
+    PL.clean_stage(spark, raw, out)
+    resumed = PL.clean_stage(spark, raw, out, skip_cleaning=True)
+    return IO.read_clean(spark, resumed.paths["clean"]).select(*RAW_COLUMNS)
+
+
+@query("quarantine_snapshot")
+def q_quarantine_snapshot(spark, sf_dir):
+    """The quarantine as the clean stage writes it."""
+    return spark.read.parquet(PL.clean_stage(spark, raw_sales(spark, sf_dir), _folder(spark, "clean-run")).paths["quarantine"])
+
+
+@query("star_scan_parquet")
+def q_star_scan_parquet(spark, sf_dir):
+    """The star written by month and read back; the fact."""
+    out = _folder(spark, "star-parquet")
+    IO.write_star(_star(spark, sf_dir), out)
+    return IO.read_star(spark, out, fmt="parquet")["transactions"].drop("year_month")
+
+
+@query("flat_snapshot")
+def q_flat_snapshot(spark, sf_dir):
+    """The flat view written and read back."""
+    return spark.read.parquet(IO.write_table(N.denormalize_flat(_star(spark, sf_dir)), _folder(spark, "flat")))
+
+
+@query("docs_round_trip")
+def q_docs_round_trip(spark, sf_dir):
+    """Transaction documents written as JSON lines and read with their schema."""
+    docs = D.transaction_documents(_star(spark, sf_dir)["transactions"])
+    return IO.read_documents(spark, IO.write_documents(docs, _folder(spark, "docs")), docs.schema)
+
+
+@query("profile_snapshot")
+def q_profile_snapshot(spark, sf_dir):
+    """A profile written as CSV and read back."""
+    out = IO.write_profile({"missing": P.profile_missing(raw_sales(spark, sf_dir))}, _folder(spark, "profile"))["missing"]
+    return spark.read.schema("column_name string, missing_count long").option("header", True).csv(out)
