@@ -12,8 +12,9 @@ finds common syllables instead of rare marks (README).
 
 A document's numbers of windows beyond each threshold, in bytes saved and in the
 share of the window saved, go through a logistic calibration, fitted on labelled documents that made no dictionary. Both samples are
-bounded (``SAMPLE`` rows a class and half, by a hash of the id); the counting of
-words and windows runs in Spark.
+bounded (``SAMPLE`` rows a class and half, by a hash of the id), and the calibration
+weighs the classes as all labelled rows do; the counting of words and windows runs
+in Spark.
 """
 
 from __future__ import annotations
@@ -91,14 +92,16 @@ def features(counts: np.ndarray) -> np.ndarray:
     return np.hstack([np.log1p(counts), np.log1p(100 * share), np.ones((len(counts), 1))])
 
 
-def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, rounds: int = 30) -> np.ndarray:
-    """Ridge logistic regression by Newton's method."""
+def calibrate(x: np.ndarray, y: np.ndarray, share: float, ridge: float = RIDGE, rounds: int = 30) -> np.ndarray:
+    """Ridge logistic regression by Newton's method, rows weighted so that toxic ones
+    weigh ``share`` of all, whatever their share of the sample."""
+    weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
     w = np.zeros(x.shape[1])
     penalty = ridge * np.eye(len(w))
     penalty[-1, -1] = 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + penalty, x.T @ (weight * (y - p)) - penalty @ w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
@@ -166,7 +169,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     y = np.array([r.toxic for r in counted], float)
     if 0 < y.sum() < len(y):
         order = np.lexsort(np.array([r.counts for r in counted]).T)  # sums in one order, whatever the tasks did
-        model.weights = calibrate(features(np.array([r.counts for r in counted], float)[order]), y[order])
+        model.weights = calibrate(features(np.array([r.counts for r in counted], float)[order]), y[order], model.prior)
     return model
 
 
