@@ -13,9 +13,9 @@ all word pairs are distinct, which would move several times the corpus.)
 2. ``model``: Spark sums the counts and derives the lower orders' continuation
    counts, discounts, interpolation weights and probabilities by joins on codes.
 3. ``score``: each block's distinct codes fetch their log-probabilities by a join
-   and return to their block as a sorted hash array with values, where every
-   position of every text finds its own by binary search. Blocks are stored in
-   buckets by block, so that the texts are not shuffled.
+   and return to their block as sorted hash arrays with values (in steps of
+   1/``STEPS``), where every position of every text finds its own by binary search.
+   Blocks are stored in buckets by block, so that the texts are not shuffled.
 
 No part of the model is collected or broadcast; it grows with the corpus.
 """
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from salesq.llm.common import shared_path, written
 
-ORDER, BLOCK, PART, LEVEL = 5, 24_000_000, 2_000_000, 6
+ORDER, BLOCK, PART, LEVEL, STEPS, HELD = 5, 24_000_000, 2_000_000, 6, 2000, 2_000_000
 SPREAD, SHORT = (8.0, 6.0), 440  # quartile distances below and above; bytes at which a band is wider by sqrt(2)
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 5, 10, 20
 NO_LANGUAGE = ""
@@ -159,14 +159,14 @@ class Block:
         packed = [zstandard.ZstdCompressor(level=LEVEL).compress(x) for x in (sink.getvalue().to_pybytes(), ends.tobytes())]
         deltas = np.diff(keys, prepend=0).astype(np.int64)
         return pa.RecordBatch.from_pydict(
-            {"block": [uuid.uuid4().hex], "docs": [packed[0]], "ends": [packed[1]], "texts": [texts],
+            {"block": [uuid.uuid4().int >> 65], "docs": [packed[0]], "ends": [packed[1]], "texts": [texts],
              "keys": [zstandard.ZstdCompressor(level=1).compress(deltas.tobytes())],
              "counts": [zstandard.ZstdCompressor(level=1).compress(counts.astype(np.int32).tobytes())]}, PACKED)
 
 
 FIELDS = ["doc_id", "lang", "tag", "side", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 ROWS = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *((f, pa.int64()) for f in FIELDS[2:])])
-PACKED = pa.schema([("block", pa.string()), *((c, pa.binary()) for c in ("docs", "ends", "texts", "keys", "counts"))])
+PACKED = pa.schema([("block", pa.int64()), *((c, pa.binary()) for c in ("docs", "ends", "texts", "keys", "counts"))])
 
 
 def _plain(data: bytes, kind) -> np.ndarray:
@@ -201,7 +201,7 @@ def pack(docs: DataFrame) -> DataFrame:
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(100_000, max(8, 4 * math.ceil(size / BLOCK)))  # mostly one block a bucket
     name = f"perplexity_blocks_{uuid.uuid4().hex[:12]}"
-    (rows.mapInArrow(_pack, "block string, docs binary, ends binary, texts binary, keys binary, counts binary")
+    (rows.mapInArrow(_pack, "block long, docs binary, ends binary, texts binary, keys binary, counts binary")
      .write.bucketBy(buckets, "block").option("path", shared_path(spark, name)).format("parquet").saveAsTable(name))
     return spark.table(name)
 
@@ -215,9 +215,9 @@ def gram_counts(blocks: DataFrame) -> DataFrame:
                 for at in range(0, len(g), 100_000):
                     part = slice(at, at + 100_000)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([block] * len(g[part])), pa.array(g[part]), pa.array(c[part, 0].astype(np.int64)),
+                        [pa.array(np.full(len(g[part]), block)), pa.array(g[part]), pa.array(c[part, 0].astype(np.int64)),
                          pa.array(c[part, 1].astype(np.int64))], ["block", "g", "c0", "c1"])
-    return blocks.select("block", "keys", "counts").mapInArrow(run, "block string, g long, c0 long, c1 long")
+    return blocks.select("block", "keys", "counts").mapInArrow(run, "block long, g long, c0 long, c1 long")
 
 
 def _tag_of(g):
@@ -270,11 +270,40 @@ def model(grams: DataFrame) -> DataFrame:
     return below.select("g", *(F.log(f"q{s}").cast("float").alias(f"l{s}") for s in (0, 1)))
 
 
+def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``block, g, l0, l1`` -> per block a sorted array of codes (as steps) and
+    its rounded values, compressed; at most about ``HELD`` rows are gathered."""
+    press = zstandard.ZstdCompressor(level=3).compress
+
+    def flush(parts):
+        block, g, *l = (np.concatenate(c) for c in zip(*parts, strict=True))
+        order = np.lexsort((g, block))
+        block, g = block[order], g[order]
+        values = np.stack([np.clip(np.rint(-STEPS * x[order].astype(np.float64)), 0, 65535).astype(np.uint16) for x in l])
+        ends = np.flatnonzero(np.diff(block, append=-1))
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        return pa.RecordBatch.from_pydict(
+            {"block": block[starts], "keys": [press(np.diff(g[s:e + 1], prepend=0).tobytes()) for s, e in zip(starts, ends, strict=True)],
+             "values": [press(np.ascontiguousarray(values[:, s:e + 1]).tobytes()) for s, e in zip(starts, ends, strict=True)]})
+
+    parts, held = [], 0
+    for b in batches:
+        if b.num_rows:
+            parts.append([b.column(c).to_numpy() for c in ("block", "g", "l0", "l1")])
+            held += b.num_rows
+        if held >= HELD:
+            yield flush(parts)
+            parts, held = [], 0
+    if parts:
+        yield flush(parts)
+
+
 def _score(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     found = []
-    order = np.argsort(answers["g"].to_numpy(), kind="stable")
-    keys = answers["g"].to_numpy()[order]
-    values = np.stack([answers["l0"].to_numpy()[order], answers["l1"].to_numpy()[order]])
+    keys = np.concatenate([np.cumsum(_plain(k, np.int64)) for k in answers["keys"]])
+    values = np.concatenate([_plain(v, np.uint16).reshape(2, -1) for v in answers["values"]], axis=1)
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[:, order] / -float(STEPS)
     for docs, ends, texts in zip(blocks["docs"], blocks["ends"], blocks["texts"], strict=True):
         rows = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(docs)).read_all().to_pandas()
         ends, texts = _plain(ends, np.int64), zstandard.ZstdDecompressor().decompress(texts)
@@ -297,7 +326,8 @@ def scored(docs: DataFrame) -> DataFrame:
     blocks = pack(docs)
     grams = gram_counts(blocks)
     summed = written(grams.groupBy("g").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "grams")
-    answers = grams.select("block", "g").join(model(summed), "g").select("block", "g", "l0", "l1")
+    answers = (grams.select("block", "g").join(model(summed), "g").select("block", "g", "l0", "l1")
+               .mapInArrow(_arrays, "block long, keys binary, values binary"))
     out = blocks.select("block", "docs", "ends", "texts").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
         _score, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
                 "n_repeat_words long, positions long, log_perplexity double")
