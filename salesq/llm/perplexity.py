@@ -1,27 +1,34 @@
 """Quality rules: base rules and n-gram perplexity bands per language.
 
 The language model is a modified Kneser-Ney model of byte 5-grams over a text's
-words joined by single spaces, one model per language and fold: documents are dealt
-into two folds by a hash and each is scored by the model of the other fold, so a
-text never vouches for itself. (Word n-grams were measured first: more than half of
-all word pairs are distinct, which would move several times the corpus.)
+words joined by single spaces, one model per language and fold: distinct texts are
+dealt into two folds by a hash and each is scored by the model of the other fold, so
+a text never vouches for itself, nor do its copies: equal texts of a language are one
+text, counted and scored once, whose result goes to every row. (Word n-grams were
+measured first: more than half of all word pairs are distinct, which would move
+several times the corpus.)
 
 1. ``pack``: tasks gather documents into blocks of about ``BLOCK`` bytes and write,
-   per block, the compressed texts and the sorted array of the block's distinct
-   n-gram codes with their counts in either fold. A code holds the five bytes and a
-   hash of the language: a collision-free hash within a language.
-2. ``model``: Spark sums the counts and derives the lower orders' continuation
+   per block, its rows and its compressed distinct texts with their digests.
+2. ``owners``: of the blocks that hold a digest, one counts and scores its text. The
+   fold is hashed from the smallest id of the copies and that row's text.
+3. ``count``: per block, the sorted array of the distinct n-gram codes of its own
+   texts with their counts in either fold. A code holds the five bytes and a hash of
+   the language: a collision-free hash within a language.
+4. ``model``: Spark sums the counts and derives the lower orders' continuation
    counts, discounts, interpolation weights and probabilities by joins on codes.
-3. ``score``: each block's distinct codes fetch their log-probabilities by a join
+5. ``score``: each block's distinct codes fetch their log-probabilities by a join
    and return to their block as sorted hash arrays with values (in steps of
    1/``STEPS``), where every position of every text finds its own by binary search.
    Blocks are stored in buckets by block, so that the texts are not shuffled.
+6. ``spread``: every block fetches the results of its digests for its rows.
 
 No part of the model is collected or broadcast; it grows with the corpus.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import uuid
 from collections.abc import Iterator
@@ -36,6 +43,7 @@ from pyspark.sql import functions as F
 from salesq.llm.common import shared_path, written
 
 ORDER, BLOCK, PART, LEVEL, STEPS, HELD = 5, 24_000_000, 2_000_000, 6, 2000, 2_000_000
+ROW = 64  # bytes that a row counts for besides its text
 SPREAD, SHORT = (8.0, 6.0), 440  # quartile distances below and above; bytes at which a band is wider by sqrt(2)
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 5, 10, 20
 NO_LANGUAGE = ""
@@ -121,17 +129,13 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return keys, counts
 
 
-class Block:
-    """Documents gathered for one block: base counts, texts, n-gram counts."""
+class Grams:
+    """N-gram counts of texts, by fold."""
 
     def __init__(self):
-        self.rows, self.lines, self.size = [], [], 0
         self.waiting, self.waiting_size, self.parts = [], 0, []
 
-    def add(self, doc_id, lang, tag: int, side: int, counts: tuple, line: bytes):
-        self.rows.append((doc_id, lang, tag, side, *counts))
-        self.lines.append(line)
-        self.size += len(line)
+    def add(self, tag: int, side: int, line: bytes):
         self.waiting.append(((codes(line) | tag) << 1 | side))  # 63 bits and the fold
         self.waiting_size += len(line)
         if self.waiting_size >= PART:
@@ -147,26 +151,57 @@ class Block:
             if len(self.parts) >= 4:
                 self.parts = [_merge(self.parts)]
 
-    def batch(self) -> pa.RecordBatch:
+    def all(self) -> tuple[np.ndarray, np.ndarray]:
         self.fold()
-        keys, counts = _merge(self.parts)
+        return _merge(self.parts)
+
+
+class Block:
+    """Documents gathered for one block: base counts of its rows, distinct texts."""
+
+    def __init__(self):
+        self.rows, self.lines, self.heads, self.size = [], [], {}, 0
+
+    def add(self, doc_id, lang: str, tag: int, text_hash: int, counts: tuple, line: bytes):
+        name = lang.encode()
+        digest = hashlib.blake2b(b"%d " % len(name) + name, digest_size=16)
+        digest.update(line)
+        digest, first = digest.digest(), (doc_id is not None, doc_id or 0, text_hash)  # NULL first, as Spark's min
+        head = self.heads.get(digest)
+        if head is None:
+            head = self.heads[digest] = [len(self.lines), first, lang, tag, counts[0], counts[4]]
+            self.lines.append(line)
+            self.size += len(line)
+        head[1] = min(head[1], first)
+        self.rows.append((doc_id, lang, head[0], *counts))
+        self.size += ROW
+
+    def batch(self) -> pa.RecordBatch:
         ends = np.cumsum([len(x) for x in self.lines], dtype=np.int64)
         texts = zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(self.lines))
-        rows = pa.RecordBatch.from_pylist([dict(zip(FIELDS, r, strict=True)) for r in self.rows], schema=ROWS)
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, ROWS) as out:
-            out.write_batch(rows)
-        packed = [zstandard.ZstdCompressor(level=LEVEL).compress(x) for x in (sink.getvalue().to_pybytes(), ends.tobytes())]
-        deltas = np.diff(keys, prepend=0).astype(np.int64)
+        heads = [(d, f[1] if f[0] else None, f[2], *rest) for d, (_, f, *rest) in self.heads.items()]
+        packed = [zstandard.ZstdCompressor(level=LEVEL).compress(x)
+                  for x in (_stream(self.rows, ROWS), _stream(heads, HEADS), ends.tobytes())]
         return pa.RecordBatch.from_pydict(
-            {"block": [uuid.uuid4().int >> 65], "docs": [packed[0]], "ends": [packed[1]], "texts": [texts],
-             "keys": [zstandard.ZstdCompressor(level=1).compress(deltas.tobytes())],
-             "counts": [zstandard.ZstdCompressor(level=1).compress(counts.astype(np.int32).tobytes())]}, PACKED)
+            {"block": [uuid.uuid4().int >> 65], "docs": [packed[0]], "heads": [packed[1]], "ends": [packed[2]], "texts": [texts]}, PACKED)
 
 
-FIELDS = ["doc_id", "lang", "tag", "side", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+FIELDS = ["doc_id", "lang", "at", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 ROWS = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), *((f, pa.int64()) for f in FIELDS[2:])])
-PACKED = pa.schema([("block", pa.int64()), *((c, pa.binary()) for c in ("docs", "ends", "texts", "keys", "counts"))])
+HEADS = pa.schema([("digest", pa.binary()), ("first_id", pa.int64()), ("text_hash", pa.int64()), ("lang", pa.string()),
+                   *((f, pa.int64()) for f in ("tag", "n_words", "n_repeat_words"))])
+PACKED = pa.schema([("block", pa.int64()), *((c, pa.binary()) for c in ("docs", "heads", "ends", "texts"))])
+
+
+def _stream(rows: list[tuple], schema: pa.Schema) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema) as out:
+        out.write_batch(pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema))
+    return sink.getvalue().to_pybytes()
+
+
+def _table(data: bytes) -> pa.Table:
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(data)).read_all()
 
 
 def _plain(data: bytes, kind) -> np.ndarray:
@@ -177,13 +212,13 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     powers, block = Powers(), Block()
     for b in batches:
         ids, texts, langs = b.column("doc_id"), b.column("text"), b.column("lang")
-        tags, sides = b.column("tag").to_pylist(), b.column("side").to_pylist()
+        tags, hashes = b.column("tag").to_pylist(), b.column("text_hash").to_pylist()
         for k in range(b.num_rows):
             text = texts[k].as_py() or b""
             words = text.split()
             line = b" ".join(words)
             counts = (len(words), *base_counts(text, line, len(words), powers))
-            block.add(ids[k].as_py(), langs[k].as_py(), tags[k], sides[k], counts, line)
+            block.add(ids[k].as_py(), langs[k].as_py(), tags[k], hashes[k], counts, line)
             if block.size >= BLOCK:
                 yield block.batch()
                 block = Block()
@@ -196,16 +231,47 @@ def pack(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     lang = F.coalesce("lang", F.lit(NO_LANGUAGE))
     tag = F.shiftleft(F.xxhash64(lang).bitwiseAND((1 << (62 - _CODE_BITS)) - 1), _CODE_BITS)
-    side = F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(2))
-    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"), lang.alias("lang"), tag.alias("tag"), side.alias("side"))
+    rows = docs.select("doc_id", F.col("text").cast("binary").alias("text"), lang.alias("lang"), tag.alias("tag"), F.xxhash64("text").alias("text_hash"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = min(100_000, max(8, 4 * math.ceil(size / BLOCK)))  # mostly one block a bucket
     name = f"perplexity_blocks_{uuid.uuid4().hex[:12]}"
-    (rows.mapInArrow(_pack, "block long, docs binary, ends binary, texts binary, keys binary, counts binary")
+    (rows.mapInArrow(_pack, "block long, docs binary, heads binary, ends binary, texts binary")
      .write.bucketBy(buckets, "block").option("path", shared_path(spark, name)).format("parquet").saveAsTable(name))
     return spark.table(name)
 
 
+def entries(blocks: DataFrame) -> DataFrame:
+    """A row for each distinct text of each block, without the text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block, heads in zip(b.column("block").to_pylist(), b.column("heads").to_pylist(), strict=True):
+                table = _table(heads)
+                n = table.num_rows
+                yield from (table.add_column(0, "at", pa.array(np.arange(n))).add_column(0, "block", pa.array(np.full(n, block)))
+                            .combine_chunks().to_batches(max_chunksize=100_000))
+    return blocks.select("block", "heads").mapInArrow(
+        run, "block long, at long, digest binary, first_id long, text_hash long, lang string, tag long, n_words long, n_repeat_words long")
+
+
+def owners(texts: DataFrame) -> DataFrame:
+    """``block, at, side``: one place and the fold of each distinct text."""
+    first = texts.groupBy("digest").agg(F.min(F.struct("first_id", "text_hash")).alias("first"), F.min(F.struct("block", "at")).alias("place"))
+    return first.select("place.*", F.pmod(F.xxhash64("first.first_id", "first.text_hash"), F.lit(2)).alias("side"))
+
+
+def _count(blocks: pd.DataFrame, owned: pd.DataFrame) -> pd.DataFrame:
+    found, press = [], zstandard.ZstdCompressor(level=1).compress
+    if len(owned):
+        for block, heads, ends, texts in zip(*(blocks[c] for c in ("block", "heads", "ends", "texts")), strict=True):
+            tags, grams = _table(heads).column("tag").to_numpy(), Grams()
+            ends, texts = _plain(ends, np.int64), zstandard.ZstdDecompressor().decompress(texts)
+            for at, side in zip(owned["at"], owned["side"], strict=True):
+                grams.add(int(tags[at]), int(side), texts[ends[at - 1] if at else 0:ends[at]])
+            keys, counts = grams.all()
+            found.append((block, press(np.diff(keys, prepend=0).astype(np.int64).tobytes()), press(counts.astype(np.int32).tobytes())))
+    return pd.DataFrame(found, columns=["block", "keys", "counts"])
+
+
 def gram_counts(blocks: DataFrame) -> DataFrame:
     """``block, g, c0, c1``: every block's distinct codes and their counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,39 +365,53 @@ def _arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _score(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    found = []
-    keys = np.concatenate([np.cumsum(_plain(k, np.int64)) for k in answers["keys"]])
-    values = np.concatenate([_plain(v, np.uint16).reshape(2, -1) for v in answers["values"]], axis=1)
+    """``answers`` hold a block's code arrays and, with no keys, its own texts."""
+    found, own = [], answers["keys"].isna()
+    keys = np.concatenate([np.cumsum(_plain(k, np.int64)) for k in answers["keys"][~own]] or [np.zeros(0, np.int64)])
+    values = np.concatenate([_plain(v, np.uint16).reshape(2, -1) for v in answers["values"][~own]] or [np.zeros((2, 0))], axis=1)
     order = np.argsort(keys, kind="stable")
     keys, values = keys[order], values[:, order] / -float(STEPS)
-    for docs, ends, texts in zip(blocks["docs"], blocks["ends"], blocks["texts"], strict=True):
-        rows = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(docs)).read_all().to_pandas()
+    places, sides = answers["at"][own].to_numpy(np.int64), answers["side"][own].to_numpy(np.int64)
+    for heads, ends, texts in zip(blocks["heads"], blocks["ends"], blocks["texts"], strict=True):
+        rows = _table(heads).to_pandas().iloc[places]
         ends, texts = _plain(ends, np.int64), zstandard.ZstdDecompressor().decompress(texts)
-        log, length, start = np.zeros(len(rows)), np.zeros(len(rows)), 0
-        for k, (end, tag, side) in enumerate(zip(ends, rows["tag"], rows["side"], strict=True)):
-            total = 0.0
-            for at in range(start, int(end) + 1, PART):  # bounded temporaries, whole text
+        log, length = np.zeros(len(rows)), np.zeros(len(rows))
+        for k, (place, tag, side) in enumerate(zip(places, rows["tag"], sides, strict=True)):
+            start, end, total = int(ends[place - 1]) if place else 0, int(ends[place]), 0.0
+            for at in range(start, end + 1, PART):  # bounded temporaries, whole text
                 lead = max(start, at - ORDER + 1)
-                g = codes(texts[lead:min(int(end), at + PART)])
+                g = codes(texts[lead:min(end, at + PART)])
                 g = g[at - lead:][:PART] if at + PART <= end else g[at - lead:]
                 total += float(values[1 - side][np.searchsorted(keys, g | tag)].sum(dtype=np.float64))
             log[k], length[k] = total, end - start + 1
-            start = int(end)
-        found.append(rows.drop(columns=["tag", "side"]).assign(positions=length.astype(np.int64), log_perplexity=-log / length))
+        found.append(rows[["digest", "lang", "n_words", "n_repeat_words"]].assign(positions=length.astype(np.int64), log_perplexity=-log / length))
     return pd.concat(found)
 
 
-def scored(docs: DataFrame) -> DataFrame:
-    """``docs(doc_id, text, lang)`` -> base counts and ``log_perplexity`` (natural, per byte)."""
+def _spread(blocks: pd.DataFrame, results: pd.DataFrame) -> pd.DataFrame:
+    results = results.set_index("at")[["positions", "log_perplexity"]]
+    return pd.concat([_table(d).to_pandas().join(results, on="at").drop(columns="at") for d in blocks["docs"]])
+
+
+def scored(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs(doc_id, text, lang)`` -> of every row, base counts and ``log_perplexity``
+    (natural, per byte); of every distinct text of a language, the latter."""
     blocks = pack(docs)
-    grams = gram_counts(blocks)
+    places = entries(blocks)
+    owned = written(owners(places), "owned")
+    grouped = blocks.select("block", "heads", "ends", "texts").groupBy("block")
+    grams = gram_counts(written(grouped.cogroup(owned.groupBy("block")).applyInPandas(_count, "block long, keys binary, counts binary"), "counted"))
     summed = written(grams.groupBy("g").agg(F.sum("c0").alias("c0"), F.sum("c1").alias("c1")), "grams")
     answers = (grams.select("block", "g").join(model(summed), "g").select("block", "g", "l0", "l1")
                .mapInArrow(_arrays, "block long, keys binary, values binary"))
-    out = blocks.select("block", "docs", "ends", "texts").groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        _score, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-                "n_repeat_words long, positions long, log_perplexity double")
-    return written(out, "scored")
+    answers = answers.unionByName(owned, allowMissingColumns=True)
+    texts = written(grouped.cogroup(answers.groupBy("block")).applyInPandas(
+        _score, "digest binary, lang string, n_words long, n_repeat_words long, positions long, log_perplexity double"), "scored_texts")
+    results = places.select("block", "at", "digest").join(texts.select("digest", "positions", "log_perplexity"), "digest").drop("digest")
+    rows = blocks.select("block", "docs").groupBy("block").cogroup(results.groupBy("block")).applyInPandas(
+        _spread, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+                 "n_repeat_words long, positions long, log_perplexity double")
+    return written(rows, "scored"), texts
 
 
 def quality(docs: DataFrame, spread: tuple = SPREAD, short: int = SHORT, doc_id: str = "doc_id", text: str = "text",
@@ -340,16 +420,16 @@ def quality(docs: DataFrame, spread: tuple = SPREAD, short: int = SHORT, doc_id:
     base_failed, kept, lang, perplexity, lower, upper`` of every row.
 
     A document is kept if it passes the base rules and its log-perplexity lies
-    within its language's band: the quartiles of the language's documents that pass
-    the base rules, widened below and above by ``spread`` times their distance; for
+    within its language's band: the quartiles of the language's distinct texts that
+    pass the base rules, widened below and above by ``spread`` times their distance; for
     a text of n bytes by ``sqrt(1 + short / n)`` times that, as the mean over few
     bytes scatters more. NULL, empty and blank texts have no words and fail; NULL
     languages form one language of their own; repeated rows and NULL ids keep their
     rows; an empty table gives an empty result; other columns are not read."""
-    rows = scored(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")))
+    rows, texts = scored(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
-    bands = rows.filter(~failed).groupBy("lang").agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q"))
+    bands = texts.filter(~failed).groupBy("lang").agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q"))
     width = (F.col("q")[1] - F.col("q")[0]) * F.sqrt(1 + short / F.col("positions"))
     judged = rows.join(bands, "lang", "left").withColumns({
         "perplexity": F.exp("log_perplexity"), "lower": F.exp(F.col("q")[0] - spread[0] * width),

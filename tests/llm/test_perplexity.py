@@ -103,3 +103,19 @@ def test_junk_is_rejected_and_empty_table(spark, no_docs):
     kept = {r.doc_id for r in P.quality(spark.createDataFrame(good + junk, "doc_id long, text string, lang string")).filter("kept").collect()}
     assert not kept & {i for i, *_ in junk} and len(kept) >= 297
     assert P.quality(no_docs).count() == 0
+
+
+def test_copies_count_as_one_text(spark):
+    rng = random.Random(7)
+    words = [w + x for w in ("rain", "sun", "wind", "cloud") for x in ("", "y", "ing", "s")]
+    good = [(i, " ".join(rng.choice(words) for _ in range(60)), "en") for i in range(200)]
+    junk = [(1000 + i, " ".join("".join(rng.choice("qzxjkvw#$%0123456789") for _ in range(7)) for _ in range(60)), "en") for i in range(3)]
+    copies = [(2000 + i, "a single   notice\nof twelve words that stands on every third page here" if i % 2 else
+               "a single notice of twelve words that stands on every third page here", "en") for i in range(100)]
+    schema = "doc_id long, text string, lang string"
+    once = {r.doc_id: r for r in P.quality(spark.createDataFrame(good + junk + copies[:1], schema)).collect()}
+    got = {r.doc_id: r for r in P.quality(spark.createDataFrame(good + junk + copies, schema).repartition(5)).collect()}
+    assert len(got) == 303
+    for i, r in got.items():  # copies change nothing, and share one verdict
+        assert (r.perplexity, r.lower, r.upper, r.kept) == (o := once[min(i, 2000)], (o.perplexity, o.lower, o.upper, o.kept))[1]
+    assert not any(got[i].kept for i, *_ in junk)
