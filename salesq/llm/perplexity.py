@@ -37,14 +37,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesq.llm.common import shared_path, written
+from salesq.llm.common import held_out, shared_path, written
 
 ORDER, BLOCK, PART, LEVEL, STEPS, HELD = 5, 24_000_000, 2_000_000, 6, 2000, 2_000_000
 ROW = 64  # bytes that a row counts for besides its text
-SPREAD, SHORT = (8.0, 6.0), 440  # quartile distances below and above; bytes at which a band is wider by sqrt(2)
+SPREAD, SHORT = (8.0, 6.0), 440  # quartile distances below and above without labels; bytes at which a band is wider by sqrt(2)
+CUTS, CUT = 64, 0.25  # spreads tried by the calibration, in quartile distances
 WINDOW, LEAST_WORDS, REPEAT_PERCENT = 5, 10, 20
 NO_LANGUAGE = ""
 _CODE_BITS = 8 * ORDER
@@ -414,8 +415,26 @@ def scored(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(rows, "scored"), texts
 
 
+def spreads(rows: DataFrame, bands: DataFrame, labels: DataFrame, short: int) -> DataFrame:
+    """``lang, below, above``: per language and side the spread, in steps of ``CUT``,
+    that rejects the largest surplus of labelled junk over labelled good texts; NULL
+    where none rejects more junk. Held-out ids are not used."""
+    marks = labels.filter(F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", (F.col("quality") == 0).alias("junk"))
+    known = rows.join(marks, "doc_id").select("lang", "positions", "log_perplexity", "junk").distinct()  # copies once
+    unit = (F.col("q")[1] - F.col("q")[0]) * F.sqrt(1 + short / F.col("positions"))
+    sides = [F.struct(F.lit(n).alias("side"), F.try_divide(d, unit).alias("far"))
+             for n, d in (("below", F.col("q")[0] - F.col("log_perplexity")), ("above", F.col("log_perplexity") - F.col("q")[1]))]
+    tally = (known.join(bands, "lang").select("lang", "junk", F.explode(F.array(*sides)).alias("s")).filter("s.far > 0")
+             .groupBy("lang", "s.side", F.least(F.floor(F.col("s.far") / CUT), F.lit(CUTS)).alias("step"))
+             .agg(F.sum(F.when(F.col("junk"), 1).otherwise(-1)).alias("surplus")))
+    beyond = Window.partitionBy("lang", "side").orderBy(F.desc("step"))  # at most CUTS + 1 rows
+    best = (tally.withColumn("gain", F.sum("surplus").over(beyond)).filter("gain > 0")
+            .groupBy("lang", "side").agg((F.max(F.struct("gain", "step"))["step"] * CUT).alias("spread")))
+    return best.groupBy("lang").agg(*(F.max(F.when(F.col("side") == n, F.col("spread"))).alias(n) for n in ("below", "above")))
+
+
 def quality(docs: DataFrame, spread: tuple = SPREAD, short: int = SHORT, doc_id: str = "doc_id", text: str = "text",
-            lang: str = "lang") -> DataFrame:
+            lang: str = "lang", labels: DataFrame | None = None) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, lang, perplexity, lower, upper`` of every row.
 
@@ -423,17 +442,24 @@ def quality(docs: DataFrame, spread: tuple = SPREAD, short: int = SHORT, doc_id:
     within its language's band: the quartiles of the language's distinct texts that
     pass the base rules, widened below and above by ``spread`` times their distance; for
     a text of n bytes by ``sqrt(1 + short / n)`` times that, as the mean over few
-    bytes scatters more. NULL, empty and blank texts have no words and fail; NULL
+    bytes scatters more. ``labels(doc_id, quality)``, if given, set the spreads of each
+    language and side where they show junk (``spreads``). NULL, empty and blank texts have no words and fail; NULL
     languages form one language of their own; repeated rows and NULL ids keep their
     rows; an empty table gives an empty result; other columns are not read."""
     rows, texts = scored(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang")))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
     bands = texts.filter(~failed).groupBy("lang").agg(F.percentile_approx("log_perplexity", [0.25, 0.75], 10_000).alias("q"))
+    bands = bands.withColumns({"below": F.lit(float(spread[0])), "above": F.lit(float(spread[1]))})
+    if labels is not None:
+        bands = written(bands, "bands")
+        found = spreads(rows.filter(~failed), bands.select("lang", "q"), labels, short)
+        bands = written(bands.alias("b").join(found.alias("f"), "lang", "left").select(
+            "lang", "q", *(F.coalesce(f"f.{n}", f"b.{n}").alias(n) for n in ("below", "above"))), "calibrated")
     width = (F.col("q")[1] - F.col("q")[0]) * F.sqrt(1 + short / F.col("positions"))
     judged = rows.join(bands, "lang", "left").withColumns({
-        "perplexity": F.exp("log_perplexity"), "lower": F.exp(F.col("q")[0] - spread[0] * width),
-        "upper": F.exp(F.col("q")[1] + spread[1] * width)})
+        "perplexity": F.exp("log_perplexity"), "lower": F.exp(F.col("q")[0] - F.col("below") * width),
+        "upper": F.exp(F.col("q")[1] + F.col("above") * width)})
     inside = F.coalesce(F.col("perplexity").between(F.col("lower"), F.col("upper")), F.lit(False))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & inside).alias("kept"), F.nullif("lang", F.lit(NO_LANGUAGE)).alias("lang"),

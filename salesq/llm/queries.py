@@ -30,7 +30,7 @@ def query(fn):
 
 @query
 def op1_perplexity_quality(spark, sf_dir):
-    return perplexity.quality(read_table(spark, sf_dir, "documents"))
+    return perplexity.quality(read_table(spark, sf_dir, "documents"), labels=read_table(spark, sf_dir, "labels"))
 
 
 @query

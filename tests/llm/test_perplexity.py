@@ -119,3 +119,19 @@ def test_copies_count_as_one_text(spark):
     for i, r in got.items():  # copies change nothing, and share one verdict
         assert (r.perplexity, r.lower, r.upper, r.kept) == (o := once[min(i, 2000)], (o.perplexity, o.lower, o.upper, o.kept))[1]
     assert not any(got[i].kept for i, *_ in junk)
+
+
+def test_bands_reject_junk_of_the_given_documents(spark):
+    from pyspark.sql import functions as F
+
+    from salesq.llm.common import held_out
+    from salesq.llm.queries import QUERIES
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    rows = QUERIES["op1_perplexity_quality"](spark, "/root/testdata/sf0.1").filter("not base_failed").join(labels.filter("quality is not null"), "doc_id")
+    got = {(r.lang, r.quality, r.held): (r.rejected, r.n) for r in rows.groupBy("lang", "quality", held_out(F.col("doc_id")).alias("held"))
+           .agg(F.sum((~F.col("kept")).cast("int")).alias("rejected"), F.count("*").alias("n")).collect()}
+    print(sorted(got.items()))
+    junk, good = ([got[k] for k in got if k[1:] == (q, True)] for q in (0, 1))
+    assert got["en", 0, True][0] >= 0.4 * got["en", 0, True][1]
+    assert sum(r for r, _ in junk) >= 0.3 * sum(n for _, n in junk)
+    assert sum(r for r, _ in good) <= 0.08 * sum(n for _, n in good)
