@@ -8,7 +8,8 @@ finds the contiguous stretch of the largest sum; blocks that overlap it are the
 text. Elements that never hold content (scripts, menus, adverts, reader comments
 and so on, by element or by a word of their class, id or role) are cut out before:
 they give no words, and cost no more than a plain tag, as content may go on after
-them.
+them. An element that encloses the content is not cut, whatever its names, and a
+header inside an article is left to the scan.
 
 Tag counts over all labelled pages are one Spark aggregate of at most a row an
 HTML element, so the weights sent to the tasks are bounded.
@@ -19,6 +20,8 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -40,19 +43,24 @@ ASIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising banner
                         "consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation "
                         "newsletter notice notices pagination pager popup promo promoted promotion recommended related "
                         "share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+# Elements that are never wrappers of the content, and the share of the words of a page
+# without article or main from which any other element counts as one.
+NO_WRAPPER, MOSTLY = frozenset("head nav footer aside menu dialog button".split()), 0.75
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
-def _aside(name: str, attributes: str) -> bool:
-    """True for an element that never holds content."""
-    if name in ASIDE:
+def _aside(name: str, attributes: str, inside: bool = False) -> bool:
+    """True for an element that never holds content; ``inside`` an article or main,
+    a header may hold its title."""
+    if name in ASIDE and not (inside and name == "header"):
         return True
     if not attributes or name in ("article", "main", "body", "html"):
         return False
-    return any(w in ASIDE_WORDS for m in _NAMES.findall(attributes) for w in _SPLIT.split("".join(m).lower()))
+    return any(w in ASIDE_WORDS and not (inside and w == "header")
+               for m in _NAMES.findall(attributes) for w in _SPLIT.split("".join(m).lower()))
 
 
 def tokens(page: str) -> list[tuple[str, str, str]]:
@@ -83,7 +91,9 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
 
 def events(page: str) -> list[tuple[str, str]]:
     """(``tag``, name) and (``text``, decoded text) outside asides. An aside ends at
-    its own end tag; one that never ends cuts out nothing but its tags."""
+    its own end tag; one that never ends cuts out nothing but its tags. Wrappers are
+    not cut: what encloses ``main``, or an article and is in neither itself; on pages
+    without both, what holds ``MOSTLY`` all words."""
     seq = tokens(page)
     opens: dict[str, list[int]] = {}
     end_of: dict[int, int] = {}
@@ -92,13 +102,27 @@ def events(page: str) -> list[tuple[str, str]]:
             opens.setdefault(name, []).append(k)
         elif kind == "close" and opens.get(name):
             end_of[opens[name].pop()] = k
-    out, k = [], 0
+    marks = {n: [k for k, e in enumerate(seq) if e[:2] == ("open", n)] for n in ("main", "article")}
+    words = None if marks["main"] or marks["article"] else list(accumulate(
+        (len(html.unescape(e[1]).split()) if e[0] == "text" else 0 for e in seq), initial=0))
+
+    def wraps(k: int, name: str, inside: bool) -> bool:
+        def has(n):
+            return bisect(marks[n], end_of[k]) > bisect(marks[n], k)
+        if name in NO_WRAPPER:
+            return False
+        return words[end_of[k]] - words[k] >= MOSTLY * words[-1] > 0 if words else has("main") or (not inside and has("article"))
+
+    out, k, content_end = [], 0, -1
     while k < len(seq):
         kind, name, attributes = seq[k]
+        if kind == "open" and name in ("article", "main"):
+            content_end = max(content_end, end_of.get(k, -1))
         if kind == "text":
             out.append(("text", html.unescape(name)))
         else:
-            if kind == "open" and k in end_of and _aside(name, attributes):
+            inside = k < content_end
+            if kind == "open" and k in end_of and _aside(name, attributes, inside) and not wraps(k, name, inside):
                 k, name = end_of[k], CUT if name in BLOCK else CUT_INLINE
             out.append(("tag", name))
         k += 1

@@ -102,3 +102,16 @@ def test_templates_are_generalised_and_judged(spark):
 def test_empty_and_repeated(spark):
     df = spark.createDataFrame([(1, "http://a.test/x"), (1, "http://a.test/x"), (None, None)], "page_id long, url string")
     assert U.judge(df).count() == 3 and U.judge(df.limit(0)).count() == 0
+
+
+def test_wrappers_of_the_content_are_not_cut():
+    body = "<h1>Title</h1><p>one two three four</p><div class='ad'>buy now</div><p>five six seven eight</p>"
+    want = "Title\none two three four\nfive six seven eight"
+    side = "<nav class=menu><a>home</a></nav><div class=sidebar><p>some words</p></div>"
+    for start, end in (('<div class="layout has-sidebar">', "</div>"), ('<div id="page" class="nav-fixed">', "</div>"),
+                       ('<section class="content widget">', "</section>"), ("<form action=x>", "</form>")):
+        for content in (f"<article>{body}</article>", f"<main>{body}</main>", f"<div>{body}</div>"):
+            assert H.main_text(f"<html><body>{start}{side}{content}{end}</body></html>", WEIGHTS | {"div": H.LEAST}) == want, (start, content)
+    assert H.main_text("<article><header class='entry-header'><h1>Title</h1></header><p>one two</p></article>", WEIGHTS) == "Title\none two"
+    assert H.main_text("<body><main><p>one two three</p><section id=comments><article>a reader writes a lot more here</article></section>"
+                       "</main><aside><article>related card of several words</article></aside></body>", WEIGHTS) == "one two three"
