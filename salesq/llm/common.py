@@ -66,3 +66,25 @@ def fold(doc_id) -> F.Column:
 
 def held_out(doc_id) -> F.Column:
     return F.coalesce(fold(doc_id) == HELD_OUT_REMAINDER, F.lit(False))
+
+
+class Memory(dict):
+    """Answers of ``make`` by string, in two generations of at most ``size`` entries:
+    when the young one is full it becomes the old one, and what is asked for again
+    moves back to the young one, so entries in use stay and the size is bounded.
+    Keys longer than ``longest`` characters are not kept."""
+
+    def __init__(self, make, size: int, longest: int):
+        super().__init__()
+        self.make, self.size, self.longest, self.old = make, size, longest, {}
+
+    def __missing__(self, key: str):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value

@@ -10,8 +10,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesq.llm import (html_text, language_id, mixing, perplexity, pivot_index, sentencepieces, simhash, token_counts,
-                        toxicity, url_filter)
+from salesq.llm import (bpe_transducer, html_text, language_id, mixing, perplexity, pivot_index, sentencepieces, simhash,
+                        token_alignment, token_counts, toxicity, url_filter, word_runs)
 from salesq.llm.common import ship
 from salesq.llm.oracle import ORACLE  # noqa: F401
 from salesq.session import read_table
@@ -86,3 +86,22 @@ def op9_url_filter(spark, sf_dir):
 @query
 def op10_language_id(spark, sf_dir):
     return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_byte_bpe(spark, sf_dir):
+    import public_tokenizers as P
+    encoded = bpe_transducer.encode(read_table(spark, sf_dir, "documents"), P.path(bpe_transducer.RANKS), P.PATTERN, decoded=True)
+    return bpe_transducer.digests(encoded)
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    import public_tokenizers as P
+    a, b = P.path(token_alignment.A_FILE), P.path(token_alignment.B_FILE)
+    return token_alignment.digests(token_alignment.align(read_table(spark, sf_dir, "documents"), a, b), a, b)
+
+
+@query
+def op13_word_runs(spark, sf_dir):
+    return word_runs.digests(word_runs.detect(word_runs.with_periodic_tail(read_table(spark, sf_dir, "documents"))))
