@@ -25,9 +25,11 @@ import codecs
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from salesq.llm.common import Memory
 
@@ -271,9 +273,6 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, doc_id: str = "doc_id
 def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """Adds ``decoded``, the text of each row's ids (NULL ids: NULL; bytes that are
     no UTF-8 become U+FFFD)."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
     @pandas_udf("string")
     def text(rows: pd.Series) -> pd.Series:
         c = codec(ranks_path, pattern)

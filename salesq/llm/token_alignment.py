@@ -40,9 +40,9 @@ from salesq.llm.common import written
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 CHUNK, FAN, LONG, OUT_TOKENS, BROADCAST_PAIRS = 32_768, 8, 50_000, 2_000_000, 8_000_000
 SPACE = "▁"
-# a space after a character that is no white space
+# a space after a character that is no white space, before anything at all
 _PLACE = re.compile(rb"(?<=[!-~\x80-\xff])(?<!\xc2[\x85\xa0])(?<!\xe1\x9a\x80)(?<!\xe2\x80[\x80-\x8a\xa8\xa9\xaf])"
-                    rb"(?<!\xe2\x81\x9f)(?<!\xe3\x80\x80) ")
+                    rb"(?<!\xe2\x81\x9f)(?<!\xe3\x80\x80) (?=.)", re.S)
 _ALIGNERS: dict = {}
 
 
@@ -161,7 +161,7 @@ class Aligner:
         starts at ``at`` and holds every token that ends in the range."""
         def place(c):       # the last place up to c and the first from it on
             before = None
-            for m in _PLACE.finditer(data, max(0, c - CHUNK), c + 1):
+            for m in _PLACE.finditer(data, max(0, c - CHUNK), c + 2):
                 before = m.start()
             after = _PLACE.search(data, c, c + CHUNK)
             return None if before is None or after is None else (c, before, after.start())
