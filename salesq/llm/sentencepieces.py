@@ -7,10 +7,12 @@ for the segmentation of the highest total piece score. A character that no piece
 covers becomes its UTF-8 bytes' pieces at a score below all others.
 
 No piece of such a model crosses from a word into the space that opens the next,
-nor holds a line break (both are checked when the model is read), so the best
-path passes every such place and a text's path is that of its chunks: each
-distinct chunk runs through the automaton once per task and is looked up again
-after. The chunk memory is emptied at ``MEMORY`` entries, so it stays bounded.
+nor holds a line break, and hardly any goes from letters and digits to other signs or back (all
+checked when the model is read; a text that holds one of those few is cut at spaces
+only). So the best path passes every such place, and a text's path is that of its
+chunks: a distinct chunk runs through the automaton once while the task's memory
+keeps it (``common.Memory``, two bounded generations), with its ids and the bytes
+that they decode to; the round trip of a text joins the latter.
 
 A literal U+2581 (the sign that stands for a space) is written as bytes, so that
 decoding returns every text exactly; NULL texts give no tokens.
@@ -28,7 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-SPACE, MEMORY, OUT_IDS = "▁", 200_000, 4_000_000
+from salesq.llm.common import Memory
+
+SPACE, MEMORY, LONGEST, OUT_IDS = "▁", 200_000, 64, 4_000_000
 _CODECS: dict = {}
 
 
@@ -61,7 +65,11 @@ class Codec:
         crossing = any(SPACE in p.lstrip(SPACE) for p, _ in normal)
         broken = any("\n" in p for p, _ in normal)
         self.chunks = re.compile(r".+" if crossing or broken else rf"{SPACE}*[^{SPACE}\n]+|\n|{SPACE}+", re.S).findall
-        self.memory: dict[str, bytes] = {}
+        self.fine = self.chunks if crossing or broken else re.compile(
+            rf"{SPACE}*(?:[^\W_]+|(?:[^{SPACE}\n\w]|_)+)|\n|{SPACE}+", re.S).findall
+        # pieces that go from one kind of sign to another
+        self.mixed = [p for p, _ in normal if len(self.fine(p)) > 1]
+        self.memory = Memory(self._known, MEMORY, LONGEST)
 
     def _fallback(self, char: str) -> list[int]:
         raw = char.encode()
@@ -91,23 +99,25 @@ class Codec:
                 at -= back[at][0]
         return ids[::-1]
 
-    def encode(self, text: str | None) -> bytes:
-        """The ids as packed 32-bit integers."""
-        if not text:
-            return b""
-        parts, memory = [], self.memory
+    def _known(self, chunk: str) -> tuple[bytes, bytes]:
+        """A chunk's ids, packed as 32-bit integers, and the bytes they decode to."""
+        ids = self.path(chunk)
+        return np.array(ids, np.int32).tobytes(), b"".join(map(self.bytes_of.__getitem__, ids))
+
+    def parts(self, text: str) -> list[tuple[bytes, bytes]]:
+        """Ids and decoded bytes of the text's chunks."""
+        out, chunks = [], self.chunks if any(p in text for p in self.mixed) else self.fine
         # a literal space sign is cut out and written as its bytes
         for k, span in enumerate((" " + text).split(SPACE)):
             if k:
-                parts.append(np.array(self._fallback(SPACE), np.int32).tobytes())
-            for chunk in self.chunks(span.replace(" ", SPACE)):
-                ids = memory.get(chunk)
-                if ids is None:
-                    if len(memory) >= MEMORY:
-                        memory.clear()
-                    ids = memory[chunk] = np.array(self.path(chunk), np.int32).tobytes()
-                parts.append(ids)
-        return b"".join(parts)
+                ids = self._fallback(SPACE)
+                out.append((np.array(ids, np.int32).tobytes(), b"".join(map(self.bytes_of.__getitem__, ids))))
+            out += map(self.memory.__getitem__, chunks(span.replace(" ", SPACE)))
+        return out
+
+    def encode(self, text: str | None) -> bytes:
+        """The ids as packed 32-bit integers."""
+        return b"".join([ids for ids, _ in self.parts(text)]) if text else b""
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
@@ -133,9 +143,10 @@ def encode(docs: DataFrame, model_path: str, doc_id: str = "doc_id", text: str =
             start, packed, same, total = 0, [], [], 0
             for k in range(len(texts)):
                 t = texts[k].as_py()
-                ids = c.encode(t)
+                parts = c.parts(t) if t else []
+                ids = b"".join([i for i, _ in parts])
                 packed.append(ids)
-                same.append(c.decode(np.frombuffer(ids, np.int32).tolist()) == (t or ""))
+                same.append(not t or b"".join([d for _, d in parts]) == b" " + t.encode())
                 total += len(ids) // 4
                 if total >= OUT_IDS or k == len(texts) - 1:
                     offsets = np.cumsum([0, *(len(x) // 4 for x in packed)], dtype=np.int32)

@@ -30,7 +30,7 @@ def brute_score(codec, text):
 def test_best_score_and_round_trip():
     codec = S.codec(PATH)
     rng = random.Random(1)
-    alphabet = "abcdefghijklmnopqrstuvwxyz     ,.\nABCéüñ執①\t"
+    alphabet = "abcdefghijklmnopqrstuvwxyz     ,.\nABCéüñ執①\t_²13$-"
     for k in range(60):
         text = "".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 80)))
         ids = __import__("numpy").frombuffer(codec.encode(text), "int32").tolist()
@@ -50,6 +50,19 @@ def test_best_score_and_round_trip():
         assert abs(score - want) <= 1e-9 * abs(want) + 1e-6, text
 
 
+def test_finer_chunks_and_a_small_memory_change_nothing(spark, sf001, monkeypatch):
+    fine, coarse = S.Codec(PATH), S.Codec(PATH)
+    coarse.fine = coarse.chunks
+    monkeypatch.setattr(S, "MEMORY", 7)
+    small = S.Codec(PATH)
+    assert len(fine.mixed) < 10         # pieces that go from letters to other signs
+    texts = [r.text for r in spark.read.parquet(f"{sf001}/documents.parquet").limit(60).collect()]
+    for t in [*texts, "x². y² .z ² a_b__c -> 12ab3", *(f"a{p}b {p}" for p in fine.mixed)]:
+        assert fine.encode(t) == coarse.encode(t) == small.encode(t)
+        assert b"".join(d for _, d in fine.parts(t)) == b" " + t.encode()
+    assert len(small.memory) <= 7 and len(small.memory.old) <= 7
+
+
 def test_odd_rows_and_decode(spark, odd_docs, no_docs, sf001):
     for docs in (odd_docs(), spark.read.parquet(f"{sf001}/documents.parquet")):
         out = S.decode(S.encode(docs, PATH), PATH)
