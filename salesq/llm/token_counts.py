@@ -99,7 +99,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache: str | None = None,
     counted = misses.mapInArrow(_encode(tokenizer_path), "digest binary, n_tokens long")
     (counted.dropDuplicates(["digest"]).select(F.lit(version).alias("tokenizer"), "digest", "n_tokens")
      .write.mode("append").parquet(cache))
-    counts = (read_cache(spark, cache).filter(F.col("tokenizer") == version)
-              .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
+    # written: joined as a plain table, so a digest that a third of the rows share is split
+    counts = written(read_cache(spark, cache).filter(F.col("tokenizer") == version)
+                     .groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "token-counts")
     return rows.join(counts, "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
