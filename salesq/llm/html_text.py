@@ -11,6 +11,12 @@ they give no words, and cost no more than a plain tag, as content may go on afte
 them. An element that encloses the content is not cut, whatever its names, and a
 header inside an article is left to the scan.
 
+Comments and notices are also found without names: an article inside another that
+is at most as long as what the outer one says itself is a comment (the standard's
+meaning of nested articles), together with an element that holds mostly such
+articles; a short element with a button or an input, but no heading, picture, table
+or code, is a notice.
+
 Tag counts over all labelled pages are one Spark aggregate of at most a row an
 HTML element, so the weights sent to the tasks are bounded.
 """
@@ -45,8 +51,14 @@ ASIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising banner
                         "share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
 # Elements that are never wrappers of the content, and the share of the words of a page
 # without article or main from which any other element counts as one.
+# Elements round a group of comments; what a notice is made of and what it never holds.
+GROUPS = frozenset("section div ul ol dl details".split())
+ASKS, NOTICE_OF = frozenset("button input".split()), frozenset("div section p".split())
+SHOWS, NOTICE = frozenset("article main h1 h2 h3 pre table figure img picture video ul ol".split()), 60
 NO_WRAPPER, MOSTLY = frozenset("head nav footer aside menu dialog button".split()), 0.75
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+# a quoted value counts only right after its "="; nothing is tried twice
+_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|"
+                    r"<(/?)([a-zA-Z][^\s/>]*)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+)>", re.S)
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)", re.S)
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+")
@@ -66,6 +78,7 @@ def _aside(name: str, attributes: str, inside: bool = False) -> bool:
 def tokens(page: str) -> list[tuple[str, str, str]]:
     """The page as (kind, name or text, attributes): kinds ``text``, ``open``, ``close``."""
     out, at, n = [], 0, len(page)
+    endless: set[str] = set()       # raw elements without an end tag from here on
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -83,12 +96,62 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
             continue
         name = m.group(2).lower()
         out.append(("close" if m.group(1) else "open", name, m.group(3)))
-        if name in RAW and not m.group(1) and not m.group(3).endswith("/"):
+        if name in RAW and name not in endless and not m.group(1) and not m.group(3).endswith("/"):
             end = re.compile(f"</{name}", re.I).search(page, at)
-            at = end.start() if end else at  # without an end only the tag itself goes
+            if end:
+                at = end.start()
+            else:                   # without an end only the tag itself goes
+                endless.add(name)
     return out
 
 
+def _comments(seq: list, end_of: dict[int, int], articles: list[int], words: list[int]) -> set[int]:
+    """Places where elements of reader comments open: nested articles at most as long
+    as the outer one's own words, or the widest element round them that holds fewer
+    words of its own than of theirs."""
+    closed = [k for k in articles if k in end_of]
+    found: set[int] = set()
+    outer = -1
+    for place, k in enumerate(closed):      # an outermost article with those right inside it
+        if k < outer:
+            continue
+        outer = end_of[k]
+        nested, last = [], k
+        for at in range(place + 1, len(closed)):
+            j = closed[at]
+            if j > outer:
+                break
+            if j > last:
+                nested.append(j)
+                last = end_of[j]
+        if not nested:
+            continue
+        size = {j: words[end_of[j]] - words[j] for j in nested}
+        own = words[outer] - words[k] - sum(size.values())
+        comments = [j for j in nested if size[j] <= own]
+        found.update(comments)
+        if not comments:
+            continue
+        before = list(accumulate((size[j] for j in comments), initial=0))
+        for j in range(k + 1, outer):       # elements round the comments that hold little else
+            if seq[j][0] == "open" and seq[j][1] in GROUPS and j in end_of and end_of[j] < outer:
+                theirs = before[bisect(comments, end_of[j])] - before[bisect(comments, j)]
+                if 0 < words[end_of[j]] - words[j] < 2 * theirs:
+                    found.add(j)
+    return found
+
+
+def _notices(seq: list, end_of: dict[int, int], words: list[int]) -> set[int]:
+    """Places where short elements open that ask for something and show nothing."""
+    asking = [k for k, e in enumerate(seq) if e[0] == "open" and e[1] in ASKS]
+    showing = [k for k, e in enumerate(seq) if e[0] == "open" and e[1] in SHOWS]
+
+    def holds(places, k):
+        return bisect(places, end_of[k]) > bisect(places, k)
+    return {k for k, e in enumerate(seq) if e[0] == "open" and e[1] in NOTICE_OF and k in end_of and holds(asking, k)
+            and words[end_of[k]] - words[k] <= NOTICE and not holds(showing, k)}
+
+
 def events(page: str) -> list[tuple[str, str]]:
     """(``tag``, name) and (``text``, decoded text) outside asides. An aside ends at
     its own end tag; one that never ends cuts out nothing but its tags. Wrappers are
@@ -103,15 +166,18 @@ def events(page: str) -> list[tuple[str, str]]:
         elif kind == "close" and opens.get(name):
             end_of[opens[name].pop()] = k
     marks = {n: [k for k, e in enumerate(seq) if e[:2] == ("open", n)] for n in ("main", "article")}
-    words = None if marks["main"] or marks["article"] else list(accumulate(
-        (len(html.unescape(e[1]).split()) if e[0] == "text" else 0 for e in seq), initial=0))
+    marked = bool(marks["main"] or marks["article"])
+    asks = any(e[0] == "open" and e[1] in ASKS for e in seq)
+    words = list(accumulate((len(html.unescape(e[1]).split()) if e[0] == "text" else 0 for e in seq), initial=0)) \
+        if asks or not marked or len(marks["article"]) > 1 else []
+    unnamed = _comments(seq, end_of, marks["article"], words) | (_notices(seq, end_of, words) if asks else set())
 
     def wraps(k: int, name: str, inside: bool) -> bool:
         def has(n):
             return bisect(marks[n], end_of[k]) > bisect(marks[n], k)
         if name in NO_WRAPPER:
             return False
-        return words[end_of[k]] - words[k] >= MOSTLY * words[-1] > 0 if words else has("main") or (not inside and has("article"))
+        return has("main") or (not inside and has("article")) if marked else words[end_of[k]] - words[k] >= MOSTLY * words[-1] > 0
 
     out, k, content_end = [], 0, -1
     while k < len(seq):
@@ -122,7 +188,7 @@ def events(page: str) -> list[tuple[str, str]]:
             out.append(("text", html.unescape(name)))
         else:
             inside = k < content_end
-            if kind == "open" and k in end_of and _aside(name, attributes, inside) and not wraps(k, name, inside):
+            if k in unnamed or (kind == "open" and k in end_of and _aside(name, attributes, inside) and not wraps(k, name, inside)):
                 k, name = end_of[k], CUT if name in BLOCK else CUT_INLINE
             out.append(("tag", name))
         k += 1

@@ -41,6 +41,43 @@ def test_single_cases():
     assert text("<p>" + "word " * 200_000 + "</p>").count("word") == 200_000
 
 
+def test_attributes_as_browsers_read_them():
+    def text(x):
+        return H.main_text(x, WEIGHTS)
+    body = "<article><p>one two three</p><p>it's the end</p></article>"
+    assert text(f"<body><a title=it's>{body}</a></body>") == "one two three\nit's the end"
+    assert text(f"<div class=x'y\"z data='a>b' alt=\"c>d\">{body}</div>") == "one two three\nit's the end"
+    assert text(f"<a 'stray' \"quotes' here>{body}") == "one two three\nit's the end"
+    assert text("<p a = 'x > y' b=\"'\">in</p>") == "in"
+    assert text('<p>before</p><a title="never closed>after</a><p>more') .startswith("before")
+
+
+def test_comments_and_notices_without_names():
+    def text(x):
+        return H.main_text(x, WEIGHTS)
+    story = "<h1>Title</h1><p>" + "long story words " * 20 + "</p>"
+    plain = "Title\n" + " ".join(["long story words"] * 20)
+    comments = "<section><h2>3 replies</h2><article><p>I liked this story very much</p></article><article><p>me too and so on</p>" \
+               "<article><p>an answer to that</p></article></article></section>"
+    assert text(f"<body><article>{story}{comments}</article></body>") == plain
+    assert text(f"<body><main><article>{story}<article>a short comment here</article></article></main></body>") == plain
+    assert text(f"<body><article><h2>Today</h2><article>{story}</article></article></body>").endswith(plain)      # a wrapper
+    assert text(f"<body><article>{story}<div><p>We use cookies to make this site better.</p><button>Accept</button></div></article></body>") == plain
+    code = "<div><pre>print(1) # " + "a line of code " * 10 + "</pre><button>copy</button></div>"
+    assert "print(1)" in text(f"<body><article>{story}{code}</article></body>")
+    quiz = "<div>" + "many words of a real paragraph " * 12 + "<button>more</button></div>"
+    assert "real paragraph" in text(f"<body><article>{story}{quiz}</article></body>")
+
+
+def test_broken_pages_cost_linear_time():
+    import time
+    for page in ("<canvas>" * 130_000, "<svg><p>x " * 100_000, "<a title='" * 100_000, "<a b=" * 200_000, "<article>" * 20_000 + "x",
+                 "<article><p>word</p>" * 3000 + "</article>" * 3000, "<p>" + "<button>" * 100_000):
+        start = time.process_time()
+        H.main_text(page, WEIGHTS)
+        assert time.process_time() - start < 3, page[:20]
+
+
 def test_scan_prefers_dense_text_over_tag_heavy_parts():
     links = "".join(f"<div><a href=x>link {k}</a></div>" for k in range(20))
     page = f"<body>{links}<h1>Title words</h1><p>{'good text ' * 30}</p><p>End.</p>{links}</body>"
