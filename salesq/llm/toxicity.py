@@ -1,12 +1,14 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries of the same size are made from labelled texts: one of
-what marks toxic documents (the words with the largest likelihood ratio of their
+what marks toxic documents (the pieces with the largest likelihood ratio of their
 document counts, strongest last, where references are cheapest) and one of ordinary
-words. Each window of a text is compressed with either; the bytes the toxic
-dictionary saves over the ordinary one are its distance. A window is one word
-behind a short lead that both dictionaries hold (the lead pays the fixed cost of a
-match, so even a short word's saving shows); partial matches count, so variants of
+words. A piece is a word or a beginning of words, so a stem whose inflections are
+each too rare to tell still counts with all of them; of pieces that begin alike only
+the strongest is taken. Each window of a text is compressed with either; the bytes
+the toxic dictionary saves over the ordinary one are its distance. A window is one
+word behind a short lead that both dictionaries hold (the lead pays the fixed cost of
+a match, so even a short word's saving shows); partial matches count, so variants of
 a marked word save bytes too. Zstandard's own dictionary trainer was measured and
 finds common syllables instead of rare marks (README).
 
@@ -34,6 +36,7 @@ from salesq.llm.common import HELD_OUT_REMAINDER, fold, held_out
 
 SAMPLE, MARKS, DICTIONARY, THRESHOLDS, CUT, MEMORY, SEED = 2000, 400, 2048, 8, 0.3, 300_000, 42
 LEAST_RATIO, LEAST_DOCS, RIDGE = 15.0, 3, 1.0
+STEM, PIECES = (4, 12), 20       # bytes of a beginning; ranked pieces looked at for each mark
 _LEAD = bytes(range(1, 9)) + b"\x0b\x0c"
 # A-Z to a-z; other ASCII that is neither letter nor digit to a space
 _FOLD = bytes(c + 32 if 65 <= c < 91 else c if c >= 128 or 48 <= c < 58 or 97 <= c < 123 else 32 for c in range(256))
@@ -119,12 +122,35 @@ def _dictionary(words: list[bytes]) -> bytes:
     return b" ".join([b"", *reversed(out), b""])
 
 
-def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def pieces(words: set[bytes]) -> list[bytes]:
+    """The words and their beginnings of ``STEM`` bytes, cut between characters."""
+    least, most = STEM
+    stems = {w[:k] for w in words for k in range(least, min(len(w), most + 1)) if w[k] & 0xC0 != 0x80}
+    return sorted(words | stems)
+
+
+def _pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for text, toxic in zip(b.column("text"), b.column("toxic"), strict=True):
-            distinct = sorted(set(windows(text.as_py())))
-            yield pa.RecordBatch.from_arrays([pa.array(distinct, pa.binary()), pa.array([toxic.as_py()] * len(distinct), pa.int64())],
-                                             ["word", "toxic"])
+            words = set(windows(text.as_py()))
+            found = pieces(words)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.binary()), pa.array([p in words for p in found], pa.bool_()),
+                 pa.array([toxic.as_py()] * len(found), pa.int64())], ["word", "whole", "toxic"])
+
+
+def strongest(ranked: list[bytes], most: int) -> list[bytes]:
+    """Pieces in their order, without those that begin like one taken before or that one begins with."""
+    taken: dict[bytes, None] = {}
+    begun: set[bytes] = set()           # beginnings of what was taken
+    for p in ranked:
+        if p in begun or any(p[:k] in taken for k in range(1, len(p))):
+            continue
+        taken[p] = None
+        begun.update(p[:k] for k in range(1, len(p) + 1))
+        if len(taken) == most:
+            break
+    return list(taken)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text",
@@ -152,8 +178,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not (n0 and n1):
         return model
-    words = (made.select("text", F.col("toxic").cast("long").alias("toxic")).mapInArrow(_words_of, "word binary, toxic long")
-             .groupBy("word").agg(F.sum("toxic").alias("a"), (F.count("toxic") - F.sum("toxic")).alias("b")))
+    words = (made.select("text", F.col("toxic").cast("long").alias("toxic")).mapInArrow(_pieces_of, "word binary, whole boolean, toxic long")
+             .groupBy("word").agg(F.sum("toxic").alias("a"), (F.count("toxic") - F.sum("toxic")).alias("b"), F.max("whole").alias("whole")))
 
     def term(k, m, p):
         return F.when(k > 0, k * F.log(p)).otherwise(0.0) + F.when(k < m, (m - k) * F.log(1 - p)).otherwise(0.0)
@@ -161,8 +187,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     both = (a + b) / (n0 + n1)
     ratio = 2 * (term(a, n1, a / n1) + term(b, n0, b / n0) - term(a, n1, both) - term(b, n0, both))
     marked = words.filter((F.col("a") >= LEAST_DOCS) & (a / n1 > 4 * b / n0)).withColumn("ratio", ratio).filter(F.col("ratio") >= LEAST_RATIO)
-    marks = [bytes(r.word) for r in marked.orderBy(F.desc("ratio"), "word").limit(MARKS).select("word").collect()]
-    plain = [bytes(r.word) for r in words.filter(a / n1 <= 2 * b / n0).orderBy(F.desc("b"), "word").limit(4 * MARKS).select("word").collect()]
+    # of equal ratios the longest: a whole stem rather than its beginning
+    ranked = marked.orderBy(F.desc("ratio"), F.desc(F.octet_length("word")), "word").limit(PIECES * MARKS).select("word").collect()
+    marks = strongest([bytes(r.word) for r in ranked], MARKS)
+    plain = [bytes(r.word) for r in words.filter(F.col("whole") & (a / n1 <= 2 * b / n0)).orderBy(F.desc("b"), "word").limit(4 * MARKS).select("word").collect()]
     model.toxic = _dictionary(marks)
     model.ordinary = _dictionary(plain)[-max(len(model.toxic), 2):]
     counted = window_counts(rows.filter("half = 1"), model).select("toxic", "counts").collect()
