@@ -57,3 +57,10 @@ def count_if(cond: Column) -> Column:
 def money(c, precision: int = 18) -> Column:
     """Money as an exact decimal with two places."""
     return col_(c).cast(f"decimal({precision},2)")
+
+
+def row_digest(cols: list) -> list:
+    """Two 64-bit hashes of a row's values, NULLs included (a plain hash passes over
+    them, so which values are NULL is hashed as well). Equal values have equal hashes."""
+    nulls = [c.isNull() for c in cols]
+    return [F.xxhash64(*cols, *nulls), F.xxhash64(F.lit(1), *cols, *nulls)]

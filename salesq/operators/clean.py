@@ -19,7 +19,7 @@ from pyspark.sql.types import BooleanType
 from salesq.functions.expr import count_if, np_round, safe_div, to_flag
 from salesq.operators.nearest import nearest_match
 from salesq.session import cut_lineage
-from salesq.sources.fixture import RAW_COLUMNS
+from salesq.sources.fixture import ORDINAL, RAW_COLUMNS
 
 # Drop reasons (our codes).
 MISSING_KEY = "missing_key"
@@ -114,6 +114,12 @@ def price_catalog(df: DataFrame, group: str = "category", label: str = "item",
               .groupBy(group, label).agg(((cents / F.lit(100.0)) / F.count(value)).alias("mean_price")))
 
 
+def needs_item(df: DataFrame, group: str = "category", label: str = "item", value: str = "price_per_unit") -> DataFrame:
+    """Marks (``_need``) the live rows whose missing item C9 may find."""
+    need = _alive() & F.col(label).isNull() & F.col(group).isNotNull() & F.col(value).isNotNull()
+    return _ensure_drop(df).withColumn("_need", need)
+
+
 def infer_nearest(df: DataFrame, catalog: DataFrame, group: str = "category", label: str = "item",
                   value: str = "price_per_unit", tolerance: float = 0.15, buckets: int = 64) -> DataFrame:
     """Fill a missing item with the catalogue item of the same category whose
@@ -124,9 +130,8 @@ def infer_nearest(df: DataFrame, catalog: DataFrame, group: str = "category", la
     side: AQE broadcasts it if its measured bytes are few, else splits a hot
     price); the rest bypass the join.
     """
-    df = _ensure_drop(df)
-    need = _alive() & F.col(label).isNull() & F.col(group).isNotNull() & F.col(value).isNotNull()
-    df = df.withColumn("_need", need)
+    if "_need" not in df.columns:
+        df = needs_item(df, group, label, value)
     probes = df.filter(F.col("_need")).select(group, value)
     matches = nearest_match(probes, catalog, key=group, value=value, label=label, mean="mean_price",
                             tolerance=tolerance, buckets=buckets, checkpoint=True)
@@ -217,23 +222,31 @@ def cleaning_report(flagged: DataFrame) -> DataFrame:
                         np_round(safe_div(F.col("final_rows") * F.lit(100.0), F.col("initial_rows")), 1))
 
 
+def kept_columns(df: DataFrame) -> list[str]:
+    """The clean table's columns: the feed's, and its ordinal if it has one."""
+    return [*RAW_COLUMNS, *([ORDINAL] if ORDINAL in df.columns else [])]
+
+
 TYPE_CHANGING = ("discount_applied", "transaction_date")
 
 
 def flag_raw(raw: DataFrame) -> DataFrame:
     """Raw columns plus what the report and quarantine need from before the
     steps: the null count of the raw row, and the raw text of the columns
-    whose type a step changes."""
+    whose type a step changes. The order of the file's rows (``ORDINAL``), if the
+    scan gave it, goes along."""
     nulls = sum((F.col(c).isNull().cast("int") for c in RAW_COLUMNS), F.lit(0))
-    return raw.select(*[F.col(c) for c in RAW_COLUMNS], nulls.alias("_nulls_before"),
+    return raw.select(*[F.col(c) for c in kept_columns(raw)], nulls.alias("_nulls_before"),
                       *[F.col(c).alias(f"_raw_{c}") for c in TYPE_CHANGING])
 
 
 def clean(raw: DataFrame, tolerance: float = 0.15, consistency_tolerance: float = 0.01,
           include_unmatched: bool = False, buckets: int = 64) -> CleanResult:
-    """C1–C12 composed. Eager in one place: the nearest-match table of C9 is
-    built and written while this plans (two small writes); the returned frames
-    are lazy, and callers write ``flagged`` once."""
+    """C1–C12 composed. The raw feed is read once: the rows after C7 are written,
+    those that need an item apart, and the catalogue, the probes and the patched
+    rows come from that table. The nearest-match table of C9 is built and written
+    while this plans (three small writes); the returned frames are lazy, and callers
+    write ``flagged`` once."""
     df = flag_raw(raw).withColumn("_drop", F.lit(None).cast("string"))
     df = drop_missing_keys(df)                                               # C1
     df = drop_unrecoverable(df)                                              # C2
@@ -241,10 +254,11 @@ def clean(raw: DataFrame, tolerance: float = 0.15, consistency_tolerance: float
     df = recover_ratio(df, "price_per_unit", "total_spent", "quantity", 2)   # C5
     df = recover_ratio(df, "quantity", "total_spent", "price_per_unit", 1)   # C6
     df = recover_product(df, "total_spent", "price_per_unit", "quantity", 2) # C7
+    df = cut_lineage(needs_item(df), partition_by=["_need"])
     catalog = price_catalog(df)                                              # C8
     df = infer_nearest(df, catalog, tolerance=tolerance, buckets=buckets)    # C9
     df = drop_unmatched(df)                                                  # C10
     df = standardize_date(df)                                                # C11
     df = enforce_product(df, tolerance=consistency_tolerance)                # C12
-    clean_df = df.filter(_alive()).select(*RAW_COLUMNS)
+    clean_df = df.filter(_alive()).select(*kept_columns(df))
     return CleanResult(flagged=df, clean=clean_df, include_unmatched=include_unmatched)

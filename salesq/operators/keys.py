@@ -23,18 +23,27 @@ def numbered_ranges(df: DataFrame, order_cols: list[str], num_partitions: int |
                              .withColumn("_mid", F.monotonically_increasing_id()))
 
 
+FEW_ROWS = 100_000      # so many rows, counted first, are numbered by one task
+
+
 def assign_ids(df: DataFrame, order_cols: list[str], id_col: str, start: int = 1,
-               num_partitions: int | None = None) -> DataFrame:
+               num_partitions: int | None = None, few: int = FEW_ROWS) -> DataFrame:
     """Dense ids ``start..start+n-1`` following the order of ``order_cols``.
 
-    Runs one job that writes the numbered ranges; the per-range row counts
-    (one row per range, bounded by the partition count) and the ids are both
-    computed from the written frame, so they always fit each other. No single
-    task sees all rows. ``id_col`` is placed first."""
+    ``df`` is written once and counted. At most ``few`` rows are numbered by one
+    window; more are range-partitioned and written with their place: the
+    per-range row counts (one row per range, bounded by the partition count) and
+    the ids are both computed from the written frame, so they always fit each
+    other, and no single task sees all rows. ``id_col`` is placed first."""
+    others = [c for c in df.columns if c != id_col]
+    df = cut_lineage(df)
+    if num_partitions is None and df.count() <= few:
+        place = F.row_number().over(Window.orderBy(*order_cols)) + F.lit(start - 1)
+        return df.select(place.cast("int").alias(id_col), *others)
     numbered = numbered_ranges(df, order_cols, num_partitions)
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     out = (numbered.join(F.broadcast(offsets.select("_pid", "_off", "_m0")), "_pid")
                    .withColumn(id_col, (F.col("_off") + (F.col("_mid") - F.col("_m0")) + F.lit(start)).cast("int")))
-    return out.select(id_col, *[c for c in df.columns if c != id_col])
+    return out.select(id_col, *others)

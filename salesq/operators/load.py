@@ -36,9 +36,6 @@ def empty_table(spark, name: str) -> DataFrame:
 def _next_ids(new_rows: DataFrame, target: DataFrame, id_col: str, order_cols: list[str]) -> DataFrame:
     """ids max(target)+1.. for new rows in ``order_cols`` order (no collect: the
     max is a one-row aggregate joined on a constant)."""
-    new_rows = cut_lineage(new_rows)
-    if new_rows.isEmpty():          # a reload without new keys numbers nothing
-        return new_rows.withColumn(id_col, F.lit(None).cast("int"))
     base = target.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_base")).withColumn("_k", F.lit(1))
     ided = assign_ids(new_rows, order_cols, "_seq")
     return (ided.withColumn("_k", F.lit(1)).join(F.broadcast(base), "_k")
@@ -125,18 +122,57 @@ def dedupe_latest(source: DataFrame, key: str, order_by: list[str] | None = None
             .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
+def split_superseded(source: DataFrame, key: str | list[str], order_by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(winners, superseded)`` of rows whose key must be unique.
+
+    Of a repeated key the greatest row by ``order_by`` (then by all values) stays, as
+    "the last row wins" if ``order_by`` is the source's ordinal; the others come
+    back as distinct rows with their number of ``copies`` and the reason
+    ``superseded:<key>``. Rows with a NULL in the key stay: they are no repeats, and
+    the contract's checks judge them.
+
+    Keys are counted first, and only those that repeat are written and joined back:
+    all other rows are neither sorted nor grouped with their values. The rows of a
+    repeated key are counted by value before they meet their winner, so copies of
+    a hot row shrink before the shuffle, and both sides of that join are written, so
+    AQE can split a hot key."""
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = [c for c in source.columns if c not in keys]
+    reason = F.array(F.lit("superseded:" + ",".join(keys))).alias("reasons")
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    repeated = cut_lineage(source.filter(known).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                           .filter("_n > 1").select(*keys))
+    if repeated.isEmpty():
+        return source, source.limit(0).select("*", F.lit(0).cast("bigint").alias("copies"), reason)
+    rows = cut_lineage(source.join(repeated, keys, "left_semi").groupBy(*source.columns).agg(F.count(F.lit(1)).alias("copies")))
+    values = F.struct(F.lit(0).alias("_"), *cols)          # a key may have no other column
+    order = F.struct(*[F.col(c) for c in order_by or []], values)
+    best = cut_lineage(rows.groupBy(*keys).agg(F.max_by(values, order).alias("_best")))
+    winners = source.join(repeated, keys, "left_anti").unionByName(
+        best.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in cols]))
+    stays = values.eqNullSafe(F.col("_best"))
+    superseded = (rows.join(best, keys).withColumn("copies", F.col("copies") - F.when(stays, 1).otherwise(0))
+                  .filter("copies > 0").select(*source.columns, "copies", reason))
+    return winners, superseded
+
+
 def null_key_rejects(source: DataFrame, key: str = "transaction_id") -> DataFrame:
     """L6 for an upsert: the rows that cannot be placed because their key is NULL."""
     return source.filter(F.col(key).isNull()).withColumn("reasons", F.array(F.lit(f"null:{key}")))
 
 
 def upsert_transactions(target: DataFrame, source: DataFrame, load_ts=None,
-                        order_by: list[str] | None = None) -> DataFrame:
+                        order_by: list[str] | None = None, unique: bool = False) -> DataFrame:
     """L4: upsert facts by TransactionID; all value columns replaced by the
-    source; CreatedAt kept; UpdatedAt moves only when a value changed."""
+    source; CreatedAt kept; UpdatedAt moves only when a value changed. ``unique``
+    says that no key repeats in the source (``split_superseded``): its rows are then
+    not sorted to find the last of each key."""
     ts = _ts(load_ts)
     carried = [c for c in order_by or [] if c not in FACT_VALUE_COLS and c != "transaction_id"]
-    src = dedupe_latest(source.select("transaction_id", *FACT_VALUE_COLS, *carried), "transaction_id", order_by)
+    src = source.select("transaction_id", *FACT_VALUE_COLS, *carried)
+    src = src.filter("transaction_id is not null") if unique else dedupe_latest(src, "transaction_id", order_by)
     s = src.select("transaction_id", *[F.col(c).alias(f"_s_{c}") for c in FACT_VALUE_COLS],
                    F.lit(True).alias("_in"))
     j = target.join(s, "transaction_id", "full")
@@ -158,8 +194,9 @@ def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
                        for c in df.columns])
 
 
-def _with_reasons(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None):
-    """Add ``reasons`` (array of violated rules) and return (frame, conformed exprs)."""
+def _with_reasons(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None, written: bool = False):
+    """Add ``reasons`` (array of violated rules) and return (frame, conformed exprs).
+    ``written`` says that the parents are written tables with unique keys."""
     parents = parents or {}
     reasons = []
     conv = {}
@@ -184,7 +221,9 @@ def _with_reasons(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame]
         if ptable in parents and col in df.columns:
             # the parent's keys are written: a plain join side, so AQE can broadcast
             # it by its measured size or split the partition of a hot child key
-            keys = cut_lineage(parents[ptable].select(F.col(pcol).alias(col)).filter(F.col(col).isNotNull()).distinct())
+            keys = parents[ptable].select(F.col(pcol).alias(col)).filter(F.col(col).isNotNull())
+            if not written:
+                keys = cut_lineage(keys.distinct())
             j = j.join(keys.withColumn(f"_fk_{col}", F.lit(True)), col, "left")
             reasons.append(F.when(F.col(col).isNotNull() & F.col(f"_fk_{col}").isNull(),
                                   F.lit(f"missing_parent:{col}")))
@@ -208,12 +247,13 @@ def split_valid(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] |
 
 
 def check_rows(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame] | None = None,
-               carry: list[str] | None = None) -> DataFrame:
-    """L6 in one pass (columns of ``carry``, e.g. an ordinal, go along unchecked): each row once, with the conformed values (valid rows),
-    the original values (rejected rows), the reasons and ``_ok``. Written
-    partitioned by ``_ok``, it is split by partition pruning instead of
-    evaluating the checks twice."""
-    j, conv = _with_reasons(df, spec, parents)
+               carry: list[str] | None = None, written: bool = False) -> DataFrame:
+    """L6 in one pass (columns of ``carry``, e.g. an ordinal, go along unchecked): each
+    row once, with the conformed values (valid rows), the original values (rejected
+    rows), the reasons and ``_ok``. Written partitioned by ``_ok``, it is split by
+    partition pruning instead of evaluating the checks twice. ``written``: the
+    parents are written tables with unique keys, joined as they are."""
+    j, conv = _with_reasons(df, spec, parents, written)
     ok = F.size("reasons") == 0
     names = [f.name for f in spec.schema.fields if f.name in df.columns]
     return j.select(
@@ -367,8 +407,12 @@ def upsert_partitioned(spark, target_path: str, source: DataFrame, load_ts=None,
     cannot be read and overwritten in one job) and written back. A touched month
     left without rows is removed, the staged copy as well. A batch without rows
     is a no-op. Returns the touched months, NULL as None last (a list bounded by
-    the number of months). If the job dies while it writes back, the batch can be
-    run again: what it had replaced is the same rows."""
+    the number of months).
+
+    This form keeps a plain folder a month, and for it reads the key column of the
+    whole target and replaces months in place: a job that dies while it writes
+    back can leave a month deleted, whose other rows are then in the staged copy
+    alone. ``month_table.MonthTable`` has neither weakness."""
     import uuid
 
     from salesq.session import delete_path, ensure_checkpoint_dir, path_exists

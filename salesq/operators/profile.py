@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salesq.functions.expr import count_if
+from salesq.functions.expr import count_if, row_digest
 from salesq.operators.keys import numbered_ranges
+from salesq.session import cut_lineage
 
 
 def profile_shape(df: DataFrame) -> DataFrame:
@@ -44,19 +45,27 @@ def profile_missing(df: DataFrame) -> DataFrame:
 
 
 def profile_duplicates(df: DataFrame) -> DataFrame:
-    """Rows identical to an earlier row (NULLs compare equal, as grouping does)."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows identical to an earlier row (NULLs compare equal, as grouping does).
+
+    Exact, without moving whole rows: 128-bit digests of the rows are counted
+    first, and only rows whose digest repeats are grouped by all their columns, so
+    the shuffle of the table carries 16 bytes a row. The digests that repeat are
+    written: a plain join side, which AQE broadcasts if its measured bytes are few.
+    Zeros of both signs are made one before hashing, as grouping takes them for equal."""
+    cols = [F.col(f"`{c}`") + F.lit(0.0).cast(t) if t in ("double", "float") else F.col(f"`{c}`") for c, t in df.dtypes]
+    marked = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[
+        h.alias(n) for h, n in zip(row_digest(cols), ("h1", "h2"))])
+    repeated = cut_lineage(marked.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2"))
+    groups = (marked.join(repeated, ["h1", "h2"], "left_semi").select("row.*")
+              .groupBy(*[f"`{c}`" for c in df.columns]).agg(F.count(F.lit(1)).alias("_n")))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
 def profile_values(df: DataFrame, cols: list[str], missing: str = "nan") -> DataFrame:
-    """P5: distinct values of selected columns, missing shown as ``missing``."""
-    out = None
-    for c in cols:
-        part = df.select(F.lit(c).alias("column_name"),
-                         F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias("value")).distinct()
-        out = part if out is None else out.unionByName(part)
-    return out
+    """P5: distinct values of selected columns, missing shown as ``missing``; one scan
+    for all columns."""
+    pairs = ", ".join(f"'{c}', coalesce(CAST(`{c}` AS string), '{missing}')" for c in cols)
+    return df.selectExpr(f"stack({len(cols)}, {pairs}) as (column_name, value)").distinct()
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],

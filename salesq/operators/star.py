@@ -45,9 +45,10 @@ def item_dim(df: DataFrame, categories: DataFrame, ordinal: str | None = None,
             .select("item_id", "item_name", "price_per_unit", "category_id"))
 
 
-def build_fact(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+def build_fact(df: DataFrame, dims: dict[str, DataFrame], carry: list[str] | None = None) -> DataFrame:
     """Look keys up by name; item by (item name, category id) where the
-    highest ItemID wins for multi-price items; missing lookups stay NULL."""
+    highest ItemID wins for multi-price items; missing lookups stay NULL.
+    Columns of ``carry`` (e.g. an ordinal) go along."""
     cats = dims["categories"].select(F.col("category_name").alias("_cat_name"), F.col("category_id").alias("_cat_id"))
     # written: a join side that is an aggregate in the same plan keeps AQE from
     # splitting the fact's partition of a hot item
@@ -62,7 +63,7 @@ def build_fact(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return f.select(
         F.col("transaction_id"), F.col("customer_id"), F.col("item_id"), F.col("payment_method_id"),
         F.col("location_id"), F.col("quantity"), F.col("total_spent").alias("total_price"),
-        F.col("transaction_date"), F.col("discount_applied"))
+        F.col("transaction_date"), F.col("discount_applied"), *[F.col(c) for c in carry or []])
 
 
 def normalize(clean_df: DataFrame) -> dict[str, DataFrame]:

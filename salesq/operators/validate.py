@@ -13,8 +13,10 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesq.functions.expr import count_if, np_round
+from salesq.functions.expr import count_if, np_round, row_digest
+from salesq.session import cut_lineage
 
+DIGEST_BUCKETS = 4096       # of ids, when two stores are compared by digests (V31)
 STAR_TABLES = ["categories", "locations", "payment_methods", "customers", "items", "transactions"]
 
 # Check ids/names (ours) for the 17 counted checks, in order. The
@@ -264,33 +266,88 @@ def row_differences(rel: DataFrame, docs: DataFrame, tolerance: float = 0.01) ->
     """V31 per row: relational row LEFT JOIN *the* document of its id (a
     document key is unique; repeated ``_id`` values are reduced to the greatest
     (quantity, total, date) with a partial aggregate first, so a hot repeated
-    key can never pair every copy with every copy)."""
+    key can never pair every copy with every copy). Rows without an id meet no
+    document and bypass the join: NULL would be one hot key of it."""
     one = (docs.filter(F.col("_id").isNotNull()).groupBy("_id")
            .agg(F.max(F.struct(F.col("quantity").alias("q"), F.col("total_price").alias("t"),
                                F.to_date("transaction_date").alias("d"))).alias("_m")))
     d = one.select(F.col("_id").alias("transaction_id"), F.lit(True).alias("_found"),
                    F.col("_m.q").alias("_dq"), F.col("_m.t").alias("_dt"), F.col("_m.d").alias("_dd"))
-    j = rel.join(d, "transaction_id", "left")     # a NULL id meets no document
+    j = rel.filter(F.col("transaction_id").isNotNull()).join(d, "transaction_id", "left")
     found = F.col("_found").isNotNull()
-    return j.select(
+    named = j.select(
         "transaction_id",
-        F.col("transaction_id").isNull().alias("null_id"),
-        (~found & F.col("transaction_id").isNotNull()).alias("missing"),
+        F.lit(False).alias("null_id"),
+        (~found).alias("missing"),
         (found & ~F.col("quantity").eqNullSafe(F.col("_dq"))).alias("quantity_diff"),
         (found & F.coalesce(F.abs(F.col("total_price") - F.col("_dt")) > F.lit(tolerance),
                             F.col("total_price").isNull() != F.col("_dt").isNull())).alias("total_diff"),
         (found & ~F.to_date("transaction_date").eqNullSafe(F.col("_dd"))).alias("date_diff"))
+    no = F.lit(False)
+    return named.unionByName(rel.filter(F.col("transaction_id").isNull()).select(
+        "transaction_id", F.lit(True).alias("null_id"), no.alias("missing"), no.alias("quantity_diff"),
+        no.alias("total_diff"), no.alias("date_diff")))
+
+
+def _compared(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Rows with a key as ``_b`` (bucket of the key) and two digests of what V31 compares."""
+    cols = [F.col(key).cast("string"), F.col("quantity").cast("double"), F.col("total_price").cast("double"),
+            F.to_date("transaction_date")]
+    h1, h2 = row_digest(cols)
+    return df.filter(F.col(key).isNotNull()).select(
+        F.pmod(F.xxhash64(cols[0]), F.lit(buckets)).cast("int").alias("_b"), F.xxhash64(cols[0]).alias("_k"), h1.alias("_h1"), h2.alias("_h2"))
+
+
+def differing_buckets(rel: DataFrame, docs: DataFrame, buckets: int = DIGEST_BUCKETS) -> DataFrame:
+    """V31 by digests: the buckets of ids (at most ``buckets`` rows, ``_b``) whose rows are
+    not the same on both sides, or hold a repeated document id. Each side is one scan and
+    a partial aggregate to a row a bucket: number of rows and sums of two 64-bit row
+    digests. Documents' ids are counted by their 64-bit hash, 8 bytes a row."""
+    def sides(df, key):
+        rows = _compared(df, key, buckets)
+        return rows.groupBy("_b").agg(F.count(F.lit(1)).alias("n"), *[
+            F.sum(F.col(h).cast("decimal(20,0)")).alias(f"s{h}") for h in ("_h1", "_h2")])
+    a, b = sides(rel, "transaction_id").alias("a"), sides(docs, "_id").alias("b")
+    same = F.lit(True)
+    for c in ("n", "s_h1", "s_h2"):
+        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    differ = a.join(b, F.col("a._b") == F.col("b._b"), "full").filter(~same).select(F.coalesce("a._b", "b._b").alias("_b"))
+    repeated = (_compared(docs, "_id", buckets).groupBy("_k").agg(F.count(F.lit(1)).alias("n"), F.first("_b").alias("_b"))
+                .filter("n > 1").select("_b"))
+    return differ.unionByName(repeated).distinct()
 
 
 def compare_rows(rel: DataFrame, docs: DataFrame, sample: int | None = None,
-                 tolerance: float = 0.01) -> DataFrame:
+                 tolerance: float = 0.01, digests: bool = False) -> DataFrame:
     """V31 summary: all rows (``sample=None``) or the n hash-sampled ids.
     An empty sample gives zeros, not an error. Rows without an id cannot be
-    compared; they are counted as ``null_ids``."""
+    compared; they are counted as ``null_ids``.
+
+    ``digests`` compares digests of buckets of ids first and joins only the rows of
+    the buckets that differ (``differing_buckets``, written when this is called): the
+    same answer, and two stores that agree are never joined."""
     if sample is not None:
         ids = sample_keys(rel, "transaction_id", sample)
         rel = rel.join(ids, "transaction_id", "left_semi")
-    diffs = row_differences(rel, docs, tolerance)
+    if not digests:
+        return _difference_counts(row_differences(rel, docs, tolerance))
+    wanted = cut_lineage(differing_buckets(rel, docs))
+    ids = rel.agg(F.count("transaction_id").alias("checked"), count_if(F.col("transaction_id").isNull()).alias("null_ids"))
+    if wanted.isEmpty():
+        return ids.select("checked", "null_ids", *[F.lit(0).cast("bigint").alias(c) for c in DIFFERENCES])
+
+    def only(df, key):      # at most DIGEST_BUCKETS rows are broadcast
+        b = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(DIGEST_BUCKETS)).cast("int")
+        return df.filter(F.col(key).isNotNull()).withColumn("_b", b).join(F.broadcast(wanted), "_b", "left_semi").drop("_b")
+    found = _difference_counts(row_differences(only(rel, "transaction_id"), only(docs, "_id"), tolerance))
+    return (ids.withColumn("_one", F.lit(1)).join(F.broadcast(found.select(*DIFFERENCES).withColumn("_one", F.lit(1))), "_one")
+            .drop("_one"))          # one row each
+
+
+DIFFERENCES = ["missing_count", "mismatch_count", "quantity_mismatches", "total_mismatches", "date_mismatches", "non_date_mismatches"]
+
+
+def _difference_counts(diffs: DataFrame) -> DataFrame:
     named = ~F.col("null_id")
     mism = F.col("quantity_diff") | F.col("total_diff") | F.col("date_diff")
     return diffs.agg(

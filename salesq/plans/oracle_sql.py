@@ -408,6 +408,13 @@ FROM (SELECT item AS item_name, category AS category_name, price_per_unit,
                  + CAST(split_part(transaction_id, '_', 3) AS BIGINT)) AS first
       FROM sales_clean WHERE item IS NOT NULL GROUP BY ALL) d
 LEFT JOIN n_cat c ON d.category_name = c.category_name""")
+ORACLE["dim_items_file_order"] = starred("""
+SELECT CAST(row_number() OVER (ORDER BY d.first) AS INTEGER) AS item_id, d.item_name, d.price_per_unit, c.category_id
+FROM (SELECT item AS item_name, category AS category_name, price_per_unit, min(place) AS first
+      FROM (SELECT *, row_number() OVER (ORDER BY CAST(split_part(transaction_id, '_', 2) AS BIGINT),
+                                                  CAST(split_part(transaction_id, '_', 3) AS BIGINT), transaction_id) AS place
+            FROM sales_clean) WHERE item IS NOT NULL GROUP BY ALL) d
+LEFT JOIN n_cat c ON d.category_name = c.category_name""")
 ORACLE["dim_id_ranges"] = starred("\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count, count(DISTINCT {k}) AS distinct_ids, min({k}) AS least_id, "
     f"max({k}) AS largest_id FROM {n}"
@@ -632,6 +639,25 @@ ORACLE["upsert_partitioned_fact"] = ORACLE["upsert_transactions"].replace(
     "ELSE t.updated_at END AS updated_at", "ELSE t.updated_at END AS updated_at,\n       strftime(CASE WHEN s.transaction_id "
     "IS NOT NULL THEN s.transaction_date ELSE t.transaction_date END, '%Y-%m') AS year_month")
 
+ORACLE["reconcile_rows_digests"] = ORACLE["reconcile_rows_full"]
+ORACLE["upsert_versioned_fact"] = ORACLE["upsert_partitioned_fact"]
+ORACLE["versioned_fact_before"] = _w(RAW_SALES, CLEAN, STAR, _UPSERT_T, body="""
+SELECT *, strftime(transaction_date, '%Y-%m') AS year_month FROM t1""")
+_FACT_VALUES = ("customer_id, item_id, payment_method_id, location_id, quantity, total_price, transaction_date, discount_applied")
+_REPEATS = f"""
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY {", ".join(
+      c.strip() + " DESC NULLS LAST" for c in _FACT_VALUES.split(","))}) AS place FROM ds_fact)"""
+ORACLE["load_superseded"] = with_ctes(DAMAGED, _REPEATS, body="""
+SELECT 'customers' AS table_name, customer_id AS key, 'superseded:customer_id' AS reason, count(*) - 1 AS copies,
+       CAST(NULL AS DOUBLE) AS total_price
+FROM ds_customers WHERE customer_id IS NOT NULL GROUP BY customer_id HAVING count(*) > 1
+UNION ALL
+SELECT 'transactions', transaction_id, 'superseded:transaction_id', count(*), total_price
+FROM ranked WHERE transaction_id IS NOT NULL AND place > 1
+GROUP BY transaction_id, customer_id, item_id, payment_method_id, location_id, quantity, total_price, transaction_date, discount_applied""")
+ORACLE["load_winners"] = with_ctes(DAMAGED, _REPEATS, body=f"SELECT transaction_id, {_FACT_VALUES} FROM ranked WHERE place = 1 OR transaction_id IS NULL")
+
 # ------------------------------------------------------------------ written stages read back
 ORACLE["clean_snapshot_resume"] = ORACLE["sales_clean"]
 ORACLE["quarantine_snapshot"] = ORACLE["clean_quarantine"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from salesq.functions.expr import count_if, money
 from salesq.operators import clean as C
 from salesq.session import ensure_checkpoint_dir, materialize
-from salesq.sources.fixture import RAW_COLUMNS, raw_sales
+from salesq.sources.fixture import ORDINAL, RAW_COLUMNS, raw_sales
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -419,6 +419,13 @@ def q_reconcile_rows_full(spark, sf_dir):
     return V.compare_rows(rel, docs["transactions"], sample=None)
 
 
+@query("reconcile_rows_digests")
+def q_reconcile_rows_digests(spark, sf_dir):
+    """The same answer from digests of id buckets, rows joined only where they differ."""
+    _, docs, _, _, _, rel = _compare_parts(spark, sf_dir)
+    return V.compare_rows(rel, docs["transactions"], digests=True)
+
+
 def _sections(spark, sf_dir, kind, star, documents, **how):
     """The validation sections of a pair, each computed once a session and written."""
     built = None
@@ -527,6 +534,7 @@ def q_profile_numeric(spark, sf_dir):
 # ------------------------------------------------------------------ load
 
 from salesq.operators import load as L  # noqa: E402
+from salesq.operators.month_table import fact_table  # noqa: E402
 from salesq.schema import LOAD_ORDER, TABLES  # noqa: E402
 
 TS1, TS2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
@@ -633,6 +641,47 @@ def q_upsert_partitioned_fact(spark, sf_dir):
     return spark.read.option("basePath", path).parquet(path).withColumn("year_month", F.col("year_month").cast("string"))
 
 
+@query("upsert_versioned_fact")
+def q_upsert_versioned_fact(spark, sf_dir):
+    """The same two batches, each published whole as a version."""
+    return _versioned(spark, sf_dir).read()
+
+
+@query("versioned_fact_before")
+def q_versioned_fact_before(spark, sf_dir):
+    """The first version, still readable after the second was published."""
+    return _versioned(spark, sf_dir).read(1)
+
+
+def _versioned(spark, sf_dir):
+    fact = _star(spark, sf_dir)["transactions"]
+    table = fact_table(spark, _folder(spark, "versioned"), fact)
+    table.upsert(_batch1(fact), TS1)
+    table.upsert(fact, TS2)
+    return table
+
+
+@query("load_superseded")
+def q_load_superseded(spark, sf_dir):
+    """Rows that a greater row of the same key replaces, of the damaged star's
+    customers, items and transactions."""
+    s, out = damaged_star(spark, sf_dir), None
+    for name, key in (("customers", "customer_id"), ("items", "item_id"), ("transactions", "transaction_id")):
+        _, gone = L.split_superseded(s[name], key)
+        part = gone.select(F.lit(name).alias("table_name"), F.col(key).cast("string").alias("key"),
+                           F.array_join("reasons", ",").alias("reason"), "copies",
+                           (F.col("total_price") if name == "transactions" else F.lit(None)).cast("double").alias("total_price"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("load_winners")
+def q_load_winners(spark, sf_dir):
+    """The transactions that stay, one a key (rows without a key stay for the checks)."""
+    winners, _ = L.split_superseded(damaged_star(spark, sf_dir)["transactions"], "transaction_id")
+    return winners
+
+
 @query("source_counts")
 def q_source_counts(spark, sf_dir):
     return L.source_counts(_star(spark, sf_dir))
@@ -663,6 +712,19 @@ def _folder(spark, name):
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/salesq-{name}/{uuid.uuid4().hex[:12]}"
 
 
+@query("dim_items_file_order")
+def q_dim_items_file_order(spark, sf_dir):
+    """N5 from a CSV feed of several files: ids by first appearance in the files, from
+    the ordinal of the scan. The feed is written in the order of its line keys."""
+    keys = F.split("Transaction ID", "_")
+    path = _folder(spark, "ordered-csv")
+    text = raw_sales_text(spark, sf_dir)
+    order = [keys[1].cast("bigint"), keys[2].cast("bigint"), F.col("Transaction ID")]
+    ordered = text.repartitionByRange(*order).sortWithinPartitions(*order)
+    clean = C.clean(IO.read_raw_sales(spark, IO.write_raw_csv(ordered, path))).clean
+    return N.item_dim(clean, _star(spark, sf_dir)["categories"], ordinal=ORDINAL).select("item_id", "item_name", "price_per_unit", "category_id")
+
+
 @query("clean_snapshot_resume")
 def q_clean_snapshot_resume(spark, sf_dir):
     """The clean stage written, then resumed from its snapshot."""

@@ -87,8 +87,9 @@ def note_scratch(path: str) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` as parquet into the shared checkpoint folder and read it back.
+def cut_lineage(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as parquet into the shared checkpoint folder and read it back
+    (``partition_by``: one folder a value, so that filters on them prune files).
 
     Same guarantees as a reliable ``checkpoint()`` (survives executor loss, cuts
     the plan), but one job instead of two (an eager RDD checkpoint evaluates an
@@ -97,7 +98,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = note_scratch(f"{base}/salesq-cut/{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by or []).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -165,3 +166,92 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder, hidden ones left out ([] if missing)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+    return [n for n in names if not n.startswith((".", "_"))]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file under a hidden name and rename it to ``path``: readers see
+    it whole or not at all. False if ``path`` is there already."""
+    import uuid
+
+    from py4j.protocol import Py4JJavaError
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    hidden = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(hidden, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.NONE                            # refuses a name in use, unlike FileSystem.rename on some stores
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        context.rename(hidden, p, how)
+        return True
+    except Py4JJavaError as e:
+        fs.delete(hidden, False)
+        if fs.exists(p):
+            return False
+        raise e
+
+
+def in_parallel(tasks: list, threads: int = 4) -> list:
+    """Results of independent jobs (functions without arguments) submitted side by
+    side, so that small ones share the executors instead of waiting for each other.
+    The first failure rises after all have ended."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+    with ThreadPoolExecutor(threads) as pool:
+        futures = [pool.submit(inheritable_thread_target(t)) for t in tasks]
+    return [f.result() for f in futures]
+
+
+def fingerprint(df: DataFrame, **parameters) -> str:
+    """Digest of what a stage's result follows from: names, sizes and times of the files
+    that ``df`` reads, its plan's logic where it reads none, and the parameters."""
+    import hashlib
+    import json
+    spark = df.sparkSession
+    files = []
+    for name in sorted(df.inputFiles()):        # one entry a file, not a row
+        fs, p = _fs(spark, name)
+        status = fs.getFileStatus(p)
+        files.append([name, status.getLen(), status.getModificationTime()])
+    what = files or df._jdf.queryExecution().analyzed().canonicalized().toString()
+    return hashlib.sha256(json.dumps([what, sorted(parameters.items())], default=str).encode()).hexdigest()
+
+
+def stage_done(spark: SparkSession, out_dir: str, stage: str, mark: str) -> bool:
+    """Did this stage finish with the same input and parameters (``fingerprint``)?"""
+    path = f"{out_dir.rstrip('/')}/_stages/{stage}.txt"
+    return path_exists(spark, path) and read_text(spark, path) == mark
+
+
+def begin_stage(spark: SparkSession, out_dir: str, stage: str) -> None:
+    """From now on the stage's output is not to be reused, until ``end_stage``."""
+    delete_path(spark, f"{out_dir.rstrip('/')}/_stages/{stage}.txt")
+
+
+def end_stage(spark: SparkSession, out_dir: str, stage: str, mark: str) -> None:
+    publish_text(spark, f"{out_dir.rstrip('/')}/_stages/{stage}.txt", mark)

@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 from salesq.session import materialize, read_table
 
+# The order of the feed's rows, where the scan gives it (sources.io.read_raw_sales).
+ORDINAL = "row_order"
+
 RAW_COLUMNS = [
     "transaction_id", "customer_id", "category", "item", "price_per_unit",
     "quantity", "total_spent", "payment_method", "location",

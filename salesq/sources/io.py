@@ -5,24 +5,27 @@ from __future__ import annotations
 import os
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesq.functions.expr import MISSING_TOKENS
 from salesq.schema import TABLES
 from salesq.session import path_exists
-from salesq.sources.fixture import CSV_HEADERS, RAW_COLUMNS
+from salesq.sources.fixture import CSV_HEADERS, ORDINAL, RAW_COLUMNS
 
 NUMERIC_RAW = ("price_per_unit", "quantity", "total_spent")
 
 
-def parse_raw(text_df: DataFrame, tokens=MISSING_TOKENS) -> DataFrame:
+def parse_raw(text_df: DataFrame, tokens=MISSING_TOKENS, keep: list[str] | None = None) -> DataFrame:
     """S1 (parse half): CSV headers -> snake_case, missing tokens -> NULL,
-    numeric columns ``try_cast`` to double (the text ``NaN`` becomes NULL, not NaN)."""
+    numeric columns ``try_cast`` to double (the text ``NaN`` becomes NULL, not NaN).
+    Columns of ``keep`` stay as they are."""
     rename = dict(zip(CSV_HEADERS, RAW_COLUMNS))
-    cols = []
+    cols = [F.col(c) for c in keep or []]
     for h in text_df.columns:
+        if h in (keep or []):
+            continue
         name = rename.get(h, h.strip().lower().replace(" ", "_"))
         c = F.col(f"`{h}`").cast("string")
         c = F.when(c.isin(*tokens), F.lit(None).cast("string")).otherwise(c)
@@ -39,10 +42,24 @@ def _read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path)
 
 
-def read_raw_sales(spark: SparkSession, path: str) -> DataFrame:
+def read_raw_sales(spark: SparkSession, path: str, ordinal: bool = True) -> DataFrame:
     """Scan the raw CSV as text, find the columns by header name in any order,
-    and parse. A missing column is an error."""
-    return parse_raw(_read_text_csv(spark, path).select(*[F.col(f"`{h}`") for h in CSV_HEADERS]))
+    and parse. A missing column is an error.
+
+    ``ordinal`` adds ``row_order``, which sorts the rows as the files hold them: file
+    name, start of the block that was read, place in it. It comes from the scan alone,
+    block by block, so a splittable file is still read by many tasks; it is the same
+    in every run over the same files, however they are split into tasks, up to the
+    block starts, which sort alike."""
+    text = _read_text_csv(spark, path)
+    columns = [F.col(f"`{h}`") for h in CSV_HEADERS]
+    if not ordinal:
+        return parse_raw(text.select(*columns))
+    # rows of a block are read in order by one task, so its running number orders them
+    order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("place"))
+    placed = text.select(*columns, order.alias(ORDINAL))
+    return parse_raw(placed, keep=[ORDINAL])
 
 
 def write_raw_csv(text_df: DataFrame, path: str) -> str:
@@ -124,6 +141,14 @@ def write_documents(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_documents_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """The number of documents comes from the write itself, so nothing
+    is read back to be counted."""
+    seen = Observation()
+    write_documents(df.observe(seen, F.count(F.lit(1)).alias("n")), path, mode)
+    return seen.get["n"]
+
+
 def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 

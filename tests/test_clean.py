@@ -112,3 +112,20 @@ def test_second_clean_query_writes_nothing(spark):
     for name in ("sales_clean", "clean_dates", "clean_completeness", "cleaning_report"):
         q[name](spark, SF001).count()
     assert folders() == before
+
+
+def test_duplicate_rows_are_found_by_digest(spark):
+    """Against grouping by all columns: NULLs in different places, zeros of both signs, names with dots."""
+    import random
+    from salesq.operators import profile as P
+    rng = random.Random(4)
+    rows = [(rng.choice([None, "a", "b"]), rng.choice([None, 1, 2]), rng.choice([None, 0.0, -0.0, 1.5, float("nan")]), rng.choice([None, True]))
+            for _ in range(400)]
+    df = spark.createDataFrame(rows, "`a.b` string, n int, h1 double, row boolean")
+    want = 400 - df.groupBy("`a.b`", "n", "h1", "row").count().count()
+    assert P.profile_duplicates(df).first()["duplicate_rows"] == want
+    assert P.profile_duplicates(df.limit(0)).first()["duplicate_rows"] == 0
+    swapped = spark.createDataFrame([(None, 5), (5, None)], "x int, y int")
+    assert P.profile_duplicates(swapped).first()["duplicate_rows"] == 0
+    got = {tuple(r) for r in P.profile_values(df.withColumnRenamed("a.b", "s"), ["s", "n"]).collect()}
+    assert got == {("s", "a"), ("s", "b"), ("s", "nan"), ("n", "1"), ("n", "2"), ("n", "nan")}

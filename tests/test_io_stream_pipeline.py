@@ -145,6 +145,34 @@ def test_entry_contract(spark):
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
+def test_resume_notices_a_changed_feed(spark, tmp_out):
+    from salesq.plans import batch_run as PL
+    from salesq.sources.fixture import raw_sales_text
+    feed, out = os.path.join(tmp_out, "feed"), os.path.join(tmp_out, "out")
+    IO.write_raw_csv(raw_sales_text(spark, SF001).limit(200).coalesce(1), feed)
+
+    def clean(**how):
+        return PL.clean_stage(spark, IO.read_raw_sales(spark, feed), out, skip_cleaning=True, **how)
+
+    def made():
+        return sorted(os.listdir(os.path.join(out, "clean_flagged", "_live=true")))
+    assert "quarantine" in clean().paths                          # nothing to resume from
+    star = PL.star_stage(spark, clean().paths["clean"], out)
+    before, stars = made(), sorted(os.listdir(os.path.join(out, "star", "items")))
+    assert "quarantine" not in clean().paths and made() == before
+    PL.star_stage(spark, clean().paths["clean"], out, resume=True)
+    assert sorted(os.listdir(os.path.join(out, "star", "items"))) == stars
+    assert "quarantine" in clean(include_unmatched=True).paths    # other parameters
+    rows = star["transactions"].count()
+    IO.write_raw_csv(raw_sales_text(spark, SF001).limit(100).coalesce(1), feed)
+    assert "quarantine" in clean().paths and made() != before     # other files
+    again = PL.star_stage(spark, clean().paths["clean"], out, resume=True)
+    assert 0 < again["transactions"].count() < rows
+    # a clean stage that died is not resumed from, though its table is there
+    os.remove(os.path.join(out, "_stages", "clean.txt"))
+    assert "quarantine" in clean().paths
+
+
 def test_resume_dry_run_profile_and_audit(spark, tmp_out):
     from salesq.operators import profile as P
     from salesq.plans import batch_run as PL
@@ -172,12 +200,117 @@ def test_resume_dry_run_profile_and_audit(spark, tmp_out):
     assert quarantine.count() == 33 + 298
 
 
+def _snapshot(spark, path, v, tables=None):
+    """All six tables (or the first few: a load that died), categories with one row."""
+    from salesq.plans.batch_run import LOAD_ORDER, mark_complete
+    for name in LOAD_ORDER[:tables]:
+        rows = [(v, f"c{v}", None, None)] if name == "categories" else []
+        spark.createDataFrame(rows, IO.TABLES[name].schema).write.parquet(os.path.join(path, name))
+    if tables is None:
+        mark_complete(spark, path)
+
+
+def test_a_snapshot_that_died_is_no_base(spark, tmp_out):
+    """v1 complete, v2 died after two tables: v3 starts from v1 and loses nothing."""
+    import pytest
+    import shutil
+    from salesq.plans.batch_run import _latest_snapshot, mark_complete
+    _snapshot(spark, os.path.join(tmp_out, "snapshot=v1"), 1)
+    _snapshot(spark, os.path.join(tmp_out, "snapshot=v2"), 2, tables=2)
+    base = _latest_snapshot(spark, tmp_out, before="v3")
+    assert len(base) == 6 and base["categories"].first()["category_id"] == 1
+    with pytest.raises(RuntimeError):
+        mark_complete(spark, os.path.join(tmp_out, "snapshot=v2"))
+    shutil.rmtree(os.path.join(tmp_out, "snapshot=v1", "items"))
+    with pytest.raises(RuntimeError, match="lost items"):
+        _latest_snapshot(spark, tmp_out, before="v3")
+
+
+def test_a_load_that_dies_is_repaired_by_the_next(spark, tmp_out, monkeypatch):
+    import pytest
+    from salesq.operators import load as L
+    from salesq.plans import batch_run as PL
+    from salesq.sources.fixture import raw_sales
+    first = PL.clean_stage(spark, raw_sales(spark, SF001), tmp_out)
+    star = PL.star_stage(spark, first.paths["clean"], tmp_out)
+    v1 = PL.load_stage(spark, star, tmp_out, load_ts="2024-01-01 00:00:00", snapshot="v1")
+    with monkeypatch.context() as m:
+        m.setattr(L, "upsert_items", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("executor lost")))
+        with pytest.raises(RuntimeError, match="executor lost"):
+            PL.load_stage(spark, star, tmp_out, load_ts="2024-01-02 00:00:00", snapshot="v2")
+    v3 = PL.load_stage(spark, star, tmp_out, load_ts="2024-01-03 00:00:00", snapshot="v3")
+    for name in PL.LOAD_ORDER:
+        assert v3[name].count() == v1[name].count() > 0
+        assert v3[name].agg(F.min("created_at")).first()[0] == v1[name].agg(F.min("created_at")).first()[0]
+    again = PL.load_stage(spark, star, tmp_out, load_ts="2024-01-02 00:00:00", snapshot="v2")
+    assert again["transactions"].exceptAll(v1["transactions"]).count() == 0
+
+
+def test_run_on_a_csv_follows_the_file(spark, tmp_out):
+    """Item ids by first appearance, the last row of a key wins, the others are reported."""
+    from salesq.plans.batch_run import run
+    from salesq.sources.fixture import RAW_COLUMNS
+
+    def line(t, item, price, q, cat="Food"):
+        return (t, "CUST_1", cat, item, str(price), str(q), str(price * q), "Cash", "Shop", "2020-01-05", "True")
+    parts = [[line("T9", "zebra", 2.0, 1), line("T1", "apple", 3.0, 2), line("T5", "zebra", 2.5, 1)],
+             [line("T2", "mango", 1.0, 1), line("T9", "apple", 3.0, 4), line("T9", "mango", 1.0, 2)]]
+    csv = os.path.join(tmp_out, "feed")
+    for k, rows in enumerate(parts):
+        df = spark.createDataFrame(rows, ", ".join(f"`{h}` string" for h in IO.CSV_HEADERS)).coalesce(1)
+        IO.write_raw_csv(df, os.path.join(csv, f"part={k}"))
+    raw = IO.read_raw_sales(spark, os.path.join(csv, "*"))
+    assert raw.columns == [*RAW_COLUMNS, "row_order"] or set(raw.columns) == {*RAW_COLUMNS, "row_order"}
+    assert [r["item"] for r in raw.orderBy("row_order").collect()] == [r[3] for p in parts for r in p]
+    out = os.path.join(tmp_out, "out")
+    res = run(spark, raw, out, load_ts="2024-01-01 00:00:00", as_of="2024-01-01")
+    items = {(r["item_name"], r["price_per_unit"]): r["item_id"] for r in spark.read.parquet(os.path.join(out, "star", "items")).collect()}
+    assert items == {("zebra", 2.0): 1, ("apple", 3.0): 2, ("zebra", 2.5): 3, ("mango", 1.0): 4}
+    fact = {r["transaction_id"]: r for r in spark.read.parquet(os.path.join(out, "relational", "snapshot=v1", "transactions")).collect()}
+    assert set(fact) == {"T9", "T1", "T5", "T2"} and fact["T9"]["quantity"] == 2 and "row_order" not in fact["T9"].asDict()
+    gone = spark.read.parquet(os.path.join(out, "superseded", "v1", "transactions")).collect()
+    assert sorted(r["quantity"] for r in gone) == [1, 4] and all(r["reasons"] == ["superseded:transaction_id"] for r in gone)
+    audit = spark.read.parquet(os.path.join(out, "audit")).filter("event = 'SUPERSEDED'").collect()
+    assert {r["message"].split(":")[0]: r["message"].split()[1] for r in audit} == {"transactions": "2", "items": "1"}
+    assert res.reports["status"].first()["status_compat"].startswith("PASSED")
+
+
+def test_stream_with_checks_gives_the_batch_loads_facts_and_rejects(spark, tmp_out):
+    import datetime as dt
+    from salesq.operators import load as L
+    from salesq.operators.month_table import fact_table
+    from salesq.schema import TABLES
+    from salesq.streaming.incremental import load_stream
+    schema = ("transaction_id string, customer_id string, item_id int, payment_method_id int, location_id int, "
+              "quantity double, total_price double, transaction_date date, discount_applied boolean, line int")
+    d = dt.date(2020, 1, 5)
+    rows = [("A", "C1", 1, 1, 1, 2.4, 5.0, d, True, 1), ("B", "C9", 1, 1, 1, 1.0, 5.0, d, True, 2), (None, "C1", 1, 1, 1, 1.0, 5.0, d, True, 3),
+            ("D", "C1", 7, 1, 1, 1.0, 5.0, None, None, 4), ("E", "C1", 1, 1, 1, 1.0, 1e12, d, True, 5), ("A", "C1", 1, 1, 1, 7.0, 5.0, d, True, 6),
+            ("F" * 40, "C1", 1, 1, 1, 1.0, 5.0, d, True, 7), ("G", "C1", 1, 1, 1, None, None, dt.date(2020, 3, 1), None, 8)]
+    parents = {"customers": spark.createDataFrame([("C1",)], "customer_id string"), "items": spark.createDataFrame([(1,)], "item_id int"),
+               "payment_methods": spark.createDataFrame([(1,)], "payment_method_id int"),
+               "locations": spark.createDataFrame([(1,)], "location_id int")}
+    src = os.path.join(tmp_out, "in")
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(src)
+    batch = L.fill_defaults(spark.createDataFrame(rows, schema).drop("line"))
+    valid, refused = L.split_valid(batch, TABLES["transactions"], parents=parents)
+    target, ck = os.path.join(tmp_out, "fact"), os.path.join(tmp_out, "ck")
+    for _ in range(2):          # the second start finds nothing new
+        load_stream(spark.readStream.schema(schema).parquet(src), target, ck, load_ts="2024-01-01 00:00:00", mode="versioned",
+                    order_by=["line"], parents=parents, buckets=4).awaitTermination(300)
+    table = fact_table(spark, target, valid, 4)
+    got = {r["transaction_id"]: (r["quantity"], float(r["total_price"]), r["discount_applied"]) for r in table.read().collect()}
+    assert got == {"A": (7, 5.0, True), "G": (0, 0.0, False)} and table.versions() == [1]
+    rejects = spark.read.parquet(target + "_rejects").collect()
+    want = sorted((r["transaction_id"] or "", r["reasons"]) for r in refused.collect()) + [("A", ["superseded:transaction_id"])]
+    assert sorted((r["transaction_id"] or "", r["reasons"]) for r in rejects) == sorted(want)
+    assert all('"customer_id"' in r["row"] and r["copies"] == 1 for r in rejects)
+
+
 def test_snapshots_are_ordered_by_number(spark, tmp_out):
     from salesq.plans.batch_run import _latest_snapshot
     for v in (1, 2, 9, 10):
-        for name in ("categories",):
-            p = os.path.join(tmp_out, f"snapshot=v{v}", name)
-            spark.createDataFrame([(v, f"c{v}", None, None)], IO.TABLES[name].schema).write.parquet(p)
+        _snapshot(spark, os.path.join(tmp_out, f"snapshot=v{v}"), v)
 
     def newest(**how):
         return _latest_snapshot(spark, tmp_out, **how)["categories"].first()["category_id"]

@@ -189,3 +189,47 @@ def test_contract_duplicates_and_key_errors(spark):
     summary = L.migration_summary(spark.createDataFrame([("d", 3)], "table_name string, row_count long"),
                                   spark.createDataFrame([("d", 3)], "table_name string, row_count long"), L.key_errors({"d": docs}))
     assert {r["table_name"]: r["errors"] for r in summary.collect()} == {"d": 2, "__total__": 2}
+
+
+def test_superseded_rows_are_reported_once_each(spark):
+    """Brute force on random rows: of each key the greatest stays, all others come back."""
+    import collections
+    import random
+    rng = random.Random(8)
+    rows = [(rng.choice(["A", "B", "C", None, *(f"K{k}" for k in range(30))]), float(rng.randrange(3)), rng.choice([None, dt.date(2020, 1, 1)]))
+            for _ in range(200)]
+    src = _fact(spark, rows)
+    winners, gone = L.split_superseded(src, "transaction_id")
+    want = {}
+    for k, q, d in rows:
+        if k is not None:
+            want.setdefault(k, []).append((q, d is not None, d))
+    stay = {k: max(v, key=lambda x: x[:2]) for k, v in want.items()}
+    got = winners.collect()
+    assert {r["transaction_id"]: (r["quantity"], r["transaction_date"]) for r in got if r["transaction_id"]} == {k: (v[0], v[2]) for k, v in stay.items()}
+    assert sum(r["transaction_id"] is None for r in got) == sum(k is None for k, _, _ in rows) and len(got) == len(stay) + sum(k is None for k, _, _ in rows)
+    lost = collections.Counter()
+    for r in gone.collect():
+        assert r["reasons"] == ["superseded:transaction_id"]
+        lost[r["transaction_id"], r["quantity"], r["transaction_date"]] += r["copies"]
+    all_rows = collections.Counter((k, q, d) for k, q, d in rows if k is not None)
+    assert lost == all_rows - collections.Counter((k, v[0], v[2]) for k, v in stay.items())
+    # the last row of the file wins; a key of several columns; a frame of the key alone; no repeats
+    lined = _fact(spark, [("A", 9.0, dt.date(2020, 1, 1)), ("A", 1.0, dt.date(2020, 1, 2))]).withColumn("line", 10 - F.col("quantity"))
+    winners, gone = L.split_superseded(lined, "transaction_id", ["line"])
+    assert winners.first()["quantity"] == 1.0 and gone.first()["quantity"] == 9.0
+    two = spark.createDataFrame([("i", 1, 5.0), ("i", 2, 6.0), ("i", 1, 7.0), ("i", None, 1.0), ("i", None, 1.0)], "n string, c int, p double")
+    winners, gone = L.split_superseded(two, ["n", "c"], ["p"])
+    assert winners.count() == 4 and [tuple(r) for r in gone.select("p", "copies").collect()] == [(5.0, 1)]
+    winners, gone = L.split_superseded(spark.createDataFrame([("x",), ("x",), ("x",), ("y",)], "k string"), "k")
+    assert sorted(r[0] for r in winners.collect()) == ["x", "y"] and gone.first()["copies"] == 2
+    winners, gone = L.split_superseded(two.limit(2), ["n", "c"])
+    assert winners.count() == 2 and gone.count() == 0 and "copies" in gone.columns
+    assert L.split_superseded(two.limit(0), "n")[1].count() == 0
+
+
+def test_a_hot_repeated_key_is_counted_before_it_moves(spark):
+    hot = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+                                     (F.col("id") % 5).alias("v"))
+    winners, gone = L.split_superseded(hot, "k")
+    assert winners.count() == 40_001 and gone.agg(F.sum("copies")).first()[0] == 19_999 and gone.count() == 5

@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from salesq.operators import validate as V
 
 
@@ -100,3 +102,50 @@ def test_only_builds_only_what_is_asked(spark):
     star = damaged_star(spark, SF001)
     plan = V.run_checks(star, as_of="2002-01-01", only=[11, 12])._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and plan.count("Relation") == 1 and "customer_id" not in plan.split("Relation")[0]
+
+
+def _stores(spark, n, damage):
+    """Rows and documents of ``n`` ids, some with NULLs; ``damage`` changes the documents."""
+    import datetime as dt
+    rows = [(f"T{k}", None if k % 11 == 0 else k % 7, None if k % 13 == 0 else k / 4, None if k % 17 == 0 else dt.date(2020, 1, 1 + k % 28))
+            for k in range(n)]
+    rel = spark.createDataFrame(rows, "transaction_id string, quantity int, total_price double, transaction_date date")
+    docs = spark.createDataFrame(damage([list(r) for r in rows]), "_id string, quantity int, total_price double, transaction_date date")
+    return rel, docs
+
+
+def test_digests_give_the_same_comparison(spark):
+    import datetime as dt
+
+    def damaged(rows):
+        rows[3][1] = 99
+        rows[5][2] = 12345.0
+        rows[8][2] += 0.005                                   # within the tolerance
+        rows[9][3] = dt.date(1999, 1, 1)
+        rows[11][1], rows[11][2] = 2, None                    # a NULL and a value change places
+        rows.append(list(rows[20]))                           # a repeated document, and one of another value
+        rows.append([rows[21][0], 1000, 0.0, None])
+        rows.append([None, 1, 1.0, None])
+        rows.append(["extra", 1, 1.0, None])
+        return [r for k, r in enumerate(rows) if k != 15]
+    for damage in (damaged, lambda rows: rows, lambda rows: [], lambda rows: rows + [[r[0], 50, 50.0, r[3]] for r in rows[:3]]):
+        rel, docs = _stores(spark, 300, damage)
+        rel = rel.unionByName(rel.limit(2).withColumn("transaction_id", F.lit(None).cast("string")))
+        plain, quick = V.compare_rows(rel, docs).first(), V.compare_rows(rel, docs, digests=True).first()
+        assert quick.asDict() == plain.asDict() and quick["null_ids"] == 2 and quick["checked"] == 300
+    # repeated ids on both sides, the same rows: equal digests, but not equal answers without the repeated ids
+    rel, docs = _stores(spark, 40, lambda rows: rows + [[rows[1][0], 77, 7.0, None]])
+    more = rel.unionByName(spark.createDataFrame([("T1", 77, 7.0, None)], rel.schema))
+    assert V.compare_rows(more, docs, digests=True).first().asDict() == V.compare_rows(more, docs).first().asDict()
+
+
+def test_undamaged_stores_are_not_joined_and_half_null_ids_are_no_hot_key(spark):
+    rel, docs = _stores(spark, 200, lambda rows: rows)
+    assert V.differing_buckets(rel, docs).count() == 0
+    assert "Join" not in V.compare_rows(rel, docs, digests=True)._jdf.queryExecution().optimizedPlan().toString()
+    half = rel.withColumn("transaction_id", F.when(F.col("quantity") % 2 == 0, F.col("transaction_id")))
+    plan = V.row_differences(half, docs)._jdf.queryExecution().optimizedPlan().toString()
+    left = plan[plan.index("Join"):].split("\n")[1:]
+    assert any("isnotnull(transaction_id" in line for line in left)            # the join's left side holds named rows only
+    r = V.compare_rows(half, docs).first()
+    assert r["null_ids"] + r["checked"] == 200 and r["null_ids"] > 80 and r["mismatch_count"] == 0
