@@ -8,11 +8,11 @@ that starts a token at every position, follows a trie of all tokens, and ends a
 token where its predecessor allows it.
 
 ``Transducer`` determinises it on demand: a state holds the open hypotheses (last
-token, trie node, tokens not yet emitted); a transition reads one byte and emits
-what all hypotheses that are still open agree on. A hypothesis closes after the
-longest token at most, so tokens come out after a bounded lookahead and a match of
-any length needs constant memory. States are kept and reused; at ``STATES`` of them
-the table starts anew, with the same answers.
+token and trie node) with the tokens not yet emitted of each; a transition reads one
+byte and emits what all hypotheses that are still open agree on. A hypothesis closes
+after the longest token at most, so tokens come out after a bounded lookahead and a
+match of any length needs constant memory. States and hypotheses keep their
+transitions; at ``STATES`` states their table starts anew, with the same answers.
 
 Texts are cut into matches of the tokenizer's pattern; a match seen before comes
 from a bounded memory (``common.Memory``), any other runs through the transducer.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import codecs
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql.functions import pandas_udf
 from salesq.llm.common import Memory
 
 RANKS = "byte_bpe_50k.tiktoken"
-STATES, PAIRS, MEMORY = 150_000, 500_000, 200_000
+STATES, OPEN, PAIRS, MEMORY = 300_000, 400_000, 250_000, 150_000
 LONG_MATCH, LONG_TEXT, OUT_IDS, DECODED, FEW = 64, 1_000_000, 4_000_000, 65_536, 16
 ROOT, NONE = 0, -1
 _CODECS: dict = {}
@@ -46,6 +47,15 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(t): int(r) for t, r in map(bytes.split, filter(None, map(bytes.strip, f)))}
 
 
+class Open:
+    """A hypothesis: the token before it, the trie node of its bytes so far, and where
+    each next byte leads: (hypothesis or None, token that ends there or NONE)."""
+    __slots__ = ("last", "node", "go")
+
+    def __init__(self, last: int, node: int):
+        self.last, self.node, self.go = last, node, {}
+
+
 class Transducer:
     """Encoder of one match: ``encode(bytes) -> ids``."""
 
@@ -74,12 +84,23 @@ class Transducer:
         self.never = max(ranks.values()) + 1     # above every rank
         self.edges: dict[int, tuple] = {}
         self.pairs: dict[int, bool] = {}
-        self.hopes: dict[int, bool] = {}
-        self._reset()
-
-    def _reset(self) -> None:
+        self.open: dict[int, Open] = {}
+        self._start_anew()
+
+    def _start_anew(self) -> None:
+        """Drop the states; hypotheses stay with their moves, which makes states cheap to
+        find again, unless there are too many of them as well."""
+        if len(self.open) >= OPEN:
+            self.open.clear()
         self.states: dict[tuple, dict] = {}
-        self.start = self._state(((NONE, ROOT, ()),))
+        self.start = self._state(((self._open(NONE, ROOT), ()),))
+
+    def _open(self, last: int, node: int) -> Open:
+        key = (last + 1) << 32 | node
+        known = self.open.get(key)
+        if known is None:
+            known = self.open[key] = Open(last, node)
+        return known
 
     def _edges(self, token: int) -> tuple[list, list, bool]:
         """How the token's last and its first part grow while its bytes merge (lowest
@@ -134,18 +155,19 @@ class Transducer:
             self.pairs[key] = known
         return known
 
-    def _hopeful(self, last: int, node: int) -> bool:
-        """May any token below the trie node come after ``last``? (Yes, if there are many.)"""
-        if self.below[node] > FEW:
-            return True
-        key = (last + 1) << 32 | node
-        known = self.hopes.get(key)
-        if known is None:
-            if len(self.hopes) >= PAIRS:
-                self.hopes.clear()
-            at = self.first[node]
-            known = self.hopes[key] = any(self._follows(last, self.ranks[t]) for t in self.ordered[at:at + self.below[node]])
-        return known
+    def _move(self, h: Open, byte: int) -> tuple[Open | None, int]:
+        """A hypothesis reads a byte. It stays open while a token below its node may
+        come after its last one (taken for granted where there are many)."""
+        node = self.child.get(h.node << 8 | byte)
+        if node is None:
+            move = (None, NONE)
+        else:
+            token, below, at = self.token[node], self.below[node], self.first[node]
+            ends = token != NONE and self._follows(h.last, token)
+            more = below > FEW or any(self._follows(h.last, self.ranks[t]) for t in self.ordered[at:at + below])
+            move = (self._open(h.last, node) if more else None, token if ends else NONE)
+        h.go[byte] = move
+        return move
 
     def _state(self, open_now: tuple) -> dict:
         """A state: byte -> (state, tokens emitted); its hypotheses under NONE."""
@@ -155,25 +177,23 @@ class Transducer:
         return state
 
     def _step(self, state: dict, byte: int) -> tuple[dict, tuple]:
+        if len(self.states) >= STATES:
+            self._start_anew()
         still_open, ended = [], None
-        for last, node, waiting in state[NONE]:         # earliest start, hence longest token, first
-            node = self.child.get(node << 8 | byte)
-            if node is None:
-                continue
-            token = self.token[node]
-            if ended is None and token != NONE and self._follows(last, token):
-                ended = (token, ROOT, (*waiting, token))
-            if self.below[node] and self._hopeful(last, node):
-                still_open.append((last, node, waiting))
-        still_open.append(ended)                        # each prefix has an encoding
-        first = still_open[0][2]
+        for h, waiting in state[NONE]:                  # earliest start, hence longest token, first
+            move = h.go.get(byte)
+            stays, token = move if move is not None else self._move(h, byte)
+            if token != NONE and ended is None:         # each prefix has one encoding
+                ended = (self._open(token, ROOT), (*waiting, token))
+            if stays is not None:
+                still_open.append((stays, waiting))
+        still_open.append(ended)
+        first = still_open[0][1]
         agreed = len(first)
-        for _, _, waiting in still_open:
+        for _, waiting in still_open:
             while first[:agreed] != waiting[:agreed]:
                 agreed -= 1
-        if len(self.states) >= STATES:
-            self._reset()
-        after = self._state(tuple((last, node, w[agreed:]) for last, node, w in still_open))
+        after = self._state(tuple([(h, w[agreed:]) for h, w in still_open]) if agreed else tuple(still_open))
         move = state[byte] = (after, first[:agreed])
         return move
 
@@ -189,7 +209,7 @@ class Transducer:
     def encode(self, text: bytes) -> list[int]:
         out: list[int] = []
         state = self.feed(self.start, text, out)
-        out += state[NONE][-1][2]                       # the hypothesis that ends with the match
+        out += state[NONE][-1][1]                       # the hypothesis that ends with the match
         return out
 
 
@@ -211,7 +231,7 @@ class Codec:
         text = match.encode()
         whole = self.transducer.ranks.get(text)          # a match that is a token is that token
         ids = [whole] if whole is not None else self.transducer.encode(text)
-        return np.array(ids, np.int32).tobytes()
+        return array("i", ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """The ids as packed 32-bit integers."""
