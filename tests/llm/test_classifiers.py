@@ -52,12 +52,44 @@ def test_ambiguous_text_is_flagged():
 def test_toxicity_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
-    rows = T.classify(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").filter("held_out").toPandas()
+    rows = (T.classify(docs, labels).join(labels.select("doc_id", "toxic"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+            .filter("held_out").toPandas())
     y, s = rows.toxic.to_numpy(), rows.score.rank().to_numpy()
     auc = (s[y == 1].sum() - y.sum() * (y.sum() + 1) / 2) / (y.sum() * (len(y) - y.sum()))
     assert auc >= 0.9 and rows.score.between(0, 1).all()
     assert ((rows.score >= 0.3) == (rows.predicted == 1)).all()
     assert rows.predicted[y == 0].mean() <= 0.03 and rows.predicted[y == 1].mean() >= 0.65
+    for lang, part in rows.groupby("lang"):     # every language, the small ones too
+        caught, alarms = (part.predicted[part.toxic == k].mean() for k in (1, 0))
+        assert caught >= 0.7 and alarms <= 0.03, lang
+
+
+def test_pieces_and_their_choice():
+    assert T.pieces({"größer".encode(), b"ab"}) == sorted({b"ab", "größer".encode(), "grö".encode(), "größ".encode(), "größe".encode()} - {b""})
+    assert T.strongest([b"bomente", b"bomen", b"bomentera", b"idiot", b"idio", b"idiots", b"x"], 3) == [b"bomente", b"idiot", b"x"]
+    assert T.strongest([], 3) == []
+
+
+def test_window_lengths_are_the_compressors(spark):
+    """Bytes saved, against compressing every window anew without the memory."""
+    import zstandard
+    model = T.Model(T._dictionary([b"bomente", b"idiot"]), T._dictionary([b"the", b"and", b"of"]))
+    c = T.Compressor(model)
+    how = zstandard.ZstdCompressionParameters(
+        window_log=14, hash_log=12, chain_log=12, search_log=5, min_match=3, target_length=16, strategy=zstandard.STRATEGY_BTOPT,
+        write_checksum=False, write_content_size=False, write_dict_id=False, format=zstandard.FORMAT_ZSTD1_MAGICLESS)
+
+    def length(dictionary, window):
+        d = zstandard.ZstdCompressionDict(dictionary + T._LEAD, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(compression_params=how, dict_data=d).compress(T._LEAD + b" " + window + b" "))
+    text = b"the idiots and bomentera of the Bomente-house, idiotic. \xc3\xa9t\xc3\xa9"
+    words = T.windows(text)
+    saved = [min(max(length(model.ordinary, w) - length(model.toxic, w), 0), T.THRESHOLDS) for w in words]
+    counts = c.counts(text)
+    assert counts[0] == len(words) and [int(x) for x in counts[1:T.THRESHOLDS + 1]] == [
+        sum(s >= k for s in saved) for k in range(1, T.THRESHOLDS + 1)]
+    assert max(s for w, s in zip(words, saved) if w.startswith((b"idiot", b"bomente"))) > 2
+    assert list(c.counts(None)) == list(c.counts(b"")) == [0] * (2 * T.THRESHOLDS + 1)
 
 
 def test_toxicity_catches_planted_words_only(spark, no_docs):
