@@ -156,7 +156,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: f
 
     ``size`` is the text's words (NULL or blank: 0, taken 0), ``taken`` is
     ``copies * size``; copies are at most ``ceil(most)``. A source's taken words
-    differ from its target by about its smallest documents. NULL sources form one
+    come near its target (README: figures); the last documents of a source are
+    drawn largest first by the words still owed, not by their own fractions alone. NULL sources form one
     source, last in order; repeated rows and NULL ids are rounded one by one; an
     empty table gives an empty result; other columns are not read."""
     sized, targets = _sized(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
