@@ -222,8 +222,9 @@ def in_parallel(tasks: list, threads: int = 4) -> list:
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark import inheritable_thread_target
+    inherits = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPoolExecutor(threads) as pool:
-        futures = [pool.submit(inheritable_thread_target(t)) for t in tasks]
+        futures = [pool.submit(inherits(t)) for t in tasks]
     return [f.result() for f in futures]
 
 
