@@ -129,3 +129,31 @@ def test_duplicate_rows_are_found_by_digest(spark):
     assert P.profile_duplicates(swapped).first()["duplicate_rows"] == 0
     got = {tuple(r) for r in P.profile_values(df.withColumnRenamed("a.b", "s"), ["s", "n"]).collect()}
     assert got == {("s", "a"), ("s", "b"), ("s", "nan"), ("n", "1"), ("n", "2"), ("n", "nan")}
+
+
+def test_sketch_profile_is_one_scan_within_its_bounds(spark, tmp_out):
+    import numpy as np
+    from salesq.operators import profile as P
+    from salesq.sources.fixture import raw_sales
+    path = f"{tmp_out}/raw"
+    raw_sales(spark, "/root/testdata/sf0.01").write.parquet(path)
+    raw = spark.read.parquet(path)
+    sketch = P.profile_sketch(raw, rsd=0.02, accuracy=1000)
+    plan = sketch._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Expand" not in plan       # one scan, no row is multiplied
+    got = {r["column_name"]: r for r in sketch.collect()}
+    frame = raw.toPandas()
+    assert list(got) == raw.columns
+    for c, r in got.items():
+        exact = frame[c].nunique()
+        assert (r["non_null"], r["missing"]) == (frame[c].notna().sum(), frame[c].isna().sum())
+        assert abs(r["distinct_approx"] - exact) <= max(2, 5 * 0.02 * exact), c
+    for c in ("price_per_unit", "quantity", "total_spent"):
+        r, v = got[c], np.sort(frame[c].dropna().to_numpy())
+        assert (r["min_value"], r["max_value"]) == (v[0], v[-1]) and abs(r["mean_value"] - v.mean()) < 1e-9 * v.mean()
+        for p, q in ((.25, r["q25"]), (.5, r["q50"]), (.75, r["q75"])):
+            low, high = np.searchsorted(v, q, "left"), np.searchsorted(v, q, "right")
+            assert low - len(v) / 1000 - 1 <= p * len(v) <= high + len(v) / 1000 + 1
+    assert got["item"]["q50"] is None
+    empty = P.profile_sketch(raw.limit(0), ["item", "quantity"]).collect()
+    assert [(r["non_null"], r["distinct_approx"]) for r in empty] == [(0, 0), (0, 0)]
