@@ -27,7 +27,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pandas as pd
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from salesq.llm.common import written
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CHUNK, FAN, LONG, OUT_TOKENS, BROADCAST_PAIRS = 32_768, 8, 50_000, 2_000_000, 8_000_000
+CHUNK, FAN, LONG, OUT_TOKENS, BROADCAST_PAIRS = 32_768, 8, 50_000, 500_000, 8_000_000
 SPACE = "▁"
 # a space after a character that is no white space, before anything at all
 _PLACE = re.compile(rb"(?<=[!-~\x80-\xff])(?<!\xc2[\x85\xa0])(?<!\xe1\x9a\x80)(?<!\xe2\x80[\x80-\x8a\xa8\xa9\xaf])"
@@ -50,7 +50,8 @@ _ALIGNERS: dict = {}
 class Fragment:
     """Tokens that end inside one byte range. ``closed``: the range holds a cut;
     without one all its tokens are in ``head``. ``groups``: text of the closed
-    groups, ``links``: one a cut, both without the group that ends at the first cut."""
+    groups, ``links``: one for each; the group that ends at the first cut is not among
+    them but in ``head``, save where the range starts the text, which is a cut too."""
     ok: bool = True
     n_a: int = 0
     n_b: int = 0
@@ -58,11 +59,17 @@ class Fragment:
     head_a: list = field(default_factory=list)
     head_b: list = field(default_factory=list)
     groups: str = ""
-    links: list = field(default_factory=list)
+    links: list | np.ndarray = field(default_factory=list)
     tail_a: list = field(default_factory=list)
     tail_b: list = field(default_factory=list)
 
 
+def _open(lo: int, a, b) -> tuple:
+    """Fields of a fragment without a cut in it: prefix, or suffix from the text's start."""
+    head, tail = ([], []), (a.tolist(), b.tolist())
+    return (*tail, "", [], *head) if lo else (*head, "", [], *tail)
+
+
 def group_text(a, b) -> str:
     return ",".join(map(str, a)) + "|" + ",".join(map(str, b))
 
@@ -76,16 +83,14 @@ def compose(x: Fragment, y: Fragment, n_b: int) -> Fragment:
     if not y.closed:
         return Fragment(ok, a, b, True, x.head_a, x.head_b, x.groups, x.links, middle_a, middle_b)
     groups = ";".join(filter(None, (x.groups, group_text(middle_a, middle_b), y.groups)))
-    links = [*x.links, int(middle_a[-1]) * n_b + int(middle_b[-1]), *y.links]
+    links = np.concatenate((x.links, [int(middle_a[-1]) * n_b + int(middle_b[-1])], y.links)).astype(np.int64)
     return Fragment(ok, a, b, True, x.head_a, x.head_b, groups, links, y.tail_a, y.tail_b)
 
 
-def finish(x: Fragment, n_b: int) -> Fragment:
-    """The fragment of a whole text: its first group starts at the text's start, so
-    the prefix is closed as well. A text with other bytes has no tokens."""
-    if not x.ok or not x.closed:
-        return Fragment(x.ok)
-    return compose(Fragment(closed=True), x, n_b)
+def finish(x: Fragment) -> Fragment:
+    """The fragment of a whole text. A text that a tokenizer gives back with other bytes
+    has no tokens; nor has one that ends without a cut."""
+    return x if x.ok and x.closed and not len(x.tail_a) and not len(x.tail_b) else Fragment(x.ok)
 
 
 def _byte_of_sign() -> dict[str, int]:
@@ -103,18 +108,15 @@ class Aligner:
 
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(a_path)
-        self.a.no_truncation()
-        self.a.no_padding()
-        self.a.encode_special_tokens = True
+        self.a_path = a_path
         with open(a_path, encoding="utf-8") as f:
             spec = json.load(f)
         signs = _byte_of_sign()
-        n_a = self.a.get_vocab_size(with_added_tokens=True)
+        vocabulary = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+        n_a = max(vocabulary.values()) + 1
         self.a_bytes = [b""] * n_a
-        for piece, i in self.a.get_vocab(with_added_tokens=True).items():
+        for piece, i in vocabulary.items():
             self.a_bytes[i] = bytes(signs[c] for c in piece) if all(c in signs for c in piece) else piece.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.n_b = self.b.get_piece_size()
@@ -129,7 +131,9 @@ class Aligner:
         self.divisible = (level.get("type") == "ByteLevel" and level.get("use_regex", True) and not spec.get("normalizer")
                           and not any(SPACE in p.lstrip(SPACE) for p in pieces))
         # text of a token by 2 * id + (its group ends), B's after A's
-        self.words = [w for i in range(n_a) for w in (f"{i},", f"{i}|")] + [w for i in range(self.n_b) for w in (f"{i},", f"{i};")]
+        words = [w for n, end in ((n_a, "|"), (self.n_b, ";")) for i in range(n) for w in (f"{i},", f"{i}{end}")]
+        width = max(map(len, words))
+        self.words = np.array([w.ljust(width).encode() for w in words], f"S{width}").view(np.uint8).reshape(len(words), width)
 
     def _fast(self, spec: dict):
         """The same byte-level BPE through the faster library, where the file's merges
@@ -146,15 +150,25 @@ class Aligner:
         ids = [model["vocab"]["".join(m)] for m in merges]
         if ids != sorted(ids) or len(ids) + 256 != len(ranks):
             return None
-        return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    @cached_property
+    def a(self):
+        """The file's own library, which bears a text of any length."""
+        from tokenizers import Tokenizer
+        tokenizer = Tokenizer.from_file(self.a_path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        tokenizer.encode_special_tokens = True
+        return tokenizer
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of A and B for a text that starts with a space."""
         if self.fast and len(text) <= LONG:
-            a = self.fast(text)
-        else:       # the file's own library, which bears any length
-            a = self.a.encode(text, add_special_tokens=False).ids
-        return np.array(a, np.int64), np.array(self.b.encode(text[1:]), np.int64)
+            a = np.array(self.fast.encode_ordinary(text), np.int32)
+        else:
+            a = np.array(self.a.encode(text, add_special_tokens=False).ids, np.int32)
+        return a, np.array(self.b.encode(text[1:]), np.int32)
 
     def divide(self, data: bytes) -> list[tuple[int, int, int, bytes]]:
         """``(lo, hi, at, piece)`` for the byte ranges (lo, hi] of ``data``; the piece
@@ -172,38 +186,43 @@ class Aligner:
     def fragment(self, piece: bytes, at: int = 0, lo: int = 0, hi: int | None = None) -> Fragment:
         """The fragment of the byte range (lo, hi] of a text, from the piece at ``at``."""
         a, b = self.encode(piece.decode())
-        if (b"".join(map(self.a_bytes.__getitem__, a.tolist())) != piece
+        a_end, b_end = np.cumsum(self.a_size[a]) + at, np.cumsum(self.b_size[b]) + at
+        # a byte-level BPE only joins the text's own bytes: where A is one, its sizes tell
+        if (a_end[-1:] != at + len(piece) or (not self.fast and b"".join(map(self.a_bytes.__getitem__, a.tolist())) != piece)
                 or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != piece):
             return Fragment(False)
-        a_end, b_end = np.cumsum(self.a_size[a]) + at, np.cumsum(self.b_size[b]) + at
         if hi is not None:
             inside = (a_end > lo) & (a_end <= hi)
             a, a_end = a[inside], a_end[inside]
             inside = (b_end > lo) & (b_end <= hi)
             b, b_end = b[inside], b_end[inside]
         if not len(a) or not len(b):
-            return Fragment(True, len(a), len(b), False, a.tolist(), b.tolist())
+            return Fragment(True, len(a), len(b), lo == 0, *_open(lo, a, b))
         near = np.minimum(np.searchsorted(a_end, b_end), len(a) - 1)
         common = a_end[near] == b_end
         cut_a, cut_b = near[common], np.flatnonzero(common)     # the last token of each group
         if not len(cut_a):
-            return Fragment(True, len(a), len(b), False, a.tolist(), b.tolist())
-        a0, b0, a1, b1 = cut_a[0] + 1, cut_b[0] + 1, cut_a[-1] + 1, cut_b[-1] + 1
+            return Fragment(True, len(a), len(b), lo == 0, *_open(lo, a, b))
+        first = int(lo > 0)     # the start of the text is a cut: no prefix is open there
+        a0, b0 = (cut_a[0] + 1, cut_b[0] + 1) if first else (0, 0)
+        a1, b1 = cut_a[-1] + 1, cut_b[-1] + 1
+        cut_a, cut_b = cut_a[first:], cut_b[first:]
         return Fragment(True, len(a), len(b), True, a[:a0].tolist(), b[:b0].tolist(),
-                        self._text(a[a0:a1], b[b0:b1], cut_a[1:] - a0, cut_b[1:] - b0),
-                        (a[cut_a[1:]] * self.n_b + b[cut_b[1:]]).tolist(), a[a1:].tolist(), b[b1:].tolist())
+                        self._text(a[a0:a1], b[b0:b1], cut_a - a0, cut_b - b0), a[cut_a].astype(np.int64) * self.n_b + b[cut_b],
+                        a[a1:].tolist(), b[b1:].tolist())
 
     def _text(self, a, b, cut_a, cut_b) -> str:
         """Closed groups as text: ``a1,a2|b1;a3|b2,b3``."""
         if not len(cut_a):
             return ""
-        last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        last_a, last_b = np.zeros(len(a), np.int32), np.zeros(len(b), np.int32)
         last_a[cut_a], last_b[cut_b] = 1, 1
         group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
-        flat = np.empty(len(a) + len(b), np.int64)              # group after group, A's tokens first
+        flat = np.empty(len(a) + len(b), np.int32)              # group after group, A's tokens first
         flat[np.arange(len(a)) + np.concatenate(([0], cut_b + 1))[group_a]] = 2 * a + last_a
         flat[np.arange(len(b)) + (cut_a + 1)[group_b]] = 2 * (b + len(self.a_bytes)) + last_b
-        return "".join(map(self.words.__getitem__, flat.tolist()))[:-1]
+        signs = self.words[flat].ravel()                        # fixed width, padded with spaces
+        return signs[signs != 32][:-1].tobytes().decode()
 
     def pair_bound(self) -> int:
         """Most distinct pairs that can ever be linked: the bytes of one token are a
@@ -244,6 +263,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")) \
         .withColumn("row", F.monotonically_increasing_id())
     kind = rows.schema["doc_id"].dataType.simpleString()
+    n_b = aligner(a_path, b_path).n_b
     size = F.coalesce(F.octet_length("text"), F.lit(0))
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +272,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
             texts, start, parts, total = b.column("text"), 0, [], 0
             for k in range(len(texts)):
                 t = texts[k].as_py()
-                parts.append(finish(al.fragment(f" {t}".encode()), al.n_b) if t else Fragment())
+                parts.append(finish(al.fragment(f" {t}".encode())) if t else Fragment())
                 total += parts[-1].n_a + parts[-1].n_b
                 if total >= OUT_TOKENS or k == len(texts) - 1:
                     yield pa.RecordBatch.from_arrays(
@@ -284,7 +304,6 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
                     ["row", "doc_id", "no", *_FIELDS])
 
     def composed(group: pd.DataFrame) -> pd.DataFrame:
-        n_b = aligner(a_path, b_path).n_b
         group = group.sort_values("no")
         parts = [Fragment(**{n: getattr(r, n) for n in _FIELDS}) for r in group.itertuples(index=False)]
         out = reduce(lambda x, y: compose(x, y, n_b), parts)
@@ -292,12 +311,11 @@ def align(docs: DataFrame, a_path: str, b_path: str, doc_id: str = "doc_id", tex
                               *(getattr(out, n) for n in _FIELDS)]], columns=["row", "doc_id", "no", *_FIELDS])
 
     def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n_b = aligner(a_path, b_path).n_b
         for b in batches:
             for k in range(b.num_rows):
                 part = Fragment(**{n: b.column(n)[k].as_py() for n in _FIELDS})
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("row").slice(k, 1), b.column("doc_id").slice(k, 1), *_columns([finish(part, n_b)])],
+                    [b.column("row").slice(k, 1), b.column("doc_id").slice(k, 1), *_columns([finish(part)])],
                     ["row", "doc_id", *_FIELDS])
 
     done = rows.filter(size < CHUNK).select("row", "doc_id", "text").mapInArrow(whole, f"row long, doc_id {kind}, {_PART}")
