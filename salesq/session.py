@@ -230,7 +230,8 @@ def in_parallel(tasks: list, threads: int = 4) -> list:
 
 def fingerprint(df: DataFrame, **parameters) -> str:
     """Digest of what a stage's result follows from: names, sizes and times of the files
-    that ``df`` reads, its plan's logic where it reads none, and the parameters."""
+    that ``df`` reads, its plan (with the rows themselves where it reads no file), and
+    the parameters."""
     import hashlib
     import json
     spark = df.sparkSession
@@ -239,8 +240,9 @@ def fingerprint(df: DataFrame, **parameters) -> str:
         fs, p = _fs(spark, name)
         status = fs.getFileStatus(p)
         files.append([name, status.getLen(), status.getModificationTime()])
-    what = files or df._jdf.queryExecution().analyzed().canonicalized().toString()
-    return hashlib.sha256(json.dumps([what, sorted(parameters.items())], default=str).encode()).hexdigest()
+    plan = df._jdf.queryExecution().analyzed().canonicalized().toString()
+    what = [files, plan, None if files else df.semanticHash(), sorted(parameters.items())]
+    return hashlib.sha256(json.dumps(what, default=str).encode()).hexdigest()
 
 
 def stage_done(spark: SparkSession, out_dir: str, stage: str, mark: str) -> bool:

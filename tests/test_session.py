@@ -37,3 +37,17 @@ def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
             master = "spark://host:7077"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Cluster())
+
+
+def test_fingerprints_tell_inputs_apart(spark, tmp_out):
+    from salesq.session import fingerprint
+    a, b = (spark.createDataFrame([(x,)], "v int") for x in (1, 2))
+    assert fingerprint(a) != fingerprint(b) and fingerprint(a) == fingerprint(a) != fingerprint(a, limit=1)
+    a.write.csv(f"{tmp_out}/t", header=True)
+
+    def read():
+        return spark.read.option("header", True).csv(f"{tmp_out}/t")
+    assert fingerprint(read()) == fingerprint(read()) != fingerprint(read().filter("v > 0"))
+    before = fingerprint(read())
+    b.write.mode("append").csv(f"{tmp_out}/t", header=True)
+    assert fingerprint(read()) != before
