@@ -721,7 +721,7 @@ def q_dim_items_file_order(spark, sf_dir):
     text = raw_sales_text(spark, sf_dir)
     order = [keys[1].cast("bigint"), keys[2].cast("bigint"), F.col("Transaction ID")]
     ordered = text.repartitionByRange(*order).sortWithinPartitions(*order)
-    clean = C.clean(IO.read_raw_sales(spark, IO.write_raw_csv(ordered, path))).clean
+    clean = C.clean(IO.read_raw_sales(spark, IO.write_raw_csv(ordered, path), ordinal=True)).clean
     return N.item_dim(clean, _star(spark, sf_dir)["categories"], ordinal=ORDINAL).select("item_id", "item_name", "price_per_unit", "category_id")
 
 

@@ -42,7 +42,7 @@ def _read_text_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("escape", '"').option("multiLine", False).csv(path)
 
 
-def read_raw_sales(spark: SparkSession, path: str, ordinal: bool = True) -> DataFrame:
+def read_raw_sales(spark: SparkSession, path: str, ordinal: bool = False) -> DataFrame:
     """Scan the raw CSV as text, find the columns by header name in any order,
     and parse. A missing column is an error.
 
