@@ -2,24 +2,23 @@ import hashlib
 import random
 import zlib
 
+import numpy as np
+
 from salesq.llm import word_runs as W
 
 
 def brute_runs(words, min_length, min_exponent):
-    n, out = len(words), []
-    for p in range(1, n // min_exponent + 1):
-        i = 0
-        while i + p < n:
-            if words[i] != words[i + p]:
-                i += 1
-                continue
-            start = i
-            while i + p < n and words[i] == words[i + p]:
-                i += 1
-            part = words[start:i + p]
-            shorter = any(part[q:] == part[:-q] for q in range(1, p))
-            if len(part) >= max(min_length, min_exponent * p) and not shorter:
-                out.append((start, len(part), p))
+    """Every period, every stretch of words equal to those one period on."""
+    number = {}
+    ids, out = np.array([number.setdefault(w, len(number)) for w in words], int), []
+    for p in range(1, len(ids) // min_exponent + 1):
+        same = np.concatenate(([0], ids[p:] == ids[:-p], [0]))
+        edges = np.flatnonzero(np.diff(same))
+        for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            length = end - start + p
+            part = ids[start:start + length]
+            if length >= max(min_length, min_exponent * p) and not any((part[q:] == part[:-q]).all() for q in range(1, p)):
+                out.append((start, length, p))
     return sorted(out)
 
 
