@@ -157,3 +157,29 @@ def test_sketch_profile_is_one_scan_within_its_bounds(spark, tmp_out):
     assert got["item"]["q50"] is None
     empty = P.profile_sketch(raw.limit(0), ["item", "quantity"]).collect()
     assert [(r["non_null"], r["distinct_approx"]) for r in empty] == [(0, 0), (0, 0)]
+
+
+def test_only_rows_that_need_an_item_are_copied(spark, monkeypatch):
+    plain, written = C.cut_lineage, []
+
+    def cut(df, *a, **k):
+        out = plain(df, *a, **k)
+        written.append(out.count())
+        return out
+    monkeypatch.setattr(C, "cut_lineage", cut)
+    rows = [_row(tid=f"T{k}", item=f"I{k % 3}", price=10.0 + k % 3) for k in range(60)]
+    r = C.clean(raw_frame(spark, [*rows, _row(tid="N", item=None, price=11.0), _row(tid="U", item=None, price=99.0)]))
+    got = _by_id(r.flagged)
+    assert len(got) == 62 and got["N"]["item"] == "I1" and got["U"]["_drop"] == C.UNMATCHED_ITEM
+    assert sorted(written) == [1, 2]                  # the match, and the two rows without an item
+
+
+def test_damaged_fact_joins_its_tables_once(spark):
+    from salesq.sources.fixture import build_damaged_star
+    from tests.conftest import SF001
+    fact = build_damaged_star(spark, SF001)["_fact_with_j"]
+    plan = fact._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 1
+    copies = {r["_j"]: r["n"] for r in fact.groupBy("_j", "transaction_id").agg(F.count(F.lit(1)).alias("n")).collect()
+              if r["_j"] in (2, 21)}
+    assert copies[2] == 2 * copies[21]

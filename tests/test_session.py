@@ -51,3 +51,27 @@ def test_fingerprints_tell_inputs_apart(spark, tmp_out):
     before = fingerprint(read())
     b.write.mode("append").csv(f"{tmp_out}/t", header=True)
     assert fingerprint(read()) != before
+
+
+def test_stored_tables_are_not_shuffled_once_more(spark, tmp_out):
+    source = os.path.join(tmp_out, "source")
+    spark.range(1).write.parquet(os.path.join(source, "t.parquet"))
+    stored = materialize(spark, f"test.files:{source}", lambda: spark.range(30, numPartitions=3))
+    assert len(stored.inputFiles()) == 3 and stored.count() == 30         # a file a task of the plan's last stage
+
+
+def test_remembered_results_are_built_anew_when_a_table_is_gone(spark, tmp_out):
+    from salesq.session import delete_path, remember
+    source, built = os.path.join(tmp_out, "source"), []
+
+    def build():
+        built.append(cut_lineage(spark.range(4)))
+        return built[-1].filter("id > 0")
+
+    def get():
+        return remember(spark, f"test.r:{source}", build, lambda r: r).count()
+    assert get() == get() == 3 and len(built) == 1
+    delete_path(spark, os.path.dirname(built[0].inputFiles()[0]))
+    assert get() == 3 and len(built) == 2
+    spark.range(1).write.parquet(os.path.join(source, "t.parquet"))       # the source changed
+    assert get() == 3 and len(built) == 3
