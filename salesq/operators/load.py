@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,12 +114,22 @@ FACT_VALUE_COLS = ["customer_id", "item_id", "payment_method_id", "location_id",
 def dedupe_latest(source: DataFrame, key: str, order_by: list[str] | None = None) -> DataFrame:
     """One row per key: the greatest by ``order_by`` (pass the source's ordinal for
     "the last row wins"; default: all value columns). Rows without a key are
-    left out; callers report them (``null_key_rejects``)."""
+    left out; callers report them (``null_key_rejects``).
+
+    The keys' 64-bit hashes are counted first, so only rows whose hash repeats are
+    grouped with their values (and written); all others are neither sorted nor
+    shuffled. The source is scanned again by whoever reads the result."""
     cols = [c for c in source.columns if c != key]
     order = F.struct(*(order_by or cols))
-    return (source.filter(F.col(key).isNotNull()).groupBy(key)
-            .agg(F.max_by(F.struct(*cols), order).alias("_r"))
-            .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
+    named = source.filter(F.col(key).isNotNull()).select(key, *cols)
+    hashed = F.xxhash64(key).alias("_hash")
+    repeated = cut_lineage(named.groupBy(hashed).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash"))
+    if repeated.isEmpty():
+        return named
+    marked = named.select("*", hashed)
+    best = cut_lineage(marked.join(repeated, "_hash", "left_semi").groupBy(key).agg(F.max_by(F.struct(*cols), order).alias("_r")))
+    return (marked.join(repeated, "_hash", "left_anti").select(key, *cols)
+            .unionByName(best.select(key, *[F.col(f"_r.{c}").alias(c) for c in cols])))
 
 
 def split_superseded(source: DataFrame, key: str | list[str], order_by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -187,6 +197,57 @@ def upsert_transactions(target: DataFrame, source: DataFrame, load_ts=None,
          .otherwise(F.col("updated_at")).alias("updated_at"))
 
 
+def first_transactions(source: DataFrame, load_ts=None) -> DataFrame:
+    """L4 where the target holds no row yet: the source (one row a key) with its stamps,
+    joined with nothing."""
+    ts = _ts(load_ts)
+    return (source.filter("transaction_id is not null")
+            .select("transaction_id", *FACT_VALUE_COLS, ts.alias("created_at"), ts.alias("updated_at")))
+
+
+ROWS_A_FILE = 500_000       # about; a month of more rows is dealt to several tasks
+
+
+def deal_by_month(df: DataFrame, part: str, rows: list[DataFrame], key: str = "transaction_id") -> DataFrame:
+    """``df`` shuffled once, for the files of its months: a month is one task's, or by the
+    key's hash (``_salt``) as many tasks' as the fullest month of ``rows`` has
+    ``ROWS_A_FILE``."""
+    months = rows[0].select(part)
+    for r in rows[1:]:
+        months = months.unionByName(r.select(part))
+    most = months.groupBy(part).agg(F.count(F.lit(1)).alias("_n")).agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
+    return df.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(1 + most // ROWS_A_FILE))).repartition(part, "_salt")
+
+
+def merge_months(target: DataFrame, source: DataFrame, moved: DataFrame, part: str, load_ts=None) -> DataFrame:
+    """L4's rules (``upsert_transactions``) for rows with their month ``part``, dealt by the
+    month they come to: one shuffle for the search and for the months' files. No key
+    repeats in the source; ``moved`` (key and new month, written) holds the keys whose
+    row in the target has another month than the source gives it."""
+    ts, key = _ts(load_ts), "transaction_id"
+    to = moved.select(key, F.col(part).alias("_to"), F.lit(True).alias("_moved"))
+    old = target.join(to, key, "left").select(
+        key, *FACT_VALUE_COLS, "created_at", "updated_at", F.when(F.col("_moved"), F.col("_to")).otherwise(F.col(part)).alias(part),
+        F.lit(0).alias("_new"))
+    none = F.lit(None).cast("timestamp_ntz")
+    new = source.filter(F.col(key).isNotNull()).select(
+        key, *FACT_VALUE_COLS, none.alias("created_at"), none.alias("updated_at"), part, F.lit(1).alias("_new"))
+    group = Window.partitionBy(part, "_salt", key)
+    order = group.orderBy("_new")
+    was = {c: F.lag(c).over(order) for c in (*FACT_VALUE_COLS, "created_at", "updated_at")}
+    changed = F.lit(False)
+    for c in FACT_VALUE_COLS:
+        changed = changed | ~F.col(c).eqNullSafe(was[c])
+    is_new = F.col("_new") == 1
+    both = deal_by_month(old.unionByName(new), part, [target, source], key)
+    return (both.select(
+        key, *FACT_VALUE_COLS,
+        F.coalesce(F.when(is_new, was["created_at"]).otherwise(F.col("created_at")), ts).alias("created_at"),
+        F.when(is_new & (was["created_at"].isNull() | changed), ts).when(is_new, was["updated_at"])
+         .otherwise(F.col("updated_at")).alias("updated_at"), part, "_new", F.max("_new").over(group).alias("_any"))
+        .filter("_new = _any").drop("_new", "_any"))
+
+
 def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
     """Pre-load defaults (discount -> false, quantity/total -> 0)."""
     defaults = defaults or {"discount_applied": False, "quantity": 0.0, "total_price": 0.0}
@@ -219,14 +280,19 @@ def _with_reasons(df: DataFrame, spec: TableSpec, parents: dict[str, DataFrame]
     j = df
     for col, (ptable, pcol) in spec.fks.items():
         if ptable in parents and col in df.columns:
-            # the parent's keys are written: a plain join side, so AQE can broadcast
-            # it by its measured size or split the partition of a hot child key
             keys = parents[ptable].select(F.col(pcol).alias(col)).filter(F.col(col).isNotNull())
-            if not written:
-                keys = cut_lineage(keys.distinct())
-            j = j.join(keys.withColumn(f"_fk_{col}", F.lit(True)), col, "left")
-            reasons.append(F.when(F.col(col).isNotNull() & F.col(f"_fk_{col}").isNull(),
-                                  F.lit(f"missing_parent:{col}")))
+            if written:
+                # a plain join side: AQE can broadcast it by its measured size or
+                # split the partition of a hot child key
+                j = j.join(keys.withColumn(f"_fk_{col}", F.lit(True)), col, "left")
+                missing = F.col(f"_fk_{col}").isNull()
+            else:
+                # the distinct keys meet the parent, and the few without one are written:
+                # AQE broadcasts them, so a large parent does not shuffle whole rows
+                lost = cut_lineage(df.select(col).filter(F.col(col).isNotNull()).distinct().join(keys, col, "left_anti"))
+                j = j.join(lost.withColumn(f"_lost_{col}", F.lit(True)), col, "left")
+                missing = F.col(f"_lost_{col}").isNotNull()
+            reasons.append(F.when(F.col(col).isNotNull() & missing, F.lit(f"missing_parent:{col}")))
     j = j.withColumn("reasons", F.array_compact(F.array(*reasons)))
     return j, conv
 
@@ -403,12 +469,14 @@ def upsert_partitioned(spark, target_path: str, source: DataFrame, load_ts=None,
     months of target rows whose key reappears in the source (a row can move
     to another month). Rows without a date live in the NULL partition. The
     target is read through a filter on those months (partition pruning), merged
-    with ``upsert_transactions``, staged under the checkpoint folder (a path
-    cannot be read and overwritten in one job) and written back. A touched month
+    (``merge_months``), staged under the checkpoint folder (a path cannot be read
+    and overwritten in one job) and written back. A touched month
     left without rows is removed, the staged copy as well. A batch without rows
     is a no-op. Returns the touched months, NULL as None last (a list bounded by
     the number of months).
 
+    ``source`` is read several times: pass a stored or persisted frame.
+
     This form keeps a plain folder a month, and for it reads the key column of the
     whole target and replaces months in place: a job that dies while it writes
     back can leave a month deleted, whose other rows are then in the staged copy
@@ -419,34 +487,31 @@ def upsert_partitioned(spark, target_path: str, source: DataFrame, load_ts=None,
 
     month = F.date_format(F.col(date_col), "yyyy-MM")
     carried = [c for c in order_by or [] if c not in FACT_VALUE_COLS and c != key]
-    src = cut_lineage(dedupe_latest(source.select(key, *FACT_VALUE_COLS, *carried), key, order_by)
-                      .drop(*carried).withColumn(part, month))
+    src = (dedupe_latest(source.select(key, *FACT_VALUE_COLS, *carried), key, order_by)
+           .drop(*carried).withColumn(part, month))
 
     def months_of(df):
         found = [r[0] for r in df.select(part).distinct().collect()]      # one row per month
         return sorted(found, key=lambda m: (m is None, m))
 
-    def store(df, path):
-        # few files a month: AQE gathers each month's rows and splits a large one
-        (df.hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(part).parquet(path))
+    def store(df, path):        # of rows that lie by month: few files each
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
 
     months = months_of(src)
     if not months:
         return []
     if not path_exists(spark, target_path):
-        empty = spark.createDataFrame([], src.drop(part).schema.add("created_at", "timestamp_ntz")
-                                      .add("updated_at", "timestamp_ntz"))
-        store(upsert_transactions(empty, src.drop(part), load_ts).withColumn(part, month), target_path)
+        store(deal_by_month(first_transactions(src, load_ts).withColumn(part, month), part, [src]).drop("_salt"), target_path)
         return months
     target = spark.read.option("basePath", target_path).parquet(target_path).withColumn(part, F.col(part).cast("string"))
-    months = months_of(src.select(part).unionByName(
-        target.select(key, part).join(src.select(key), key, "left_semi").select(part)))
+    moved = cut_lineage(target.select(key, F.col(part).alias("_from")).join(src.select(key, part), key)
+                        .filter(~F.col("_from").eqNullSafe(F.col(part))))
+    months = sorted({*months, *months_of(moved.select(F.col("_from").alias(part)))}, key=lambda m: (m is None, m))
     dated = [m for m in months if m is not None]
     touched = (F.col(part).isin(dated) if dated else F.lit(False)) | (F.col(part).isNull() & F.lit(None in months))
-    merged = upsert_transactions(target.filter(touched).drop(part), src.drop(part), load_ts).withColumn(part, month)
+    merged = merge_months(target.filter(touched), src, moved, part, load_ts)
     stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/salesq-upsert/{uuid.uuid4().hex}"
-    merged.write.parquet(stage)
+    merged.write.partitionBy(part).parquet(stage)
     staged = spark.read.schema(merged.schema).parquet(stage)
     store(staged, target_path)
     kept = months_of(staged)

@@ -21,11 +21,11 @@ import json
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesq.operators.load import FACT_VALUE_COLS, dedupe_latest, upsert_transactions
+from salesq.operators.load import FACT_VALUE_COLS, deal_by_month, dedupe_latest, first_transactions, merge_months
 from salesq.session import cut_lineage, delete_path, list_dirs, list_files, publish_text, read_text, scratch
 
 BUCKETS = 64
@@ -112,8 +112,28 @@ class MonthTable:
 
     # ---------------------------------------------------------------- writing
     def _store(self, df: DataFrame, folder: str, by: str) -> None:
-        # few files a month or bucket: AQE gathers its rows and splits a large one
-        df.hint("rebalance", by).write.partitionBy(by).parquet(f"{self.path}/{folder}")
+        # the rows lie by month or bucket: few files each
+        df.write.partitionBy(by).parquet(f"{self.path}/{folder}")
+
+    def _indexed(self, src: DataFrame, version: Version, buckets: list[int]) -> DataFrame:
+        """The rows of ``buckets`` as ``src`` leaves them: its keys, and those of now that it
+        has not. They are dealt by bucket once: for the search and for the files.
+        ``_moved`` marks the keys that come from another month."""
+        both = src.select(self.key, self.month, self._bucket(), F.lit(1).alias("_new"))
+        if any(b in version.index for b in buckets):
+            both = both.unionByName(self._index(version, buckets).withColumn("_new", F.lit(0)))
+        # by the bucket alone, and the window asks for no other exchange
+        dealt = both.repartition("_bucket")
+        newest = Window.partitionBy("_bucket", self.key).orderBy(F.col("_new").desc())
+        moved = F.lead("_new").over(newest).isNotNull() & ~F.lead(self.month).over(newest).eqNullSafe(F.col(self.month))
+        return (dealt.withColumn("_place", F.row_number().over(newest)).withColumn("_moved", moved)
+                .filter("_place = 1").drop("_place", "_new"))
+
+    def _moved(self, index: str) -> DataFrame:
+        """Keys that the batch of this index folder moves, with their new month (written)."""
+        schema = T.StructType([T.StructField(self.key, self.schema[self.key].dataType), T.StructField(self.month, T.StringType()),
+                               T.StructField("_moved", T.BooleanType()), T.StructField("_bucket", T.IntegerType())])
+        return cut_lineage(self.spark.read.schema(schema).parquet(f"{self.path}/{index}").filter("_moved").select(self.key, self.month))
 
     def _named(self, folder: str, by: str) -> dict:
         """Months or buckets that a finished write holds."""
@@ -129,6 +149,9 @@ class MonthTable:
         month) touches: months of its rows and of the same keys' rows now."""
         version = version or self.version()
         buckets = sorted(r[0] for r in source.select(self._bucket()).distinct().collect())      # at most ``buckets``
+        months = [r[0] for r in source.select(self.month).distinct().collect()]                 # one a month
+        if set(version.months) <= set(months):      # no key can be in a month besides
+            return sorted(months, key=lambda m: (m is None, m)), buckets
         now = self._index(version, buckets).join(source.select(self.key), self.key, "left_semi").select(self.month)
         months = [r[0] for r in source.select(self.month).unionByName(now).distinct().collect()]   # one a month
         return sorted(months, key=lambda m: (m is None, m)), buckets
@@ -141,24 +164,27 @@ class MonthTable:
         ``source_name`` and ``batch`` name a numbered batch of a stream: one that is not
         above the last published of its source is not applied again. Rows without a key
         are left out (report them with ``null_key_rejects``). A batch without rows
-        publishes nothing."""
+        publishes nothing. ``source`` is read several times: pass a stored or persisted frame."""
         version = self.version()
         if source_name is not None and batch is not None and batch <= version.applied.get(source_name, -1):
             return []
         carried = [c for c in order_by or [] if c not in FACT_VALUE_COLS and c != self.key]
         month = F.date_format(F.col(self.date_col), "yyyy-MM")
         with scratch(self.spark):
-            src = cut_lineage(dedupe_latest(source.select(self.key, *FACT_VALUE_COLS, *carried), self.key, order_by)
-                              .drop(*carried).withColumn(self.month, month))
+            src = (dedupe_latest(source.select(self.key, *FACT_VALUE_COLS, *carried), self.key, order_by)
+                   .drop(*carried).withColumn(self.month, month))
             months, buckets = self.plan(src, version)
             if not months:
                 return []
             tag = f"{version.number + 1:010d}-{uuid.uuid4().hex[:12]}"
             rows, index = f"rows-{tag}", f"index-{tag}"
-            merged = upsert_transactions(self._rows(version, months).drop(self.month), src.drop(self.month), load_ts, unique=True)
-            self._store(merged.withColumn(self.month, month), rows, self.month)
-            kept = self._index(version, buckets).join(src.select(self.key), self.key, "left_anti")
-            self._store(kept.unionByName(src.select(self.key, self.month, self._bucket())), index, "_bucket")
+            self._store(self._indexed(src, version, buckets), index, "_bucket")
+            alike = all(src.schema[f.name].dataType == f.dataType for f in self.schema.fields if f.name in src.columns)
+            if alike and not set(months) & set(version.months):
+                merged = deal_by_month(first_transactions(src, load_ts).withColumn(self.month, month), self.month, [src], self.key).drop("_salt")
+            else:
+                merged = merge_months(self._rows(version, months), src, self._moved(index), self.month, load_ts)
+            self._store(merged, rows, self.month)
         stays = {m: f for m, f in version.months.items() if m not in months}    # a month left without rows goes
         other = {b: f for b, f in version.index.items() if b not in buckets}
         applied = version.applied | ({source_name: batch} if source_name is not None and batch is not None else {})

@@ -233,3 +233,49 @@ def test_a_hot_repeated_key_is_counted_before_it_moves(spark):
                                      (F.col("id") % 5).alias("v"))
     winners, gone = L.split_superseded(hot, "k")
     assert winners.count() == 40_001 and gone.agg(F.sum("copies")).first()[0] == 19_999 and gone.count() == 5
+
+
+def test_unique_keys_are_not_grouped_with_their_values(spark):
+    rows = [(f"T{k}", float(k)) for k in range(20)]
+    src = spark.createDataFrame(rows, "transaction_id string, quantity double")
+    plan = L.dedupe_latest(src, "transaction_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
+    more = src.unionByName(spark.createDataFrame([("T3", 1.0), ("T3", 50.0), (None, 9.0)], src.schema))
+    got = {r[0]: r[1] for r in L.dedupe_latest(more, "transaction_id").collect()}
+    assert len(got) == 20 and got["T3"] == 50.0 and got["T4"] == 4.0 and None not in got
+
+
+def test_parents_are_searched_by_distinct_keys(spark, monkeypatch):
+    from salesq.schema import TABLES
+    plain, written = L.cut_lineage, []
+
+    def cut(df, *a, **k):
+        out = plain(df, *a, **k)
+        written.append(out.count())
+        return out
+    monkeypatch.setattr(L, "cut_lineage", cut)
+    fact = _fact(spark, [(f"T{k}", 1.0, dt.date(2020, 1, 1)) for k in range(10)]).withColumn(
+        "customer_id", F.when(F.col("transaction_id") < "T8", F.lit("C")).otherwise(F.lit("lost")))
+    customers = spark.createDataFrame([("C",), ("C",), *[(f"X{k}",) for k in range(50)], (None,)], "customer_id string")
+    valid, rejects = L.split_valid(fact, TABLES["transactions"], {"customers": customers})
+    assert valid.count() == 8 and {tuple(r["reasons"]) for r in rejects.collect()} == {("missing_parent:customer_id",)}
+    assert written == [1]                             # the one lost key, not the parent's
+
+
+def test_merging_by_month_is_the_plain_upsert(spark, monkeypatch):
+    monkeypatch.setattr(L, "ROWS_A_FILE", 3)          # several tasks a month
+    old = [(f"T{k}", float(k), None if k % 9 == 0 else dt.date(2020, 1 + k % 4, 5)) for k in range(40)]
+    new = [(f"T{k}", float(k + (k % 2)), None if k % 10 == 0 else dt.date(2020, 1 + (k % 4 if k % 3 else k % 5), 5)) for k in range(20, 60)]
+
+    def month(df):
+        return df.withColumn("m", F.date_format("transaction_date", "yyyy-MM"))
+    target = L.first_transactions(_fact(spark, old), "2024-01-01 00:00:00")
+    source = _fact(spark, new)
+    a, b = month(target).select("transaction_id", F.col("m").alias("was")), month(source).select("transaction_id", "m")
+    moved = a.join(b, "transaction_id").filter(~F.col("was").eqNullSafe(F.col("m")))
+    assert moved.count() > 0
+    want = L.upsert_transactions(target, source, "2024-01-02 00:00:00")
+    got = L.merge_months(month(target), month(source), moved, "m", "2024-01-02 00:00:00")
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    assert got.filter(~F.col("m").eqNullSafe(F.date_format("transaction_date", "yyyy-MM"))).count() == 0
+    assert got.select("m").distinct().count() == 6     # five months, and rows without a date
