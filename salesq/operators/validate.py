@@ -77,10 +77,11 @@ def date_range(fact: DataFrame, col: str = "transaction_date") -> DataFrame:
 def distinct_stats(star: dict[str, DataFrame], approx: bool = False) -> DataFrame:
     """V3: distinct customers and items in the fact, categories among items."""
     cd = F.approx_count_distinct if approx else F.count_distinct
-    t = star["transactions"].agg(cd("customer_id").alias("distinct_customers"),
-                                 cd("item_id").alias("distinct_items")).withColumn("_k", F.lit(1))
-    i = star["items"].agg(cd("category_id").alias("distinct_categories")).withColumn("_k", F.lit(1))
-    return t.join(i, "_k").drop("_k")
+    # an aggregate a column: two distinct counts in one would multiply the rows
+    parts = [star[table].agg(cd(key).alias(name)).withColumn("_k", F.lit(1)) for table, key, name in (
+        ("transactions", "customer_id", "distinct_customers"), ("transactions", "item_id", "distinct_items"),
+        ("items", "category_id", "distinct_categories"))]
+    return parts[0].join(parts[1], "_k").join(parts[2], "_k").drop("_k")
 
 
 def _avg_money(tp: Column) -> Column:
@@ -262,17 +263,36 @@ def relational_rows(star: dict[str, DataFrame]) -> DataFrame:
             .select("transaction_id", "quantity", "total_price", "transaction_date"))
 
 
-def row_differences(rel: DataFrame, docs: DataFrame, tolerance: float = 0.01) -> DataFrame:
-    """V31 per row: relational row LEFT JOIN *the* document of its id (a
-    document key is unique; repeated ``_id`` values are reduced to the greatest
-    (quantity, total, date) with a partial aggregate first, so a hot repeated
-    key can never pair every copy with every copy). Rows without an id meet no
-    document and bypass the join: NULL would be one hot key of it."""
-    one = (docs.filter(F.col("_id").isNotNull()).groupBy("_id")
-           .agg(F.max(F.struct(F.col("quantity").alias("q"), F.col("total_price").alias("t"),
-                               F.to_date("transaction_date").alias("d"))).alias("_m")))
-    d = one.select(F.col("_id").alias("transaction_id"), F.lit(True).alias("_found"),
-                   F.col("_m.q").alias("_dq"), F.col("_m.t").alias("_dt"), F.col("_m.d").alias("_dd"))
+def repeated_documents(docs: DataFrame, buckets: int | None = None) -> DataFrame:
+    """Hashes (``_k``, with their bucket ``_b``) that more than one document's id has,
+    written. Ids are counted by their 64-bit hash, 8 bytes a row."""
+    hashes = docs.filter(F.col("_id").isNotNull()).groupBy(F.xxhash64(F.col("_id").cast("string")).alias("_k"))
+    bucket = F.pmod("_k", F.lit(buckets or DIGEST_BUCKETS)).cast("int").alias("_b")
+    return cut_lineage(hashes.agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("_k", bucket))
+
+
+def one_document(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """*The* document of an id (a document key is unique) as ``transaction_id, _dq, _dt,
+    _dd``: repeated ``_id`` values are reduced to the greatest (quantity, total, date).
+    Only the documents whose hash is in ``repeated`` are grouped, and written; the
+    others pass as they are."""
+    values = docs.filter(F.col("_id").isNotNull()).select(
+        F.col("_id").alias("transaction_id"), F.col("quantity").alias("_dq"), F.col("total_price").alias("_dt"),
+        F.to_date("transaction_date").alias("_dd"))
+    if repeated.isEmpty():
+        return values
+    marked = values.withColumn("_k", F.xxhash64(F.col("transaction_id").cast("string")))
+    greatest = cut_lineage(marked.join(repeated.select("_k"), "_k", "left_semi").groupBy("transaction_id")
+                           .agg(F.max(F.struct("_dq", "_dt", "_dd")).alias("_m")).select("transaction_id", "_m.*"))
+    return marked.join(repeated.select("_k"), "_k", "left_anti").drop("_k").unionByName(greatest)
+
+
+def row_differences(rel: DataFrame, docs: DataFrame, tolerance: float = 0.01, repeated: DataFrame | None = None) -> DataFrame:
+    """V31 per row: relational row LEFT JOIN *the* document of its id
+    (``one_document``, so a hot repeated key can never pair every copy with every
+    copy; ``repeated``: its hashes, if known). Rows without an id meet no document and
+    bypass the join: NULL would be one hot key of it."""
+    d = one_document(docs, repeated_documents(docs) if repeated is None else repeated).withColumn("_found", F.lit(True))
     j = rel.filter(F.col("transaction_id").isNotNull()).join(d, "transaction_id", "left")
     found = F.col("_found").isNotNull()
     named = j.select(
@@ -295,26 +315,26 @@ def _compared(df: DataFrame, key: str, buckets: int) -> DataFrame:
             F.to_date("transaction_date")]
     h1, h2 = row_digest(cols)
     return df.filter(F.col(key).isNotNull()).select(
-        F.pmod(F.xxhash64(cols[0]), F.lit(buckets)).cast("int").alias("_b"), F.xxhash64(cols[0]).alias("_k"), h1.alias("_h1"), h2.alias("_h2"))
+        F.pmod(F.xxhash64(cols[0]), F.lit(buckets)).cast("int").alias("_b"), h1.alias("_h1"), h2.alias("_h2"))
 
 
-def differing_buckets(rel: DataFrame, docs: DataFrame, buckets: int = DIGEST_BUCKETS) -> DataFrame:
+def differing_buckets(rel: DataFrame, docs: DataFrame, buckets: int = DIGEST_BUCKETS, repeated: DataFrame | None = None) -> DataFrame:
     """V31 by digests: the buckets of ids (at most ``buckets`` rows, ``_b``) whose rows are
-    not the same on both sides, or hold a repeated document id. Each side is one scan and
-    a partial aggregate to a row a bucket: number of rows and sums of two 64-bit row
-    digests. Documents' ids are counted by their 64-bit hash, 8 bytes a row."""
+    not the same on both sides, or hold a repeated document id (``repeated_documents``).
+    Each side is one scan and a partial aggregate to a row a bucket: number of rows and
+    sums of two 64-bit row digests, by halves, which whole numbers of 64 bits hold."""
     def sides(df, key):
         rows = _compared(df, key, buckets)
         return rows.groupBy("_b").agg(F.count(F.lit(1)).alias("n"), *[
-            F.sum(F.col(h).cast("decimal(20,0)")).alias(f"s{h}") for h in ("_h1", "_h2")])
+            F.sum(half).alias(f"s{h}{k}") for h in ("_h1", "_h2")
+            for k, half in enumerate((F.shiftright(h, 32), F.col(h).bitwiseAND(F.lit(0xFFFFFFFF))))])
     a, b = sides(rel, "transaction_id").alias("a"), sides(docs, "_id").alias("b")
     same = F.lit(True)
-    for c in ("n", "s_h1", "s_h2"):
+    for c in ("n", "s_h10", "s_h11", "s_h20", "s_h21"):
         same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
     differ = a.join(b, F.col("a._b") == F.col("b._b"), "full").filter(~same).select(F.coalesce("a._b", "b._b").alias("_b"))
-    repeated = (_compared(docs, "_id", buckets).groupBy("_k").agg(F.count(F.lit(1)).alias("n"), F.first("_b").alias("_b"))
-                .filter("n > 1").select("_b"))
-    return differ.unionByName(repeated).distinct()
+    repeated = repeated_documents(docs, buckets) if repeated is None else repeated
+    return differ.unionByName(repeated.select("_b")).distinct()
 
 
 def compare_rows(rel: DataFrame, docs: DataFrame, sample: int | None = None,
@@ -327,11 +347,14 @@ def compare_rows(rel: DataFrame, docs: DataFrame, sample: int | None = None,
     the buckets that differ (``differing_buckets``, written when this is called): the
     same answer, and two stores that agree are never joined."""
     if sample is not None:
+        # the sampled rows are written: they, not the whole tables, meet the documents
         ids = sample_keys(rel, "transaction_id", sample)
-        rel = rel.join(ids, "transaction_id", "left_semi")
+        rel = cut_lineage(rel.join(ids, "transaction_id", "left_semi"))
+        docs = docs.join(rel.select(F.col("transaction_id").alias("_id")), "_id", "left_semi")
     if not digests:
         return _difference_counts(row_differences(rel, docs, tolerance))
-    wanted = cut_lineage(differing_buckets(rel, docs))
+    repeated = repeated_documents(docs)
+    wanted = cut_lineage(differing_buckets(rel, docs, repeated=repeated))
     ids = rel.agg(F.count("transaction_id").alias("checked"), count_if(F.col("transaction_id").isNull()).alias("null_ids"))
     if wanted.isEmpty():
         return ids.select("checked", "null_ids", *[F.lit(0).cast("bigint").alias(c) for c in DIFFERENCES])
@@ -339,7 +362,7 @@ def compare_rows(rel: DataFrame, docs: DataFrame, sample: int | None = None,
     def only(df, key):      # at most DIGEST_BUCKETS rows are broadcast
         b = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(DIGEST_BUCKETS)).cast("int")
         return df.filter(F.col(key).isNotNull()).withColumn("_b", b).join(F.broadcast(wanted), "_b", "left_semi").drop("_b")
-    found = _difference_counts(row_differences(only(rel, "transaction_id"), only(docs, "_id"), tolerance))
+    found = _difference_counts(row_differences(only(rel, "transaction_id"), only(docs, "_id"), tolerance, repeated))
     return (ids.withColumn("_one", F.lit(1)).join(F.broadcast(found.select(*DIFFERENCES).withColumn("_one", F.lit(1))), "_one")
             .drop("_one"))          # one row each
 

@@ -149,3 +149,26 @@ def test_undamaged_stores_are_not_joined_and_half_null_ids_are_no_hot_key(spark)
     assert any("isnotnull(transaction_id" in line for line in left)            # the join's left side holds named rows only
     r = V.compare_rows(half, docs).first()
     assert r["null_ids"] + r["checked"] == 200 and r["null_ids"] > 80 and r["mismatch_count"] == 0
+
+
+def test_a_sample_meets_its_own_documents_only(spark, monkeypatch):
+    rel, docs = _stores(spark, 100, lambda rows: rows)
+    plain, seen = V.repeated_documents, []
+
+    def repeated(df, *a):
+        seen.append(df.count())
+        return plain(df, *a)
+    monkeypatch.setattr(V, "repeated_documents", repeated)
+    r = V.compare_rows(rel, docs, sample=5).first()
+    assert r["checked"] == 5 and r["missing_count"] == r["mismatch_count"] == 0 and seen == [5]
+
+
+def test_single_documents_are_not_grouped_and_distinct_counts_do_not_multiply_rows(spark):
+    rel, docs = _stores(spark, 50, lambda rows: rows)
+    plan = V.row_differences(rel, docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
+    star = {"transactions": spark.createDataFrame([("a", 1), ("a", 2), (None, 2)], "customer_id string, item_id int"),
+            "items": spark.createDataFrame([(1,), (1,), (None,)], "category_id int")}
+    stats = V.distinct_stats(star)
+    assert tuple(stats.first()) == (1, 2, 1)
+    assert "Expand" not in stats._jdf.queryExecution().optimizedPlan().toString()
