@@ -5,11 +5,14 @@ what marks toxic documents (the pieces with the largest likelihood ratio of thei
 document counts, strongest last, where references are cheapest) and one of ordinary
 words. A piece is a word or a beginning of words, so a stem whose inflections are
 each too rare to tell still counts with all of them; of pieces that begin alike only
-the strongest is taken. Each window of a text is compressed with either; the bytes
-the toxic dictionary saves over the ordinary one are its distance. A window is one
-word behind a short lead that both dictionaries hold (the lead pays the fixed cost of
-a match, so even a short word's saving shows); partial matches count, so variants of
-a marked word save bytes too. Zstandard's own dictionary trainer was measured and
+the strongest is taken. Copies of a text, whole or in part, are one witness: texts in
+which a piece comes first between the same two neighbours count once for it.
+Each window of a text is compressed with either; the bytes the toxic dictionary saves
+over the ordinary one are its distance. A window is one word behind a short lead that
+both dictionaries hold before each entry (one match takes the lead and the word's
+beginning, so even a short mark's saving shows); partial matches count, so variants of
+a marked word save bytes too. The ordinary words that begin most like the marks come
+first, so a shared beginning alone saves nothing. Zstandard's own dictionary trainer was measured and
 finds common syllables instead of rare marks (README).
 
 A document's numbers of windows beyond each threshold, in bytes saved and in the
@@ -21,6 +24,7 @@ in Spark.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,7 +38,7 @@ from pyspark.sql.functions import pandas_udf
 
 from salesq.llm.common import HELD_OUT_REMAINDER, fold, held_out
 
-SAMPLE, MARKS, DICTIONARY, THRESHOLDS, CUT, MEMORY, SEED = 2000, 400, 2048, 8, 0.3, 300_000, 42
+SAMPLE, MARKS, DICTIONARY, THRESHOLDS, CUT, MEMORY, SEED = 2000, 400, 4096, 8, 0.3, 300_000, 42
 LEAST_RATIO, LEAST_DOCS, RIDGE = 15.0, 3, 1.0
 STEM, PIECES = (4, 12), 20       # bytes of a beginning; ranked pieces looked at for each mark
 _LEAD = bytes(range(1, 9)) + b"\x0b\x0c"
@@ -43,8 +47,12 @@ _FOLD = bytes(c + 32 if 65 <= c < 91 else c if c >= 128 or 48 <= c < 58 or 97 <=
 
 
 def windows(text: bytes | None) -> list[bytes]:
-    """The windows of a whole text: its words, folded."""
-    return text.translate(_FOLD).split() if text else []
+    """The windows of a whole text: its words, folded (letters beyond A-Z to small ones as well)."""
+    if not text:
+        return []
+    if not text.isascii():
+        text = text.decode("utf-8", "replace").lower().encode()
+    return text.translate(_FOLD).split()
 
 
 @dataclass
@@ -60,7 +68,7 @@ class Compressor:
 
     def __init__(self, model: Model):
         how = zstandard.ZstdCompressionParameters(
-            window_log=14, hash_log=12, chain_log=12, search_log=5, min_match=3, target_length=16,
+            window_log=14, hash_log=12, chain_log=13, search_log=5, min_match=3, target_length=16,
             strategy=zstandard.STRATEGY_BTOPT, write_checksum=False, write_content_size=False, write_dict_id=False,
             format=zstandard.FORMAT_ZSTD1_MAGICLESS)
         self.toxic, self.ordinary = (
@@ -111,32 +119,62 @@ def calibrate(x: np.ndarray, y: np.ndarray, share: float, ridge: float = RIDGE,
     return w
 
 
-def _dictionary(words: list[bytes]) -> bytes:
-    """Up to ``DICTIONARY`` bytes of words, the first of the list last."""
+def _dictionary(words: list[bytes], most: int = DICTIONARY) -> bytes:
+    """Up to ``most`` bytes of words, each behind the lead as in a window, the first of the list last."""
     out, size = [], 0
     for w in words:
-        if size + len(w) + 1 > DICTIONARY:
+        entry = _LEAD + b" " + w + b" "
+        if size + len(entry) > most:
             break
-        out.append(w)
-        size += len(w) + 1
-    return b" ".join([b"", *reversed(out), b""])
+        out.append(entry)
+        size += len(entry)
+    return b"".join(reversed(out))
 
 
-def pieces(words: set[bytes]) -> list[bytes]:
-    """The words and their beginnings of ``STEM`` bytes, cut between characters."""
+def likest(marks: list[bytes], plain: list[bytes]) -> list[bytes]:
+    """Ordinary words, for each mark first the one that begins most like it, then the others in their order."""
+    begun: dict[bytes, bytes] = {}
+    for w in plain:
+        for k in range(len(w) + 1):
+            begun.setdefault(w[:k], w)
+    like = (next(begun[m[:k]] for k in range(len(m), -1, -1) if m[:k] in begun) for m in marks if plain)
+    return list(dict.fromkeys([*like, *plain]))
+
+
+def beginnings(word: bytes) -> list[bytes]:
+    """The proper beginnings of ``STEM`` bytes, cut between characters."""
     least, most = STEM
-    stems = {w[:k] for w in words for k in range(least, min(len(w), most + 1)) if w[k] & 0xC0 != 0x80}
-    return sorted(words | stems)
+    return [word[:k] for k in range(least, min(len(word), most + 1)) if word[k] & 0xC0 != 0x80]
+
+
+def pieces(words: set[bytes]) -> list[bytes]:
+    """The words and their beginnings."""
+    return sorted(words | {p for w in words for p in beginnings(w)})
+
+
+def passages(words: list[bytes]) -> dict[bytes, int]:
+    """Where each piece of a text comes first: a hash of that word and its neighbours."""
+    first: dict[bytes, int] = {}
+    for k, w in enumerate(words):
+        first.setdefault(w, k)
+    out: dict[bytes, int] = {}
+    for w, k in first.items():
+        here = zlib.crc32(b" ".join(words[max(k - 1, 0):k + 2]))
+        for p in (w, *beginnings(w)):
+            out.setdefault(p, here)
+    return out
 
 
 def _pieces_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for text, toxic in zip(b.column("text"), b.column("toxic"), strict=True):
-            words = set(windows(text.as_py()))
-            found = pieces(words)
+            words = windows(text.as_py())
+            whole, place = set(words), passages(words)
+            found = pieces(whole)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.binary()), pa.array([p in words for p in found], pa.bool_()),
-                 pa.array([toxic.as_py()] * len(found), pa.int64())], ["word", "whole", "toxic"])
+                [pa.array(found, pa.binary()), pa.array([p in whole for p in found], pa.bool_()),
+                 pa.array([toxic.as_py()] * len(found), pa.int64()), pa.array([place[p] for p in found], pa.int64())],
+                ["word", "whole", "toxic", "passage"])
 
 
 def strongest(ranked: list[bytes], most: int) -> list[bytes]:
@@ -178,8 +216,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not (n0 and n1):
         return model
-    words = (made.select("text", F.col("toxic").cast("long").alias("toxic")).mapInArrow(_pieces_of, "word binary, whole boolean, toxic long")
-             .groupBy("word").agg(F.sum("toxic").alias("a"), (F.count("toxic") - F.sum("toxic")).alias("b"), F.max("whole").alias("whole")))
+    # copies are one witness: a piece counts once for all texts in which it comes first in the same passage
+    words = (made.select("text", F.col("toxic").cast("long").alias("toxic"))
+             .mapInArrow(_pieces_of, "word binary, whole boolean, toxic long, passage long")
+             .groupBy("word", "toxic", "passage").agg(F.max("whole").alias("whole")).groupBy("word").agg(F.sum("toxic").alias("a"), (F.count("toxic") - F.sum("toxic")).alias("b"), F.max("whole").alias("whole")))
 
     def term(k, m, p):
         return F.when(k > 0, k * F.log(p)).otherwise(0.0) + F.when(k < m, (m - k) * F.log(1 - p)).otherwise(0.0)
@@ -192,7 +232,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     marks = strongest([bytes(r.word) for r in ranked], MARKS)
     plain = [bytes(r.word) for r in words.filter(F.col("whole") & (a / n1 <= 2 * b / n0)).orderBy(F.desc("b"), "word").limit(4 * MARKS).select("word").collect()]
     model.toxic = _dictionary(marks)
-    model.ordinary = _dictionary(plain)[-max(len(model.toxic), 2):]
+    model.ordinary = _dictionary(likest(marks, plain), len(model.toxic))
     counted = window_counts(rows.filter("half = 1"), model).select("toxic", "counts").collect()
     y = np.array([r.toxic for r in counted], float)
     if 0 < y.sum() < len(y):

@@ -118,3 +118,47 @@ def test_toxicity_odd_rows(spark, odd_docs):
         rows = T.classify(docs, table).collect()
         assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
         assert T.accepted(docs, table).columns == docs.columns
+
+
+def test_copies_of_a_toxic_text_are_one_witness(spark):
+    """Stems with many endings mark toxic texts; many copies of some of them, near ones
+    among them, must not put the words of those into the dictionary."""
+    rng = np.random.default_rng(7)
+    parts = ["gar", "hou", "riv", "mou", "fie", "roa", "den", "se", "er", "tain", "ld", "vo"]
+
+    def text(toxic):
+        words = ["".join(rng.choice(parts, rng.integers(1, 4))) for _ in range(60)]
+        for k in rng.choice(60, 3 if toxic else 0, replace=False):
+            words[k] = str(rng.choice(["zweku", "bl\u00f3n"])) + "".join(rng.choice(parts, 2))
+        return " ".join(words)
+    texts = [(text(k % 8 == 0), int(k % 8 == 0)) for k in range(1600)]
+    shouted = [(t.upper(), 1) for t, y in texts[:80] if y]
+    for copied in range(0, 80, 8):
+        for _ in range(40):
+            words = texts[copied][0].split()
+            words[rng.integers(60)] = str(rng.choice(parts))
+            texts.append((" ".join(words), 1))
+    rows = [(k, t, y) for k, (t, y) in enumerate(texts + shouted)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in rows], "doc_id long, toxic int")
+    marks = {w for w in T.train(docs, labels).toxic.replace(T._LEAD, b" ").split()}
+    assert marks and all(w.startswith(("zwek".encode(), "bl\u00f3n".encode())) for w in marks)
+    got = {r.doc_id: r for r in T.classify(docs, labels).collect()}
+    held = [(got[k].predicted, y) for k, _, y in rows if got[k].held_out and (k < 1600 or k >= len(texts))]
+    caught, alarms = (np.mean([p for p, y in held if y == c]) for c in (1, 0))
+    assert caught >= 0.95 and alarms <= 0.02
+    assert {r.doc_id for r in T.accepted(docs, labels).collect()} == {k for k, r in got.items() if r.predicted == 0}
+
+
+def test_ordinary_words_like_the_marks_come_first():
+    assert T.likest([b"vequ", b"scum", b"zz"], [b"the", b"ve", b"scale", b"very"]) == [b"ve", b"scale", b"the", b"very"]
+    assert T.likest([b"vequ"], []) == [] and T.likest([], [b"a", b"b"]) == [b"a", b"b"]
+
+
+def test_passages_of_pieces():
+    words = T.windows("SO \u00dcBELST ist so \u00fcbel. So".encode())
+    assert words == ["so".encode(), "\u00fcbelst".encode(), b"ist", b"so", "\u00fcbel".encode(), b"so"]
+    found = T.passages(words)
+    assert sorted(found) == T.pieces(set(words))
+    assert found["\u00fcbel".encode()] == found["\u00fcbelst".encode()] == zlib.crc32(b" ".join(words[:3]))
+    assert T.passages([]) == {}
